@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from chartmill.functions import col_of
+from chartmill.operators.lookup import attach
 from chartmill.operators.ordered import rank_cut, running_totals, split_points
 
 _GRAIN = 1 << 30
@@ -117,33 +118,9 @@ def bootstrap(df: DataFrame, n: int, key: str, seed: int = 42, cap: int = 3) ->
     )
 
 
-def balanced_weights(
-    df: DataFrame, label: str, name: str = "weight", few_labels: bool = True
-) -> DataFrame:
-    """Add ``rows / (labels * rows of the label)``.
-
-    The weights of the labels reach the rows as one small map. Where a label column may have very
-    many values, ``few_labels=False`` joins them instead.
-    """
-    counts = df.where(col_of(label).isNotNull()).groupBy(col_of(label).alias("_label")).agg(F.count("*").alias("_n"))
-    if not few_labels:
-        totals = counts.agg(F.struct(F.sum("_n").alias("n"), F.count("*").alias("k")).alias("v")).scalar()
-        weights = counts.select("_label", (totals["n"].cast("double") / (totals["k"] * F.col("_n"))).alias(name))
-        return df.join(weights, df[f"`{label}`"] == weights["_label"], "left").drop("_label")
-    whole = (
-        counts.agg(
-            F.sum("_n").alias("n"),
-            F.count("*").alias("k"),
-            F.collect_list(F.struct("_label", "_n")).alias("entries"),
-        )
-        .select(
-            F.map_from_entries(
-                F.transform(
-                    "entries",
-                    lambda e: F.struct(e["_label"], F.col("n").cast("double") / (F.col("k") * e["_n"])),
-                )
-            ).alias("v")
-        )
-        .scalar()
-    )
-    return df.withColumn(name, F.try_element_at(whole, col_of(label)))
+def balanced_weights(df: DataFrame, label: str, name: str = "weight", few: bool = True) -> DataFrame:
+    """Add ``rows / (labels * rows of the label)``; ``few`` as in :func:`~.lookup.attach`."""
+    counts = df.where(col_of(label).isNotNull()).groupBy(col_of(label)).agg(F.count("*").alias("_n"))
+    whole = counts.agg(F.struct(F.sum("_n").cast("double").alias("n"), F.count("*").alias("k")).alias("v")).scalar()
+    weights = counts.withColumn("_w", whole["n"] / (whole["k"] * F.col("_n")))
+    return attach(df, label, weights, label, "_w", name, few)
