@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from chartmill.catalog.base import Query, register
 from chartmill.catalog.rows import ORDERS_VIEW, holed_orders
 from chartmill.functions import flag
-from chartmill.operators import profile as P
+from chartmill.operators import profiling as P
 from chartmill.operators.encode import map_values
 from chartmill.operators.ordered import percentiles
 
@@ -211,9 +211,10 @@ def histogram_of_sizes(t):
     """
     WITH b AS (SELECT unnest(range(14)) AS bin), g AS (SELECT DISTINCT l_linestatus FROM lineitem),
          v AS (SELECT l_linestatus, least(floor(l_quantity), 14) - 1 AS bin FROM lineitem WHERE l_quantity BETWEEN 1 AND 15)
-    SELECT g.l_linestatus, CAST(b.bin AS INTEGER) AS bin, (b.bin + 1)::DOUBLE AS low, (b.bin + 2)::DOUBLE AS high,
-           count(v.bin) AS n, round(count(v.bin) / sum(count(v.bin)) OVER (PARTITION BY g.l_linestatus), 8) AS density
-    FROM g CROSS JOIN b LEFT JOIN v ON v.bin = b.bin AND v.l_linestatus = g.l_linestatus GROUP BY ALL
+    SELECT l_linestatus, CAST(bin AS INTEGER) AS bin, (bin + 1)::DOUBLE AS low, (bin + 2)::DOUBLE AS high,
+           n, round(n / sum(n) OVER (PARTITION BY l_linestatus), 8) AS density
+    FROM (SELECT g.l_linestatus, b.bin, count(v.bin) AS n FROM g CROSS JOIN b
+          LEFT JOIN v ON v.bin = b.bin AND v.l_linestatus = g.l_linestatus GROUP BY 1, 2)
     """,
 )
 def histogram_with_edges_by_group(t):

@@ -11,7 +11,7 @@ from chartmill.operators import duplicates as D
 from chartmill.operators import missing as M
 from chartmill.operators import rows as R
 from chartmill.operators.models import BoostConfig, score, train_gbt
-from chartmill.operators.profile import group_rate_count
+from chartmill.operators.profiling import group_rate_count
 from chartmill.sources import tables as S
 
 CATALOG: dict[str, Query] = {}

@@ -16,10 +16,10 @@ from pyspark.sql import types as T
 
 from chartmill.functions import band, col_of
 from chartmill.operators.encode import log1p, standardise
-from chartmill.operators.lookup import attach, few_as_map
+from chartmill.operators.lookup import attach, few_as_map, literal_table
 from chartmill.operators.missing import fill_median, fill_zero
 from chartmill.operators.neighbours import BLOCK_ROWS, cluster_distances
-from chartmill.operators.profile import argmax_row, crosstab, group_profile, group_sizes, rank_groups
+from chartmill.operators.profiling import argmax_row, crosstab, group_profile, group_sizes, rank_groups
 from chartmill.operators.sampling import sample_rows
 
 MIN_K, MAX_K = 2, 8
@@ -106,7 +106,7 @@ def k_scan(
             found.append((int(k), float(model.summary.trainingCost), score))
     finally:
         rows.unpersist()
-    table = df.sparkSession.createDataFrame(found, "k int, inertia double, silhouette double")
+    table = literal_table(df.sparkSession, found, "k int, inertia double, silhouette double")
     best = argmax_row(table, "silhouette", "k").select("k").scalar()
     return table.withColumn("best", (F.col("k") == best).cast("int"))
 
@@ -184,7 +184,7 @@ def silhouette_squared(df: DataFrame, vec_col: str, cluster_col: str) -> DataFra
         _vector(df, vec_col).alias("features"), col_of(cluster_col).cast("double").alias("prediction")
     )
     value = ClusteringEvaluator(metricName="silhouette", distanceMeasure="squaredEuclidean").evaluate(rows)
-    return df.sparkSession.createDataFrame([(value,)], "silhouette_squared double")
+    return literal_table(df.sparkSession, [(value,)], "silhouette_squared double")
 
 
 def davies_bouldin(df: DataFrame, vec_col: str, cluster_col: str) -> DataFrame:
@@ -231,7 +231,7 @@ def pca_project(df: DataFrame, n: int = 2, features: str = "features", name: str
 def project_centroids(kmeans: KMeansModel, pca: PCAModel, df: DataFrame) -> DataFrame:
     """(cluster, pc1, pc2, ...): the cluster centres under the same projection."""
     centres = [(i, [float(x) for x in c]) for i, c in enumerate(kmeans.clusterCenters())]
-    table = df.sparkSession.createDataFrame(centres, "cluster int, centre array<double>")
+    table = literal_table(df.sparkSession, centres, "cluster int, centre array<double>")
     table = table.withColumn(pca.getInputCol(), array_to_vector("centre"))
     projected = pca.transform(table).withColumn("_pc", vector_to_array("pca"))
     return projected.select("cluster", *[F.col("_pc")[i].alias(f"pc{i + 1}") for i in range(pca.getK())])

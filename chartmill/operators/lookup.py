@@ -2,11 +2,34 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import re
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chartmill.functions import col_of
 
+
+def literal_table(spark: SparkSession, rows: Sequence[Sequence], schema: str) -> DataFrame:
+    """A small result table from values the driver already holds, without a Python worker."""
+    fields = [part.strip().split(" ", 1) for part in _split_fields(schema)]
+    entries = [
+        F.struct(*[_literal(v).cast(kind).alias(name) for v, (name, kind) in zip(row, fields)]) for row in rows
+    ]
+    return spark.range(1).select(F.explode(F.array(*entries)).alias("e")).select("e.*")
+
+
+def _split_fields(schema: str) -> list[str]:
+    return re.split(r",\s*(?![^<>]*>)", schema)
+
+
+def _literal(v) -> Column:
+    if isinstance(v, dict):
+        return F.create_map(*[F.lit(x) for pair in v.items() for x in pair])
+    return F.lit(list(v)) if isinstance(v, (list, tuple)) else F.lit(v)
+
+
 #: Most groups that are carried to the rows as one map.
 FEW = 10_000
 

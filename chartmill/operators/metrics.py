@@ -6,6 +6,8 @@ scores runs on that table, in slices (see :mod:`chartmill.operators.ordered`).
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -115,8 +117,9 @@ def binary_metrics(
     pred: str | None = None,
     weight: str | None = None,
     cut: float = 0.5,
+    by: Sequence[str] = (),
 ) -> DataFrame:
-    """All hold-out metrics of a scored table in one row.
+    """All hold-out metrics of a scored table in one row, or one row per group of ``by``.
 
     ``score`` is P(1). Without ``pred`` a row is predicted positive from ``cut`` up. ``mean_score``
     is the mean P(1), ``mean_confidence`` the mean probability of the likelier class.
@@ -128,9 +131,10 @@ def binary_metrics(
     def mass(condition: Column) -> Column:
         return F.sum(F.when(condition, w).otherwise(zero))
 
+    keys = [col_of(c) for c in by]
     counts = (
         df.where(y.isNotNull() & s.isNotNull())
-        .groupBy(s.alias("score"))
+        .groupBy(*keys, s.alias("score"))
         .agg(
             mass(y == 1).alias("pos"),
             mass(y != 1).alias("neg"),
@@ -140,8 +144,8 @@ def binary_metrics(
     )
     auc, ap = _area_terms()
     n = F.col("pos") + F.col("neg")
-    ranked = running_totals(counts, "score", ["pos", "neg"], descending=True)
-    sums = ranked.agg(
+    ranked = running_totals(counts, "score", ["pos", "neg"], by, descending=True)
+    sums = ranked.groupBy(*keys).agg(
         *[F.coalesce(F.sum(c), zero).alias(c) for c in ("pos", "neg", "tp", "fp")],
         F.sum(auc).alias("_auc"),
         F.sum(ap).alias("_ap"),
@@ -152,6 +156,7 @@ def binary_metrics(
         "*", (F.col("pos") - F.col("tp")).alias("fn"), (F.col("neg") - F.col("fp")).alias("tn"), n.alias("n")
     )
     return with_class_report(counted).select(
+        *keys,
         "n",
         "tn",
         "fp",

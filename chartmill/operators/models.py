@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
@@ -32,6 +33,7 @@ from pyspark.sql import functions as F
 
 from chartmill.functions import col_of, label_case
 from chartmill.operators.encode import moments
+from chartmill.operators.lookup import literal_table
 from chartmill.operators.metrics import baseline_metrics, binary_metrics
 from chartmill.operators.sampling import balanced_weights, bootstrap, kfold_assign, stratified_split
 
@@ -266,6 +268,16 @@ def _fold_rows(df: DataFrame, label: str, k: int, key: str, seed: int) -> DataFr
     return kfold_assign(df, label, k, key, seed, name="_fold").persist(StorageLevel.MEMORY_AND_DISK)
 
 
+def _held_out(rows: DataFrame, fit: Callable[[DataFrame], PipelineModel], label: str, k: int) -> DataFrame:
+    """(_fold, label, p1, _pred): each row scored by the model that was trained without its fold."""
+    parts = []
+    for fold in range(k):
+        model = fit(rows.where(F.col("_fold") != fold))
+        scored = score(model, rows.where(F.col("_fold") == fold), pred="_pred")
+        parts.append(scored.select("_fold", col_of(label), "p1", "_pred"))
+    return reduce(DataFrame.unionByName, parts)
+
+
 def cross_validate(
     df: DataFrame,
     fit: Callable[[DataFrame], PipelineModel],
@@ -277,20 +289,16 @@ def cross_validate(
     """(fold, accuracy, roc_auc) of ``fit`` trained on the other folds, one row per fold."""
     rows = _fold_rows(df, label, k, key, seed)
     try:
-        found = []
-        for fold in range(k):
-            model = fit(rows.where(F.col("_fold") != fold))
-            held_out = score(model, rows.where(F.col("_fold") == fold), pred="_pred")
-            got = binary_metrics(held_out, label, "p1", "_pred").select("accuracy", "roc_auc").first()
-            found.append((fold, float(got["accuracy"]), got["roc_auc"]))
+        got = binary_metrics(_held_out(rows, fit, label, k), label, "p1", "_pred", by=["_fold"])
+        found = [tuple(r) for r in got.select("_fold", "accuracy", "roc_auc").collect()]
     finally:
         rows.unpersist()
-    return df.sparkSession.createDataFrame(found, "fold int, accuracy double, roc_auc double")
+    return literal_table(df.sparkSession, sorted(found), "fold int, accuracy double, roc_auc double")
 
 
-def cv_summary(folds: DataFrame) -> DataFrame:
+def cv_summary(folds: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Mean and population deviation over the folds."""
-    return folds.agg(
+    return folds.groupBy(*[col_of(c) for c in by]).agg(
         F.count("*").alias("folds"),
         *[
             fn(c).alias(f"cv_{c}_{name}")
@@ -305,7 +313,7 @@ def feature_importance(model: PipelineModel, df: DataFrame, features: Sequence[s
     values = model.stages[-1].featureImportances.toArray()
     table = [(f, float(v)) for f, v in zip(features, values)]
     return (
-        df.sparkSession.createDataFrame(table, "feature string, importance double")
+        literal_table(df.sparkSession, table, "feature string, importance double")
         .orderBy(F.desc("importance"), "feature")
         .limit(top)
     )
@@ -327,18 +335,11 @@ def compare_models(
     ``improvement`` is the gain in ``by`` over the best model of the baseline family.
     """
     zoo = model_zoo() if zoo is None else zoo
-    rows = df.select(*[col_of(c) for c in dict.fromkeys([*features, label, key])])
-    rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        found = []
-        for c in zoo:
-            folds = cross_validate(rows, lambda t, c=c: fit_candidate(t, features, label, c), label, key, k, seed)
-            got = cv_summary(folds).first()
-            found.append((c.name, c.family, *[got[m] for m in _CV]))
-    finally:
-        rows.unpersist()
-    table = df.sparkSession.createDataFrame(
-        found, "model string, family string, " + ", ".join(f"{m} double" for m in _CV)
+    fits = {c.name: lambda part, c=c: fit_candidate(part, features, label, c) for c in zoo}
+    family = {c.name: c.family for c in zoo}
+    found = [(name, family[name], *values) for name, *values in _cv_of(df, features, fits, label, key, k, seed)]
+    table = literal_table(
+        df.sparkSession, found, "model string, family string, " + ", ".join(f"{m} double" for m in _CV)
     )
     top = table.agg(F.min_by("model", F.struct(-col_of(by), F.col("model")))).scalar()
     base = table.where(F.col("family") == baseline_family).agg(F.max(by)).scalar()
@@ -347,6 +348,27 @@ def compare_models(
     ).orderBy(F.desc(by), "model")
 
 
+def _cv_of(
+    df: DataFrame,
+    features: Sequence[str],
+    fits: Mapping[str, Callable[[DataFrame], PipelineModel]],
+    label: str,
+    key: str,
+    k: int,
+    seed: int,
+) -> list[tuple]:
+    """(name, metrics...) of several ways to fit, on the same folds and from one metrics job."""
+    rows = df.select(*[col_of(c) for c in dict.fromkeys([*features, label, key])])
+    rows = _fold_rows(rows, label, k, key, seed)
+    try:
+        parts = [_held_out(rows, fit, label, k).withColumn("_name", F.lit(name)) for name, fit in fits.items()]
+        scored = reduce(DataFrame.unionByName, parts)
+        per_fold = binary_metrics(scored, label, "p1", "_pred", by=["_name", "_fold"])
+        return [tuple(r) for r in cv_summary(per_fold, ["_name"]).select("_name", *_CV).collect()]
+    finally:
+        rows.unpersist()
+
+
 _CV = ("cv_accuracy_mean", "cv_accuracy_std", "cv_roc_auc_mean", "cv_roc_auc_std")
 
 
@@ -375,21 +397,18 @@ def grid_search(
     scale: bool = False,
 ) -> DataFrame:
     """Cross-validated metrics for each setting of a grid, the best one flagged."""
-    rows = df.select(*[col_of(c) for c in dict.fromkeys([*features, label, key])])
-    rows = rows.withColumn(label, col_of(label).cast("double")).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        found = []
-        for setting in grid:
-            tuned = estimator.copy(dict(setting))
-            tuned.setParams(labelCol=label)
-            folds = cross_validate(rows, lambda t: fit_pipeline(t, features, tuned, label, scale), label, key, k, seed)
-            got = cv_summary(folds).first()
-            text = {p.name: str(v) for p, v in setting.items()}
-            found.append((text, *[got[m] for m in _CV]))
-    finally:
-        rows.unpersist()
-    table = df.sparkSession.createDataFrame(
-        found, "params map<string,string>, " + ", ".join(f"{m} double" for m in _CV)
+    rows = df.withColumn(label, col_of(label).cast("double"))
+
+    def fit_with(setting):
+        tuned = estimator.copy(dict(setting))
+        tuned.setParams(labelCol=label)
+        return lambda part: fit_pipeline(part, features, tuned, label, scale)
+
+    fits = {str(i): fit_with(setting) for i, setting in enumerate(grid)}
+    texts = [{p.name: str(v) for p, v in setting.items()} for setting in grid]
+    found = [(texts[int(i)], *values) for i, *values in _cv_of(rows, features, fits, label, key, k, seed)]
+    table = literal_table(
+        df.sparkSession, found, "params map<string,string>, " + ", ".join(f"{m} double" for m in _CV)
     )
     top = table.agg(F.max("cv_roc_auc_mean")).scalar()
     return table.withColumn("best", (F.col("cv_roc_auc_mean") == top).cast("int")).orderBy(F.desc("cv_roc_auc_mean"))
@@ -466,20 +485,26 @@ def approach_comparison(
             "resample_augmented": train.unionByName(bootstrap(train, extra_rows, key, seed)),
         }
         forest = Candidate("forest", lambda n: RandomForestClassifier(numTrees=trees, maxDepth=depth, seed=seed))
-        found = []
+        scored = []
         for name, data in parts.items():
             model = fit_candidate(data, features, label, forest)
-            got = [
-                float(binary_metrics(score(model, part, pred="_pred"), label, "p1", "_pred").first()["accuracy"])
-                for part in (data, val, test)
-            ]
-            found.append((name, *got, got[0] - got[2]))
+            for part, on in ((data, "train"), (val, "val"), (test, "test")):
+                hits = score(model, part, pred="_pred").select(col_of(label), "p1", "_pred")
+                scored.append(hits.withColumns({"_approach": F.lit(name), "_on": F.lit(on)}))
+        measured = binary_metrics(
+            reduce(DataFrame.unionByName, scored), label, "p1", "_pred", by=["_approach", "_on"]
+        )
+        got = {(r["_approach"], r["_on"]): r["accuracy"] for r in measured.collect()}
+        found = []
+        for name in parts:
+            values = [got[name, on] for on in ("train", "val", "test")]
+            found.append((name, *values, values[0] - values[2]))
         for b in baseline_metrics(train, test, label).collect():
             found.append((b["approach"], None, None, float(b["test_accuracy"]), None))
     finally:
         rows.unpersist()
-    return df.sparkSession.createDataFrame(
-        found, "approach string, train_accuracy double, val_accuracy double, test_accuracy double, gap double"
+    return literal_table(
+        df.sparkSession, found, "approach string, train_accuracy double, val_accuracy double, test_accuracy double, gap double"
     )
 
 

@@ -32,13 +32,24 @@ def _edges(rows: DataFrame, order: Sequence[str], slices: int) -> Column:
 def _add_slice(rows: DataFrame, order: Sequence[str], slices: int) -> DataFrame:
     """Add ``_slice``, the number of edges <= the row's key, by a binary search in generated code."""
     key = F.struct(*[col_of(c) for c in order])
-    rows = rows.withColumns({"_edges": _edges(rows, order, slices), "_key": key, "_slice": F.lit(0)})
-    step = slices // 2
+    rows = rows.withColumns({"_edges": _edges(rows, order, slices), "_key": key})
+    at, steps, step = F.lit(0), [], slices // 2
     while step:
-        beyond = F.get("_edges", F.col("_slice") + (step - 1)) <= F.col("_key")
-        rows = rows.withColumn("_slice", F.col("_slice") + F.when(beyond, step).otherwise(0))
-        step //= 2
-    return rows.drop("_edges", "_key")
+        beyond = F.get("_edges", at + (step - 1)) <= F.col("_key")
+        steps.append((at + F.when(beyond, step).otherwise(0)).alias(f"_at{step}"))
+        at, step = F.col(f"_at{step}"), step // 2
+    kept = [c for c in rows.columns if c not in ("_edges", "_key")]
+    return rows.select("*", *steps).select(*[col_of(c) for c in kept], at.alias("_slice"))
+
+
+def _shared(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows under a condition that always holds and reads every other column.
+
+    The three uses of the rows below need different columns. Without this each would be planned as
+    an aggregation of its own; with it all read one exchange.
+    """
+    others = [col_of(c).cast("double") for c in rows.columns if c not in keys]
+    return rows.where(F.greatest(F.lit(0.0), *others) >= 0.0)
 
 
 def _same(left: DataFrame, right: DataFrame, cols: Sequence[str]) -> Column:
@@ -58,12 +69,12 @@ def running_totals(
 ) -> DataFrame:
     """Add ``cum_<m>`` (running sum in value order, inclusive) and ``all_<m>`` (group total).
 
-    ``rows`` holds one row per (groups, value). ``only`` limits the output to the slices that meet a
+    ``rows`` holds one row per (groups, value), and numbers beside these. ``only`` limits the output to the slices that meet a
     condition on ``before_<m>``, ``slice_<m>`` and ``all_<m>``, which are known before any sort.
     """
     if slices & (slices - 1):
         raise ValueError("slices must be a power of two")
-    rows = _add_slice(rows, [*groups, value], slices)
+    rows = _add_slice(_shared(rows, [*groups, value]), [*groups, value], slices)
     at = [*groups, "_slice"]
 
     by_slice = F.desc("_slice") if descending else F.asc("_slice")

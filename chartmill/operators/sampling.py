@@ -1,7 +1,7 @@
 """Splits, folds, samples and class weights.
 
 Choices follow a hash of the row key and a seed: the same rows come out on every run and after a
-lost executor, and no row has to move.
+lost executor, and no row has to move. Splitting a part of an earlier split again needs another seed.
 """
 
 from __future__ import annotations
@@ -18,15 +18,20 @@ from chartmill.operators.ordered import rank_cut, running_totals, split_points
 _GRAIN = 1 << 30
 
 
-def hash_unit(key: str | Sequence[str], seed: int) -> Column:
-    """Uniform number in [0, 1) told by key and seed."""
+def _hash(key: str | Sequence[str], seed: int, use: str) -> Column:
+    """Hash of the key. ``use`` keeps a fold, say, independent of the split its rows came from."""
     keys = [key] if isinstance(key, str) else list(key)
-    return F.pmod(F.xxhash64(*[col_of(k) for k in keys], F.lit(seed)), F.lit(_GRAIN)) / F.lit(float(_GRAIN))
+    return F.xxhash64(*[col_of(k) for k in keys], F.lit(seed), F.lit(use))
 
 
-def _label_rank(df: DataFrame, label: str, key: str, seed: int) -> DataFrame:
+def hash_unit(key: str | Sequence[str], seed: int, use: str) -> Column:
+    """Uniform number in [0, 1) told by key, seed and use."""
+    return F.pmod(_hash(key, seed, use), F.lit(_GRAIN)) / F.lit(float(_GRAIN))
+
+
+def _label_rank(df: DataFrame, label: str, key: str, seed: int, use: str) -> DataFrame:
     """Add ``_rank`` (1-based, hash order within the label) and ``_of`` (rows of the label)."""
-    rows = df.withColumn("_hash", F.xxhash64(col_of(key), F.lit(seed)))
+    rows = df.withColumn("_hash", _hash(key, seed, use))
     counts = rows.groupBy(col_of(label), "_hash").agg(F.count("*").alias("n"))
     ranked = running_totals(counts, "_hash", ["n"], [label]).select(
         col_of(label).alias("_label"), F.col("_hash").alias("_at"), F.col("cum_n").alias("_rank"), F.col("all_n").alias("_of")
@@ -51,12 +56,12 @@ def stratified_split(
     """
     points = split_points(shares)
     if not exact:
-        unit = hash_unit(key, seed)
+        unit = hash_unit(key, seed, "split")
         part = F.lit(len(points) - 1)
         for i in reversed(range(len(points) - 1)):
             part = F.when(unit < points[i], F.lit(i)).otherwise(part)
         return df.withColumn(name, part)
-    ranked = _label_rank(df, label, key, seed)
+    ranked = _label_rank(df, label, key, seed, "split")
     part = F.lit(len(points) - 1)
     for i in reversed(range(len(points) - 1)):
         part = F.when(F.col("_rank") <= rank_cut(points[i], F.col("_of")), F.lit(i)).otherwise(part)
@@ -74,8 +79,8 @@ def kfold_assign(
 ) -> DataFrame:
     """Add an int fold number 0..k-1; with ``exact`` the folds of a label differ by one row at most."""
     if not exact:
-        return df.withColumn(name, F.floor(hash_unit(key, seed) * k).cast("int"))
-    ranked = _label_rank(df, label, key, seed)
+        return df.withColumn(name, F.floor(hash_unit(key, seed, "fold") * k).cast("int"))
+    ranked = _label_rank(df, label, key, seed, "fold")
     return ranked.withColumn(name, F.pmod(F.col("_rank") - 1, F.lit(k)).cast("int")).drop("_rank", "_of")
 
 
@@ -83,7 +88,7 @@ def sample_rows(df: DataFrame, n: int, key: str | Sequence[str], seed: int = 42)
     """Exactly n rows without replacement (all, if there are fewer)."""
     keys = [key] if isinstance(key, str) else list(key)
     cols = [col_of(k) for k in keys]
-    return df.orderBy(F.xxhash64(*cols, F.lit(seed)), *cols).limit(n)
+    return df.orderBy(_hash(keys, seed, "sample"), *cols).limit(n)
 
 
 def bootstrap(df: DataFrame, n: int, key: str, seed: int = 42, cap: int = 3) -> DataFrame:
@@ -93,7 +98,7 @@ def bootstrap(df: DataFrame, n: int, key: str, seed: int = 42, cap: int = 3) ->
     """
     rows = df.agg(F.count("*").cast("double").alias("n")).scalar()
     rate = F.col("_rate")
-    unit = hash_unit(key, seed) + F.lit(0.5 / _GRAIN)
+    unit = hash_unit(key, seed, "bootstrap") + F.lit(0.5 / _GRAIN)
     # Copies = how many steps of the Poisson distribution function lie below the row's number.
     steps = F.sequence(F.lit(0), F.lit(10 + 8 * cap))
     found = F.aggregate(
