@@ -1,6 +1,6 @@
 """Registered queries: the operators, run on the given tables, with SQL that must agree."""
 
-# from chartmill.catalog import clusters, encoding, learning, profiling, rows, workloads
+from chartmill.catalog import clusters, encoding, learning, profiling, rows, workloads
 from chartmill.catalog.base import Query
 
 

@@ -62,11 +62,13 @@ def moments(df: DataFrame, cols: Sequence[str], ddof: int = 0) -> Column:
 
 def standardise(df: DataFrame, cols: Sequence[str], ddof: int = 0, suffix: str = "") -> DataFrame:
     """z-scores. ``ddof=0`` is the population scale of a scaler, 1 the sample scale; no spread -> 0."""
-    at = moments(df, cols, ddof)
+    at = F.col("_moments")
     scaled = {c: (col_of(c) - at[f"m{i}"]) / at[f"s{i}"] for i, c in enumerate(cols)}
+    # The subquery stands once in the plan; the projection above it reads its fields.
+    rows = df.withColumn("_moments", moments(df, cols, ddof))
     if suffix:
-        return df.select("*", *[v.alias(f"{c}{suffix}") for c, v in scaled.items()])
-    return _replace(df, scaled)
+        return rows.select(*[col_of(c) for c in df.columns], *[v.alias(f"{c}{suffix}") for c, v in scaled.items()])
+    return rows.select(*[scaled[c].alias(c) if c in scaled else col_of(c) for c in df.columns])
 
 
 def interaction_names(cols: Sequence[str]) -> list[str]:

@@ -118,10 +118,9 @@ def modes(df: DataFrame, cols: Sequence[str]) -> DataFrame:
         rows.append(best.agg(*[F.max(F.when(F.col("column") == c, F.col("value"))).alias(c) for c in same]))
     if len(rows) == 1:
         return rows[0]
-    found = [r.select(F.struct("*").alias("v")).scalar() for r in rows]
-    home = {c: i for i, same in enumerate(by_type.values()) for c in same}
-    spark = df.sparkSession
-    return spark.range(1).select(*[found[home[c]][c].alias(c) for c in cols])
+    found = {f"_m{i}": r.select(F.struct("*").alias("v")).scalar() for i, r in enumerate(rows)}
+    home = {c: f"_m{i}" for i, same in enumerate(by_type.values()) for c in same}
+    return df.sparkSession.range(1).withColumns(found).select(*[F.col(home[c])[c].alias(c) for c in cols])
 
 
 def impute(df: DataFrame, plan: Mapping[str, object], accuracy: int | None = None) -> DataFrame:
@@ -147,7 +146,9 @@ def impute(df: DataFrame, plan: Mapping[str, object], accuracy: int | None = Non
         sources["median"] = percentile_row(df, chosen["median"], 0.5, accuracy)
     if "mode" in chosen:
         sources["mode"] = modes(df, chosen["mode"])
-    found = {kind: s.select(F.struct("*").alias("v")).scalar() for kind, s in sources.items()}
+    # Each subquery stands once in the plan; the projection above it reads its fields.
+    rows = df.withColumns({f"_{kind}": s.select(F.struct("*").alias("v")).scalar() for kind, s in sources.items()})
+    found = {kind: F.col(f"_{kind}") for kind in sources}
 
     out = []
     for c in df.columns:
@@ -162,7 +163,7 @@ def impute(df: DataFrame, plan: Mapping[str, object], accuracy: int | None = Non
         else:
             value = col_of(c).cast("double")
             out.append(F.coalesce(F.nanvl(value, F.lit(None)), found[kind][c]).alias(c))
-    return df.select(*out)
+    return rows.select(*out)
 
 
 def fill_mean(df: DataFrame, cols: Sequence[str]) -> DataFrame:

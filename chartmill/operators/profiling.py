@@ -214,6 +214,8 @@ def histogram(
             )
             .scalar()
         )
+        rows, found = rows.withColumn("_span", span), span
+        span = F.col("_span")
         width = (span["hi"] - span["lo"]) / n_bins
 
         def edge(i: Column) -> Column:
@@ -246,7 +248,9 @@ def histogram(
     per_group = counts.groupBy(*keys).agg(
         F.map_from_entries(F.collect_list(F.struct("bin", "n"))).alias("_found"), F.sum("n").alias("_total")
     )
-    grid = per_group.select(*keys, "_found", "_total", F.explode(F.sequence(F.lit(0), F.lit(n_bins - 1))).alias("bin"))
+    if isinstance(bins, int):
+        per_group = per_group.withColumn("_span", found)
+    grid = per_group.withColumn("bin", F.explode(F.sequence(F.lit(0), F.lit(n_bins - 1))))
     n = F.coalesce(F.try_element_at("_found", F.col("bin")), F.lit(0))
     low, high = edge(F.col("bin")), edge(F.col("bin") + 1)
     out = [*([F.col("_by").alias(by)] if by else []), "bin", low.alias("low"), high.alias("high"), n.alias("n")]
@@ -337,12 +341,13 @@ def group_profile(df: DataFrame, key: str, features: Sequence[str]) -> DataFrame
         .select(F.struct("*").alias("v"))
         .scalar()
     )
-    entries = []
+    entries, at = [], F.col("_overall")
     for i, f in enumerate(features):
-        spread = F.when(overall[f"s{i}"] == 0, 1.0).otherwise(overall[f"s{i}"])
-        z = (F.col(f"_m{i}") - overall[f"m{i}"]) / spread
+        spread = F.when(at[f"s{i}"] == 0, 1.0).otherwise(at[f"s{i}"])
+        z = (F.col(f"_m{i}") - at[f"m{i}"]) / spread
         entries.append(F.struct(F.lit(f).alias("feature"), F.col(f"_m{i}").alias("mean"), z.alias("z")))
-    return parts.select(col_of(key), F.explode(F.array(*entries)).alias("e")).select(col_of(key), "e.*")
+    rows = parts.withColumn("_overall", overall)
+    return rows.select(col_of(key), F.explode(F.array(*entries)).alias("e")).select(col_of(key), "e.*")
 
 
 def group_sizes(df: DataFrame, key: str, target: str) -> DataFrame:

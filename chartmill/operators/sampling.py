@@ -127,5 +127,6 @@ def balanced_weights(df: DataFrame, label: str, name: str = "weight", few: bool
     """Add ``rows / (labels * rows of the label)``; ``few`` as in :func:`~.lookup.attach`."""
     counts = df.where(col_of(label).isNotNull()).groupBy(col_of(label)).agg(F.count("*").alias("_n"))
     whole = counts.agg(F.struct(F.sum("_n").cast("double").alias("n"), F.count("*").alias("k")).alias("v")).scalar()
-    weights = counts.withColumn("_w", whole["n"] / (whole["k"] * F.col("_n")))
+    at = F.col("_all")
+    weights = counts.withColumn("_all", whole).withColumn("_w", at["n"] / (at["k"] * F.col("_n")))
     return attach(df, label, weights, label, "_w", name, few)

@@ -29,6 +29,7 @@ from chartmill.functions import (
     threshold,
     to_number,
 )
+from chartmill.functions.codes import ICD9_RANGES
 from chartmill.operators.duplicates import first_per_key
 from chartmill.operators.missing import fill_constant
 from chartmill.operators.rows import drop_columns, exclude_values
@@ -339,6 +340,11 @@ def prepare_scoring(df: DataFrame, rules: EncounterRules = EncounterRules()) ->
 
     Gender is matched in any case, and an age of unknown form counts as the default age.
     """
+    if "diag_1_category" in df.columns:
+        # A request may name the disease category instead of a code.
+        codes = {name: str(low) for name, low, *_ in ICD9_RANGES}
+        named = recode("diag_1_category", codes, SCORING_DEFAULTS["diag_1"])
+        df = df.withColumn("diag_1", named).drop("diag_1_category")
     absent = {c: v for c, v in SCORING_DEFAULTS.items() if c not in df.columns}
     texts = [c for c in ("A1Cresult", "max_glu_serum", *MEDICATIONS) if c not in df.columns]
     full = df.select(
