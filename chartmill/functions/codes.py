@@ -8,6 +8,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from chartmill.functions.flags import col_of
+from chartmill.functions.text import strip
 
 #: ``default=KEEP`` leaves unmapped values as they are.
 KEEP = object()
@@ -59,15 +60,20 @@ def midpoint_band(c: str | Column, width: int = 10, low: int = 0, high: int = 10
 
 def icd9_category(c: str | Column) -> Column:
     """Disease category of an ICD-9 code; anything that is no plain number is ``Other``."""
-    code = F.regexp_replace(col_of(c), r"^\s+|\s+$", "")
+    code = strip(c)
     number = F.when(code.rlike(_NUMBER), code.try_cast("double"))
-    out = F.lit("Other")
-    for name, low, high, symptom in reversed(ICD9_RANGES):
-        hit = (number >= low) & (number < high)
-        if symptom is not None:
-            hit = hit | (number == symptom)
-        out = F.when(hit, F.lit(name)).otherwise(out)
-    return out
+
+    def category(v: Column) -> Column:
+        out = F.lit("Other")
+        for name, low, high, symptom in reversed(ICD9_RANGES):
+            hit = (v >= low) & (v < high)
+            if symptom is not None:
+                hit = hit | (v == symptom)
+            out = F.when(hit, F.lit(name)).otherwise(out)
+        return out
+
+    # Bound once: spelled out in every comparison, the number would be parsed again for each.
+    return F.get(F.transform(F.array(number), category), F.lit(0))
 
 
 def position_code(c: str | Column, levels: Sequence, default: int | None = None) -> Column:

@@ -12,21 +12,19 @@ from pyspark.sql import functions as F
 from chartmill.functions.flags import col_of
 
 
+# A decimal number or infinity. SQL casts also take type letters and hexadecimal, which are no numbers here.
+_NUMERIC_TEXT = r"^\s*[+-]?([0-9.][0-9.eE+-]*|(?i:inf|infinity))\s*$"
+
+
 def to_number(c: str | Column, kind: str = "double", default=None) -> Column:
     """Numeric value of a text; text that is no number, and text ``NaN``, becomes null or ``default``."""
-    value = strip_number(col_of(c)).try_cast("double")
-    value = F.when(~F.isnan(value), value)
+    text = col_of(c).cast("string")
+    value = F.when(text.rlike(_NUMERIC_TEXT), text).try_cast("double")
     if kind != "double":
         value = value.try_cast(kind)
     return value if default is None else F.coalesce(value, F.lit(default).cast(kind))
 
 
-def strip_number(c: Column) -> Column:
-    """Text to cast; the trailing type letters that a SQL cast accepts are no part of a number."""
-    text = c.cast("string")
-    return F.when(~text.rlike(r"[dDfF]\s*$") | text.rlike(r"(?i)inf\s*$"), text)
-
-
 def row_sum(cols: Sequence[str | Column]) -> Column:
     """Sum across columns; one null makes the sum null."""
     return reduce(operator.add, [col_of(c) for c in cols])

@@ -10,9 +10,15 @@ from pyspark.sql import functions as F
 from chartmill.functions.flags import col_of
 
 
+# What the reference's strip takes for whitespace.
+WHITESPACE = "".join(
+    [" \t\n\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\xa0\u1680", *map(chr, range(0x2000, 0x200B)), "\u2028\u2029\u202f\u205f\u3000"]
+)
+
+
 def strip(c: str | Column) -> Column:
-    """Remove all surrounding whitespace; SQL trim would leave tabs and line ends."""
-    return F.regexp_replace(col_of(c), r"^\s+|\s+$", "")
+    """Remove all surrounding whitespace; plain trim would leave tabs and line ends."""
+    return F.trim(col_of(c), F.lit(WHITESPACE))
 
 
 def canonical(

@@ -27,11 +27,10 @@ from chartmill.functions import (
     recode,
     row_sum,
     threshold,
-    to_number,
 )
 from chartmill.functions.codes import ICD9_RANGES
 from chartmill.operators.duplicates import first_per_key
-from chartmill.operators.missing import fill_constant
+from chartmill.operators.missing import fill_constant, number_of
 from chartmill.operators.rows import drop_columns, exclude_values
 
 # The medication columns of the raw table.
@@ -234,7 +233,7 @@ def _clean_inputs(df: DataFrame) -> DataFrame:
     return filled.withColumns(
         {
             "gender": recode("gender", {"Unknown/Invalid": "Female"}, KEEP),
-            "discharge_disposition_id": to_number("discharge_disposition_id", "int", 1),
+            "discharge_disposition_id": number_of(filled, "discharge_disposition_id", "int", 1),
         }
     )
 
