@@ -59,7 +59,8 @@ def read_table_csv(
     text = reader.csv(path)
     out = []
     for f in schema.fields if schema is not None else text.schema.fields:
-        cell = col_of(f.name)
+        # The reader gives null for an empty cell, whatever the options say.
+        cell = col_of(f.name) if "" in tokens else F.coalesce(col_of(f.name), F.lit(""))
         if tokens:
             cell = F.when(~cell.isin(*tokens), cell)
         if isinstance(f.dataType, T.NumericType):
