@@ -52,10 +52,9 @@ def _shared(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
     return rows.where(F.greatest(F.lit(0.0), *others) >= 0.0)
 
 
-def _same(left: DataFrame, right: DataFrame, cols: Sequence[str]) -> Column:
-    return reduce(
-        lambda a, b: a & b, [left[f"`{c}`"].eqNullSafe(right[f"`_r_{c}`"]) for c in cols]
-    )
+def _same(left: DataFrame, right: DataFrame, groups: Sequence[str]) -> Column:
+    on = left["_slice"] == right["_r__slice"]
+    return reduce(lambda a, c: a & left[f"`{c}`"].eqNullSafe(right[f"`_r_{c}`"]), groups, on)
 
 
 def running_totals(
@@ -66,11 +65,13 @@ def running_totals(
     descending: bool = False,
     slices: int = 1024,
     only: Column | None = None,
+    few_groups: bool | None = None,
 ) -> DataFrame:
     """Add ``cum_<m>`` (running sum in value order, inclusive) and ``all_<m>`` (group total).
 
     ``rows`` holds one row per (groups, value), and numbers beside these. ``only`` limits the output to the slices that meet a
     condition on ``before_<m>``, ``slice_<m>`` and ``all_<m>``, which are known before any sort.
+    Without groups, or with ``few_groups``, the slice totals are few rows and travel to the values.
     """
     if slices & (slices - 1):
         raise ValueError("slices must be a power of two")
@@ -89,6 +90,8 @@ def running_totals(
     )
     if only is not None:
         offsets = offsets.where(only)
+    if not groups if few_groups is None else few_groups:
+        offsets = F.broadcast(offsets)  # at most slices + groups rows
 
     by_value = col_of(value).desc() if descending else col_of(value).asc()
     inside = (
@@ -96,7 +99,7 @@ def running_totals(
         .orderBy(by_value)
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    return rows.join(offsets, _same(rows, offsets, at)).select(
+    return rows.join(offsets, _same(rows, offsets, groups)).select(
         *[col_of(c) for c in rows.columns if c != "_slice"],
         *[(F.sum(col_of(m)).over(inside) + col_of(f"before_{m}")).alias(f"cum_{m}") for m in measures],
         *[col_of(f"all_{m}") for m in measures],
@@ -135,7 +138,7 @@ def percentiles(
     ends = [(F.floor(place), F.ceil(place)) for place in places]
     start, stop = F.col("before_n"), F.col("before_n") + F.col("slice_n")
     wanted = reduce(lambda a, b: a | b, [(start <= r) & (r < stop) for lo_hi in ends for r in lo_hi])
-    ranked = running_totals(counts, "value", ["n"], groups, only=wanted)
+    ranked = running_totals(counts, "value", ["n"], groups, only=wanted, few_groups=not by)
     picks = []
     for place, lo_hi, name in zip(places, ends, names):
         for end, rank in zip(("lo", "hi"), lo_hi):

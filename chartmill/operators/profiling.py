@@ -280,6 +280,8 @@ def box_stats(
         *[col_of(c).alias(f"_r_{c}") for c in at], "n", "p25", "p50", "p75"
     )
     on = [values[f"`{c}`"].eqNullSafe(limits[f"`_r_{c}`"]) for c in at]
+    if not by:
+        limits = F.broadcast(limits)  # one row per column
     reach = (F.col("p75") - F.col("p25")) * 1.5
     inside = (F.col("value") >= F.col("p25") - reach) & (F.col("value") <= F.col("p75") + reach)
     return (
