@@ -266,22 +266,14 @@ def _matrices(t: Tables):
     f"""WITH {_MATRICES},
     k AS (SELECT *, coalesce(tn / nullif(tn + fn, 0), 0) AS p0, coalesce(tn / nullif(tn + fp, 0), 0) AS r0,
                  coalesce(tp / nullif(tp + fp, 0), 0) AS p1, coalesce(tp / nullif(tp + fn, 0), 0) AS r1 FROM m),
-    f AS (SELECT *, round_even(coalesce(2 * p0 * r0 / nullif(p0 + r0, 0), 0), 4) AS f0,
-                 round_even(coalesce(2 * p1 * r1 / nullif(p1 + r1, 0), 0), 4) AS f1 FROM k)
-    SELECT l_suppkey, tn, fp, fn, tp, round(f0 + f1, 3) AS f1_twice_macro, f1 AS f1_minority FROM f""",
+    f AS (SELECT *, coalesce(2 * p0 * r0 / nullif(p0 + r0, 0), 0) AS f0,
+                 coalesce(2 * p1 * r1 / nullif(p1 + r1, 0), 0) AS f1 FROM k)
+    SELECT l_suppkey, tn, fp, fn, tp, round((f0 + f1) / 2, 12) AS f1_macro, round(f1, 12) AS f1_minority FROM f""",
 )
 def f1_of_matrices(t):
-    got = L.f1_from_confusion(_matrices(t))
-    # The mean of two 4-digit numbers often ends in a 5: compare it at a safe distance from rounding.
-    twice = F.round(F.col("f1_macro") * 2 + F.lit(1e-9), 3)
-    exact = L.with_class_report(_matrices(t)).select("l_suppkey", F.bround("f1_0", 4).alias("a"), F.bround("f1_1", 4).alias("b"))
-    joined = got.join(exact, "l_suppkey")
-    near = F.abs(F.col("f1_macro") * 2 - (F.col("a") + F.col("b"))) < 1.01e-4
-    return joined.select(
-        "l_suppkey", "tn", "fp", "fn", "tp",
-        F.when(near, F.round(F.col("a") + F.col("b"), 3)).otherwise(twice + 9).alias("f1_twice_macro"),
-        "f1_minority",
-    )
+    # All digits: a mean of two rounded numbers would end in a 5 too often to compare.
+    got = L.f1_from_confusion(_matrices(t), digits=15)
+    return got.withColumns({c: F.round(c, 12) for c in ("f1_macro", "f1_minority")})
 
 
 @register(

@@ -199,13 +199,14 @@ def _clinical_columns(string: str) -> list[str]:
 
 def raw_clinical(t: Tables):
     """Customers as patients; every fourth one is listed twice."""
-    rows = t.customer.selectExpr(*_clinical_columns("STRING"))
-    return rows.unionByName(rows.where("CAST(Patient_ID AS BIGINT) % 4 = 1"))
+    times = F.when(F.col("c_custkey") % 4 == 1, 2).otherwise(1)
+    listed = t.customer.withColumn("_time", F.explode(F.sequence(F.lit(1), times)))
+    return listed.selectExpr(*_clinical_columns("STRING"))
 
 
 _CLINICAL = f"""
     WITH raw AS (SELECT {", ".join(_clinical_columns("VARCHAR"))} FROM customer),
-    twice AS (SELECT * FROM raw UNION ALL SELECT * FROM raw WHERE CAST(Patient_ID AS BIGINT) % 4 = 1)
+    twice AS (SELECT raw.* FROM raw, LATERAL (SELECT unnest(range(CASE WHEN CAST(Patient_ID AS BIGINT) % 4 = 1 THEN 2 ELSE 1 END))))
 """
 _CLEAN = """,
     n AS (SELECT * REPLACE (upper(CASE WHEN Gender IN ('nan', '') THEN NULL ELSE Gender END) AS Gender,
