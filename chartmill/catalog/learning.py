@@ -268,12 +268,12 @@ def _matrices(t: Tables):
                  coalesce(tp / nullif(tp + fp, 0), 0) AS p1, coalesce(tp / nullif(tp + fn, 0), 0) AS r1 FROM m),
     f AS (SELECT *, coalesce(2 * p0 * r0 / nullif(p0 + r0, 0), 0) AS f0,
                  coalesce(2 * p1 * r1 / nullif(p1 + r1, 0), 0) AS f1 FROM k)
-    SELECT l_suppkey, tn, fp, fn, tp, round((f0 + f1) / 2, 12) AS f1_macro, round(f1, 12) AS f1_minority FROM f""",
+    SELECT l_suppkey, tn, fp, fn, tp, round((f0 + f1) / 2, 10) AS f1_macro, round(f1, 10) AS f1_minority FROM f""",
 )
 def f1_of_matrices(t):
     # All digits: a mean of two rounded numbers would end in a 5 too often to compare.
     got = L.f1_from_confusion(_matrices(t), digits=15)
-    return got.withColumns({c: F.round(c, 12) for c in ("f1_macro", "f1_minority")})
+    return got.withColumns({c: F.round(c, 10) for c in ("f1_macro", "f1_minority")})
 
 
 @register(
