@@ -151,25 +151,30 @@ def silhouette(
 ) -> DataFrame:
     """Mean Euclidean silhouette of a repeatable sample of rows, or with ``sample=None`` of all rows.
 
-    The work grows with the square of the rows used; :func:`silhouette_squared` grows with the rows.
+    Computed at once, on rows that are held meanwhile. The work grows with the square of the rows
+    used; :func:`silhouette_squared` grows with the rows. ``key`` must be unique.
     """
     rows = df.where(col_of(cluster_col).isNotNull())
     if sample is not None:
         rows = sample_rows(rows, sample, key, seed)
     rows = rows.select(
         col_of(key).alias("id"), _array(rows, vec_col).alias("vec"), col_of(cluster_col).alias("own")
-    )
-    totals = cluster_distances(rows, "id", "vec", "own", block_rows)
-    sizes = rows.groupBy("own").agg(F.count("*").alias("n"))
-    near = attach(totals, "cluster", sizes, "own", "n", "n", few).join(rows.select("id", "own"), "id")
-    mine = F.col("cluster") == F.col("own")
-    per_row = near.groupBy("id").agg(
-        F.max(F.when(mine, F.try_divide(F.col("total"), F.col("n") - 1))).alias("a"),
-        F.min(F.when(~mine, F.col("total") / F.col("n"))).alias("b"),
-    )
-    # A row alone in its cluster counts 0.
-    score = F.coalesce(F.try_divide(F.col("b") - F.col("a"), F.greatest("a", "b")), F.lit(0.0))
-    return per_row.agg(F.avg(F.when(F.col("a").isNull(), 0.0).otherwise(score)).alias("silhouette"))
+    ).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        totals = cluster_distances(rows, "id", "vec", "own", block_rows)
+        sizes = rows.groupBy("own").agg(F.count("*").alias("n"))
+        near = attach(totals, "cluster", sizes, "own", "n", "n", few).join(rows.select("id", "own"), "id")
+        mine = F.col("cluster") == F.col("own")
+        per_row = near.groupBy("id").agg(
+            F.max(F.when(mine, F.try_divide(F.col("total"), F.col("n") - 1))).alias("a"),
+            F.min(F.when(~mine, F.col("total") / F.col("n"))).alias("b"),
+        )
+        score = F.coalesce(F.try_divide(F.col("b") - F.col("a"), F.greatest("a", "b")), F.lit(0.0))
+        # A row alone in its cluster counts 0.
+        value = per_row.agg(F.avg(F.when(F.col("a").isNull(), 0.0).otherwise(score))).first()[0]
+    finally:
+        rows.unpersist()
+    return literal_table(df.sparkSession, [(value,)], "silhouette double")
 
 
 def _array(df: DataFrame, name: str) -> Column:

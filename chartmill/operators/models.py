@@ -35,6 +35,7 @@ from chartmill.functions import col_of, label_case
 from chartmill.operators.encode import moments
 from chartmill.operators.lookup import literal_table
 from chartmill.operators.metrics import baseline_metrics, binary_metrics
+from chartmill.operators.neighbours import label_shares, nearest, vote
 from chartmill.operators.sampling import balanced_weights, bootstrap, kfold_assign, stratified_split
 
 
@@ -278,6 +279,32 @@ def _held_out(rows: DataFrame, fit: Callable[[DataFrame], PipelineModel], label:
     return reduce(DataFrame.unionByName, parts)
 
 
+def _held_out_votes(
+    rows: DataFrame, features: Sequence[str], label: str, key: str, folds: int, ks: Sequence[int]
+) -> DataFrame:
+    """The same for distance-weighted votes of the k nearest standardised training rows, for each k."""
+    parts = []
+    for fold in range(folds):
+        train, held = rows.where(F.col("_fold") != fold), rows.where(F.col("_fold") == fold)
+        scaler = StandardScaler(inputCol="features", outputCol="scaled", withMean=True, withStd=True)
+        scale = Pipeline(stages=[_assembler(features), scaler]).fit(train)
+        near = nearest(scale.transform(held), scale.transform(train), max(ks), key, "scaled", label)
+        parts.append(near)
+    near = reduce(DataFrame.unionByName, parts)
+    truth = rows.select("_fold", col_of(label), col_of(key).alias("_id"))
+    votes = []
+    for k in ks:
+        shares = label_shares(near.where(F.col("rank") <= k)).where(F.col("label") == 1)
+        scored = truth.join(shares, truth["_id"] == shares["id"], "left").fillna(0.0, subset=["share"])
+        hit = (F.col("share") > 0.5).cast("int")
+        votes.append(
+            scored.select("_fold", col_of(label), F.col("share").alias("p1"), hit.alias("_pred")).withColumn(
+                "_name", F.lit(f"KNN (k={k})")
+            )
+        )
+    return reduce(DataFrame.unionByName, votes)
+
+
 def cross_validate(
     df: DataFrame,
     fit: Callable[[DataFrame], PipelineModel],
@@ -329,15 +356,19 @@ def compare_models(
     k: int = 5,
     seed: int = 42,
     baseline_family: str = "original",
+    neighbours: Sequence[int] = (),
 ) -> DataFrame:
     """Cross-validated metrics of all candidates, the best one flagged.
 
-    ``improvement`` is the gain in ``by`` over the best model of the baseline family.
+    ``improvement`` is the gain in ``by`` over the best model of the baseline family. ``neighbours``
+    adds votes of so many nearest rows (3, 5, 7 in the reference); these compare all pairs of rows,
+    so they are for small tables, and ``key`` must be unique.
     """
     zoo = model_zoo() if zoo is None else zoo
     fits = {c.name: lambda part, c=c: fit_candidate(part, features, label, c) for c in zoo}
     family = {c.name: c.family for c in zoo}
-    found = [(name, family[name], *values) for name, *values in _cv_of(df, features, fits, label, key, k, seed)]
+    measured = _cv_of(df, features, fits, label, key, k, seed, neighbours)
+    found = [(name, family.get(name, "small_data"), *values) for name, *values in measured]
     table = literal_table(
         df.sparkSession, found, "model string, family string, " + ", ".join(f"{m} double" for m in _CV)
     )
@@ -356,12 +387,15 @@ def _cv_of(
     key: str,
     k: int,
     seed: int,
+    neighbours: Sequence[int] = (),
 ) -> list[tuple]:
     """(name, metrics...) of several ways to fit, on the same folds and from one metrics job."""
     rows = df.select(*[col_of(c) for c in dict.fromkeys([*features, label, key])])
     rows = _fold_rows(rows, label, k, key, seed)
     try:
         parts = [_held_out(rows, fit, label, k).withColumn("_name", F.lit(name)) for name, fit in fits.items()]
+        if neighbours:
+            parts.append(_held_out_votes(rows, features, label, key, k, neighbours))
         scored = reduce(DataFrame.unionByName, parts)
         per_fold = binary_metrics(scored, label, "p1", "_pred", by=["_name", "_fold"])
         return [tuple(r) for r in cv_summary(per_fold, ["_name"]).select("_name", *_CV).collect()]
@@ -426,8 +460,6 @@ def knn_grid(
     seed: int = 42,
 ) -> DataFrame:
     """Cross-validated accuracy of neighbour votes for each k, weighting and metric, best first."""
-    from chartmill.operators.neighbours import nearest, vote
-
     rows = kfold_assign(df, label, folds, id_col, seed, name="_fold")
     results = []
     for metric in metrics:

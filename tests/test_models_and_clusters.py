@@ -87,6 +87,35 @@ def test_ridge_is_the_closed_form(spark):
     assert np.mean(np.array(got) == expected) > 0.97
 
 
+def test_comparison_with_neighbours(spark):
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(90, 2))
+    rows = [(i, float(a), float(b) * 50, int(a + b > 0)) for i, (a, b) in enumerate(x)]
+    df = spark.createDataFrame(rows, "id bigint, a double, b double, y int")
+    zoo = [c for c in Z.model_zoo() if c.name in ("Ridge Logistic (C=0.1)", "Naive Bayes - Original")]
+    got = {r["model"]: r for r in Z.compare_models(df, ["a", "b"], "y", "id", zoo, k=3, neighbours=(3, 5)).collect()}
+    assert set(got) == {"Ridge Logistic (C=0.1)", "Naive Bayes - Original", "KNN (k=3)", "KNN (k=5)"}
+    assert sum(r["best"] for r in got.values()) == 1
+    assert all(r["cv_accuracy_mean"] > 0.85 and 0.85 < r["cv_roc_auc_mean"] <= 1 for r in got.values())
+    assert got["Naive Bayes - Original"]["improvement"] == 0.0
+
+
+def test_training_report(spark):
+    from chartmill.plans.readmission import train
+
+    rng = np.random.default_rng(9)
+    x = rng.normal(size=(400, 2))
+    rows = [(i, float(a), float(b), int(a + 0.3 * c > 0.8)) for i, ((a, b), c) in enumerate(zip(x, rng.normal(size=400)))]
+    df = spark.createDataFrame(rows, "id bigint, a double, b double, y int")
+    report = train(df, ["a", "b"], "y", "id", Z.BoostConfig(trees=4, step=0.3, depth=2, min_leaf=5), folds=2)
+    test = report.test.first()
+    assert test["roc_auc"] > 0.8 and test["n"] == test["tn"] + test["fp"] + test["fn"] + test["tp"]
+    assert report.importance.first()["feature"] == "a"
+    summary = report.cross_validation.first()
+    assert summary["folds"] == 2 and 0 <= summary["cv_roc_auc_std"] < 0.2
+    assert set(report.gap.first().asDict()) == {"train_accuracy", "test_accuracy", "gap", "warning", "gap_band"}
+
+
 def test_zoo_builds_every_model():
     names = [c.name for c in Z.model_zoo()]
     assert len(names) == len(set(names)) == 13
