@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from chartmill.operators import metrics as L
 from chartmill.sources.tables import read_table_csv
 
+# The saved scores whose metrics are known.
 GOLDEN = str(Path(__file__).parent / "data" / "golden_scores.csv")
 
 
