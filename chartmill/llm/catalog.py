@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chartmill.llm import quality_rules
+from chartmill.llm import quality_rules, simhash_dedup
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -58,3 +58,8 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
   NOT base_failed AND NOT {REJECTED_SQL} AS kept
 FROM b
 """
+
+
+@_query
+def op1_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return simhash_dedup.near_duplicates(_table(spark, folder, "documents"))
