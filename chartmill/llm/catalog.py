@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chartmill.llm import quality_rules, simhash_dedup
+from chartmill.llm import quality_rules, simhash_dedup, token_streams
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -63,3 +64,9 @@ FROM b
 @_query
 def op1_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return simhash_dedup.near_duplicates(_table(spark, folder, "documents"))
+
+
+@_query
+def op7_bpe_round_trip(spark: SparkSession, folder: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    return token_streams.round_trip_digests(_table(spark, folder, "documents"), path)
