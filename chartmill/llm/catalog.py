@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chartmill.llm import quality_rules, simhash_dedup, token_streams
+from chartmill.llm import line_dedup, quality_rules, simhash_dedup, token_streams
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -70,3 +70,31 @@ def op1_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
 def op7_bpe_round_trip(spark: SparkSession, folder: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.json")
     return token_streams.round_trip_digests(_table(spark, folder, "documents"), path)
+
+
+@_query
+def op3_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents").select("doc_id", "text")
+    return line_dedup.remove_repeated_lines(docs)
+
+
+#: Documents after line deduplication, as table expressions over a table named src; the last is deduped.
+LINE_DEDUP_SQL = r"""
+sl AS (SELECT doc_id, string_split(text, chr(10)) AS lines FROM src),
+wi AS (SELECT doc_id, lines, unnest(generate_series(1, len(lines) - 2)) AS i FROM sl),
+wn AS (SELECT doc_id, i, lines[i] AS a, lines[i + 1] AS b, lines[i + 2] AS c FROM wi
+       WHERE regexp_matches(concat(lines[i], lines[i + 1], lines[i + 2]), '[^\x20\x09-\x0D]')),
+rp AS (SELECT doc_id, i FROM wn QUALIFY row_number() OVER (PARTITION BY a, b, c ORDER BY doc_id, i) > 1),
+cv AS (SELECT DISTINCT doc_id, i + k AS i FROM rp, (VALUES (0), (1), (2)) AS s(k)),
+al AS (SELECT doc_id, unnest(lines) AS line, generate_subscripts(lines, 1) AS i FROM sl),
+kp AS (SELECT doc_id, string_agg(line, chr(10) ORDER BY i) AS text, count(*) AS n FROM al ANTI JOIN cv USING (doc_id, i)
+       GROUP BY doc_id),
+deduped AS (SELECT src.* REPLACE (CASE WHEN src.text IS NULL THEN NULL ELSE coalesce(kp.text, '') END AS text),
+              coalesce(len(sl.lines), 0)::BIGINT AS n_lines,
+              (coalesce(len(sl.lines), 0) - coalesce(kp.n, 0))::BIGINT AS n_removed
+            FROM src JOIN sl USING (doc_id) LEFT JOIN kp USING (doc_id))
+"""
+SQL["op3_line_dedup"] = f"""
+WITH src AS (SELECT * FROM documents), {LINE_DEDUP_SQL}
+SELECT doc_id, text, n_lines, n_removed FROM deduped
+"""

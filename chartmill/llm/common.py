@@ -75,3 +75,28 @@ def free_name(taken: list[str], wish: str) -> str:
     while wish.lower() in low:
         wish = "_" + wish
     return wish
+
+
+def row_key(doc_id: str, text: str) -> list[Column]:
+    """128 bits that tell a row by its id and text; rows that agree in both are repeated rows. Never null."""
+    i, t = F.col(f"`{doc_id}`"), F.col(f"`{text}`")
+    return [F.xxhash64(i, t, i.isNull()).alias("k1"), F.xxhash64(t, F.lit(7), i, t.isNull()).alias("k2")]
+
+
+def numbered(df: DataFrame) -> DataFrame:
+    """The same columns under the names c0, c1, ..., so that added ones clash with none."""
+    return df.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(df.columns)])
+
+
+def named(df: DataFrame, names: list[str]) -> DataFrame:
+    """Back to the names before :func:`numbered`; further columns stay as they are."""
+    own = [F.col(f"c{i}").alias(c) for i, c in enumerate(names)]
+    return df.select(*own, *[c for c in df.columns if c not in {f"c{i}" for i in range(len(names))}])
+
+
+def dealt_again(c: Column) -> Column:
+    """The same number, as an expression that the engine does not take for the column it is partitioned by.
+
+    A join then shuffles this side too, which lets the adaptive engine split a hot key of the other.
+    """
+    return -(-c)
