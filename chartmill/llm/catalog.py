@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chartmill.llm import line_dedup, quality_rules, simhash_dedup, token_streams
+from chartmill.llm import line_dedup, quality_rules, simhash_dedup, source_mix, span_dedup, token_streams
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -98,3 +98,45 @@ SQL["op3_line_dedup"] = f"""
 WITH src AS (SELECT * FROM documents), {LINE_DEDUP_SQL}
 SELECT doc_id, text, n_lines, n_removed FROM deduped
 """
+
+
+@_query
+def op5_span_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents").select("doc_id", "text")
+    return span_dedup.remove_repeated_spans(docs)
+
+
+@_query
+def op6_source_mix(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents").select("doc_id", "text", "source")
+    return source_mix.mix(docs).select("doc_id", "size", "source_size", "target", "taken")
+
+
+#: The mix of a table named src, as table expressions; the last is mixed.
+MIX_SQL = rf"""
+dz AS (SELECT *, len({WORDS_SQL})::BIGINT AS size, md5('mix:' || doc_id::VARCHAR) AS h FROM src),
+so AS (SELECT source, sum(size)::BIGINT AS source_size,
+         [3, 1, 2][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1] AS weight FROM dz GROUP BY source),
+-- In the order in which sources reach their limit (of two epochs): those before the k-th are clamped.
+rk AS (SELECT *, 4 * source_size AS cap, row_number() OVER (ORDER BY 4 * source_size / weight, source NULLS LAST) AS k,
+         3 * sum(source_size) OVER () AS everything FROM so),
+cu AS (SELECT *, everything - (sum(cap) OVER (ORDER BY k) - cap) AS room,
+         sum(weight) OVER (ORDER BY k ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS weights FROM rk),
+fx AS (SELECT k AS first_free, room, weights FROM cu WHERE cap * weights >= weight * room ORDER BY k LIMIT 1),
+tg AS (SELECT rk.*, CASE WHEN first_free IS NULL OR k < first_free THEN source_size * 2.0::DOUBLE
+         ELSE weight::DOUBLE * room::DOUBLE / (weights * 2)::DOUBLE END AS target FROM rk LEFT JOIN fx ON true),
+ep AS (SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size)::BIGINT ELSE 0 END AS whole FROM tg),
+er AS (SELECT *, target - whole * source_size AS rest FROM ep),
+st AS (SELECT dz.source, h, rest, sum(size) OVER (PARTITION BY dz.source ORDER BY h) AS after FROM dz
+       JOIN er ON dz.source IS NOT DISTINCT FROM er.source WHERE rest > 0),
+nr AS (SELECT source, h, abs(after - rest) AS off FROM st UNION ALL SELECT DISTINCT source, '', rest FROM st),
+ct AS (SELECT source, min((off, h)) AS cut FROM nr GROUP BY source),
+mixed AS (SELECT dz.*, er.source_size, er.target,
+            er.whole + CASE WHEN dz.size > 0 AND dz.h <= ct.cut[2] THEN 1 ELSE 0 END AS copies
+          FROM dz JOIN er ON dz.source IS NOT DISTINCT FROM er.source
+          LEFT JOIN ct ON dz.source IS NOT DISTINCT FROM ct.source)
+"""
+SQL["op6_source_mix"] = f"""
+WITH src AS (SELECT * FROM documents), {MIX_SQL}
+SELECT doc_id, size, source_size, target, (size * copies)::BIGINT AS taken FROM mixed
+"""
