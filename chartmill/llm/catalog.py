@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chartmill.llm import line_dedup, quality_rules, simhash_dedup, source_mix, span_dedup, token_streams
+from chartmill.llm import line_dedup, quality_rules, simhash_dedup, source_mix, span_dedup, token_files, token_streams
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -140,3 +140,11 @@ SQL["op6_source_mix"] = f"""
 WITH src AS (SELECT * FROM documents), {MIX_SQL}
 SELECT doc_id, size, source_size, target, (size * copies)::BIGINT AS taken FROM mixed
 """
+
+
+@_query
+def op10_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    out = token_files.new_folder(spark)
+    path = public_tokenizers.path("word_bpe_49k.json")
+    token_files.write_token_files(_table(spark, folder, "documents"), out, path, end_id=2)
+    return token_files.read_token_files(spark, out, with_ids=False)

@@ -38,7 +38,7 @@ def packed(bpe: Bpe, items: list[str | np.ndarray]) -> bytes:
     return b"".join([memo[x] if isinstance(x, str) else x.astype(bpe.dtype).tobytes() for x in items])
 
 
-def _each(batch: pa.RecordBatch, at: int) -> Iterator[tuple[int, list[str]]]:
+def batches_of_texts(batch: pa.RecordBatch, at: int) -> Iterator[tuple[int, list[str]]]:
     """Row numbers and texts, in slices of bounded size."""
     column = batch.column(at)
     sizes = [len(x.as_buffer()) if x.is_valid else 0 for x in column]
@@ -60,7 +60,7 @@ def encode_documents(df: DataFrame, path: str, text: str = "text", tokens: str =
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = tokenizer(path)
         for batch in batches:
-            for start, texts in _each(batch, len(rest)):
+            for start, texts in batches_of_texts(batch, len(rest)):
                 ids = [np.frombuffer(packed(bpe, x), bpe.dtype) for x in encoded(bpe, texts)]
                 ends = np.cumsum([0, *map(len, ids)])
                 flat = pa.array(np.concatenate([np.zeros(0, bpe.dtype), *ids]).astype(np.int32))
@@ -127,7 +127,7 @@ def round_trip_digests(df: DataFrame, path: str, doc_id: str = "doc_id", text: s
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = tokenizer(path)
         for batch in batches:
-            for start, texts in _each(batch, 1):
+            for start, texts in batches_of_texts(batch, 1):
                 found = [digest(bpe, items) for items in encoded(bpe, texts)]
                 columns = [pa.array(x, k) for x, k in zip(zip(*found), (pa.int64(), pa.string(), pa.string()))]
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(start, len(texts)), *columns], names=schema.names)
