@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chartmill.llm import line_dedup, quality_rules, simhash_dedup, source_mix, span_dedup, token_files, token_streams
+from chartmill.llm import line_dedup, quality_rules, simhash_dedup, source_mix, span_dedup, token_files, token_streams, vector_tree
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -148,3 +148,8 @@ def op10_token_files(spark: SparkSession, folder: str) -> DataFrame:
     path = public_tokenizers.path("word_bpe_49k.json")
     token_files.write_token_files(_table(spark, folder, "documents"), out, path, end_id=2)
     return token_files.read_token_files(spark, out, with_ids=False)
+
+
+@_query
+def op9_vector_tree_search(spark: SparkSession, folder: str) -> DataFrame:
+    return vector_tree.nearest_by_tree(_table(spark, folder, "embeddings"), F.col("id") % 20 == 0)
