@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chartmill.llm import line_dedup, quality_rules, simhash_dedup, source_mix, span_dedup, token_files, token_streams, toxicity, vector_tree
+from chartmill.llm import cotraining, line_dedup, quality_rules, simhash_dedup, source_mix, span_dedup, token_files, token_streams, toxicity, vector_tree
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -158,3 +158,8 @@ def op9_vector_tree_search(spark: SparkSession, folder: str) -> DataFrame:
 @_query
 def op2_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.toxicity(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
+
+
+@_query
+def op8_quality_cotraining(spark: SparkSession, folder: str) -> DataFrame:
+    return cotraining.quality(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
