@@ -70,14 +70,16 @@ def encode_documents(df: DataFrame, path: str, text: str = "text", tokens: str =
     return df.select(*[F.col(f"`{c}`") for c in rest], F.col(f"`{text}`").alias("_text")).mapInArrow(run, schema)
 
 
-def decode_documents(df: DataFrame, path: str, tokens: str = "tokens", text: str = "text") -> DataFrame:
-    """All columns of ``df`` but ``tokens``, and the text of its ids; special ids give their text.
+def decode_documents(
+    df: DataFrame, path: str, tokens: str = "tokens", text: str = "text", keep_tokens: bool = False
+) -> DataFrame:
+    """All columns of ``df`` (``tokens`` only if they are to be kept), and the text of its ids; special ids give their text.
 
     Ids pass through a state machine that holds back bytes only while they are the start of a character; bytes that
     are none become U+FFFD. Null ids give an empty text. An existing column ``text`` is replaced.
     """
     ship(df.sparkSession)
-    rest = [c for c in df.columns if c not in (tokens, text)]
+    rest = [c for c in df.columns if c != text and (keep_tokens or c != tokens)]
     schema = T.StructType([*[df.schema[c] for c in rest], T.StructField(text, T.StringType())])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

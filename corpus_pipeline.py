@@ -1,10 +1,17 @@
-"""The corpus pipeline: operators of the subpackage for training text, one after the other."""
+"""The corpus pipeline: from raw documents to a deduplicated, mixed and tokenised corpus.
+
+Every stage takes and gives the columns of ``documents``; the last adds ``tokens``.
+"""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from chartmill.llm import line_dedup, quality_rules, simhash_dedup, source_mix, token_streams
 
-from chartmill.llm import quality_rules
+TOKENIZER = "byte_bpe_50k.json"
 
 
 def keep_good_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -12,8 +19,40 @@ def keep_good_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return quality_rules.cascade(docs).where("kept").select(docs.columns)
 
 
-STAGES = [("quality rules", keep_good_texts)]
+def remove_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the lines of repeated three-line windows; their length counts what is left."""
+    left = line_dedup.remove_repeated_lines(docs)
+    length = F.when(F.col("n_removed") > 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))
+    return left.withColumn("n_chars", length).select(docs.columns)
+
+
+def keep_one_of_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The first document of each group whose fingerprints are linked."""
+    return simhash_dedup.keep_one_per_group(docs)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document as often as the mix of sources takes it."""
+    return source_mix.repeated(source_mix.mix(docs)).select(docs.columns)
+
+
+def tokenise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The token ids of each text, and in the place of the text what the ids decode to (the same)."""
+    path = public_tokenizers.path(TOKENIZER)
+    tokens = token_streams.encode_documents(docs, path, carry=[c for c in docs.columns if c != "text"])
+    decoded = token_streams.decode_documents(tokens, path, keep_tokens=True)
+    return decoded.select(*docs.columns, "tokens")
+
+
+STAGES = [
+    ("quality rules", keep_good_texts),
+    ("line dedup", remove_repeated_lines),
+    ("SimHash near-dedup", keep_one_of_near_duplicates),
+    ("mixing sources to target weights", mix_sources),
+    ("BPE encoding and decoding", tokenise),
+]
 
+#: SQL expresses neither fingerprints nor byte-pair encoding; tests hold the rows against a brute-force version.
 ORACLE_SQL = None
 
 
