@@ -5,12 +5,13 @@ from __future__ import annotations
 import os
 import shutil
 import tempfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
 from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 import chartmill
 
@@ -57,8 +58,34 @@ def text_bytes(name: str) -> Column:
     return F.coalesce(F.col(f"`{name}`").cast("string").cast("binary"), F.lit(b""))
 
 
-def slices(batch: pa.RecordBatch, sizes: list[int], most: int = 1 << 22) -> Iterator[tuple[int, int]]:
-    """Row ranges of a batch whose sizes sum to about ``most``; a larger row stands alone."""
+def map_arrow(
+    df: DataFrame,
+    carry: list[str],
+    inputs: list[Column],
+    run: Callable[[Iterable[pa.RecordBatch]], Iterator[list[pa.Array]]],
+    added: dict[str, T.DataType],
+) -> DataFrame:
+    """Columns ``carry`` of ``df`` and new ones that ``run`` computes from Arrow batches of ``carry`` and then ``inputs``.
+
+    ``run`` gives the arrays of carried and added columns. Inside, columns have neutral names, so that names with
+    dots, or that clash with the added ones, do no harm. The driver's copy of this package reaches the workers.
+    """
+    ship(df.sparkSession)
+    own, new = [f"c{i}" for i in range(len(carry))], [f"a{i}" for i in range(len(added))]
+    kinds = [*[df.schema[c].dataType for c in carry], *added.values()]
+    schema = T.StructType([T.StructField(n, k) for n, k in zip([*own, *new], kinds)])
+
+    def batches_out(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for arrays in run(batches):
+            yield pa.RecordBatch.from_arrays(list(arrays), names=[*own, *new])
+
+    columns = [*[F.col(f"`{c}`").alias(n) for c, n in zip(carry, own)], *[x.alias(f"i{k}") for k, x in enumerate(inputs)]]
+    out = df.select(*columns).mapInArrow(batches_out, schema)
+    return out.select(*[F.col(n).alias(c) for n, c in zip([*own, *new], [*carry, *added])])
+
+
+def slices(sizes: list[int], most: int = 1 << 22) -> Iterator[tuple[int, int]]:
+    """Ranges of rows whose sizes sum to about ``most``; a larger row stands alone."""
     start = total = 0
     for i, n in enumerate(sizes):
         if total and total + n > most:
@@ -69,14 +96,6 @@ def slices(batch: pa.RecordBatch, sizes: list[int], most: int = 1 << 22) -> Iter
         yield start, len(sizes)
 
 
-def free_name(taken: list[str], wish: str) -> str:
-    """``wish``, with underscores before it while a column has that name (in any case)."""
-    low = {c.lower() for c in taken}
-    while wish.lower() in low:
-        wish = "_" + wish
-    return wish
-
-
 def row_key(doc_id: str, text: str) -> list[Column]:
     """128 bits that tell a row by its id and text; rows that agree in both are repeated rows. Never null."""
     i, t = F.col(f"`{doc_id}`"), F.col(f"`{text}`")

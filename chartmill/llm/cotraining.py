@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from chartmill.llm.common import ship
+from chartmill.llm.common import map_arrow, ship
 from chartmill.llm.logistic import MOST_LABELLED, class_weights, fit, held_out, labelled, sigmoid
 
 #: Most unlabelled documents in the pool (in expectation of a random sample).
@@ -243,17 +243,16 @@ def quality(
     Repeated rows are scored each; an empty table stays empty. Training as in :func:`train`.
     """
     model = train(docs, labels, doc_id=doc_id, text=text, source=source, lang=lang, n_chars=n_chars)
-    schema = T.StructType([docs.schema[doc_id], T.StructField("score", T.DoubleType())])
 
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[list[pa.Array]]:
         for batch in batches:
             if isinstance(model, float):
                 scores = np.full(len(batch), model)
             else:
                 views = _views_of(batch, 1)
                 scores = model.score([np.array(v) for v in views]) if len(batch) else np.zeros(0)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(scores, pa.float64())], names=schema.names)
+            yield [batch.column(0), pa.array(scores, pa.float64())]
 
-    scored = docs.select(F.col(f"`{doc_id}`"), *_inputs(docs, text, source, lang, n_chars)).mapInArrow(run, schema)
+    scored = map_arrow(docs, [doc_id], _inputs(docs, text, source, lang, n_chars), run, {"score": T.DoubleType()})
     good = F.col("score") >= 0.5
     return scored.select(F.col(f"`{doc_id}`"), held_out(doc_id).alias("held_out"), "score", good.cast("int").alias("predicted"), good.alias("kept"))

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from chartmill.llm.common import ship, text_bytes
+from chartmill.llm.common import map_arrow, ship, text_bytes
 
 SYMBOLS = re.compile(rb"[#*$%&|<>]")
 LETTERS = re.compile(r"[^\W\d_]")
@@ -183,18 +183,15 @@ def cascade(
     columns of the same name. A null text is an empty one; repeated rows and ties are judged one by one; an empty
     table stays empty. Texts are read whole. Work is one pass over the rows, after one over the sample.
     """
-    ship(df.sparkSession)
     plan = ordered(rules, estimate(df, rules, text, sample_rows))
     groups = dict(flags or {})
-    added = [*measures, *groups, kept]
-    rest = [c for c in (df.columns if carry is None else carry) if c not in added]
-    read = rest if text in rest else [*rest, text]
-    at = read.index(text)
-    types = {m: T.LongType() for m in measures} | {g: T.BooleanType() for g in [*groups, kept]}
+    kinds = {m: T.LongType() for m in measures} | {g: T.BooleanType() for g in [*groups, kept]}
+    rest = [c for c in (df.columns if carry is None else carry) if c not in kinds]
+    at = rest.index(text) if text in rest else len(rest)
 
-    def judge(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def judge(batches: Iterable[pa.RecordBatch]) -> Iterator[list[pa.Array]]:
         for batch in batches:
-            columns: dict[str, list] = {c: [] for c in added}
+            columns: dict[str, list] = {c: [] for c in kinds}
             for t in batch.column(at).cast(pa.binary()):
                 d = Document(t.as_py() or b"")
                 for m in measures:
@@ -202,13 +199,9 @@ def cascade(
                 for g, members in groups.items():
                     columns[g].append(any(r.rejects(d) for r in members))
                 columns[kept].append(not any(r.rejects(d) for r in plan))
-            yield pa.RecordBatch.from_arrays(
-                [
-                    *batch.columns[: len(rest)],
-                    *[pa.array(columns[c], pa.int64() if c in measures else pa.bool_()) for c in added],
-                ],
-                names=[*rest, *added],
-            )
-
-    out = T.StructType([*[df.schema[c] for c in rest], *[T.StructField(c, types[c]) for c in added]])
-    return df.select(*[F.col(f"`{c}`") for c in read]).mapInArrow(judge, out)
+            yield [
+                *batch.columns[: len(rest)],
+                *[pa.array(v, pa.int64() if c in measures else pa.bool_()) for c, v in columns.items()],
+            ]
+
+    return map_arrow(df, rest, [] if text in rest else [F.col(f"`{text}`")], judge, kinds)

@@ -30,8 +30,9 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from chartmill.llm.common import saved, ship, slices
+from chartmill.llm.common import map_arrow, numbered, row_key, saved, ship
 from chartmill.llm.components import components
 
 SHINGLE = 3
@@ -179,6 +180,9 @@ def anchors(half: np.ndarray, code: list[PerfectCode]) -> tuple[np.ndarray, np.n
 
 def forest(homes: np.ndarray, members: np.ndarray, most: int = THRESHOLD) -> list[tuple[int, int]]:
     """Links (home, member) at ``most`` differing bits that connect all that such links connect."""
+    # Of signed numbers, numpy counts the bits of the absolute value.
+    signed, targets = homes, members
+    homes, members = homes.view(np.uint64), members.view(np.uint64)
     label = {int(v): i for i, v in enumerate(np.unique(np.concatenate([homes, members])))}
     of_home = np.array([label[int(v)] for v in homes])
     of_member = np.array([label[int(v)] for v in members])
@@ -195,26 +199,21 @@ def forest(homes: np.ndarray, members: np.ndarray, most: int = THRESHOLD) -> lis
             if (there == mine).all():
                 continue
             roots, first = np.unique(there, return_index=True)
-            links += [(int(part[i]), int(members[j[k]])) for r, k in zip(roots, first) if r != mine]
+            links += [(int(signed[start + i]), int(targets[j[k]])) for r, k in zip(roots, first) if r != mine]
             labels[np.isin(labels, roots)] = mine
     return links
 
 
 def fingerprints(df: DataFrame, text: str = "text", carry: tuple[str, ...] = ("doc_id",), name: str = "fp") -> DataFrame:
     """Columns ``carry`` and the fingerprint of each row's whole text as a signed 64-bit number. Null text: zero."""
-    ship(df.sparkSession)
-    schema = ", ".join([*[f"`{c}` {df.schema[c].dataType.simpleString()}" for c in carry], f"`{name}` bigint"])
 
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[list[pa.Array]]:
         for batch in batches:
             texts = batch.column(len(carry)).cast(pa.binary())
             prints = np.array([fingerprint(t.as_py() or b"") for t in texts], np.uint64)
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns[: len(carry)], pa.array(prints.view(np.int64))], names=[*carry, name]
-            )
+            yield [*batch.columns[: len(carry)], pa.array(prints.view(np.int64))]
 
-    columns = [*[F.col(f"`{c}`") for c in carry], F.col(f"`{text}`").cast("string").alias("_text")]
-    return df.select(*columns).mapInArrow(run, schema)
+    return map_arrow(df, list(carry), [F.col(f"`{text}`").cast("string")], run, {name: T.LongType()})
 
 
 def links(prints: DataFrame, name: str = "fp") -> DataFrame:
@@ -320,15 +319,14 @@ def keep_one_per_group(df: DataFrame, doc_id: str = "doc_id", text: str = "text"
     text one stays. Texts with no word are one group. A text is moved once, to meet the decision on it.
     """
     names = df.columns
-    key = [F.xxhash64(f"`{doc_id}`", f"`{text}`"), F.xxhash64(f"`{text}`", F.lit(7), f"`{doc_id}`")]
-    keyed = df.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(names)], key[0].alias("k1"), key[1].alias("k2"))
     at_id, at_text = f"c{names.index(doc_id)}", f"c{names.index(text)}"
+    keyed = numbered(df).select("*", *row_key(at_id, at_text))
     prints = saved(fingerprints(keyed, at_text, (at_id, "k1", "k2")))
     first = F.min(F.struct(F.col(at_id).isNull().alias("n"), F.col(at_id).alias("i"), "k1", "k2"))
     each = prints.groupBy("fp").agg(first.alias("first"))
     grouped = each.join(_groups(prints).withColumnRenamed("fp", "node"), F.col("fp") == F.col("node"), "left")
     stay = (
-        grouped.groupBy(F.coalesce("root", "fp").alias("root"))
+        grouped.groupBy(F.coalesce("root", "fp").alias("of"))
         .agg(F.min("first").alias("first"))
         .select(F.col("first.k1").alias("k1"), F.col("first.k2").alias("k2"))
     )

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from chartmill.llm.bpe import Bpe, StreamDecoder, StreamEncoder, decimals
-from chartmill.llm.common import ship, slices
+from chartmill.llm.common import map_arrow, slices
 
 
 @lru_cache(maxsize=4)
@@ -42,7 +42,7 @@ def batches_of_texts(batch: pa.RecordBatch, at: int) -> Iterator[tuple[int, list
     """Row numbers and texts, in slices of bounded size."""
     column = batch.column(at)
     sizes = [len(x.as_buffer()) if x.is_valid else 0 for x in column]
-    for start, end in slices(batch, sizes):
+    for start, end in slices(sizes):
         yield start, [t or "" for t in column.slice(start, end - start).to_pylist()]
 
 
@@ -53,11 +53,9 @@ def encode_documents(df: DataFrame, path: str, text: str = "text", tokens: str =
     text in a document becomes its id, as there. A null text is empty: no ids. An existing column ``tokens`` is
     replaced. Repeated rows are encoded one by one; an empty table stays empty.
     """
-    ship(df.sparkSession)
     rest = [c for c in (df.columns if carry is None else carry) if c != tokens]
-    schema = T.StructType([*[df.schema[c] for c in rest], T.StructField(tokens, T.ArrayType(T.IntegerType(), False))])
 
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[list[pa.Array]]:
         bpe = tokenizer(path)
         for batch in batches:
             for start, texts in batches_of_texts(batch, len(rest)):
@@ -65,9 +63,9 @@ def encode_documents(df: DataFrame, path: str, text: str = "text", tokens: str =
                 ends = np.cumsum([0, *map(len, ids)])
                 flat = pa.array(np.concatenate([np.zeros(0, bpe.dtype), *ids]).astype(np.int32))
                 column = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), flat)
-                yield pa.RecordBatch.from_arrays([*batch.slice(start, len(texts)).columns[: len(rest)], column], names=[*rest, tokens])
+                yield [*batch.slice(start, len(texts)).columns[: len(rest)], column]
 
-    return df.select(*[F.col(f"`{c}`") for c in rest], F.col(f"`{text}`").alias("_text")).mapInArrow(run, schema)
+    return map_arrow(df, rest, [F.col(f"`{text}`").cast("string")], run, {tokens: T.ArrayType(T.IntegerType(), False)})
 
 
 def decode_documents(
@@ -78,11 +76,9 @@ def decode_documents(
     Ids pass through a state machine that holds back bytes only while they are the start of a character; bytes that
     are none become U+FFFD. Null ids give an empty text. An existing column ``text`` is replaced.
     """
-    ship(df.sparkSession)
     rest = [c for c in df.columns if c != text and (keep_tokens or c != tokens)]
-    schema = T.StructType([*[df.schema[c] for c in rest], T.StructField(text, T.StringType())])
 
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[list[pa.Array]]:
         bpe = tokenizer(path)
         for batch in batches:
             texts = []
@@ -91,9 +87,9 @@ def decode_documents(
                 decoder = StreamDecoder(bpe)
                 parts = [decoder.feed(values[i : i + 65536]) for i in range(0, len(values), 65536)]
                 texts.append("".join([*parts, decoder.finish()]))
-            yield pa.RecordBatch.from_arrays([*batch.columns[: len(rest)], pa.array(texts, pa.string())], names=[*rest, text])
+            yield [*batch.columns[: len(rest)], pa.array(texts, pa.string())]
 
-    return df.select(*[F.col(f"`{c}`") for c in rest], F.col(f"`{tokens}`").alias("_ids")).mapInArrow(run, schema)
+    return map_arrow(df, rest, [F.col(f"`{tokens}`").cast("array<int>")], run, {text: T.StringType()})
 
 
 def round_trip_digests(df: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -102,16 +98,6 @@ def round_trip_digests(df: DataFrame, path: str, doc_id: str = "doc_id", text: s
     One pass: a document's ids leave the encoder, enter the decoder and are forgotten. Nulls as in
     :func:`encode_documents`; other columns are not looked at.
     """
-    ship(df.sparkSession)
-    schema = T.StructType(
-        [
-            df.schema[doc_id],
-            T.StructField("n_tokens", T.LongType()),
-            T.StructField("ids_sha256", T.StringType()),
-            T.StructField("decoded_sha256", T.StringType()),
-        ]
-    )
-
     def digest(bpe: Bpe, items: list) -> tuple[int, str, str]:
         of_ids, of_text, decoder = hashlib.sha256(), hashlib.sha256(), StreamDecoder(bpe)
         n = 0
@@ -126,12 +112,13 @@ def round_trip_digests(df: DataFrame, path: str, doc_id: str = "doc_id", text: s
         of_text.update(decoder.finish().encode())
         return n, of_ids.hexdigest(), of_text.hexdigest()
 
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[list[pa.Array]]:
         bpe = tokenizer(path)
         for batch in batches:
             for start, texts in batches_of_texts(batch, 1):
                 found = [digest(bpe, items) for items in encoded(bpe, texts)]
                 columns = [pa.array(x, k) for x, k in zip(zip(*found), (pa.int64(), pa.string(), pa.string()))]
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(start, len(texts)), *columns], names=schema.names)
+                yield [batch.column(0).slice(start, len(texts)), *columns]
 
-    return df.select(F.col(f"`{doc_id}`"), F.col(f"`{text}`").alias("_text")).mapInArrow(run, schema)
+    added = {"n_tokens": T.LongType(), "ids_sha256": T.StringType(), "decoded_sha256": T.StringType()}
+    return map_arrow(df, [doc_id], [F.col(f"`{text}`").cast("string")], run, added)

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from chartmill.llm.common import ship
+from chartmill.llm.common import map_arrow, ship
 from chartmill.llm.logistic import MOST_LABELLED, Sparse, class_weights, fit, held_out, labelled, sigmoid
 
 #: Names of groups of people, by kind: swapped within a kind.
@@ -178,16 +178,14 @@ def train(
 def score_documents(df: DataFrame, model: Model, text: str = "text", carry: list[str] | None = None) -> DataFrame:
     """Columns ``carry`` (all, if not given) and ``score``, 0 to 1, of each whole text; null and empty texts have that of
     no words. An existing column ``score`` is replaced. Repeated rows are scored each; an empty table stays empty."""
-    ship(df.sparkSession)
     rest = [c for c in (df.columns if carry is None else carry) if c != "score"]
-    schema = T.StructType([*[df.schema[c] for c in rest], T.StructField("score", T.DoubleType())])
 
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[list[pa.Array]]:
         for batch in batches:
             scores = [model.score(t.as_py() or "") for t in batch.column(len(rest))]
-            yield pa.RecordBatch.from_arrays([*batch.columns[: len(rest)], pa.array(scores, pa.float64())], names=schema.names)
+            yield [*batch.columns[: len(rest)], pa.array(scores, pa.float64())]
 
-    return df.select(*[F.col(f"`{c}`") for c in rest], F.col(f"`{text}`").cast("string").alias("_text")).mapInArrow(run, schema)
+    return map_arrow(df, rest, [F.col(f"`{text}`").cast("string")], run, {"score": T.DoubleType()})
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
