@@ -14,16 +14,20 @@ from chartmill.llm import line_dedup, quality_rules, simhash_dedup, source_mix,
 TOKENIZER = "byte_bpe_50k.json"
 
 
+def _like(df: DataFrame, docs: DataFrame, *more: str) -> DataFrame:
+    return df.select(*[F.col(f"`{c}`") for c in [*docs.columns, *more]])
+
+
 def keep_good_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that no quality rule rejects."""
-    return quality_rules.cascade(docs).where("kept").select(docs.columns)
+    return _like(quality_rules.cascade(docs).where("kept"), docs)
 
 
 def remove_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the lines of repeated three-line windows; their length counts what is left."""
     left = line_dedup.remove_repeated_lines(docs)
     length = F.when(F.col("n_removed") > 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))
-    return left.withColumn("n_chars", length).select(docs.columns)
+    return _like(left.withColumn("n_chars", length), docs)
 
 
 def keep_one_of_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -33,7 +37,7 @@ def keep_one_of_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: st
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix of sources takes it."""
-    return source_mix.repeated(source_mix.mix(docs)).select(docs.columns)
+    return _like(source_mix.repeated(source_mix.mix(docs)), docs)
 
 
 def tokenise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -41,7 +45,7 @@ def tokenise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path(TOKENIZER)
     tokens = token_streams.encode_documents(docs, path, carry=[c for c in docs.columns if c != "text"])
     decoded = token_streams.decode_documents(tokens, path, keep_tokens=True)
-    return decoded.select(*docs.columns, "tokens")
+    return _like(decoded, docs, "tokens")
 
 
 STAGES = [
