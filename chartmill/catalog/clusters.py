@@ -62,7 +62,7 @@ def _planted(t: Tables):
     CATALOG, "SELECT CAST(vec_id % 3 AS INTEGER) AS \"group\", count(*) AS n, CAST(1 AS BIGINT) AS clusters FROM embeddings GROUP BY 1"
 )
 def planted_groups_found(t):
-    found = K.kmeans_assign(_planted(t), 3, seeds=range(3), max_iter=50)
+    found = K.kmeans_assign(_planted(t), 3)
     return found.groupBy("group").agg(F.count("*").alias("n"), F.count_distinct("cluster").alias("clusters"))
 
 
@@ -70,12 +70,27 @@ def planted_groups_found(t):
 def clusters_of_lines(t):
     rows = K.cluster_features(t.lineitem, ["l_quantity", "l_discount", "l_tax"])
     rows = rows.withColumn("y", flag(F.col("l_returnflag") == "R"))
-    return K.cluster_report(K.kmeans_assign(rows, 3, seeds=range(2), max_iter=20), "cluster", "y")
+    return K.cluster_report(K.kmeans_assign(rows, 3), "cluster", "y")
 
 
 @register(CATALOG)
 def elbow_scan(t):
-    return K.k_scan(_planted(t), "vec_id", ks=(2, 3, 4), sample=8000, seeds=range(2), max_iter=30)
+    return K.k_scan(_planted(t), "vec_id")
+
+
+@register(
+    CATALOG,
+    """
+    WITH e AS (SELECT vec_id % 3 AS g, i, x + CASE WHEN i % 3 = vec_id % 3 THEN 4.0 ELSE 0.0 END AS x
+               FROM (SELECT vec_id, unnest(embedding)::DOUBLE AS x, unnest(range(len(embedding))) AS i FROM embeddings)),
+    c AS (SELECT g, i, avg(x) AS m FROM e GROUP BY 1, 2)
+    SELECT CAST(3 AS INTEGER) AS k, round(sum((x - m) * (x - m)), 4) AS inertia, CAST(1 AS INTEGER) AS best
+    FROM e JOIN c USING (g, i)
+    """,
+)
+def elbow_at_planted_groups(t):
+    scan = K.k_scan(_planted(t), "vec_id", ks=(2, 3, 4), seeds=range(3), max_iter=50)
+    return scan.where("k = 3").select("k", F.round("inertia", 4).alias("inertia"), "best")
 
 
 @register(
@@ -102,7 +117,7 @@ def inertia_of_labels(t):
     """,
 )
 def silhouette_of_labels(t):
-    got = K.silhouette(t.embeddings, "vec_id", "embedding", "label", sample=None)
+    got = K.silhouette(t.embeddings, "vec_id", "embedding", "label")
     return got.withColumn("silhouette", F.round("silhouette", 8))
 
 

@@ -88,7 +88,7 @@ def sample_without_replacement(t):
 @register(CATALOG, "SELECT CAST(1 AS INTEGER) AS size_holds, CAST(1 AS INTEGER) AS some_repeat, CAST(0 AS BIGINT) AS strange")
 def sample_with_replacement(t):
     n = t.orders.agg(F.count("*").alias("n")).scalar()
-    drawn = T.bootstrap(t.orders, 10_000_000, "o_orderkey", cap=2)
+    drawn = T.bootstrap(t.orders, 2 * t.orders.count(), "o_orderkey")
     strange = drawn.join(t.orders, "o_orderkey", "left_anti").agg(F.count("*").alias("n")).scalar()
     counts = drawn.groupBy("o_orderkey").agg(F.count("*").alias("k"))
     size = F.sum("k")
@@ -114,7 +114,7 @@ def class_weights(t):
 
 @register(CATALOG, _WEIGHTS)
 def class_weights_of_many_labels(t):
-    got = T.balanced_weights(t.lineitem, "l_returnflag", few=False)
+    got = T.balanced_weights(t.lineitem, "l_returnflag", few=1)
     return got.select("l_orderkey", "l_linenumber", F.round("weight", 8).alias("weight"))
 
 

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark import StorageLevel
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
@@ -16,13 +18,14 @@ from pyspark.sql import types as T
 
 from chartmill.functions import band, col_of
 from chartmill.operators.encode import log1p, standardise
-from chartmill.operators.lookup import attach, few_as_map, literal_table
+from chartmill.operators.lookup import attach, literal_table
 from chartmill.operators.missing import fill_median, fill_zero
-from chartmill.operators.neighbours import BLOCK_ROWS, cluster_distances
+from chartmill.operators.neighbours import BLOCK_ROWS, block_pairs, cluster_distances
 from chartmill.operators.profiling import argmax_row, crosstab, group_profile, group_sizes, rank_groups
 from chartmill.operators.sampling import sample_rows
 
-MIN_K, MAX_K = 2, 8
+#: Most centroids that are broadcast: each is a vector.
+FEW_VECTORS = 1_000
 
 # Risk tiers as multiples of the overall rate.
 TIER_FACTOR = 1.5
@@ -46,14 +49,12 @@ def cluster_features(
     return VectorAssembler(inputCols=scaled, outputCol=vector).transform(out) if vector else out
 
 
-def clamp_k(k: int) -> int:
-    return max(MIN_K, min(MAX_K, k))
-
-
 def fit_kmeans(
     df: DataFrame, k: int, seeds: Sequence[int] = range(10), max_iter: int = 300, features: str = "features"
 ) -> KMeansModel:
-    """Best of several starts, by the lowest sum of squared distances. ``k`` is held to 2..8."""
+    """Best of several starts, by the lowest sum of squared distances."""
+    if k < 2:
+        raise ValueError(f"k is {k}: at least 2 groups")
     rows = df.select(col_of(features))
     fresh = not df.is_cached
     if fresh:
@@ -61,7 +62,7 @@ def fit_kmeans(
     try:
         best = None
         for seed in seeds:
-            model = KMeans(featuresCol=features, k=clamp_k(k), seed=seed, maxIter=max_iter).fit(rows)
+            model = KMeans(featuresCol=features, k=k, seed=seed, maxIter=max_iter).fit(rows)
             if best is None or model.summary.trainingCost < best.summary.trainingCost:
                 best = model
         return best
@@ -86,15 +87,20 @@ def kmeans_assign(
 def k_scan(
     df: DataFrame,
     key: str,
-    ks: Sequence[int] = range(MIN_K, MAX_K + 1),
-    sample: int | None = 8000,
-    silhouette_sample: int | None = 3000,
+    ks: Sequence[int] = range(2, 9),
+    sample: int | None = None,
+    silhouette_sample: int | None = None,
     seeds: Sequence[int] = range(5),
     max_iter: int = 100,
     features: str = "features",
     seed: int = 42,
 ) -> DataFrame:
-    """(k, inertia, silhouette, best): elbow and silhouette scan; the best k has the top silhouette."""
+    """(k, inertia, silhouette, best): elbow and silhouette scan; the best k has the top silhouette.
+
+    All rows are used, and the silhouette is the linear one of squared distances. ``sample`` scans that many rows instead;
+    ``silhouette_sample`` takes the Euclidean silhouette of that many. ``k`` is the number of centres found: fewer than
+    asked for where there are fewer different rows.
+    """
     rows = df if sample is None else sample_rows(df, sample, key, seed)
     rows = rows.select(col_of(key), col_of(features)).persist(StorageLevel.MEMORY_AND_DISK)
     try:
@@ -102,8 +108,11 @@ def k_scan(
         for k in ks:
             model = fit_kmeans(rows, k, seeds, max_iter, features)
             labelled = model.setPredictionCol("cluster").transform(rows)
-            score = silhouette(labelled, key, features, "cluster", silhouette_sample, seed).first()[0]
-            found.append((int(k), float(model.summary.trainingCost), score))
+            if silhouette_sample is None:
+                score = silhouette_squared(labelled, features, "cluster").first()[0]
+            else:
+                score = silhouette(labelled, key, features, "cluster", silhouette_sample, seed).first()[0]
+            found.append((len(model.clusterCenters()), float(model.summary.trainingCost), score))
     finally:
         rows.unpersist()
     table = literal_table(df.sparkSession, found, "k int, inertia double, silhouette double")
@@ -118,7 +127,7 @@ def _vector(df: DataFrame, name: str) -> Column:
     return array_to_vector(col_of(name)) if isinstance(df.schema[name].dataType, T.ArrayType) else col_of(name)
 
 
-def _with_own_centroid(df: DataFrame, vec_col: str, cluster_col: str, few: bool) -> DataFrame:
+def _with_own_centroid(df: DataFrame, vec_col: str, cluster_col: str, few: int) -> DataFrame:
     """(cluster, v, c): each row's vector beside the mean vector of its cluster."""
     rows = df.where(col_of(cluster_col).isNotNull()).select(
         col_of(cluster_col).alias("cluster"), _vector(df, vec_col).alias("_v")
@@ -133,7 +142,7 @@ def _square_distance(a: Column, b: Column) -> Column:
     return F.aggregate(F.zip_with(a, b, lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda s, x: s + x)
 
 
-def inertia(df: DataFrame, vec_col: str, cluster_col: str, few: bool = True) -> DataFrame:
+def inertia(df: DataFrame, vec_col: str, cluster_col: str, few: int = FEW_VECTORS) -> DataFrame:
     """Sum of squared distances of the rows to the mean of their own cluster."""
     placed = _with_own_centroid(df, vec_col, cluster_col, few)
     return placed.agg(F.sum(_square_distance(F.col("v"), F.col("c"))).alias("inertia"))
@@ -144,12 +153,11 @@ def silhouette(
     key: str,
     vec_col: str,
     cluster_col: str,
-    sample: int | None = 5000,
+    sample: int | None = None,
     seed: int = 42,
     block_rows: int = BLOCK_ROWS,
-    few: bool = True,
 ) -> DataFrame:
-    """Mean Euclidean silhouette of a repeatable sample of rows, or with ``sample=None`` of all rows.
+    """Mean Euclidean silhouette of all rows, or of a repeatable sample of ``sample`` rows.
 
     Computed at once, on rows that are held meanwhile. The work grows with the square of the rows
     used; :func:`silhouette_squared` grows with the rows. ``key`` must be unique.
@@ -163,7 +171,7 @@ def silhouette(
     try:
         totals = cluster_distances(rows, "id", "vec", "own", block_rows)
         sizes = rows.groupBy("own").agg(F.count("*").alias("n"))
-        near = attach(totals, "cluster", sizes, "own", "n", "n", few).join(rows.select("id", "own"), "id")
+        near = attach(totals, "cluster", sizes, "own", "n", "n").join(rows.select("id", "own"), "id")
         mine = F.col("cluster") == F.col("own")
         per_row = near.groupBy("id").agg(
             F.max(F.when(mine, F.try_divide(F.col("total"), F.col("n") - 1))).alias("a"),
@@ -192,25 +200,36 @@ def silhouette_squared(df: DataFrame, vec_col: str, cluster_col: str) -> DataFra
     return literal_table(df.sparkSession, [(value,)], "silhouette_squared double")
 
 
-def davies_bouldin(df: DataFrame, vec_col: str, cluster_col: str) -> DataFrame:
+def davies_bouldin(df: DataFrame, vec_col: str, cluster_col: str, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """Mean over clusters of the worst (scatter_i + scatter_j) / distance of the centroids.
 
-    Compares every cluster with every other, so it is meant for few clusters and says so otherwise.
+    Compares every cluster with every other, block against block, and hands on the worst of each block.
     """
-    placed = _with_own_centroid(df, vec_col, cluster_col, few=True)
+    placed = _with_own_centroid(df, vec_col, cluster_col, FEW_VECTORS)
     scatter = placed.groupBy("cluster").agg(
-        F.avg(F.sqrt(_square_distance(F.col("v"), F.col("c")))).alias("s"), F.first("c").alias("c")
-    )
-    others = few_as_map(scatter, "cluster", F.struct("s", "c"))
-    worst = F.array_max(
-        F.transform(
-            F.filter(F.map_entries("_all"), lambda o: o["key"] != F.col("cluster")),
-            lambda o: F.try_divide(
-                F.col("s") + o["value"]["s"], F.sqrt(_square_distance(F.col("c"), o["value"]["c"]))
-            ),
-        )
+        F.avg(F.sqrt(_square_distance(F.col("v"), F.col("c")))).alias("s"), F.first("c").alias("vec")
     )
-    return scatter.withColumn("_all", others).agg(F.avg(worst).alias("davies_bouldin"))
+    scatter = scatter.select(F.col("cluster").alias("id"), "vec", "s").persist(StorageLevel.MEMORY_AND_DISK)
+
+    def worst(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
+        mine, theirs = np.stack(a["vec"].to_numpy()), np.stack(b["vec"].to_numpy())
+        found = []
+        for i, v in enumerate(mine):
+            gap = np.sqrt(((theirs - v) ** 2).sum(axis=1))
+            with np.errstate(divide="ignore", invalid="ignore"):
+                ratio = np.where(gap > 0, (a["s"].iloc[i] + b["s"].to_numpy()) / gap, np.nan)
+            ratio[b["id"].to_numpy() == a["id"].iloc[i]] = np.nan
+            found.append(np.nan if np.isnan(ratio).all() else np.nanmax(ratio))
+        return pd.DataFrame({"id": a["id"], "worst": found})
+
+    try:
+        others = scatter.select(*[F.col(c).alias(c) for c in scatter.columns])
+        blocks = block_pairs(scatter, others, worst, f"id {scatter.schema['id'].dataType.simpleString()}, worst double", block_rows)
+        each = blocks.where(~F.isnan("worst")).groupBy("id").agg(F.max("worst").alias("worst"))
+        value = each.agg(F.avg("worst")).first()[0]
+    finally:
+        scatter.unpersist()
+    return literal_table(df.sparkSession, [(value,)], "davies_bouldin double")
 
 
 # ---------------------------------------------------------------- projection

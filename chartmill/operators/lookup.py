@@ -30,31 +30,26 @@ def _literal(v) -> Column:
     return F.lit(list(v)) if isinstance(v, (list, tuple)) else F.lit(v)
 
 
-#: Most groups that are carried to the rows as one map.
+#: Most rows of a small side that are broadcast, and how many tasks at least share the rows of a key beyond that.
 FEW = 10_000
-
-
-def few_as_map(table: DataFrame, key: str, value: Column, limit: int = FEW) -> Column:
-    """key -> value map of a table with few rows, as a one-row subquery.
-
-    Never reads more than ``limit + 1`` rows; a table that has that many fails with a clear message.
-    """
-    entries = table.select(F.struct(col_of(key).alias("key"), value.alias("value")).alias("e")).limit(limit + 1)
-    too_many = F.raise_error(F.lit(f"more than {limit} groups in {key}: use few=False"))
-    checked = F.when(F.count("*") > limit, too_many).otherwise(F.collect_list("e"))
-    return entries.agg(F.map_from_entries(checked).alias("m")).scalar()
+SALTS = 8
 
 
 def attach(
-    df: DataFrame, key: str, table: DataFrame, table_key: str, value: str, name: str, few: bool = True
+    df: DataFrame, key: str, table: DataFrame, table_key: str, value: str, name: str, few: int = FEW
 ) -> DataFrame:
-    """Add to each row the ``value`` its key has in ``table`` (null without one).
+    """Add to each row the ``value`` its key has in ``table`` (null without one). Null keys match null keys.
 
-    ``few`` groups travel as a map and no row moves. With ``few=False`` the two are joined, and the
-    adaptive engine splits a key that holds much of the table.
+    A table of at most ``few`` rows is read to the driver, at once, and broadcast, so no row of ``df`` moves; lower
+    the number where values are large. A larger table joins by shuffle on the key and one of eight salts, so a
+    key that holds much of ``df`` is spread even before the adaptive engine splits it.
     """
-    if few:
-        found = few_as_map(table.where(col_of(table_key).isNotNull()), table_key, col_of(value))
-        return df.withColumn(name, F.try_element_at(found, col_of(key)))
     side = table.select(col_of(table_key).alias("_key"), col_of(value).alias(name))
-    return df.join(side, df[f"`{key}`"] == side["_key"], "left").drop("_key")
+    held = side.limit(few + 1).collect()
+    if len(held) <= few:
+        side = F.broadcast(df.sparkSession.createDataFrame(held, side.schema))
+        return df.join(side, df[f"`{key}`"].eqNullSafe(side["_key"]), "left").drop("_key")
+    rows = df.withColumn("_salt", F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)))
+    side = side.withColumn("_of", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(SALTS - 1).cast("bigint"))))
+    on = rows[f"`{key}`"].eqNullSafe(side["_key"]) & (rows["_salt"] == side["_of"])
+    return rows.join(side, on, "left").drop("_key", "_salt", "_of")

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from chartmill.functions import col_of
+from chartmill.workers import ship
 
 BLOCK_ROWS = 4096
 
@@ -66,6 +67,7 @@ def block_pairs(
 
     Both tables have the columns ``id`` and ``vec``; ``refs`` may have more.
     """
+    ship(queries.sparkSession)
     n_q, n_r = _blocks(queries.count(), block_rows), _blocks(refs.count(), block_rows)
     names = [part.split()[0] for part in schema.split(", ")]
 

@@ -12,12 +12,18 @@ import math
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from chartmill.functions import col_of
 
 
+def slice_count(spark: SparkSession, least: int = 1024) -> int:
+    """Slices that keep all tasks busy: a power of two, four per shuffle partition or more."""
+    wanted = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return max(least, 1 << (wanted - 1).bit_length())
+
+
 def _edges(rows: DataFrame, order: Sequence[str], slices: int) -> Column:
     """Sorted sample of ``slices - 1`` keys as a one-row subquery.
 
@@ -63,7 +69,7 @@ def running_totals(
     measures: Sequence[str],
     groups: Sequence[str] = (),
     descending: bool = False,
-    slices: int = 1024,
+    slices: int | None = None,
     only: Column | None = None,
     few_groups: bool | None = None,
 ) -> DataFrame:
@@ -71,8 +77,9 @@ def running_totals(
 
     ``rows`` holds one row per (groups, value), and numbers beside these. ``only`` limits the output to the slices that meet a
     condition on ``before_<m>``, ``slice_<m>`` and ``all_<m>``, which are known before any sort.
-    Without groups, or with ``few_groups``, the slice totals are few rows and travel to the values.
+    The number of slices follows the number of shuffle partitions. Without groups, or with ``few_groups``, the slice totals are few rows and travel to the values.
     """
+    slices = slices or slice_count(rows.sparkSession)
     if slices & (slices - 1):
         raise ValueError("slices must be a power of two")
     rows = _add_slice(_shared(rows, [*groups, value]), [*groups, value], slices)

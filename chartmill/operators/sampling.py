@@ -7,12 +7,13 @@ lost executor, and no row has to move. Splitting a part of an earlier split agai
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from chartmill.functions import col_of
-from chartmill.operators.lookup import attach
+from chartmill.operators.lookup import FEW, attach
 from chartmill.operators.ordered import rank_cut, running_totals, split_points
 
 _GRAIN = 1 << 30
@@ -29,15 +30,25 @@ def hash_unit(key: str | Sequence[str], seed: int, use: str) -> Column:
     return F.pmod(_hash(key, seed, use), F.lit(_GRAIN)) / F.lit(float(_GRAIN))
 
 
-def _label_rank(df: DataFrame, label: str, key: str, seed: int, use: str) -> DataFrame:
-    """Add ``_rank`` (1-based, hash order within the label) and ``_of`` (rows of the label)."""
-    rows = df.withColumn("_hash", _hash(key, seed, use))
-    counts = rows.groupBy(col_of(label), "_hash").agg(F.count("*").alias("n"))
-    ranked = running_totals(counts, "_hash", ["n"], [label]).select(
-        col_of(label).alias("_label"), F.col("_hash").alias("_at"), F.col("cum_n").alias("_rank"), F.col("all_n").alias("_of")
-    )
-    on = rows["_hash"].eqNullSafe(ranked["_at"]) & rows[f"`{label}`"].eqNullSafe(ranked["_label"])
-    return rows.join(ranked, on).drop("_hash", "_at", "_label")
+def _parts(df: DataFrame, label: str, key: str, seed: int, use: str, cuts: Sequence[Column], name: str) -> DataFrame:
+    """Add the number of cuts at or before each row in the hash order of its label.
+
+    A cut is a rank, told from ``all_n`` (rows of the label). What is looked up per label is the first hash beyond
+    each cut; rows compare their hash with it, and rows with one hash stay together.
+    """
+    counts = df.select(col_of(label), _hash(key, seed, use).alias("_hash"))
+    counts = counts.groupBy(col_of(label), "_hash").agg(F.count("*").alias("n"))
+    start, stop = F.col("before_n"), F.col("before_n") + F.col("slice_n")
+    wanted = reduce(lambda a, b: a | b, [(start <= c) & (c < stop) for c in cuts])
+    ranked = running_totals(counts, "_hash", ["n"], [label], only=wanted)
+    beyond = [F.min(F.when(F.col("cum_n") > c, F.col("_hash"))).alias(f"b{i}") for i, c in enumerate(cuts)]
+    limits = ranked.groupBy(col_of(label)).agg(*beyond).withColumn("_first", F.array(*[f"b{i}" for i in range(len(cuts))]))
+    rows = attach(df, label, limits, label, "_first", "_first")
+    own, part = _hash(key, seed, use), F.lit(len(cuts))
+    for i in reversed(range(len(cuts))):
+        # Without a hash beyond the cut, all rows are before it.
+        part = F.when(F.coalesce(own < F.col("_first")[i], F.lit(True)), F.lit(i)).otherwise(part)
+    return rows.withColumn(name, part).drop("_first")
 
 
 def stratified_split(
@@ -52,7 +63,8 @@ def stratified_split(
     """Add an int column with the part (0, 1, ...) each row belongs to.
 
     By default class shares hold to sampling error and nothing is shuffled. ``exact=True`` makes
-    every label's parts come out at the rounded share, for the price of ranking the hashes.
+    every label's parts come out at the rounded share, for the price of finding each label's cuts in the order of
+    hashes; rows do not move for it.
     """
     points = split_points(shares)
     if not exact:
@@ -61,11 +73,7 @@ def stratified_split(
         for i in reversed(range(len(points) - 1)):
             part = F.when(unit < points[i], F.lit(i)).otherwise(part)
         return df.withColumn(name, part)
-    ranked = _label_rank(df, label, key, seed, "split")
-    part = F.lit(len(points) - 1)
-    for i in reversed(range(len(points) - 1)):
-        part = F.when(F.col("_rank") <= rank_cut(points[i], F.col("_of")), F.lit(i)).otherwise(part)
-    return ranked.withColumn(name, part).drop("_rank", "_of")
+    return _parts(df, label, key, seed, "split", [rank_cut(p, F.col("all_n")) for p in points[:-1]], name)
 
 
 def kfold_assign(
@@ -80,50 +88,79 @@ def kfold_assign(
     """Add an int fold number 0..k-1; with ``exact`` the folds of a label differ by one row at most."""
     if not exact:
         return df.withColumn(name, F.floor(hash_unit(key, seed, "fold") * k).cast("int"))
-    ranked = _label_rank(df, label, key, seed, "fold")
-    return ranked.withColumn(name, F.pmod(F.col("_rank") - 1, F.lit(k)).cast("int")).drop("_rank", "_of")
+    n = F.col("all_n")
+    cuts = [F.floor(n / k) * i + F.least(F.lit(i), n % k) for i in range(1, k)]
+    return _parts(df, label, key, seed, "fold", cuts, name) if cuts else df.withColumn(name, F.lit(0))
 
 
 def sample_rows(df: DataFrame, n: int, key: str | Sequence[str], seed: int = 42) -> DataFrame:
-    """Exactly n rows without replacement (all, if there are fewer)."""
+    """Exactly n rows without replacement (all, if there are fewer): those with the smallest hashes.
+
+    The hash at which to stop is found at once from counts; the rows up to it stay where they are. Only of rows that share
+    that one hash some are picked in order.
+    """
     keys = [key] if isinstance(key, str) else list(key)
-    cols = [col_of(k) for k in keys]
-    return df.orderBy(_hash(keys, seed, "sample"), *cols).limit(n)
+    own = _hash(keys, seed, "sample")
+    counts = df.select(own.alias("_hash")).groupBy("_hash").agg(F.count("*").alias("n"))
+    here = (F.col("before_n") <= n) & (F.lit(n) < F.col("before_n") + F.col("slice_n"))
+    ranked = running_totals(counts, "_hash", ["n"], only=here).where(F.col("cum_n") > n)
+    stop = ranked.agg(F.min(F.struct("_hash", (F.col("cum_n") - F.col("n")).alias("below"))).alias("s")).first()["s"]
+    if stop is None:
+        return df
+    under, missing = df.where(own < stop["_hash"]), n - stop["below"]
+    if not missing:
+        return under
+    return under.unionAll(df.where(own == stop["_hash"]).orderBy(*[col_of(k) for k in keys]).limit(missing))
+
 
+#: Copies are drawn in parts of at most this rate, so that no Poisson weight underflows.
+_RATE_STEP = 50.0
 
-def bootstrap(df: DataFrame, n: int, key: str, seed: int = 42, cap: int = 3) -> DataFrame:
-    """About n rows with replacement, at most ``cap`` times the table.
 
-    Each row draws a Poisson number of copies, the many-row limit of drawing with replacement.
+def bootstrap(df: DataFrame, n: int, key: str, seed: int = 42, cap: float | None = None) -> DataFrame:
+    """About n rows with replacement; with ``cap``, at most about ``cap`` times the table.
+
+    Each row draws a Poisson number of copies, the many-row limit of drawing with replacement. A rate above 50 copies a
+    row is drawn as the sum of parts.
     """
     rows = df.agg(F.count("*").cast("double").alias("n")).scalar()
-    rate = F.col("_rate")
-    unit = hash_unit(key, seed, "bootstrap") + F.lit(0.5 / _GRAIN)
-    # Copies = how many steps of the Poisson distribution function lie below the row's number.
-    steps = F.sequence(F.lit(0), F.lit(10 + 8 * cap))
-    found = F.aggregate(
-        steps,
-        F.struct(F.exp(-rate).alias("p"), F.exp(-rate).alias("cum"), F.lit(0).alias("copies")),
-        lambda s, i: F.when(
-            unit > s["cum"],
-            F.struct(
-                (s["p"] * rate / (i + 1)).alias("p"),
-                (s["cum"] + s["p"] * rate / (i + 1)).alias("cum"),
-                (i + 1).alias("copies"),
-            ),
-        ).otherwise(s),
-        lambda s: s["copies"],
-    )
+    rate = F.try_divide(F.lit(float(n)), rows)
+    rate = rate if cap is None else F.least(rate, F.lit(float(cap)))
+    part_rate = F.col("_rate") / F.col("_parts")
+    # Nothing that 30 bits of hash can ask for lies beyond this many copies.
+    most = F.ceil(part_rate + 9 * F.sqrt(part_rate) + 20).cast("int")
+
+    def copies(part: Column) -> Column:
+        """How many steps of the Poisson distribution function lie below the number of the row and part."""
+        hashed = F.xxhash64(col_of(key), F.lit(seed), F.lit("bootstrap"), part)
+        unit = (F.pmod(hashed, F.lit(_GRAIN)) + 0.5) / F.lit(float(_GRAIN))
+        first = F.exp(-part_rate)
+        return F.aggregate(
+            F.sequence(F.lit(0), most),
+            F.struct(first.alias("p"), first.alias("cum"), F.lit(0).alias("copies")),
+            lambda s, i: F.when(
+                unit > s["cum"],
+                F.struct(
+                    (s["p"] * part_rate / (i + 1)).alias("p"),
+                    (s["cum"] + s["p"] * part_rate / (i + 1)).alias("cum"),
+                    (i + 1).alias("copies"),
+                ),
+            ).otherwise(s),
+            lambda s: s["copies"],
+        )
+
+    total = F.aggregate(F.sequence(F.lit(1), F.col("_parts")), F.lit(0), lambda s, i: s + copies(i))
     return (
-        df.withColumn("_rate", F.least(F.try_divide(F.lit(float(n)), rows), F.lit(float(cap))))
-        .withColumn("_copies", found)
+        df.withColumn("_rate", rate)
+        .withColumn("_parts", F.greatest(F.ceil(F.col("_rate") / _RATE_STEP), F.lit(1)).cast("int"))
+        .withColumn("_copies", total)
         .where("_copies > 0")
         .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
-        .drop("_rate", "_copies", "_copy")
+        .drop("_rate", "_parts", "_copies", "_copy")
     )
 
 
-def balanced_weights(df: DataFrame, label: str, name: str = "weight", few: bool = True) -> DataFrame:
+def balanced_weights(df: DataFrame, label: str, name: str = "weight", few: int = FEW) -> DataFrame:
     """Add ``rows / (labels * rows of the label)``; ``few`` as in :func:`~.lookup.attach`."""
     counts = df.where(col_of(label).isNotNull()).groupBy(col_of(label)).agg(F.count("*").alias("_n"))
     whole = counts.agg(F.struct(F.sum("_n").cast("double").alias("n"), F.count("*").alias("k")).alias("v")).scalar()

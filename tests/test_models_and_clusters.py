@@ -122,8 +122,15 @@ def test_zoo_builds_every_model():
     assert all(c.build(100) is not None for c in Z.model_zoo())
 
 
-def test_k_is_held_in_range():
-    assert [K.clamp_k(k) for k in (0, 2, 5, 99)] == [2, 2, 5, 8]
+def test_as_many_groups_as_asked_for(spark):
+    rng = np.random.default_rng(11)
+    rows = [(i, [float(x) for x in rng.normal(size=2) * 0.1 + (i % 12) * 5]) for i in range(240)]
+    df = spark.createDataFrame(rows, "id bigint, v array<double>").withColumn("features", array_to_vector("v"))
+    assert len(K.fit_kmeans(df, 12, seeds=[1, 2]).clusterCenters()) == 12
+    scan = {r["k"]: r for r in K.k_scan(df, "id", ks=(8, 12), seeds=[1, 2]).collect()}
+    assert set(scan) == {8, 12} and scan[12]["inertia"] < scan[8]["inertia"] / 2 and scan[12]["best"] == 1
+    with pytest.raises(ValueError):
+        K.fit_kmeans(df, 1)
 
 
 def test_projected_centroids(spark):
@@ -137,9 +144,29 @@ def test_projected_centroids(spark):
     assert assigned.groupBy("cluster").agg(F.count_distinct(F.col("id") % 2).alias("n")).where("n > 1").count() == 0
 
 
-def test_too_many_groups_for_a_map(table):
-    from chartmill.operators.lookup import few_as_map
-
-    df = table([(i, i) for i in range(20)], "k int, v int")
-    with pytest.raises(Exception, match="more than 5 groups"):
-        df.select(few_as_map(df, "k", F.col("v"), limit=5)).collect()
+def test_many_groups_join_as_few_do(spark):
+    from chartmill.operators.lookup import attach
+    from chartmill.operators.sampling import balanced_weights
+
+    df = spark.range(3000).select(F.when(F.col("id") % 3 > 0, F.col("id") % 700).alias("k"), F.col("id"))
+    table = df.groupBy("k").agg(F.count("*").alias("n"))
+    few, many = (sorted(map(tuple, attach(df, "k", table, "k", "n", "n", few=f).collect()), key=str) for f in (10_000, 5))
+    assert few == many and len(few) == 3000
+    labels = spark.range(30_000).withColumn("y", F.when(F.col("id") < 10_000, -1).otherwise(F.col("id")))
+    got = balanced_weights(labels, "y").groupBy((F.col("y") == -1).alias("hot")).agg(F.min("weight"), F.max("weight"), F.count("*")).collect()
+    want = 30_000 / 20_001
+    assert {tuple(round(x, 9) for x in r[1:]) for r in got} == {(round(want / 10_000, 9),) * 2 + (10_000,), (round(want, 9),) * 2 + (20_000,)}
+
+
+def test_measures_of_many_clusters(spark):
+    rng = np.random.default_rng(5)
+    rows = [(i, [float(x) for x in rng.normal(size=2)], i % 1100) for i in range(3300)]
+    df = spark.createDataFrame(rows, "id bigint, v array<double>, c int")
+    x, c = np.array([r[1] for r in rows]), np.array([r[2] for r in rows])
+    centres = np.array([x[c == k].mean(axis=0) for k in range(1100)])
+    assert K.inertia(df, "v", "c").first()[0] == pytest.approx(((x - centres[c]) ** 2).sum())
+    s = np.array([np.sqrt(((x[c == k] - centres[k]) ** 2).sum(axis=1)).mean() for k in range(1100)])
+    d = np.sqrt(((centres[:, None] - centres[None]) ** 2).sum(axis=2))
+    np.fill_diagonal(d, np.inf)
+    want = ((s[:, None] + s[None]) / d).max(axis=1).mean()
+    assert K.davies_bouldin(df, "v", "c", block_rows=400).first()[0] == pytest.approx(want)

@@ -6,7 +6,7 @@ from conftest import TINY
 from chartmill.catalog import catalog
 
 # Matrix work on blocks of vectors runs in Arrow-fed tasks; everything else stays in the engine.
-BLOCKS = {"nearest_vectors", "neighbour_vote_by_distance", "neighbour_vote_uniform_manhattan", "silhouette_of_labels"}
+BLOCKS = {"nearest_vectors", "neighbour_vote_by_distance", "neighbour_vote_uniform_manhattan", "silhouette_of_labels", "davies_bouldin_of_labels"}
 LAZY = sorted(n for n, q in catalog().items() if q.sql is not None)
 
 

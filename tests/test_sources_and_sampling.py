@@ -73,6 +73,29 @@ def test_folds_inside_a_split_are_even(spark):
     assert 3600 < drawn < 4400
 
 
+def test_bootstrap_draws_any_multiple(spark):
+    df = spark.range(500)
+    for times in (10, 130):
+        drawn = S.bootstrap(df, 500 * times, "id").count()
+        assert abs(drawn - 500 * times) < 6 * (500 * times) ** 0.5
+    assert S.bootstrap(df, 50_000, "id", cap=2).count() < 1300
+
+
+def test_sample_of_repeated_keys(spark):
+    df = spark.range(1000).withColumn("k", F.col("id") % 7)
+    for n in (0, 1, 100, 143, 999, 1000, 5000):
+        assert S.sample_rows(df, n, "k").count() == min(n, 1000)
+    plan = S.sample_rows(spark.range(1000), 100, "id")._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan
+
+
+def test_exact_split_moves_no_row(spark):
+    df = spark.range(2000).select("id", (F.col("id") % 3).alias("y"), F.lit("wide").alias("w"))
+    for parts in (S.stratified_split(df, "y", [0.7, 0.3], "id", exact=True), S.kfold_assign(df, "y", 4, "id", exact=True)):
+        plan = parts._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan
+
+
 def test_exact_split_with_missing_labels(table):
     df = table([(i, None if i % 4 == 0 else "ab"[i % 2]) for i in range(400)], "id int, y string")
     got = {(r["y"], r["split"]): r["count"] for r in S.stratified_split(df, "y", [0.6, 0.2, 0.2], "id", exact=True).groupBy("y", "split").count().collect()}
