@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
@@ -42,10 +41,16 @@ def register(catalog: dict[str, Query], sql: str | None = None):
 
 
 def scratch(spark: SparkSession) -> str:
-    """A new folder on the storage that all executors share."""
-    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if shared:
-        return f"{shared.rstrip('/')}/chartmill-{uuid.uuid4().hex}"
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    return tempfile.mkdtemp(prefix="chartmill-")
+    """A new folder on the storage that all executors share, removed when the session's JVM ends.
+
+    That is where the session checkpoints, or else its warehouse.
+    """
+    context = spark.sparkContext
+    shared = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    shared = shared or spark.conf.get("spark.sql.warehouse.dir")
+    folder = f"{shared.rstrip('/')}/chartmill-{uuid.uuid4().hex}"
+    path = context._jvm.org.apache.hadoop.fs.Path(folder)
+    files = path.getFileSystem(context._jsc.hadoopConfiguration())
+    files.mkdirs(path)
+    files.deleteOnExit(path)
+    return folder

@@ -171,7 +171,7 @@ def encounter_features(t):
 @register(CATALOG)
 def scored_encounters(t):
     raw = raw_encounters(t)
-    cleaned = encounters.clean(raw).fillna(0, subset=["age_numeric", "number_inpatient", "total_prior_visits"])
+    cleaned = encounters.model_inputs(encounters.clean(raw))
     model = Z.train_gbt(cleaned, encounters.FEATURES, encounters.TARGET, Z.BoostConfig(trees=3, depth=3))
     requests = raw.select("encounter_id", "age", "gender", "race", "time_in_hospital", "insulin", "A1Cresult", "diag_1")
     scored = Z.score_batch(model, encounters.prepare_scoring(requests))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
+import logging
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
@@ -65,16 +65,14 @@ class Candidate:
     params: Mapping = field(default_factory=dict)
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Give tree boosting a place to cut its lineage: the session's shared folder where it names one."""
-    context = spark.sparkContext
-    if context.getCheckpointDir() is not None:
-        return
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared:
-        context.setCheckpointDir(shared)
-    elif context.master.startswith("local"):
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="chartmill-"))
+def checkpoint_interval(spark: SparkSession, every: int = 10) -> int:
+    """How often tree boosting may cut its lineage: each ``every`` trees where the session has a shared folder for it,
+    else never (-1), which the log says. The caller's session is not changed.
+    """
+    if spark.sparkContext.getCheckpointDir() is not None:
+        return every
+    logging.getLogger(__name__).warning("no checkpoint folder (spark.checkpoint.dir): boosting keeps its whole lineage")
+    return -1
 
 
 def _assembler(features: Sequence[str]) -> VectorAssembler:
@@ -113,7 +111,6 @@ def train_gbt(
     balanced: bool = True,
 ) -> PipelineModel:
     """Boosted trees on balanced weights."""
-    ensure_checkpoint_dir(df.sparkSession)
     rows = df.select(*[col_of(c) for c in features], col_of(label).cast("double").alias(label))
     estimator = GBTClassifier(
         labelCol=label,
@@ -124,6 +121,7 @@ def train_gbt(
         subsamplingRate=config.row_share,
         featureSubsetStrategy=config.feature_subset,
         seed=config.seed,
+        checkpointInterval=checkpoint_interval(df.sparkSession),
     )
     if balanced:
         rows = balanced_weights(rows, label, "_weight")
@@ -177,6 +175,8 @@ def fit_candidate(df: DataFrame, features: Sequence[str], label: str, candidate:
     estimator = candidate.build(rows.count())
     target = "_signed" if candidate.label == "signed" else "_label"
     estimator.setParams(labelCol=target, **candidate.params)
+    if isinstance(estimator, GBTClassifier):
+        estimator.setCheckpointInterval(checkpoint_interval(df.sparkSession))
     return fit_pipeline(rows, features, estimator, target, candidate.scale, candidate.select)
 
 

@@ -334,6 +334,15 @@ SCORING_DEFAULTS = {
 }
 
 
+#: What a model takes a missing number for, in training and in scoring: the middle of the default age band, and no visits.
+MISSING_NUMBERS = {"age_numeric": 55, **{c: 0 for c in ("number_inpatient", "total_prior_visits")}}
+
+
+def model_inputs(df: DataFrame) -> DataFrame:
+    """Feature rows without missing numbers, by one rule for training and scoring."""
+    return df.fillna(MISSING_NUMBERS)
+
+
 def prepare_scoring(df: DataFrame, rules: EncounterRules = EncounterRules()) -> DataFrame:
     """Raw rows of a scoring request to feature columns, with a default for what is missing.
 
@@ -359,4 +368,4 @@ def prepare_scoring(df: DataFrame, rules: EncounterRules = EncounterRules()) ->
             "age": F.when(known_age, F.col("age")).otherwise(F.lit(SCORING_DEFAULTS["age"])),
         }
     )
-    return build_features(full, rules)
+    return model_inputs(build_features(full, rules))
