@@ -7,7 +7,9 @@ assigns **every** row to a leaf.
 **Search.** A query walks the tree with a priority queue by distance to node centres and visits leaves in the order
 in which they leave it. How many is calibrated: for some queries the true neighbours are found among all rows, in
 blocks, and visits are widened until the neighbours' leaves are reached for the recall asked for. Each query then
-meets the rows of its leaves; a leaf with many rows or many visiting queries is cut into cells of bounded size.
+meets the rows of its leaves. Leaves that are neighbours in the tree and have few rows share a bucket, so that a query
+is sent once for several and hands back its best of them all; a bucket with many rows or many visiting queries is cut
+into cells of bounded size.
 """
 
 from __future__ import annotations
@@ -24,11 +26,10 @@ from pyspark.sql import functions as F
 
 from chartmill.llm.common import saved, ship
 
-#: Rows the tree is fitted on, at most (in expectation of a random sample), and leaves.
+#: Rows the tree is fitted on, at most (in expectation of a random sample), and leaves aimed for, at most; tables of n
+#: rows aim for the root of n.
 SAMPLE = 32_768
 LEAVES = 2_048
-#: Rows in a leaf that smaller tables aim for.
-LEAF_ROWS = 96
 BRANCHES = 8
 #: Queries that calibrate the number of leaves visited.
 CALIBRATION = 200
@@ -184,7 +185,7 @@ def nearest_by_tree(
     # A random sample in a stable order: the same tree each time.
     taken = rows.sample(fraction=min(1.0, sample / n), seed=11).orderBy("id").toPandas()
     points = np.stack(taken["vec"].to_numpy()) if len(taken) else np.zeros((0, len(rows.first()["vec"])))
-    tree = KMeansTree(_augmented(points, top), min(leaves, max(1, n // LEAF_ROWS)))
+    tree = KMeansTree(_augmented(points, top), min(leaves, max(1, math.isqrt(n))))
 
     def place(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -199,39 +200,70 @@ def nearest_by_tree(
     own = index.groupBy("id").count().agg(F.max("count")).first()[0]
     visited = _calibrated(tree, index, queries, top, rows_in, k, recall, calibration)
 
+    bucket_of = buckets(rows_in)
+
     def walk(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            if len(b):
-                found = [tree.visits(q, visited, rows_in, k + own) for q in _augmented(_matrix(b.column(1)), 0.0)]
-                at = np.repeat(np.arange(len(b)), [len(x) for x in found])
-                yield pa.RecordBatch.from_arrays(
-                    [b.column(0).take(pa.array(at)), b.column(1).take(pa.array(at)), pa.array(np.concatenate(found), pa.int32())],
-                    names=["id", "vec", "leaf"],
-                )
-
-    walks = saved(queries.mapInArrow(walk, "id long, vec array<double>, leaf int"))
-    coming = {r["leaf"]: r["count"] for r in walks.groupBy("leaf").count().collect()}
-    r_parts = F.array(*[F.lit(math.ceil(max(x, 1) / CELL_ROWS)) for x in rows_in.tolist()])
-    q_parts = F.array(*[F.lit(math.ceil(max(coming.get(i, 0), 1) / CELL_QUERIES)) for i in range(tree.leaves)])
-    r_of, q_of = F.get(r_parts, F.col("leaf")), F.get(q_parts, F.col("leaf"))
+            at, bucket, leaf_lists = [], [], []
+            for i, q in enumerate(_augmented(_matrix(b.column(1)), 0.0) if len(b) else ()):
+                found: dict[int, list[int]] = {}
+                for leaf in tree.visits(q, visited, rows_in, k + own):
+                    found.setdefault(int(bucket_of[leaf]), []).append(leaf)
+                at += [i] * len(found)
+                bucket += found
+                leaf_lists += found.values()
+            rows_at = pa.array(at, pa.int32())
+            arrays = [b.column(0).take(rows_at), b.column(1).take(rows_at), pa.array(bucket, pa.int32())]
+            yield pa.RecordBatch.from_arrays([*arrays, pa.array(leaf_lists, pa.list_(pa.int32()))], names=["id", "vec", "bucket", "leaves"])
+
+    walks = saved(queries.mapInArrow(walk, "id long, vec array<double>, bucket int, leaves array<int>"))
+    coming = {r["bucket"]: r["count"] for r in walks.groupBy("bucket").count().collect()}
+    held = np.bincount(bucket_of, rows_in)
+    r_parts = F.array(*[F.lit(math.ceil(max(x, 1) / CELL_ROWS)) for x in held.tolist()])
+    q_parts = F.array(*[F.lit(math.ceil(max(coming.get(i, 0), 1) / CELL_QUERIES)) for i in range(len(held))])
+    r_of, q_of = F.get(r_parts, F.col("bucket")), F.get(q_parts, F.col("bucket"))
     hashed = F.xxhash64("id")
 
     def spread(parts: Column) -> Column:
         return F.explode(F.sequence(F.lit(0), parts - 1))
 
-    left = walks.select("leaf", F.pmod(hashed, q_of).cast("int").alias("q"), spread(r_of).alias("r"), "id", "vec")
-    right = index.select("leaf", F.pmod(hashed, r_of).cast("int").alias("r"), spread(q_of).alias("q"), "id", "vec")
+    placed = index.withColumn("bucket", F.get(F.array(*map(F.lit, bucket_of.tolist())), F.col("leaf")))
+    left = walks.select("bucket", F.pmod(hashed, q_of).cast("int").alias("q"), spread(r_of).alias("r"), "id", "vec", "leaves")
+    right = placed.select("bucket", F.pmod(hashed, r_of).cast("int").alias("r"), spread(q_of).alias("q"), "id", "vec", "leaf")
 
     def meet(q: pd.DataFrame, r: pd.DataFrame) -> pd.DataFrame:
         names = ["query_id", "vec_id", "score"]
         if q.empty or r.empty:
             return pd.DataFrame({c: [] for c in names})
-        ids, row_ids = q["id"].to_numpy(), r["id"].to_numpy()
-        i, j, score = _best(ids, np.stack(q["vec"].to_numpy()), row_ids, np.stack(r["vec"].to_numpy()), k)
-        return pd.DataFrame(dict(zip(names, (ids[i], row_ids[j], score))))
-
-    found = left.groupBy("leaf", "q", "r").cogroup(right.groupBy("leaf", "q", "r")).applyInPandas(meet, schema)
-    return _top(found, k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
+        visitors: dict[int, list[int]] = {}
+        for i, own_leaves in enumerate(q["leaves"]):
+            for leaf in own_leaves:
+                visitors.setdefault(int(leaf), []).append(i)
+        ids, vectors = q["id"].to_numpy(), np.stack(q["vec"].to_numpy())
+        found = []
+        for leaf, rows_of in r.groupby("leaf"):
+            if leaf in visitors:
+                some, row_ids = np.array(visitors[leaf]), rows_of["id"].to_numpy()
+                i, j, score = _best(ids[some], vectors[some], row_ids, np.stack(rows_of["vec"].to_numpy()), k)
+                found.append(pd.DataFrame(dict(zip(names, (ids[some[i]], row_ids[j], score)))))
+        if not found:
+            return pd.DataFrame({c: [] for c in names})
+        best = pd.concat(found).sort_values(["query_id", "score", "vec_id"], ascending=[True, False, True])
+        return best.groupby("query_id", sort=False).head(k)
+
+    met = left.groupBy("bucket", "q", "r").cogroup(right.groupBy("bucket", "q", "r")).applyInPandas(meet, schema)
+    return _top(met, k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
+
+
+def buckets(rows_in: np.ndarray, most: int = CELL_ROWS) -> np.ndarray:
+    """Bucket of each leaf: neighbours in the tree share one until it holds ``most`` rows."""
+    of, bucket, held = [], 0, 0
+    for n in rows_in.tolist():
+        if held and held + n > most:
+            bucket, held = bucket + 1, 0
+        held += n
+        of.append(bucket)
+    return np.array(of)
 
 
 def _calibrated(
