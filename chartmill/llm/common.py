@@ -2,37 +2,21 @@
 
 from __future__ import annotations
 
-import os
-import shutil
 import tempfile
 from collections.abc import Callable, Iterable, Iterator
-from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-import chartmill
+from chartmill.workers import ship
+
+__all__ = ["WORD", "dealt_again", "map_arrow", "named", "numbered", "row_key", "saved", "shared_folder", "ship", "slices", "text_bytes"]
 
 #: A word is a run of characters other than ASCII white space. On UTF-8 bytes, ``bytes.split()`` finds the same words.
 WORD = r"[^\x20\x09-\x0D]+"
 
-_shipped: set[str] = set()
-
-
-def ship(spark: SparkSession) -> None:
-    """Make this package importable in the Python workers, wherever the driver found it. Once per application."""
-    sc = spark.sparkContext
-    folder = Path(chartmill.__file__).parent
-    if sc.applicationId in _shipped or not folder.is_dir():
-        return
-    archive = shutil.make_archive(
-        os.path.join(tempfile.mkdtemp(prefix="chartmill-code-"), folder.name), "zip", folder.parent, folder.name
-    )
-    sc.addPyFile(archive)
-    _shipped.add(sc.applicationId)
-
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder that driver and executors share: ``spark.checkpoint.dir``, and only locally, without it, an own one."""
@@ -118,4 +102,4 @@ def dealt_again(c: Column) -> Column:
 
     A join then shuffles this side too, which lets the adaptive engine split a hot key of the other.
     """
-    return -(-c)
+    return F.bitwise_not(F.bitwise_not(c))

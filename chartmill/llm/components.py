@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chartmill.llm.common import saved
+from chartmill.llm.common import dealt_again, saved
 
 
 def _signature(edges: DataFrame) -> tuple[int, int]:
@@ -31,10 +31,12 @@ def components(links: DataFrame, left: str, right: str) -> DataFrame:
     seen = _signature(edges)
     while True:
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        low = both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("u"), F.least("a", "m").alias("m"))
+        low = both.groupBy("a").agg(F.min("b").alias("m")).select(
+            dealt_again(F.col("a")).alias("u"), F.least("a", "m").alias("m")
+        )
         large = both.join(low, both["a"] == low["u"]).where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
         large = large.where("a != b").distinct()
-        least = large.groupBy("a").agg(F.min("b").alias("m")).withColumnRenamed("a", "u")
+        least = large.groupBy("a").agg(F.min("b").alias("m")).select(dealt_again(F.col("a")).alias("u"), "m")
         small = large.join(least, large["a"] == least["u"])
         edges = saved(
             small.where("b != m")

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from chartmill.llm.common import map_arrow, numbered, row_key, saved, ship
+from chartmill.llm.common import dealt_again, map_arrow, numbered, row_key, saved, ship
 from chartmill.llm.components import components
 
 SHINGLE = 3
@@ -305,7 +305,8 @@ def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -
     rooted = each.join(_groups(prints).withColumnRenamed("fp", "node"), F.col("fp") == F.col("node"), "left").select(
         "fp", "low", F.coalesce("root", "fp").alias("root")
     )
-    lowest = rooted.groupBy("root").agg(F.min("low").alias("component_id")).withColumnRenamed("root", "of")
+    lowest = rooted.groupBy("root").agg(F.min("low").alias("component_id"))
+    lowest = lowest.select(dealt_again(F.col("root")).alias("of"), "component_id")
     named = rooted.join(lowest, F.col("root") == F.col("of")).select(F.col("fp").alias("key"), "component_id")
     return prints.join(named, F.col("fp") == F.col("key")).select(
         F.col("doc_id").alias(doc_id), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
