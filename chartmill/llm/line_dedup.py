@@ -60,15 +60,16 @@ def remove_repeated_lines(df: DataFrame, doc_id: str = "doc_id", text: str = "te
     """
     names = [c for c in df.columns if not counts or c not in ("n_lines", "n_removed")]
     at_id, at_text = f"c{names.index(doc_id)}", f"c{names.index(text)}"
-    keyed = numbered(df.select(*[F.col(f"`{c}`") for c in names])).select("*", *row_key(at_id, at_text))
+    keyed = numbered(df.select(*[F.col(f"`{c}`") for c in names])).select("*", row_key(at_id, at_text)[0])
     passages = (
-        keyed.select(F.col(at_id).alias("id"), "k1", "k2", F.explode(_windows(F.col(at_text))).alias("w"))
+        keyed.select(F.col(at_id).alias("id"), "k1", F.explode(_windows(F.col(at_text))).alias("w"))
         .where("w.word")
-        .select("id", "k1", "k2", "w.pos", "w.h1", "w.h2")
+        .select("id", "k1", "w.pos", "w.h1", "w.h2")
     )
     # One row per document with repeats, and at most one position per line of it.
-    starts = later_occurrences(passages).groupBy("k1", "k2").agg(F.collect_set("pos").alias("starts"))
-    met = keyed.join(starts, ["k1", "k2"], "left")
+    starts = later_occurrences(passages).groupBy("id", "k1").agg(F.collect_set("pos").alias("starts"))
+    starts = starts.withColumnRenamed("k1", "at")
+    met = keyed.join(starts, F.col(at_id).eqNullSafe(F.col("id")) & (F.col("k1") == F.col("at")), "left")
     body, left = _without(F.col(at_text), F.col("starts"))
     n = F.when(F.col(at_text).isNull(), 0).otherwise(F.size(_lines(F.col(at_text))))
     repeats = F.col("starts").isNotNull()

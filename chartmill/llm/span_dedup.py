@@ -46,7 +46,7 @@ def sentences(text: str) -> list[str]:
 
 
 def spans(text: str) -> list[tuple[int, int, int, int]]:
-    """(sentence it starts with, number of sentences it covers, two hashes) of each span."""
+    """(sentence it starts with, two hashes, number of sentences it covers) of each span."""
     at, words = [], []
     for i, s in enumerate(sentences(text)):
         w = s.encode().split()
@@ -63,7 +63,7 @@ def spans(text: str) -> list[tuple[int, int, int, int]]:
         if end > len(at):
             break
         h = xxhash.xxh3_128_intdigest(b" ".join(joined[i:end]))
-        out.append((at[i], at[end - 1] - at[i] + 1, _signed(h >> 64), _signed(h & (1 << 64) - 1)))
+        out.append((at[i], _signed(h >> 64), _signed(h & (1 << 64) - 1), at[end - 1] - at[i] + 1))
     return out
 
 
@@ -71,13 +71,15 @@ def _signed(h: int) -> int:
     return h - (1 << 64) if h >> 63 else h
 
 
-def without(text: str, starts: list[int], lengths: list[int]) -> tuple[str, int, int]:
-    """The text without covered sentences, the number of sentences before, and of those removed."""
+def without(text: str, starts: list[int]) -> tuple[str, int, int]:
+    """The text without the sentences of the spans that begin at ``starts``, the number of sentences before, and of
+    those removed."""
     parts = sentences(text)
+    lengths = {s: n for s, _, _, n in spans(text)}
     change = [0] * (len(parts) + 1)
-    for s, n in zip(starts, lengths):
+    for s in starts:
         change[s] += 1
-        change[s + n] -= 1
+        change[s + lengths[s]] -= 1
     kept, open_spans = [], 0
     for part, step in zip(parts, change):
         open_spans += step
@@ -97,44 +99,45 @@ def remove_repeated_spans(df: DataFrame, doc_id: str = "doc_id", text: str = "te
     ship(df.sparkSession)
     names = [c for c in df.columns if c not in ("n_sentences", "n_removed")]
     at_id, at_text = f"c{names.index(doc_id)}", f"c{names.index(text)}"
-    keyed = numbered(df.select(*[F.col(f"`{c}`") for c in names])).select("*", *row_key(at_id, at_text))
+    keyed = numbered(df.select(*[F.col(f"`{c}`") for c in names])).select("*", row_key(at_id, at_text)[0])
 
     def find(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows: list[int] = []
-            found: list[tuple[int, int, int, int]] = []
-            for row, t in enumerate(batch.column(3)):
+            found: list[tuple[int, int, int]] = []
+            for row, t in enumerate(batch.column(2)):
                 own = spans(t.as_py() or "")
-                found += own
+                found += [x[:3] for x in own]
                 rows += [row] * len(own)
-            columns = zip(*found) if found else ([], [], [], [])
-            kinds = (pa.int32(), pa.int32(), pa.int64(), pa.int64())
+            columns = zip(*found) if found else ([], [], [])
+            kinds = (pa.int32(), pa.int64(), pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [*batch.select(["id", "k1", "k2"]).take(pa.array(rows, pa.int32())).columns, *[pa.array(c, k) for c, k in zip(columns, kinds)]],
+                [*batch.select(["id", "k1"]).take(pa.array(rows, pa.int32())).columns, *[pa.array(c, k) for c, k in zip(columns, kinds)]],
                 names=schema.names,
             )
 
     schema = T.StructType(
         [
             T.StructField("id", df.schema[doc_id].dataType),
-            *[T.StructField(k, T.LongType()) for k in ("k1", "k2")],
-            *[T.StructField(k, T.IntegerType()) for k in ("pos", "length")],
+            T.StructField("k1", T.LongType()),
+            T.StructField("pos", T.IntegerType()),
             *[T.StructField(k, T.LongType()) for k in ("h1", "h2")],
         ]
     )
-    passages = keyed.select(F.col(at_id).alias("id"), "k1", "k2", F.col(at_text).alias("text")).mapInArrow(find, schema)
+    passages = keyed.select(F.col(at_id).alias("id"), "k1", F.col(at_text).alias("text")).mapInArrow(find, schema)
     # One row per document with repeats, and at most one span per sentence of it.
-    later = later_occurrences(passages).groupBy("k1", "k2").agg(F.collect_set(F.struct("pos", "length")).alias("s"))
-    starts = later.select("k1", "k2", F.col("s.pos").alias("starts"), F.col("s.length").alias("lengths"))
-    met = keyed.join(starts, ["k1", "k2"], "left").select(*[f"c{i}" for i in range(len(names))], "starts", "lengths")
+    starts = later_occurrences(passages).groupBy("id", "k1").agg(F.collect_set("pos").alias("starts"))
+    starts = starts.withColumnRenamed("k1", "at")
+    met = keyed.join(starts, F.col(at_id).eqNullSafe(F.col("id")) & (F.col("k1") == F.col("at")), "left")
+    met = met.select(*[f"c{i}" for i in range(len(names))], "starts")
     place = names.index(text)
 
     def remove(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts, before, gone = [], [], []
-            for t, s, n in zip(batch.column(place), batch.column(len(names)), batch.column(len(names) + 1)):
+            for t, s in zip(batch.column(place), batch.column(len(names))):
                 t, s = t.as_py(), s.as_py()
-                body, total, removed = without(t, s, n.as_py()) if s else (t, len(sentences(t or "")), 0)
+                body, total, removed = without(t, s) if s else (t, len(sentences(t or "")), 0)
                 texts.append(body)
                 before.append(total)
                 gone.append(removed)
