@@ -38,7 +38,7 @@ NEVER = np.int32(2**31 - 1)
 #: Longest piece to be remembered, in characters.
 SHORT = 40
 #: Most pieces remembered; the memo then starts anew.
-MEMO = 400_000
+MEMO = 200_000
 
 
 def byte_characters() -> dict[str, int]:

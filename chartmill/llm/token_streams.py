@@ -92,12 +92,40 @@ def decode_documents(
     return map_arrow(df, rest, [F.col(f"`{tokens}`").cast("array<int>")], run, {text: T.StringType()})
 
 
+def tokenised(df: DataFrame, path: str, text: str = "text", tokens: str = "tokens") -> DataFrame:
+    """All columns of ``df``, with the text replaced by what its ids decode to (the same text), and the ids.
+
+    One pass over the rows: each text is encoded and its ids decoded again in the same task. Cases as in
+    :func:`encode_documents`; a null text comes back empty.
+    """
+    rest = [c for c in df.columns if c not in (text, tokens)]
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[list[pa.Array]]:
+        bpe = tokenizer(path)
+        for batch in batches:
+            for start, texts in batches_of_texts(batch, len(rest)):
+                ids = [np.frombuffer(packed(bpe, x), bpe.dtype) for x in encoded(bpe, texts)]
+                back = []
+                for x in ids:
+                    decoder = StreamDecoder(bpe)
+                    back.append("".join([*(decoder.feed(x[i : i + 65536]) for i in range(0, len(x), 65536)), decoder.finish()]))
+                ends = pa.array(np.cumsum([0, *map(len, ids)]), pa.int32())
+                flat = pa.array(np.concatenate([np.zeros(0, bpe.dtype), *ids]).astype(np.int32))
+                own = batch.slice(start, len(texts)).columns[: len(rest)]
+                yield [*own, pa.array(back, pa.string()), pa.ListArray.from_arrays(ends, flat)]
+
+    added = {text: T.StringType(), tokens: T.ArrayType(T.IntegerType(), False)}
+    out = map_arrow(df, rest, [F.col(f"`{text}`").cast("string")], run, added)
+    return out.select(*[F.col(f"`{c}`") for c in [*(c for c in df.columns if c != tokens), tokens]])
+
+
 def round_trip_digests(df: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``doc_id``, ``n_tokens``, and SHA-256 of the ids (decimals, joined by commas) and of the decoded text.
 
     One pass: a document's ids leave the encoder, enter the decoder and are forgotten. Nulls as in
     :func:`encode_documents`; other columns are not looked at.
     """
+
     def digest(bpe: Bpe, items: list) -> tuple[int, str, str]:
         of_ids, of_text, decoder = hashlib.sha256(), hashlib.sha256(), StreamDecoder(bpe)
         n = 0

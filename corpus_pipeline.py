@@ -14,8 +14,8 @@ from chartmill.llm import line_dedup, quality_rules, simhash_dedup, source_mix,
 TOKENIZER = "byte_bpe_50k.json"
 
 
-def _like(df: DataFrame, docs: DataFrame, *more: str) -> DataFrame:
-    return df.select(*[F.col(f"`{c}`") for c in [*docs.columns, *more]])
+def _like(df: DataFrame, docs: DataFrame) -> DataFrame:
+    return df.select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def keep_good_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -42,10 +42,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def tokenise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The token ids of each text, and in the place of the text what the ids decode to (the same)."""
-    path = public_tokenizers.path(TOKENIZER)
-    tokens = token_streams.encode_documents(docs, path, carry=[c for c in docs.columns if c != "text"])
-    decoded = token_streams.decode_documents(tokens, path, keep_tokens=True)
-    return _like(decoded, docs, "tokens")
+    return token_streams.tokenised(docs, public_tokenizers.path(TOKENIZER))
 
 
 STAGES = [
