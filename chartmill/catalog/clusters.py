@@ -209,14 +209,20 @@ def composition_of_groups(t):
     return K.cluster_composition(t.lineitem, "l_linenumber", "l_returnflag", ["A", "N", "R"])
 
 
+_PROFILED = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+
+
 @register(
     CATALOG,
-    """
-    SELECT l_linenumber, 'l_quantity' AS feature, round(avg(l_quantity), 7) AS mean,
-           round((avg(l_quantity) - (SELECT avg(l_quantity) FROM lineitem)) / (SELECT stddev_samp(l_quantity) FROM lineitem), 7) AS z
-    FROM lineitem GROUP BY 1
-    """,
+    " UNION ALL ".join(
+        f"""
+        SELECT l_linenumber, '{c}' AS feature, round(avg({c}), 6) AS mean,
+               round((avg({c}) - (SELECT avg({c}) FROM lineitem)) / (SELECT stddev_samp({c}) FROM lineitem), 6) AS z
+        FROM lineitem GROUP BY 1
+        """
+        for c in _PROFILED
+    ),
 )
 def profile_of_groups(t):
-    got = K.cluster_profile(t.lineitem, "l_linenumber", ["l_quantity"])
-    return got.withColumns({"mean": F.round("mean", 7), "z": F.round("z", 7)})
+    got = K.cluster_profile(t.lineitem, "l_linenumber", _PROFILED)
+    return got.withColumns({"mean": F.round("mean", 6), "z": F.round("z", 6)})

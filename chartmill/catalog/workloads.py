@@ -237,19 +237,26 @@ def clinical_table_without_duplicates(t):
     return _rounded(clinical.clean(raw_clinical(t), remove_duplicates=True))
 
 
+_CLINICAL_COLUMNS = [c.rpartition(" AS ")[2] for c in _clinical_columns("VARCHAR")]
+
+
 @register(
     CATALOG,
     _CLINICAL
-    + """
-    SELECT 'Age' AS "column", count(*) - count(Age) AS missing_before, 0::BIGINT AS missing_after FROM twice
-    UNION ALL SELECT 'Smoker', count(*) - count(Smoker), 0 FROM twice
-    UNION ALL SELECT 'Notes', count(*) - count(Notes), 0 FROM twice
-    """,
+    + _CLEAN.format(source="twice")
+    + " UNION ALL ".join(
+        f"""
+        SELECT '{c}' AS "column", (SELECT count(*) FROM twice) AS rows_before,
+          (SELECT count(*) - count({c}) FROM twice) AS missing_before, CAST({len(_CLINICAL_COLUMNS)} AS INTEGER) AS columns_before,
+          count(*) AS rows_after, count(*) - count({c}) AS missing_after, CAST({len(_CLINICAL_COLUMNS)} AS INTEGER) AS columns_after
+        FROM f
+        """
+        for c in _CLINICAL_COLUMNS
+    ),
 )
 def clinical_summary(t):
     raw = raw_clinical(t)
-    got = cleaning_summary(raw, clinical.clean(raw))
-    return got.where(F.col("column").isin("Age", "Smoker", "Notes")).select("column", "missing_before", "missing_after")
+    return cleaning_summary(raw, clinical.clean(raw))
 
 
 # ---------------------------------------------------------------- heart-disease table
