@@ -33,22 +33,30 @@ def _expand(df: DataFrame, copies: str) -> DataFrame:
     )
 
 
+def _key_hash(cols: Sequence[str]) -> list[Column]:
+    """128 bits that tell a key; nulls count as values."""
+    parts = [x for c in cols for x in (col_of(c), col_of(c).isNull())]
+    return [F.xxhash64(*parts).alias("_h1"), F.xxhash64(F.lit(1), *reversed(parts)).alias("_h2")]
+
+
 def duplicate_report(df: DataFrame, subset: Sequence[str] | None = None, sort: bool = True) -> DataFrame:
-    """All members of duplicate groups with ``group_size``, sorted by all columns."""
+    """All members of duplicate groups with ``group_size``, sorted by all columns.
+
+    With a ``subset``, keys are counted by a 128-bit hash, taken as the key; rows move once, to meet the counts of
+    repeated keys. That join shuffles both sides, so the adaptive engine splits a key that holds much of the table.
+    """
     names = df.columns
-    rows = df.groupBy(*[col_of(c) for c in names]).agg(F.count("*").alias("_copies"))
     if subset is None or set(subset) == set(names):
-        found = rows.where("_copies > 1").withColumn("group_size", F.col("_copies"))
+        rows = df.groupBy(*[col_of(c) for c in names]).agg(F.count("*").alias("_copies"))
+        out = _expand(rows.where("_copies > 1").withColumn("group_size", F.col("_copies")), "_copies")
     else:
-        sizes = (
-            rows.groupBy(*[col_of(c) for c in subset])
-            .agg(F.sum("_copies").alias("group_size"))
-            .where("group_size > 1")
-            .select(*[col_of(c).alias(f"_k_{c}") for c in subset], "group_size")
-        )
-        on = [rows[f"`{c}`"].eqNullSafe(sizes[f"`_k_{c}`"]) for c in subset]
-        found = rows.join(sizes, on).drop(*[f"_k_{c}" for c in subset])
-    out = _expand(found, "_copies")
+        keyed = df.select("*", *_key_hash(subset))
+        sizes = df.select(*_key_hash(subset)).groupBy("_h1", "_h2").agg(F.count("*").alias("group_size"))
+        # As expressions of the keys, the sizes count as not yet partitioned by them.
+        own = [F.bitwise_not(F.bitwise_not(F.col(c))).alias(f"_of{c}") for c in ("_h1", "_h2")]
+        sizes = sizes.where("group_size > 1").select(*own, "group_size")
+        met = keyed.join(sizes, (F.col("_h1") == F.col("_of_h1")) & (F.col("_h2") == F.col("_of_h2")))
+        out = met.select(*[col_of(c) for c in names], "group_size", F.monotonically_increasing_id().alias("_copy"))
     if sort:
         # The copy number parts equal rows, so that range partitioning can split them too.
         out = out.orderBy(*[col_of(c) for c in names], "_copy")

@@ -2,6 +2,7 @@ import random
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from chartmill.operators import duplicates as D
 
@@ -69,3 +70,21 @@ def test_first_per_key_reduces_before_its_one_exchange(df):
     assert plan.count("Exchange") == 1
     partial = plan.index("Partial")
     assert partial > plan.index("Exchange"), "the map side keeps one row per key"
+
+
+def test_report_moves_rows_once_before_its_sort(spark):
+    df = spark.range(100).select("id", (F.col("id") % 5).alias("k"), F.lit("wide").alias("w"))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = D.duplicate_report(df, ["k"], sort=False)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert plan.count("Exchange hashpartitioning") == 3, "the rows, the counts by key, and these again"
+
+
+def test_distinct_long_values(table):
+    from chartmill.operators.profiling import count_distinct
+
+    df = table([("a" * 5000,), ("a" * 5000,), ("b",), (None,), ("",)], "t string")
+    assert count_distinct(df, "t").first()[0] == 3
