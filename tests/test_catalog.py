@@ -1,4 +1,4 @@
-"""Every registered query, against its SQL where it has one."""
+"""Every registered query, run once: against its SQL where it has one, and for what its plan must not contain."""
 
 import pytest
 from conftest import TINY
@@ -9,6 +9,16 @@ from chartmill.catalog import catalog
 
 QUERIES = catalog()
 
+# Matrix work on blocks of vectors runs in Arrow-fed tasks; everything else stays in the engine.
+BLOCKS = {
+    "nearest_vectors",
+    "neighbour_vote_by_distance",
+    "neighbour_vote_uniform_manhattan",
+    "neighbour_settings",
+    "silhouette_of_labels",
+    "davies_bouldin_of_labels",
+}
+
 
 @pytest.fixture(scope="module")
 def con():
@@ -23,6 +33,11 @@ def test_query(spark, con, name):
         assert df.count() > 0
     else:
         assert compare(df, con, query.sql) == []
+    # After the run this is the final plan of the adaptive engine.
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+    assert "PythonUDF" not in plan and "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
+    assert name in BLOCKS or "Pandas" not in plan
 
 
 def test_entry_points(spark):
