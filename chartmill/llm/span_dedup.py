@@ -1,13 +1,18 @@
 """Substring deduplication by sliding spans of sentences.
 
 A text is cut into sentences: after ``.``, ``!`` or ``?`` before white space, and after each line break. A sentence
-of more than 16 words is cut after every 16, so that a long one consists of several as well. From each sentence
-with a word starts one span: the shortest run of at least two sentences that has 24 words or more. Spans are
-compared by the 128-bit hash of their words, so white space does not matter. Spans that occur earlier in the
-corpus (by document id, then position, the same document included) are repeats, and the sentences that any
-repeat covers are removed. The first occurrence always stays, as does all else, to the character.
-
-A passage of 24 words more than its first and last cut sentence is therefore found wherever it is copied to.
+of more than 8 words is cut further, at places that its words choose: of any 8 words in a row (its last one aside),
+it is cut after the one whose hash, with the next word, is least. In two copies of a passage these cuts are the
+same but near its ends, whatever stands before it. Pairs of words that stand twice within 10 words are not chosen;
+where no pair is, as in a phrase said over and over, pieces have 16 words, counted from the last cut. From each piece
+with a word starts one span: the shortest run of at least two pieces that has 24 words or more. Spans are compared
+by 96 bits of the hash of their words, so white space does not matter. Spans that occur earlier in the corpus (by
+document id, then position, the same document included) are repeats, and the pieces that any repeat covers are
+removed. The first occurrence always stays, as does all else, to the character.
+
+A passage of 24 words more than some 8 to 20 at either end, where the cuts of copies can differ, is therefore found
+wherever it is copied to. A span starts at each piece and none is sought backwards from a passage's end, so that
+less than a piece of those words more can stay there.
 """
 
 from __future__ import annotations
@@ -15,7 +20,9 @@ from __future__ import annotations
 import re
 from bisect import bisect_left
 from collections.abc import Iterable, Iterator
+from zlib import crc32
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -26,44 +33,90 @@ from chartmill.llm.common import named, numbered, row_key, ship
 from chartmill.llm.occurrences import later_occurrences
 
 MOST_WORDS = 16
+#: Of so many words in a row one is cut after, unless it and the next stand again within the next or last few words.
+WINDOW = 8
+RECUR = 10
+NEVER = 1 << 32
 SPAN_WORDS = 24
 SPAN_SENTENCES = 2
+#: Parts that the hashes are counted in, and hashes that a task holds before it deals them to the parts.
+PARTS = 4096
+HELD = 1 << 20
 
 _END = re.compile(r"(?<=[.!?])(?=\s)|(?<=\n)")
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
 
-def sentences(text: str) -> list[str]:
-    """The text in order, cut into sentences; joined they are the text again."""
-    found = []
+def _cuts(words: list[bytes]) -> list[int]:
+    """The words of a long sentence that a piece starts with, but for the first."""
+    hashes = [crc32(b, crc32(a)) for a, b in zip(words, words[1:])]
+    last: dict[int, int] = {}
+    for i, h in enumerate([*hashes]):
+        k = last.get(h, -RECUR)
+        if i - k <= RECUR and k >= 0:
+            hashes[i] = hashes[k] = NEVER
+        last[h] = i
+    chosen, best = [], -1
+    for i in range(WINDOW - 1, len(words) - 1):
+        if best <= i - WINDOW:
+            best = i
+            for k in range(i - 1, i - WINDOW, -1):
+                if hashes[k] < hashes[best]:
+                    best = k
+        elif hashes[i] < hashes[best]:
+            best = i
+        else:
+            continue
+        if hashes[best] != NEVER:
+            chosen.append(best + 1)
+    found, at = [], 0
+    for c in [*chosen, len(words)]:
+        found += range(at + MOST_WORDS, c, MOST_WORDS)
+        found.append(c)
+        at = c
+    return found[:-1]
+
+
+def _pieces(text: str) -> tuple[list[str], list[list[bytes]]]:
+    """The pieces of the text in order, and the words of each."""
+    parts, words = [], []
     for part in _END.split(text):
-        if len(part) > 2 * MOST_WORDS and len(part.split()) > MOST_WORDS:
-            starts = [m.start() for m in _WORD.finditer(part)][MOST_WORDS::MOST_WORDS]
-            found += [part[a:b] for a, b in zip([0, *starts], [*starts, len(part)])]
+        own = part.encode().split()
+        if len(own) > WINDOW:
+            cuts = _cuts(own)
+            at = [m.start() for m in _WORD.finditer(part)]
+            starts = [at[c] for c in cuts]
+            parts += [part[a:b] for a, b in zip([0, *starts], [*starts, len(part)])]
+            words += [own[a:b] for a, b in zip([0, *cuts], [*cuts, len(own)])]
         elif part:
-            found.append(part)
-    return found
+            parts.append(part)
+            words.append(own)
+    return parts, words
+
+
+def sentences(text: str) -> list[str]:
+    """The text in order, cut into sentences and pieces of long ones; joined they are the text again."""
+    return _pieces(text)[0]
 
 
 def spans(text: str) -> list[tuple[int, int, int, int]]:
-    """(sentence it starts with, two hashes, number of sentences it covers) of each span."""
-    at, words = [], []
-    for i, s in enumerate(sentences(text)):
-        w = s.encode().split()
-        if w:
-            at.append(i)
-            words.append(w)
-    joined = [b" ".join(w) for w in words]
+    """(piece it starts with, two hashes of 64 and 32 bits, number of pieces it covers) of each span."""
+    return _spans(_pieces(text)[1])
+
+
+def _spans(pieces: list[list[bytes]]) -> list[tuple[int, int, int, int]]:
+    at = [i for i, w in enumerate(pieces) if w]
+    joined = [b" ".join(pieces[i]) for i in at]
     upto = [0]
-    for w in words:
-        upto.append(upto[-1] + len(w))
-    out = []
+    for i in at:
+        upto.append(upto[-1] + len(pieces[i]))
+    out, end = [], 0
     for i in range(len(at)):
-        end = max(bisect_left(upto, upto[i] + SPAN_WORDS), i + SPAN_SENTENCES)
+        end = max(bisect_left(upto, upto[i] + SPAN_WORDS, end), i + SPAN_SENTENCES)
         if end > len(at):
             break
         h = xxhash.xxh3_128_intdigest(b" ".join(joined[i:end]))
-        out.append((at[i], _signed(h >> 64), _signed(h & (1 << 64) - 1), at[end - 1] - at[i] + 1))
+        out.append((at[i], _signed(h >> 64), (h & (1 << 32) - 1) - (1 << 31), at[end - 1] - at[i] + 1))
     return out
 
 
@@ -74,8 +127,8 @@ def _signed(h: int) -> int:
 def without(text: str, starts: list[int]) -> tuple[str, int, int]:
     """The text without the sentences of the spans that begin at ``starts``, the number of sentences before, and of
     those removed."""
-    parts = sentences(text)
-    lengths = {s: n for s, _, _, n in spans(text)}
+    parts, words = _pieces(text)
+    lengths = {s: n for s, _, _, n in _spans(words)}
     change = [0] * (len(parts) + 1)
     for s in starts:
         change[s] += 1
@@ -88,6 +141,40 @@ def without(text: str, starts: list[int]) -> tuple[str, int, int]:
     return "".join(kept), len(parts), len(parts) - len(kept)
 
 
+def _repeated(texts: DataFrame) -> DataFrame:
+    """The first hashes ``h1`` of spans that more than one span has.
+
+    Of a million hashes a task sends each twice at most, packed with others of its part: a hash moves as eight bytes,
+    and a hot one weighs no more than others.
+    """
+
+    def deal(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[int] = []
+        for batch in batches:
+            for t in batch.column(0):
+                held += [x[1] for x in spans(t.as_py() or "")]
+                if len(held) >= HELD:
+                    yield dealt(held)
+                    held = []
+        if held:
+            yield dealt(held)
+
+    def dealt(held: list[int]) -> pa.RecordBatch:
+        values, counts = np.unique(np.array(held, np.int64), return_counts=True)
+        values = np.repeat(values, np.minimum(counts, 2))
+        part = values & PARTS - 1
+        order = np.argsort(part, kind="stable")
+        found, starts = np.unique(part[order], return_index=True)
+        packed = [x.astype("<i8").tobytes() for x in np.split(values[order], starts[1:])]
+        return pa.RecordBatch.from_arrays([pa.array(found, pa.int32()), pa.array(packed, pa.binary())], names=["part", "packed"])
+
+    def count(table: pa.Table) -> pa.Table:
+        values, counts = np.unique(np.frombuffer(b"".join(table.column("packed").to_pylist()), "<i8"), return_counts=True)
+        return pa.table({"h1": pa.array(values[counts > 1], pa.int64())})
+
+    return texts.mapInArrow(deal, "part int, packed binary").groupBy("part").applyInArrow(count, "h1 long")
+
+
 def remove_repeated_spans(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """All rows and columns of ``df`` with repeated spans taken out of the text, and ``n_sentences`` (before) and
     ``n_removed``, which replace columns of these names.
@@ -110,7 +197,7 @@ def remove_repeated_spans(df: DataFrame, doc_id: str = "doc_id", text: str = "te
                 found += [x[:3] for x in own]
                 rows += [row] * len(own)
             columns = zip(*found) if found else ([], [], [])
-            kinds = (pa.int32(), pa.int64(), pa.int64())
+            kinds = (pa.int32(), pa.int64(), pa.int32())
             yield pa.RecordBatch.from_arrays(
                 [*batch.select(["id", "k1"]).take(pa.array(rows, pa.int32())).columns, *[pa.array(c, k) for c, k in zip(columns, kinds)]],
                 names=schema.names,
@@ -121,12 +208,13 @@ def remove_repeated_spans(df: DataFrame, doc_id: str = "doc_id", text: str = "te
             T.StructField("id", df.schema[doc_id].dataType),
             T.StructField("k1", T.LongType()),
             T.StructField("pos", T.IntegerType()),
-            *[T.StructField(k, T.LongType()) for k in ("h1", "h2")],
+            T.StructField("h1", T.LongType()),
+            T.StructField("h2", T.IntegerType()),
         ]
     )
     passages = keyed.select(F.col(at_id).alias("id"), "k1", F.col(at_text).alias("text")).mapInArrow(find, schema)
     # One row per document with repeats, and at most one span per sentence of it.
-    starts = later_occurrences(passages).groupBy("id", "k1").agg(F.collect_set("pos").alias("starts"))
+    starts = later_occurrences(passages, _repeated(keyed.select(F.col(at_text).alias("text")))).groupBy("id", "k1").agg(F.collect_set("pos").alias("starts"))
     starts = starts.withColumnRenamed("k1", "at")
     met = keyed.join(starts, F.col(at_id).eqNullSafe(F.col("id")) & (F.col("k1") == F.col("at")), "left")
     met = met.select(*[f"c{i}" for i in range(len(names))], "starts")

@@ -117,6 +117,20 @@ def test_span_dedup_finds_a_passage_in_other_text(spark):
     assert len(got[4].split()) <= 18
 
 
+def test_span_dedup_finds_an_unpunctuated_passage_at_every_offset(spark):
+    passage = [f"p{i * 7919 % 10007}" for i in range(60)]
+    rows = [(0, " ".join(["first", "own", "words", *passage, *(f"f{i}" for i in range(40))]))]
+    for k in range(1, 17):
+        rows.append((k, " ".join([*(f"b{k}x{i}" for i in range(k + 20)), *passage, *(f"a{k}x{i}" for i in range(30))])))
+    got = {r["doc_id"]: r["text"] for r in span_dedup.remove_repeated_spans(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got[0] == rows[0][1]
+    for k in range(1, 17):
+        left = got[k].split()
+        assert [w for w in left if w[0] != "p"] == [w for w in rows[k][1].split() if w[0] != "p"]
+        stay = [passage.index(w) for w in left if w[0] == "p"]
+        assert not set(stay) & set(range(15, 45)), (k, stay)
+
+
 def test_span_dedup_of_odd_rows(spark):
     rows = span_dedup.remove_repeated_spans(cases.odd(spark)).collect()
     assert len(rows) == len(cases.ROWS)
