@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import math
 import re
+from collections import Counter
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -38,9 +39,8 @@ IDENTITIES = (
     ("musulmans", "chrétiens", "juifs", "muslime", "christen", "juden", "musulmanes", "cristianos", "judíos"),
 )
 
-#: Most features, pairs of a document and least documents with a feature.
+#: Most features, and least documents with a feature.
 FEATURES = 4_096
-PAIRS = 4
 LEAST_DOCUMENTS = 5
 #: Least standard errors between the classes for a feature.
 LEAST_GAP = 3.5
@@ -60,17 +60,15 @@ def features(word: str) -> list[str]:
     return [word, *[word[:n] + "-" for n in range(4, min(len(word), 8))]]
 
 
-def counterfactuals(text: str, most: int = PAIRS) -> list[tuple[str, str]]:
-    """(sentence, the same with its group names swapped) of sentences that name groups: once each for the next name of
-    its kind and for none."""
+def counterfactuals(text: str) -> list[tuple[str, str]]:
+    """(sentence, the same with its group names swapped) of all sentences that name groups: once each for the next
+    name of its kind and for none."""
     found = []
     for s in _SENTENCE.findall(text.lower()):
-        if len(found) >= most:
-            break
         if any(w in _KIND for w in _WORD.findall(s)):
             found.append((s, _WORD.sub(lambda m: _next(m.group()), s)))
             found.append((s, _WORD.sub(lambda m: "" if m.group() in _KIND else m.group(), s)))
-    return found[:most]
+    return found
 
 
 def _next(word: str) -> str:
@@ -114,7 +112,8 @@ def train(
 
     ``even`` weighs the counterfactual penalty (0: none). Features are those of at least five documents that tell the
     classes apart best, at most ``n_features``. Only their numbers, and of pairs only the differences, reach the driver.
-    Without labels of both classes the score is the share of toxic labels (none: 0).
+    All sentences that name groups count in the penalty; a document's pairs weigh one together, and equal differences
+    in it are sent once. Without labels of both classes the score is the share of toxic labels (none: 0).
     """
     ship(docs.sparkSession)
     rows, sizes = labelled(docs, labels, label, [text], most, doc_id)
@@ -149,28 +148,33 @@ def train(
         for batch in batches:
             for t, y in zip(batch.column(0), batch.column(1)):
                 t = t.as_py() or ""
-                diffs = []
+                diffs = Counter()
                 for one, other in counterfactuals(t):
                     a, b = empty.present(one), empty.present(other)
-                    diffs.append([place[f] + 1 for f in a - b] + [-place[f] - 1 for f in b - a])
+                    diffs[tuple(sorted([place[f] + 1 for f in a - b] + [-place[f] - 1 for f in b - a]))] += 1
+                n = sum(diffs.values())
                 yield pa.RecordBatch.from_arrays(
                     [
                         y_array(y.as_py()),
                         pa.array([[place[f] for f in empty.present(t)]], pa.list_(pa.int32())),
-                        pa.array([diffs], pa.list_(pa.list_(pa.int32()))),
+                        pa.array([[*diffs]], pa.list_(pa.list_(pa.int32()))),
+                        pa.array([[k / n for k in diffs.values()]], pa.list_(pa.float64())),
                     ],
-                    names=["y", "at", "diffs"],
+                    names=["y", "at", "diffs", "parts"],
                 )
 
     def y_array(y: int) -> pa.Array:
         return pa.array([y], pa.int32())
 
-    got = texts.mapInArrow(numbers, "y int, at array<int>, diffs array<array<int>>").collect()
+    got = texts.mapInArrow(numbers, "y int, at array<int>, diffs array<array<int>>, parts array<double>").collect()
     if not got:
         return Model({}, -40.0)
     y = np.array([r["y"] for r in got])
-    diffs = [d for r in got for d in r["diffs"] if d]
-    pairs = Sparse([[abs(c) - 1 for c in d] for d in diffs], len(place), [[math.copysign(1, c) for c in d] for d in diffs])
+    diffs = [(d, part) for r in got for d, part in zip(r["diffs"], r["parts"]) if d]
+    # The penalty is a mean of squares over the pairs: roots of their weights go into the differences.
+    scale = len(diffs) / (sum(part for _, part in diffs) or 1.0)
+    values = [[math.copysign(math.sqrt(part * scale), c) for c in d] for d, part in diffs]
+    pairs = Sparse([[abs(c) - 1 for c in d] for d, _ in diffs], len(place), values)
     w, b = fit(Sparse([r["at"] for r in got], len(place)), y, class_weights(y, sizes), pairs=pairs, even=even)
     return Model({f: float(w[i]) for f, i in place.items()}, b)
 

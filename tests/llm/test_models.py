@@ -69,6 +69,11 @@ def test_swapped_sentences():
     ]
 
 
+def test_all_sentences_that_name_groups_are_swapped():
+    found = toxicity.counterfactuals(" ".join(f"Say{'x' * i} women." for i in range(9)))
+    assert len(found) == 18 and found[-1] == (" sayxxxxxxxx women", " sayxxxxxxxx ")
+
+
 def test_models_without_labels_or_rows(spark):
     odd = cases.odd(spark)
     none = spark.createDataFrame([], "doc_id long, toxic int, quality int")
