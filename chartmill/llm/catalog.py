@@ -6,7 +6,22 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chartmill.llm import cotraining, line_dedup, quality_rules, simhash_dedup, source_mix, span_dedup, token_files, token_streams, toxicity, vector_tree
+from chartmill.llm import (
+    cotraining,
+    line_dedup,
+    quality_rules,
+    scalar_tables,
+    simhash_dedup,
+    source_mix,
+    span_dedup,
+    token_files,
+    token_streams,
+    toxicity,
+    url_filter,
+    vector_codes,
+    vector_tree,
+)
+from chartmill.llm.common import saved
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -163,3 +178,157 @@ def op2_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 @_query
 def op8_quality_cotraining(spark: SparkSession, folder: str) -> DataFrame:
     return cotraining.quality(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
+
+
+@_query
+def op11_vector_codes(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = _table(spark, folder, "embeddings")
+    books = vector_codes.fit_codebooks(vectors)
+    names = "vec_id long, code string, error long, label_error long, codebooks_sha256 string"
+    if books is None:
+        return spark.createDataFrame([], names)
+    coded = saved(vector_codes.encode(vectors, books).select("vec_id", "label", "code", "error"))
+    return vector_codes.with_group_error(coded).select(
+        "vec_id", F.lower(F.hex("code")).alias("code"), "error", "label_error", F.lit(books.digest()).alias("codebooks_sha256")
+    )
+
+
+def _full(vector: str) -> str:
+    return f"{vector} IS NOT NULL AND len([z FOR z IN {vector} IF z IS NULL OR NOT isfinite(z)]) = 0"
+
+
+def _gap(a: str, b: str, width: int) -> str:
+    """Squared distance of two lists of whole numbers."""
+    return " + ".join(f"({a}[{i}] - {b}[{i}]) * ({a}[{i}] - {b}[{i}])" for i in range(1, width + 1))
+
+
+def _floored(s: str, n: str) -> str:
+    """floor(s / n) of whole numbers."""
+    return f"((({s}) - ((({s}) % {n}) + {n}) % {n}) // {n})::BIGINT"
+
+
+def _vector_codes_sql(parts: int = 8, entries: int = 16, rounds: int = 6, width: int = 8) -> str:
+    with_ = [
+        f"""kept AS MATERIALIZED (SELECT row_number() OVER () AS r, vec_id, label,
+              [floor(4096 * z::DOUBLE)::BIGINT FOR z IN embedding] AS v
+            FROM embeddings WHERE {_full("embedding")} AND len(embedding) = {parts * width})""",
+        f"x AS MATERIALIZED (SELECT r, p, v[p * {width} + 1:p * {width} + {width}] AS a FROM kept, range({parts}) AS q(p))",
+        f"""f AS (SELECT vec_id, min(v) AS v, row_number() OVER (ORDER BY vec_id) - 1 AS e FROM kept
+            GROUP BY vec_id ORDER BY vec_id LIMIT {entries})""",
+        f"b0 AS MATERIALIZED (SELECT p, e, v[p * {width} + 1:p * {width} + {width}] AS c FROM f, range({parts}) AS q(p))",
+    ]
+    for i in range(rounds + 1):
+        with_.append(
+            f"""n{i} AS MATERIALIZED (SELECT r, p, min(a) AS a, min((({_gap("a", "c", width)}), e)) AS best
+                FROM x JOIN b{i} USING (p) GROUP BY r, p)"""
+        )
+        if i < rounds:
+            means = ", ".join(_floored(f"sum(a[{j}])", "count(*)") for j in range(1, width + 1))
+            with_.append(
+                f"""b{i + 1} AS MATERIALIZED (SELECT b.p, b.e, coalesce(m.c, b.c) AS c FROM b{i} AS b
+                    LEFT JOIN (SELECT p, best[2] AS e, [{means}] AS c FROM n{i} GROUP BY 1, 2) AS m USING (p, e))"""
+            )
+    return f"""
+WITH {", ".join(with_)},
+o AS (SELECT r, string_agg(lpad(to_hex(best[2]), 2, '0'), '' ORDER BY p) AS code, sum(best[1])::BIGINT AS error
+      FROM n{rounds} GROUP BY r),
+s AS (SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY p, e)) AS codebooks_sha256 FROM b{rounds})
+SELECT vec_id, lower(code) AS code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, codebooks_sha256
+FROM kept JOIN o USING (r), s
+"""
+
+
+SQL["op11_vector_codes"] = _vector_codes_sql()
+
+
+@_query
+def op12_scalar_table_clusters(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = _table(spark, folder, "embeddings")
+    names = "vec_id long, cluster int, distance long, cluster_inertia long, inertia long, centroid_sha256 string"
+    centroids = scalar_tables.fit_centroids(vectors)
+    if centroids is None:
+        return spark.createDataFrame([], names)
+    found = saved(scalar_tables.assign(vectors, centroids).select("vec_id", "cluster", "distance"))
+    # One row per centroid, a fixed number.
+    summed = found.groupBy("cluster").agg(F.sum(F.col("distance").cast("decimal(38,0)")).alias("s")).collect()
+    inertia = {r["cluster"]: int(r["s"]) for r in summed}
+    digests = centroids.digests()
+
+    def of(values: list):
+        return F.get(F.array(*map(F.lit, values)), F.col("cluster"))
+
+    return found.select(
+        "vec_id",
+        "cluster",
+        "distance",
+        of([inertia.get(c, 0) for c in range(len(digests))]).cast("long").alias("cluster_inertia"),
+        F.lit(sum(inertia.values())).cast("long").alias("inertia"),
+        of(digests).alias("centroid_sha256"),
+    )
+
+
+def _scalar_tables_sql(k: int = 16, rounds: int = 3, dims: int = 64) -> str:
+    with_ = [
+        f"""x AS MATERIALIZED (SELECT row_number() OVER () AS r, vec_id, [floor(64 * z::DOUBLE)::BIGINT FOR z IN embedding] AS a
+            FROM embeddings WHERE {_full("embedding")} AND len(embedding) = {dims})""",
+        f"""b0 AS MATERIALIZED (SELECT a AS c, row_number() OVER (ORDER BY sha256('1:' || vec_id), a) - 1 AS e FROM x
+            ORDER BY e LIMIT {k})""",
+    ]
+    for i in range(rounds + 1):
+        with_.append(f"n{i} AS MATERIALIZED (SELECT r, min(a) AS a, min((({_gap('a', 'c', dims)}), e)) AS best FROM x, b{i} GROUP BY r)")
+        if i < rounds:
+            means = ", ".join(_floored(f"sum(a[{j}])", "count(*)") for j in range(1, dims + 1))
+            with_.append(
+                f"""b{i + 1} AS MATERIALIZED (SELECT b.e, coalesce(m.c, b.c) AS c FROM b{i} AS b
+                    LEFT JOIN (SELECT best[2] AS e, [{means}] AS c FROM n{i} GROUP BY 1) AS m USING (e))"""
+            )
+    return f"""
+WITH {", ".join(with_)},
+o AS (SELECT vec_id, best[2] AS e, best[1]::BIGINT AS distance FROM x JOIN n{rounds} USING (r))
+SELECT vec_id, e::INTEGER AS cluster, distance, (sum(distance) OVER (PARTITION BY e))::BIGINT AS cluster_inertia,
+  (sum(distance) OVER ())::BIGINT AS inertia, sha256(array_to_string(c, ',')) AS centroid_sha256
+FROM o JOIN b{rounds} USING (e)
+"""
+
+
+SQL["op12_scalar_table_clusters"] = _scalar_tables_sql()
+
+URL_RULES = (
+    ("allow", "com/"),
+    ("block", "example.com/en/"),
+    ("allow", "www.example.com/en/"),
+    ("block", "net/es/"),
+    ("block", "net/fr/"),
+)
+
+
+@_query
+def op13_url_vocabulary(spark: SparkSession, folder: str) -> DataFrame:
+    return url_filter.judge_urls(_table(spark, folder, "pages"), URL_RULES, carry=["page_id"])
+
+
+def _url_filter_sql() -> str:
+    def values(rows):
+        return ", ".join("(" + ", ".join(f"'{v}'" for v in r) + ")" for r in rows)
+
+    rules = values((verdict, *rule.split("/", 1), rule) for verdict, rule in URL_RULES)
+    terms = values([*((t, "strict") for t in url_filter.STRICT), *((t, "soft") for t in url_filter.SOFT if t not in url_filter.STRICT)])
+    fold = f"'{url_filter.UPPER}', '{url_filter.LOWER}'"
+    return rf"""
+WITH u AS (SELECT row_number() OVER () AS r, page_id, CASE WHEN contains(url, '://') THEN substr(url, instr(url, '://') + 3) ELSE '' END AS behind
+           FROM pages),
+h AS (SELECT *, translate(regexp_extract(behind, '^[^/?#]*'), {fold}) AS host, regexp_extract(behind, '^[^/?#]*([^?#]*)', 1) AS path,
+        regexp_replace(translate(behind, {fold}), '%[0-9a-f][0-9a-f]', ' ', 'g') AS text FROM u),
+k(verdict, rule_host, rule_path, rule) AS (VALUES {rules}),
+m AS (SELECT r, max((length(rule), length(rule_host), rule, k.verdict)) AS best FROM h JOIN k
+      ON (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, '/' || rule_path) GROUP BY r),
+t(term, kind) AS (VALUES {terms}),
+c AS (SELECT r, count(*) FILTER (kind = 'strict') AS strict_hits, count(*) FILTER (kind = 'soft') AS soft_hits FROM h JOIN t
+      ON regexp_matches(text, '(^|[^a-z0-9])' || term || '([^a-z0-9]|$)') GROUP BY r)
+SELECT page_id, host, path, best[3] AS rule, coalesce(strict_hits, 0)::INTEGER AS strict_hits, coalesce(soft_hits, 0)::INTEGER AS soft_hits,
+  CASE WHEN best IS NOT NULL THEN best[4] WHEN strict_hits > 0 OR soft_hits >= {url_filter.SOFT_LIMIT} THEN 'block' ELSE 'allow' END AS verdict
+FROM h LEFT JOIN m USING (r) LEFT JOIN c USING (r)
+"""
+
+
+SQL["op13_url_vocabulary"] = _url_filter_sql()
