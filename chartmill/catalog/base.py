@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
+from chartmill.operators.stages import shared_scratch
+
 
 @dataclass(frozen=True)
 class Query:
@@ -40,17 +41,5 @@ def register(catalog: dict[str, Query], sql: str | None = None):
     return add
 
 
-def scratch(spark: SparkSession) -> str:
-    """A new folder on the storage that all executors share, removed when the session's JVM ends.
-
-    That is where the session checkpoints, or else its warehouse.
-    """
-    context = spark.sparkContext
-    shared = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
-    shared = shared or spark.conf.get("spark.sql.warehouse.dir")
-    folder = f"{shared.rstrip('/')}/chartmill-{uuid.uuid4().hex}"
-    path = context._jvm.org.apache.hadoop.fs.Path(folder)
-    files = path.getFileSystem(context._jsc.hadoopConfiguration())
-    files.mkdirs(path)
-    files.deleteOnExit(path)
-    return folder
+#: A folder for the queries that write tables.
+scratch = shared_scratch

@@ -376,6 +376,24 @@ def nearest_vectors(t):
     return near.withColumn("distance", F.round("distance", 8))
 
 
+@register(
+    CATALOG,
+    """
+    WITH e AS (SELECT p_partkey, p_size, [p_size, floor(p_retailprice / 8), p_partkey % 50]::DOUBLE[] AS v FROM part),
+    d AS (SELECT a.p_partkey AS id, b.p_partkey AS ref_id, b.p_size AS label, list_distance(a.v, b.v) AS distance
+          FROM e a JOIN e b ON a.p_partkey <> b.p_partkey),
+    r AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY distance, ref_id) AS rank FROM d)
+    SELECT id, ref_id, label, round(distance, 8) AS distance, CAST(rank AS INTEGER) AS rank FROM r WHERE rank <= 5
+    """,
+)
+def nearest_parts(t):
+    """Rows of few dimensions, through the metric index."""
+    place = F.array("p_size", F.floor(F.col("p_retailprice") / 8), F.pmod("p_partkey", F.lit(50))).cast("array<double>")
+    rows = t.part.select("p_partkey", "p_size", place.alias("v"))
+    near = N.nearest(rows, rows, 5, "p_partkey", "v", "p_size", skip_self=True, cell_rows=64)
+    return near.withColumn("distance", F.round("distance", 8))
+
+
 def _vote_sql(metric: str, vote: str, k: int) -> str:
     return f"""
     WITH e AS (SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings),

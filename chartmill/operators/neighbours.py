@@ -1,6 +1,7 @@
-"""Exact distances between two sets of vectors, block against block.
+"""Exact distances between two sets of vectors: neighbours through a metric index, sums block against block.
 
-Both sides are cut by key hash into blocks of bounded size. Every query block meets every reference
+References of more rows than one block are searched through :mod:`chartmill.operators.metric_index`. Otherwise, and
+where all pairs count, both sides are cut by key hash into blocks of bounded size. Every query block meets every reference
 block in a task of its own, which multiplies two matrices and hands on only a reduced result (the k
 nearest, or sums per cluster), never the pairs. The number of blocks follows the row counts, so tasks
 stay the same size as the tables grow.
@@ -18,11 +19,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from chartmill.functions import col_of
+from chartmill.operators.metric_index import CELL_ROWS, MetricIndex, best_in_block, matrix, rough_distances
 from chartmill.workers import ship
 
 BLOCK_ROWS = 4096
 
 
+def _usable(vec):
+    return vec.isNotNull() & F.forall(vec, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
+
+
 def _vector(df: DataFrame, name: str):
     kind = df.schema[name].dataType
     if isinstance(kind, T.ArrayType):
@@ -32,26 +38,6 @@ def _vector(df: DataFrame, name: str):
     return vector_to_array(col_of(name))
 
 
-def _matrix(rows: pd.DataFrame) -> np.ndarray:
-    return np.stack(rows["vec"].to_numpy())
-
-
-def _rough_distances(a: np.ndarray, b: np.ndarray, metric: str) -> tuple[np.ndarray, np.ndarray]:
-    """Distances of all pairs, and a bound per row on how far off they may be."""
-    if metric == "manhattan":
-        return np.stack([np.abs(b - row).sum(axis=1) for row in a]), np.zeros(len(a))
-    if metric != "euclidean":
-        raise ValueError(f"unknown metric {metric!r}")
-    square = (a * a).sum(axis=1)[:, None] + (b * b).sum(axis=1)[None, :]
-    slack = np.sqrt(1e-12 * (square.max(axis=1) + 1.0))
-    return np.sqrt(np.maximum(square - 2.0 * (a @ b.T), 0.0)), slack
-
-
-def _exact_distance(a: np.ndarray, b: np.ndarray, metric: str) -> np.ndarray:
-    gap = a - b
-    return np.abs(gap).sum(axis=1) if metric == "manhattan" else np.sqrt((gap * gap).sum(axis=1))
-
-
 def _blocks(n: int, block_rows: int) -> int:
     return max(1, math.ceil(n / block_rows))
 
@@ -94,39 +80,30 @@ def nearest(
     metric: str = "euclidean",
     skip_self: bool = False,
     block_rows: int = BLOCK_ROWS,
+    cell_rows: int = CELL_ROWS,
 ) -> DataFrame:
-    """The k nearest references of each query: (id, ref_id, label, distance, rank); ties by id."""
+    """The k nearest references of each query: (id, ref_id, label, distance, rank); ties by id.
+
+    Ids of queries are unique. Vectors that are null, or hold a null or a number that is not finite, take no part. Up to
+    ``cell_rows`` references every query meets all; more are indexed in cells of about so many (at once, when called).
+    """
     kinds = {c: df.schema[c].dataType.simpleString() for df, c in ((queries, id_col), (refs, label_col))}
     q = queries.select(col_of(id_col).alias("id"), _vector(queries, vec_col).alias("vec"))
     r = refs.select(
         col_of(id_col).alias("id"), _vector(refs, vec_col).alias("vec"), col_of(label_col).alias("label")
     )
 
+    q, r = q.where(_usable(F.col("vec"))), r.where(_usable(F.col("vec")))
+    n = r.count()
+    if n > cell_rows:
+        return MetricIndex(r, n, metric, cell_rows).nearest(q, k, skip_self)
+    names = ["id", "ref_id", "label", "distance"]
+
     def best(qs: pd.DataFrame, rs: pd.DataFrame) -> pd.DataFrame:
-        a, b = _matrix(qs), _matrix(rs)
-        rough, slack = _rough_distances(a, b, metric)
-        if skip_self:
-            rough[qs["id"].to_numpy()[:, None] == rs["id"].to_numpy()[None, :]] = np.inf
-        at = min(k, rough.shape[1]) - 1
-        limit = np.partition(rough, at, axis=1)[:, at] + 2 * slack
-        i, j = np.nonzero((rough <= limit[:, None]) & np.isfinite(rough))
-        found = pd.DataFrame(
-            {
-                "id": qs["id"].to_numpy()[i],
-                "ref_id": rs["id"].to_numpy()[j],
-                "label": rs["label"].to_numpy()[j],
-                "distance": _exact_distance(a[i], b[j], metric),
-            }
-        )
-        return found.sort_values(["id", "distance", "ref_id"]).groupby("id", sort=False).head(k)
-
-    near = block_pairs(
-        q,
-        r,
-        best,
-        f"id {kinds[id_col]}, ref_id {kinds[id_col]}, label {kinds[label_col]}, distance double",
-        block_rows,
-    )
+        return best_in_block(qs, rs, k, metric, skip_self)[names]
+
+    schema = f"id {kinds[id_col]}, ref_id {kinds[id_col]}, label {kinds[label_col]}, distance double"
+    near = block_pairs(q, r, best, schema, block_rows)
     order = Window.partitionBy("id").orderBy("distance", "ref_id")
     return near.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
@@ -142,13 +119,14 @@ def knn_vote(
     metric: str = "euclidean",
     skip_self: bool = False,
     block_rows: int = BLOCK_ROWS,
+    cell_rows: int = CELL_ROWS,
 ) -> DataFrame:
     """(id, prediction, probability): the label with the largest vote of the k nearest references.
 
     With ``weights='distance'`` a neighbour counts 1/distance; where some are at distance 0, only
     those count. The smallest label wins a tie.
     """
-    near = nearest(queries, refs, k, id_col, vec_col, label_col, metric, skip_self, block_rows)
+    near = nearest(queries, refs, k, id_col, vec_col, label_col, metric, skip_self, block_rows, cell_rows)
     return vote(near, weights)
 
 
@@ -189,7 +167,7 @@ def cluster_distances(
 
     def sums(qs: pd.DataFrame, rs: pd.DataFrame) -> pd.DataFrame:
         names, inverse = np.unique(rs["cluster"].to_numpy(), return_inverse=True)
-        d, _ = _rough_distances(_matrix(qs), _matrix(rs), "euclidean")
+        d, _ = rough_distances(matrix(qs["vec"]), matrix(rs["vec"]), "euclidean")
         d[qs["id"].to_numpy()[:, None] == rs["id"].to_numpy()[None, :]] = 0.0
         totals = d @ np.eye(len(names))[inverse]
         return pd.DataFrame(

@@ -12,6 +12,7 @@ QUERIES = catalog()
 # Matrix work on blocks of vectors runs in Arrow-fed tasks; everything else stays in the engine.
 BLOCKS = {
     "nearest_vectors",
+    "nearest_parts",
     "neighbour_vote_by_distance",
     "neighbour_vote_uniform_manhattan",
     "neighbour_settings",
