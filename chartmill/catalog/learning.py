@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from chartmill.catalog.base import Query, Tables, register
 from chartmill.functions import flag
+from chartmill.operators import downdating as D
 from chartmill.operators import metrics as L
 from chartmill.operators import models as Z
 from chartmill.operators import neighbours as N
@@ -429,8 +430,8 @@ FEATURES = ["l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_linenumbe
 
 
 def _planted(t: Tables):
-    """Order lines with a target that the columns tell, with noise from the key hash."""
-    noise = F.pmod(F.xxhash64("l_orderkey", "l_linenumber"), F.lit(1000)) / 1000.0
+    """Order lines with a target that the columns tell, with noise from the key; :data:`PLANTED` in SQL."""
+    noise = F.pmod(F.col("l_orderkey") * 31 + F.col("l_linenumber") * 17, F.lit(1000)) / 1000.0
     signal = F.col("l_quantity") / 50 + F.col("l_discount") * 4 + noise * 0.8 > 1.2
     key = F.col("l_orderkey") * 8 + F.col("l_linenumber")
     return t.lineitem.select(
@@ -438,6 +439,10 @@ def _planted(t: Tables):
     )
 
 
+PLANTED = """planted AS (SELECT l_orderkey * 8 + l_linenumber AS key, l_quantity, l_extendedprice, l_discount, l_tax, l_linenumber,
+      CAST(l_quantity / 50 + l_discount * 4 + (l_orderkey * 31 + l_linenumber * 17) % 1000 / 1000.0::DOUBLE * 0.8 > 1.2 AS INTEGER) AS y
+    FROM lineitem)"""
+
 @register(CATALOG)
 def boosted_trees_metrics(t):
     rows = T.stratified_split(_planted(t), "y", [0.8, 0.2], "key")
@@ -515,6 +520,59 @@ def folds_of_logistic(t):
     return Z.cv_summary(Z.cross_validate(rows, fit, "y", "key", k=5))
 
 
+# Ridge weights by Cramer's rule: the matrix of standardised columns is (n - 1) times their correlations, plus the penalty.
+_CLOSED = ("l_quantity", "l_discount", "l_tax")
+
+
+def _closed_form_sql(penalty: float = 1.0) -> str:
+    x, pairs = range(1, 4), ((1, 2), (1, 3), (2, 3))
+    columns = ", ".join(f"{c}::DOUBLE AS x{i}" for i, c in zip(x, _CLOSED))
+    stats = ["count(*) AS n", "avg(2 * y - 1) AS mt"]
+    for i in x:
+        stats += [f"avg(x{i}) AS m{i}", f"stddev_samp(x{i}) AS d{i}", f"covar_samp(x{i}, 2 * y - 1) AS b{i}", f"var_pop(x{i}) AS v{i}"]
+        for y in (0, 1):
+            stats += [f"avg(x{i}) FILTER (y = {y}) AS m{y}{i}", f"var_pop(x{i}) FILTER (y = {y}) AS v{y}{i}"]
+    stats += [f"(count(*) - 1) * corr(x{i}, x{j}) AS a{i}{j}" for i, j in pairs]
+    stats += ["count(*) FILTER (y = 1) AS n1", "count(*) FILTER (y = 0) AS n0"]
+
+    def entry(i, j, column):
+        if j == column:
+            return f"((n - 1) * b{i} / d{i})"
+        return f"(n - 1 + {penalty})" if i == j else f"a{min(i, j)}{max(i, j)}"
+
+    def det(column):
+        m = {(i, j): entry(i, j, column) for i in x for j in x}
+        return " + ".join(
+            f"{m[1, p]} * ({m[2, q]} * {m[3, r]} - {m[2, r]} * {m[3, q]})" for p, q, r in ((1, 2, 3), (2, 3, 1), (3, 1, 2))
+        )
+
+    weights = ", ".join(f"({det(i)}) / ({det(0)}) / d{i} AS w{i}" for i in x)
+    ridge = "mt + " + " + ".join(f"(x{i} - m{i}) * w{i}" for i in x)
+    extra = "1e-9 * greatest(v1, v2, v3)"
+    bells = " - ".join(
+        ["ln(n1 / n0)"]
+        + [f"0.5 * (ln((v1{i} + e) / (v0{i} + e)) + (x{i} - m1{i}) ** 2 / (v1{i} + e) - (x{i} - m0{i}) ** 2 / (v0{i} + e))" for i in x]
+    )
+    return f"""
+    WITH {PLANTED}, p AS (SELECT key, y, {columns}, (key // 8 + 3 * (key % 8)) % 5 AS f FROM planted),
+    s AS (SELECT g.f, {", ".join(stats)} FROM p JOIN (SELECT unnest(range(5)) AS f) AS g ON p.f <> g.f GROUP BY g.f),
+    w AS (SELECT *, {weights}, {extra} AS e FROM s),
+    q AS (SELECT 'Ridge (penalty=1)' AS model, f, y, {ridge} AS m FROM p JOIN w USING (f)
+          UNION ALL SELECT 'Gaussian Naive Bayes', f, y, {bells} FROM p JOIN w USING (f)),
+    r AS (SELECT *, rank() OVER (PARTITION BY model, f ORDER BY m) + (count(*) OVER (PARTITION BY model, f, m) - 1) / 2 AS place FROM q)
+    SELECT model, CAST(f AS INTEGER) AS fold, count(*) AS n, round(avg(CAST((m >= 0) = (y = 1) AS INTEGER)), 8) AS accuracy,
+           round((sum(place) FILTER (y = 1) - sum(y) * (sum(y) + 1) / 2) / (sum(y) * sum(1 - y))::DOUBLE, 6) AS roc_auc
+    FROM r GROUP BY 1, 2
+    """
+
+
+@register(CATALOG, _closed_form_sql())
+def folds_in_closed_form(t):
+    fold = F.pmod(F.floor(F.col("key") / 8) + 3 * F.pmod("key", F.lit(8)), F.lit(5)).cast("int")
+    got = D.cross_validate_closed(_planted(t).withColumn("fold", fold), _CLOSED, "y", "fold")
+    return got.withColumns({"accuracy": F.round("accuracy", 8), "roc_auc": F.round("roc_auc", 6)})
+
+
 @register(CATALOG)
 def tree_settings(t):
     tree = DecisionTreeClassifier(seed=42)
