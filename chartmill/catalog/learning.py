@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from chartmill.catalog.base import Query, Tables, register
 from chartmill.functions import flag
 from chartmill.operators import downdating as D
+from chartmill.operators import fit_checks as C
 from chartmill.operators import metrics as L
 from chartmill.operators import models as Z
 from chartmill.operators import neighbours as N
@@ -429,7 +430,7 @@ def neighbour_vote_uniform_manhattan(t):
 FEATURES = ["l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_linenumber"]
 
 
-def _planted(t: Tables):
+def planted(t: Tables):
     """Order lines with a target that the columns tell, with noise from the key; :data:`PLANTED` in SQL."""
     noise = F.pmod(F.col("l_orderkey") * 31 + F.col("l_linenumber") * 17, F.lit(1000)) / 1000.0
     signal = F.col("l_quantity") / 50 + F.col("l_discount") * 4 + noise * 0.8 > 1.2
@@ -443,34 +444,46 @@ PLANTED = """planted AS (SELECT l_orderkey * 8 + l_linenumber AS key, l_quantity
       CAST(l_quantity / 50 + l_discount * 4 + (l_orderkey * 31 + l_linenumber * 17) % 1000 / 1000.0::DOUBLE * 0.8 > 1.2 AS INTEGER) AS y
     FROM lineitem)"""
 
-@register(CATALOG)
-def boosted_trees_metrics(t):
-    rows = T.stratified_split(_planted(t), "y", [0.8, 0.2], "key")
-    train, test = (rows.where(F.col("split") == i).drop("split") for i in (0, 1))
-    model = Z.train_gbt(train, FEATURES, "y", Z.BoostConfig(trees=10, step=0.2))
-    return L.binary_metrics(Z.score(model, test), "y", "p1", "prediction")
-
-
-@register(CATALOG, "SELECT count(*) AS n, CAST(0 AS BIGINT) AS broken FROM lineitem")
-def batch_scores(t):
-    rows = _planted(t)
-    model = Z.train_gbt(rows, FEATURES, "y", Z.BoostConfig(trees=3, depth=3))
-    scored = Z.score_batch(model, rows)
-    text = F.when(F.col("prediction") == 1, "Early Readmission Risk").otherwise("Low Readmission Risk")
-    whole = (F.abs(F.col("p0") + F.col("p1") - 1) < 1e-9) & (F.col("label_text") == text) & F.col("p1").between(0, 1)
-    return scored.agg(F.count("*").alias("n"), F.count(F.when(~whole, 1)).alias("broken"))
+@register(
+    CATALOG,
+    f"""
+    WITH {PLANTED}, w AS (SELECT *, count(*) OVER () / (2.0::DOUBLE * count(*) OVER (PARTITION BY y)) AS w, 2 * y - 1 AS r FROM planted),
+    u AS (UNPIVOT (SELECT w, r, l_quantity::DOUBLE AS l_quantity, l_extendedprice::DOUBLE AS l_extendedprice,
+                   l_discount::DOUBLE AS l_discount, l_tax::DOUBLE AS l_tax, l_linenumber::DOUBLE AS l_linenumber FROM w)
+          ON l_quantity, l_extendedprice, l_discount, l_tax, l_linenumber INTO NAME feature VALUE value),
+    c AS (SELECT feature, value, count(*) AS n, sum(w) AS w, sum(w * r) AS s FROM u GROUP BY 1, 2),
+    g AS (SELECT feature, value, lead(value) OVER o AS next, sum(n) OVER o AS nl, sum(n) OVER a AS na, sum(w) OVER o AS wl, sum(w) OVER a AS wa,
+                 sum(s) OVER o AS sl, sum(s) OVER a AS sa FROM c
+          WINDOW o AS (PARTITION BY feature ORDER BY value), a AS (PARTITION BY feature))
+    SELECT feature, round((value + next) / 2, 6) AS threshold, CAST(nl AS BIGINT) AS rows_left,
+           round((sl * sl / wl + (sa - sl) * (sa - sl) / (wa - wl) - sa * sa / wa) / wa, 8) AS gain
+    FROM g WHERE next IS NOT NULL AND nl >= 30 AND na - nl >= 30
+    """,
+)
+def gains_of_cuts(t):
+    rows = T.balanced_weights(planted(t).withColumn("r", 2 * F.col("y") - 1), "y", "w")
+    got = C.split_gains(rows, FEATURES, "r", "w", least_rows=30)
+    return got.withColumns({"threshold": F.round("threshold", 6), "gain": F.round("gain", 8)})
 
 
-@register(CATALOG)
-def tree_importances(t):
-    model = Z.train_gbt(_planted(t), FEATURES, "y", Z.BoostConfig(trees=5, step=0.2))
-    return Z.feature_importance(model, t.lineitem, FEATURES)
+def _product_terms_sql() -> str:
+    scaled = ", ".join(f"({f} - avg({f}) OVER ()) / stddev_samp({f}) OVER () AS z{i}" for i, f in enumerate(FEATURES))
+    terms = [(n, f"z{FEATURES.index(n)}" if " x " not in n else " * ".join(f"z{FEATURES.index(f)}" for f in n.split(" x "))) for n in Z.interaction_terms(FEATURES)]
+    rows = " UNION ALL ".join(f"SELECT '{n}' AS term, sum(w * y * {t}) / sum(w) AS moment FROM v" for n, t in [("constant", "1"), *terms])
+    return f"""
+    WITH {PLANTED}, z AS (SELECT y, {scaled} FROM planted),
+    v AS (SELECT *, count(*) OVER () / (2.0::DOUBLE * count(*) OVER (PARTITION BY y)) AS w FROM z)
+    SELECT term, round(moment, 4) AS moment FROM ({rows})
+    """
 
 
-@register(CATALOG)
+@register(CATALOG, _product_terms_sql())
 def logistic_on_products(t):
-    model = Z.logistic_interactions(_planted(t), FEATURES, "y", max_iter=50)
-    return L.binary_metrics(Z.score(model, _planted(t)), "y", "p1", "prediction")
+    """The fit is at its optimum: for each term, what the probabilities and the penalty give is what the labels ask for."""
+    rows = T.balanced_weights(planted(t), "y", "weight")
+    model = Z.logistic_interactions(rows.drop("weight"), FEATURES, "y")
+    got = C.logistic_optimality(model, rows, "y", "weight", Z.interaction_terms(FEATURES))
+    return got.select("term", F.round("fitted", 4).alias("moment"))
 
 
 @register(
@@ -507,12 +520,12 @@ def model_comparison(t):
     kinds = ("Linear SVM (C=0.1)", "Lasso Logistic (C=0.1)", "Ridge Logistic (C=0.1)", "Ridge Classifier",
              "Decision Tree (depth=3)", "Logistic + Feature Selection", "Naive Bayes - Original")
     zoo = [c for c in Z.model_zoo() if c.name in kinds]
-    return Z.compare_models(_planted(t), FEATURES, "y", "key", zoo, k=2)
+    return Z.compare_models(planted(t), FEATURES, "y", "key", zoo, k=2)
 
 
 @register(CATALOG)
 def folds_of_logistic(t):
-    rows = _planted(t)
+    rows = planted(t)
 
     def fit(part):
         return Z.fit_pipeline(part, FEATURES, LogisticRegression(labelCol="y", maxIter=20), "y", scale=True)
@@ -569,7 +582,7 @@ def _closed_form_sql(penalty: float = 1.0) -> str:
 @register(CATALOG, _closed_form_sql())
 def folds_in_closed_form(t):
     fold = F.pmod(F.floor(F.col("key") / 8) + 3 * F.pmod("key", F.lit(8)), F.lit(5)).cast("int")
-    got = D.cross_validate_closed(_planted(t).withColumn("fold", fold), _CLOSED, "y", "fold")
+    got = D.cross_validate_closed(planted(t).withColumn("fold", fold), _CLOSED, "y", "fold")
     return got.withColumns({"accuracy": F.round("accuracy", 8), "roc_auc": F.round("roc_auc", 6)})
 
 
@@ -577,7 +590,7 @@ def folds_in_closed_form(t):
 def tree_settings(t):
     tree = DecisionTreeClassifier(seed=42)
     grid = ParamGridBuilder().addGrid(tree.maxDepth, [2, 4]).addGrid(tree.minInstancesPerNode, [1, 30]).build()
-    return Z.grid_search(_planted(t), FEATURES, "y", "key", tree, grid, k=2)
+    return Z.grid_search(planted(t), FEATURES, "y", "key", tree, grid, k=2)
 
 
 @register(CATALOG)
@@ -587,7 +600,7 @@ def neighbour_settings(t):
 
 @register(CATALOG, "SELECT count(*) AS n, CAST(0 AS BIGINT) AS outside FROM lineitem")
 def vote_of_models(t):
-    rows = _planted(t)
+    rows = planted(t)
     models = [Z.fit_candidate(rows, FEATURES, "y", c) for c in Z.model_zoo() if c.name in ("Linear SVM (C=0.1)", "Decision Tree (depth=3)")]
     for i, model in enumerate(models):
         rows = Z.score(model, rows, f"s{i}", f"c{i}")
@@ -598,4 +611,4 @@ def vote_of_models(t):
 
 @register(CATALOG)
 def training_approaches(t):
-    return Z.approach_comparison(_planted(t), FEATURES, "y", "key", extra_rows=1000, trees=10)
+    return Z.approach_comparison(planted(t), FEATURES, "y", "key", extra_rows=1000, trees=10)

@@ -49,37 +49,29 @@ def roc_curve(df: DataFrame, label: str, score: str, drop_intermediate: bool = F
 
     ``drop_intermediate`` leaves out points on a straight horizontal or vertical stretch.
     """
-    ranked = running_totals(score_counts(df, label, score), "score", ["pos", "neg"], descending=True)
-    points = ranked.select(
+    counts = score_counts(df, label, score)
+    beside = ["pos", "neg"] if drop_intermediate else []
+    points = running_totals(counts, "score", ["pos", "neg"], descending=True, beside=beside)
+    if drop_intermediate:
+        points = points.where(_turns())
+    points = points.select(
         F.col("score").alias("threshold"),
         F.try_divide(F.col("cum_neg").cast("double"), F.col("all_neg")).alias("fpr"),
         F.try_divide(F.col("cum_pos").cast("double"), F.col("all_pos")).alias("tpr"),
-        "pos",
-        "neg",
     )
-    if drop_intermediate:
-        points = _corners(points)
     start = df.sparkSession.range(1).select(
         F.lit(None).cast("double").alias("threshold"), F.lit(0.0).alias("fpr"), F.lit(0.0).alias("tpr")
     )
-    return start.unionByName(points.drop("pos", "neg")).orderBy(F.desc_nulls_first("threshold"))
+    return start.unionByName(points).orderBy(F.desc_nulls_first("threshold"))
 
 
-def _corners(points: DataFrame) -> DataFrame:
-    """Points where the curve turns: the stretch on one side differs from the one on the other.
+def _turns() -> Column:
+    """Whether the curve may turn at a point: neither is the step to it and the one after it along the same axis.
 
-    A run of points with one fpr (or one tpr) keeps its two ends only.
+    The first and the last point stay. So does the end of a straight stretch, whose next step goes the other way.
     """
-    ends = {}
-    for axis in ("fpr", "tpr"):
-        ends[axis] = points.groupBy(F.col(axis).alias(f"_at_{axis}")).agg(
-            F.min("threshold").alias(f"_low_{axis}"), F.max("threshold").alias(f"_high_{axis}")
-        )
-        points = points.join(ends[axis], points[axis] == ends[axis][f"_at_{axis}"]).drop(f"_at_{axis}")
-    inner = [
-        (F.col("threshold") > F.col(f"_low_{a}")) & (F.col("threshold") < F.col(f"_high_{a}")) for a in ("fpr", "tpr")
-    ]
-    return points.where(~(inner[0] | inner[1])).select("threshold", "fpr", "tpr", "pos", "neg")
+    straight = ((F.col(f"prev_{c}").isNotNull()) & (F.col(c) == 0) & (F.col(f"next_{c}") == 0) for c in ("pos", "neg"))
+    return ~F.coalesce(next(straight) | next(straight), F.lit(False))
 
 
 def curve_areas(df: DataFrame, label: str, score: str, weight: str | None = None) -> DataFrame:

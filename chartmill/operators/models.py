@@ -181,9 +181,12 @@ def fit_candidate(df: DataFrame, features: Sequence[str], label: str, candidate:
 
 
 def logistic_interactions(
-    df: DataFrame, features: Sequence[str], label: str, c: float = 0.05, max_iter: int = 2000
+    df: DataFrame, features: Sequence[str], label: str, c: float = 0.05, max_iter: int = 2000, tol: float = 1e-9
 ) -> PipelineModel:
-    """Balanced logistic regression on standardised columns and all their pairwise products."""
+    """Balanced logistic regression on standardised columns and all their pairwise products.
+
+    :func:`interaction_terms` names its terms; ``fit_checks.logistic_optimality`` proves the fit.
+    """
     # Degree-2 terms come as one block per column: itself, its products with earlier ones, its square.
     terms = [j * (j + 3) // 2 + i for j in range(len(features)) for i in range(j + 1)]
     stages: list = [
@@ -202,6 +205,7 @@ def logistic_interactions(
                 weightCol="_weight",
                 regParam=1.0 / (c * rows.count()),
                 maxIter=max_iter,
+                tol=tol,
             )
         )
         return Pipeline(stages=stages).fit(rows)
@@ -209,6 +213,11 @@ def logistic_interactions(
         rows.unpersist()
 
 
+def interaction_terms(features: Sequence[str]) -> list[str]:
+    """Names of the terms of :func:`logistic_interactions`, in their order: each column, then its products with earlier ones."""
+    return [name for j, b in enumerate(features) for name in (b, *[f"{a} x {b}" for a in features[:j]])]
+
+
 # ---------------------------------------------------------------- scoring
 
 

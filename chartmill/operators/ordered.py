@@ -72,9 +72,13 @@ def running_totals(
     slices: int | None = None,
     only: Column | None = None,
     few_groups: bool | None = None,
+    beside: Sequence[str] = (),
 ) -> DataFrame:
     """Add ``cum_<m>`` (running sum in value order, inclusive) and ``all_<m>`` (group total).
 
+    For columns ``beside`` it also adds ``prev_<c>`` and ``next_<c>``, theirs in the row before and after (null at an end).
+    Each slice carries its first and last row to its neighbours, past slices without rows of the group.
+
     ``rows`` holds one row per (groups, value), and numbers beside these. ``only`` limits the output to the slices that meet a
     condition on ``before_<m>``, ``slice_<m>`` and ``all_<m>``, which are known before any sort.
     The number of slices follows the number of shuffle partitions. Without groups, or with ``few_groups``, the slice totals are few rows and travel to the values.
@@ -88,12 +92,16 @@ def running_totals(
     by_slice = F.desc("_slice") if descending else F.asc("_slice")
     whole = Window.partitionBy(*[col_of(c) for c in groups])
     earlier = whole.orderBy(by_slice).rowsBetween(Window.unboundedPreceding, -1)
-    totals = rows.groupBy(*[col_of(c) for c in at]).agg(*[F.sum(col_of(m)).alias(m) for m in measures])
+    edge = F.struct(*[col_of(c).alias(c) for c in beside]) if beside else None
+    first, last = (F.max_by, F.min_by) if descending else (F.min_by, F.max_by)
+    ends = [f(edge, col_of(value)).alias(name) for f, name in ((first, "_first"), (last, "_last"))] if beside else []
+    totals = rows.groupBy(*[col_of(c) for c in at]).agg(*[F.sum(col_of(m)).alias(m) for m in measures], *ends)
     offsets = totals.select(
         *[col_of(c).alias(f"_r_{c}") for c in at],
         *[F.coalesce(F.sum(col_of(m)).over(earlier), F.lit(0)).alias(f"before_{m}") for m in measures],
         *[col_of(m).alias(f"slice_{m}") for m in measures],
         *[F.sum(col_of(m)).over(whole).alias(f"all_{m}") for m in measures],
+        *[f(end).over(whole.orderBy(by_slice)).alias(name) for f, end, name in ((F.lag, "_last", "_prev"), (F.lead, "_first", "_next")) if beside],
     )
     if only is not None:
         offsets = offsets.where(only)
@@ -106,8 +114,11 @@ def running_totals(
         .orderBy(by_value)
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
+    ordered = Window.partitionBy(*[col_of(c) for c in at]).orderBy(by_value)
+    near = {"prev": F.coalesce(F.lag(edge).over(ordered), "_prev"), "next": F.coalesce(F.lead(edge).over(ordered), "_next")} if beside else {}
     return rows.join(offsets, _same(rows, offsets, groups)).select(
         *[col_of(c) for c in rows.columns if c != "_slice"],
+        *[side.getField(c).alias(f"{name}_{c}") for name, side in near.items() for c in beside],
         *[(F.sum(col_of(m)).over(inside) + col_of(f"before_{m}")).alias(f"cum_{m}") for m in measures],
         *[col_of(f"all_{m}") for m in measures],
     )
