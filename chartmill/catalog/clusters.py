@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 from chartmill.catalog.base import Query, Tables, register
@@ -53,8 +55,6 @@ def _planted(t: Tables):
     shifted = F.transform(
         F.col("embedding").cast("array<double>"), lambda x, i: x + F.when(F.pmod(i, F.lit(3)) == group, 4.0).otherwise(0.0)
     )
-    from pyspark.ml.functions import array_to_vector
-
     return t.embeddings.select("vec_id", group.alias("group"), array_to_vector(shifted).alias("features"))
 
 
@@ -66,31 +66,54 @@ def planted_groups_found(t):
     return found.groupBy("group").agg(F.count("*").alias("n"), F.count_distinct("cluster").alias("clusters"))
 
 
-@register(CATALOG)
+@register(
+    CATALOG,
+    """
+    WITH y AS (SELECT l_suppkey % 3 AS g, CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END AS y FROM lineitem),
+    b AS (SELECT avg(y) * 100 AS base, count(*) AS total FROM y), g AS (SELECT g, count(*) AS n, avg(y) * 100 AS r FROM y GROUP BY 1)
+    SELECT n, round(r, 8) AS rate_pct, round(n * 100.0::DOUBLE / total, 8) AS pct_of_total,
+           CAST(row_number() OVER (ORDER BY r DESC) AS INTEGER) AS "rank",
+           CASE WHEN r >= base * 1.5 THEN 'High' WHEN r >= base THEN 'Elevated' ELSE 'Low' END AS risk_tier FROM g, b
+    """,
+)
 def clusters_of_lines(t):
-    rows = K.cluster_features(t.lineitem, ["l_quantity", "l_discount", "l_tax"])
-    rows = rows.withColumn("y", flag(F.col("l_returnflag") == "R"))
-    return K.cluster_report(K.kmeans_assign(rows, 3), "cluster", "y")
+    """Scaled columns, groups found by K-Means, and their report; each supplier group lies elsewhere."""
+    apart = F.pmod(F.col("l_suppkey"), F.lit(3)) * 200
+    rows = t.lineitem.select("l_quantity", (F.col("l_discount") * 100 + apart).alias("place"), "l_tax", "l_returnflag")
+    rows = K.cluster_features(rows, ["l_quantity", "place", "l_tax"])
+    heavy = F.transform(vector_to_array("features"), lambda x, i: x * F.when(i == 1, 9.0).otherwise(1.0))
+    rows = rows.withColumns({"features": array_to_vector(heavy), "y": flag(F.col("l_returnflag") == "R")})
+    got = K.cluster_report(K.kmeans_assign(rows, 3), "cluster", "y").drop("cluster")
+    return got.withColumns({"rate_pct": F.round("rate_pct", 8), "pct_of_total": F.round("pct_of_total", 8)})
 
 
-@register(CATALOG)
-def elbow_scan(t):
-    return K.k_scan(_planted(t), "vec_id")
+# The planted groups are optimal for k = 3, and the cheapest merger of two of them for k = 2.
+_PLANTED_SQL = """
+    WITH e AS (SELECT vec_id % 3 AS g, i, x + CASE WHEN i % 3 = vec_id % 3 THEN 4.0 ELSE 0.0 END AS x
+               FROM (SELECT vec_id, unnest(embedding)::DOUBLE AS x, unnest(range(len(embedding))) AS i FROM embeddings)),
+    c AS (SELECT g, i, avg(x) AS m, count(*) AS n FROM e GROUP BY 1, 2),
+    t AS (SELECT sum((x - m) * (x - m)) AS inertia FROM e JOIN c USING (g, i)),
+    a AS (SELECT a.g, b.g, max(a.n * b.n / (a.n + b.n)::DOUBLE) * sum((a.m - b.m) * (a.m - b.m)) AS more
+          FROM c AS a JOIN c AS b ON a.i = b.i AND a.g < b.g GROUP BY 1, 2)"""
 
 
 @register(
     CATALOG,
-    """
-    WITH e AS (SELECT vec_id % 3 AS g, i, x + CASE WHEN i % 3 = vec_id % 3 THEN 4.0 ELSE 0.0 END AS x
-               FROM (SELECT vec_id, unnest(embedding)::DOUBLE AS x, unnest(range(len(embedding))) AS i FROM embeddings)),
-    c AS (SELECT g, i, avg(x) AS m FROM e GROUP BY 1, 2)
-    SELECT CAST(3 AS INTEGER) AS k, round(sum((x - m) * (x - m)), 4) AS inertia, CAST(1 AS INTEGER) AS best
-    FROM e JOIN c USING (g, i)
+    _PLANTED_SQL
+    + """
+    SELECT CAST(k AS INTEGER) AS k, CASE k WHEN 2 THEN round(inertia + (SELECT min(more) FROM a), 4) WHEN 3 THEN round(inertia, 4) END AS inertia,
+           CAST(k = 3 AS INTEGER) AS best FROM t, (SELECT unnest(range(2, 9)) AS k)
     """,
 )
+def elbow_scan(t):
+    """All of the scan's settings; sums beyond the planted number of groups depend on the starts and are left out."""
+    scan = K.k_scan(_planted(t), "vec_id")
+    return scan.select("k", F.when(F.col("k") <= 3, F.round("inertia", 4)).alias("inertia"), "best")
+
+
+@register(CATALOG, _PLANTED_SQL + " SELECT CAST(3 AS INTEGER) AS k, round(inertia, 4) AS inertia, CAST(1 AS INTEGER) AS best FROM t")
 def elbow_at_planted_groups(t):
-    scan = K.k_scan(_planted(t), "vec_id", ks=(2, 3, 4), seeds=range(3), max_iter=50)
-    return scan.where("k = 3").select("k", F.round("inertia", 4).alias("inertia"), "best")
+    return K.k_scan(_planted(t), "vec_id").where("k = 3").select("k", F.round("inertia", 4).alias("inertia"), "best")
 
 
 @register(
@@ -156,13 +179,51 @@ def davies_bouldin_of_labels(t):
     return got.withColumn("davies_bouldin", F.round("davies_bouldin", 7))
 
 
-@register(CATALOG, "SELECT count(*) AS n, CAST(1 AS INTEGER) AS centred, CAST(1 AS INTEGER) AS first_is_wider FROM lineitem")
+@register(
+    CATALOG,
+    """
+    WITH z AS (SELECT l_orderkey, l_linenumber, corr(l_quantity, l_extendedprice) OVER () AS r,
+                 (l_quantity - avg(l_quantity) OVER ()) / stddev_pop(l_quantity) OVER () AS a,
+                 (l_extendedprice - avg(l_extendedprice) OVER ()) / stddev_pop(l_extendedprice) OVER () AS b FROM lineitem)
+    SELECT l_orderkey, l_linenumber, round(greatest(abs(a + b) * CAST(r > 0 AS INTEGER), abs(a - b) * CAST(r <= 0 AS INTEGER)) / sqrt(2), 5) AS pc1,
+           round(greatest(abs(a - b) * CAST(r > 0 AS INTEGER), abs(a + b) * CAST(r <= 0 AS INTEGER)) / sqrt(2), 5) AS pc2,
+           round((1 + abs(r)) / 2, 8) AS pc1_variance, round((1 - abs(r)) / 2, 8) AS pc2_variance FROM z
+    """,
+)
 def projected_lines(t):
-    rows = K.cluster_features(t.lineitem, ["l_quantity", "l_extendedprice", "l_discount", "l_tax"])
+    """Two scaled columns: the components are their sum and their difference, told up to the sign."""
+    rows = K.cluster_features(t.lineitem.select("l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice"), ["l_quantity", "l_extendedprice"])
     got = K.pca_project(rows, 2)
-    centred = (F.abs(F.avg("pc1")) < 1e-6) & (F.abs(F.avg("pc2")) < 1e-6)
-    wider = (F.var_pop("pc1") >= F.var_pop("pc2")) & (F.abs(F.var_pop("pc1") / 4 - F.max("pc1_variance")) < 1e-6)
-    return got.agg(F.count("*").alias("n"), flag(centred).alias("centred"), flag(wider).alias("first_is_wider"))
+    return got.select(
+        "l_orderkey",
+        "l_linenumber",
+        *[F.round(F.abs(c), 5).alias(c) for c in ("pc1", "pc2")],
+        *[F.round(c, 8).alias(c) for c in ("pc1_variance", "pc2_variance")],
+    )
+
+
+@register(
+    CATALOG,
+    """
+    WITH e AS (SELECT vec_id % 3 AS g, i, x + CASE WHEN i % 3 = vec_id % 3 THEN 4.0 ELSE 0.0 END AS x
+               FROM (SELECT vec_id, unnest(embedding)::DOUBLE AS x, unnest(range(len(embedding))) AS i FROM embeddings)),
+    c AS (SELECT g, i, avg(x) AS m FROM e GROUP BY 1, 2)
+    SELECT CAST(a.g AS INTEGER) AS a, CAST(b.g AS INTEGER) AS b, round(sqrt(sum((a.m - b.m) * (a.m - b.m))), 6) AS apart
+    FROM c AS a JOIN c AS b ON a.i = b.i AND a.g < b.g GROUP BY 1, 2
+    """,
+)
+def projected_centroids(t):
+    """Three centres span a plane, so their distances in it are those in all dimensions."""
+    rows = _planted(t)
+    model = K.fit_kmeans(rows, 3)
+    # Components of the centres alone, which hold all that is between them.
+    centres = t.spark.createDataFrame([(Vectors.dense(c),) for c in model.clusterCenters()], ["features"])
+    placed = K.project_centroids(model, K.fit_pca(centres), rows)
+    owner = model.setPredictionCol("cluster").transform(rows).groupBy("cluster").agg(F.min("group").alias("g"))
+    x = placed.join(owner, "cluster").select("g", "pc1", "pc2")
+    y = x.toDF("h", "q1", "q2")
+    apart = F.sqrt((F.col("pc1") - F.col("q1")) ** 2 + (F.col("pc2") - F.col("q2")) ** 2)
+    return x.join(F.broadcast(y), F.col("g") < F.col("h")).select(F.col("g").alias("a"), F.col("h").alias("b"), F.round(apart, 6).alias("apart"))
 
 
 _REPORT = """

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 import numpy as np
 import pandas as pd
@@ -12,12 +13,13 @@ from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import PCA, PCAModel, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from chartmill.functions import band, col_of
 from chartmill.operators.encode import log1p, standardise
+from chartmill.operators.lloyd import Fit, fit_many, squared_silhouettes
 from chartmill.operators.lookup import attach, literal_table
 from chartmill.operators.missing import fill_median, fill_zero
 from chartmill.operators.neighbours import BLOCK_ROWS, block_pairs, cluster_distances
@@ -52,23 +54,33 @@ def cluster_features(
 def fit_kmeans(
     df: DataFrame, k: int, seeds: Sequence[int] = range(10), max_iter: int = 300, features: str = "features"
 ) -> KMeansModel:
-    """Best of several starts, by the lowest sum of squared distances."""
+    """Best of several starts, by the lowest sum of squared distances; all starts share each pass over the rows.
+
+    Vectors are full and of one length.
+    """
     if k < 2:
         raise ValueError(f"k is {k}: at least 2 groups")
-    rows = df.select(col_of(features))
-    fresh = not df.is_cached
-    if fresh:
-        rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
+    with _held_vectors(df, features) as vectors:
+        fits = fit_many(vectors, [(k, seed) for seed in seeds], max_iter)
+    if not fits:
+        raise ValueError("no rows to group")
+    return as_model(df.sparkSession, min(fits, key=lambda f: f.inertia).centres, features)
+
+
+@contextmanager
+def _held_vectors(df: DataFrame, features: str) -> Iterator[DataFrame]:
+    vectors = df.select(_array(df, features).alias("v")).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        best = None
-        for seed in seeds:
-            model = KMeans(featuresCol=features, k=k, seed=seed, maxIter=max_iter).fit(rows)
-            if best is None or model.summary.trainingCost < best.summary.trainingCost:
-                best = model
-        return best
+        yield vectors
     finally:
-        if fresh:
-            rows.unpersist()
+        vectors.unpersist()
+
+
+def as_model(spark: SparkSession, centres: np.ndarray, features: str = "features") -> KMeansModel:
+    """The centres as a model that assigns rows: fitted on just these, each of them is its own group."""
+    rows = literal_table(spark, [([float(x) for x in c],) for c in centres], "v array<double>")
+    only = KMeans(featuresCol=features, k=max(2, len(centres)), initMode="random", maxIter=1, seed=1)
+    return only.fit(rows.select(array_to_vector("v").alias(features)))
 
 
 def kmeans_assign(
@@ -99,22 +111,25 @@ def k_scan(
 
     All rows are used, and the silhouette is the linear one of squared distances. ``sample`` scans that many rows instead;
     ``silhouette_sample`` takes the Euclidean silhouette of that many. ``k`` is the number of centres found: fewer than
-    asked for where there are fewer different rows.
+    asked for where there are fewer different rows. All (k, seed) pairs share each pass over the rows, and so do the
+    silhouettes.
     """
+    if min(ks) < 2:
+        raise ValueError(f"k is {min(ks)}: at least 2 groups")
     rows = df if sample is None else sample_rows(df, sample, key, seed)
-    rows = rows.select(col_of(key), col_of(features)).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        found = []
-        for k in ks:
-            model = fit_kmeans(rows, k, seeds, max_iter, features)
-            labelled = model.setPredictionCol("cluster").transform(rows)
-            if silhouette_sample is None:
-                score = silhouette_squared(labelled, features, "cluster").first()[0]
-            else:
-                score = silhouette(labelled, key, features, "cluster", silhouette_sample, seed).first()[0]
-            found.append((len(model.clusterCenters()), float(model.summary.trainingCost), score))
-    finally:
-        rows.unpersist()
+    with _held_vectors(rows, features) as vectors:
+        best: dict[int, Fit] = {}
+        for fit in fit_many(vectors, [(k, s) for k in ks for s in seeds], max_iter):
+            if fit.k not in best or fit.inertia < best[fit.k].inertia:
+                best[fit.k] = fit
+        if silhouette_sample is None:
+            scores = squared_silhouettes(vectors, [f.centres for f in best.values()]) if best else []
+        else:
+            scores = []
+            for f in best.values():
+                labelled = as_model(df.sparkSession, f.centres, features).setPredictionCol("cluster").transform(rows)
+                scores.append(silhouette(labelled, key, features, "cluster", silhouette_sample, seed).first()[0])
+    found = [(len(f.centres), f.inertia, score) for f, score in zip(best.values(), scores)]
     table = literal_table(df.sparkSession, found, "k int, inertia double, silhouette double")
     best = argmax_row(table, "silhouette", "k").select("k").scalar()
     return table.withColumn("best", (F.col("k") == best).cast("int"))
