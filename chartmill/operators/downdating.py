@@ -12,6 +12,8 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -79,7 +81,7 @@ def fold_statistics(df: DataFrame, features: Sequence[str], label: str, fold: st
     parts = {}
     # One row per fold and class reaches the driver.
     for r in moment_sums(rows, p, shift).collect():
-        s = np.array(r[3:], float)
+        s = np.array(r["s"], float)
         parts[r["fold"], r["y"]] = Moments(r["n"], s[:p], s[p:].reshape(p, p))
     return FoldStatistics(tuple(features), shift, parts)
 
@@ -92,7 +94,7 @@ def _rows(df: DataFrame, features: Sequence[str], label: str, fold: str) -> Data
 
 
 def moment_sums(rows: DataFrame, p: int, shift: np.ndarray) -> DataFrame:
-    """(fold, y, n, s0, s1, ...) with sums and cross products of the p columns, less ``shift``."""
+    """(fold, y, n, s): ``s`` has the sums and then the cross products of the p columns, less ``shift``."""
     ship(rows.sparkSession)
 
     def add(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -114,8 +116,8 @@ def moment_sums(rows: DataFrame, p: int, shift: np.ndarray) -> DataFrame:
         ]
         yield pa.RecordBatch.from_arrays(arrays, names=["fold", "y", "n", "s"])
 
-    summed = [F.sum(F.get("s", F.lit(j))).alias(f"s{j}") for j in range(p + p * p)]
-    return rows.mapInArrow(add, "fold int, y int, n double, s array<double>").groupBy("fold", "y").agg(F.sum("n").alias("n"), *summed)
+    parts = rows.mapInArrow(add, "fold int, y int, n double, s array<double>")
+    return parts.groupBy("fold", "y").agg(F.sum("n").alias("n"), vector_to_array(Summarizer.sum(array_to_vector("s"))).alias("s"))
 
 
 def _complete(whole: Sequence[str], numbers: Sequence[str]) -> Column:

@@ -12,6 +12,8 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark.ml.functions import array_to_vector
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -85,12 +87,12 @@ def _step(vectors: DataFrame, pairs: dict[int, np.ndarray]) -> DataFrame:
     return vectors.mapInArrow(add, "pair int, cluster int, n double, cost double, s array<double>")
 
 
-def _summed(parts: DataFrame, dims: int) -> dict[int, dict[int, tuple[float, float, np.ndarray]]]:
+def _summed(parts: DataFrame) -> dict[int, dict[int, tuple[float, float, np.ndarray]]]:
     """Per pair and group: count, cost and sum. As many rows as centres reach the driver."""
-    sums = [F.sum(F.get("s", F.lit(j))).alias(f"s{j}") for j in range(dims)]
+    total = Summarizer.sum(array_to_vector("s")).alias("s")
     found: dict[int, dict[int, tuple[float, float, np.ndarray]]] = {}
-    for r in parts.groupBy("pair", "cluster").agg(F.sum("n").alias("n"), F.sum("cost").alias("cost"), *sums).collect():
-        found.setdefault(r["pair"], {})[r["cluster"]] = (r["n"], r["cost"], np.array(r[4:], float))
+    for r in parts.groupBy("pair", "cluster").agg(F.sum("n").alias("n"), F.sum("cost").alias("cost"), total).collect():
+        found.setdefault(r["pair"], {})[r["cluster"]] = (r["n"], r["cost"], r["s"].toArray())
     return found
 
 
@@ -110,7 +112,7 @@ def fit_many(vectors: DataFrame, pairs: Sequence[tuple[int, int]], max_iter: int
     fits: dict[int, Fit] = {}
     moving = dict(centres)
     for step in range(1, max_iter + 1):
-        sums = _summed(_step(vectors, moving), sample.shape[1])
+        sums = _summed(_step(vectors, moving))
         for p, old in list(moving.items()):
             new, cost = old.copy(), 0.0
             for c, (n, spent, s) in sums[p].items():
@@ -134,7 +136,7 @@ def squared_silhouettes(vectors: DataFrame, groupings: Sequence[np.ndarray]) ->
     ship(vectors.sparkSession)
     vectors = vectors.toDF("v")
     pairs = dict(enumerate(groupings))
-    stats = _summed(_step(vectors, pairs), groupings[0].shape[1])
+    stats = _summed(_step(vectors, pairs))
     held = {}
     for p, centres in pairs.items():
         found = sorted(stats.get(p, {}).items())
