@@ -17,14 +17,17 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from chartmill import functions as X
 from chartmill.functions import band, col_of
 from chartmill.operators.encode import log1p, standardise
 from chartmill.operators.lloyd import Fit, fit_many, squared_silhouettes
 from chartmill.operators.lookup import attach, literal_table
-from chartmill.operators.missing import fill_median, fill_zero
+from chartmill.operators.missing import fill_zero, value_counts_by_column
 from chartmill.operators.neighbours import BLOCK_ROWS, block_pairs, cluster_distances
+from chartmill.operators.ordered import percentiles_of_counts
 from chartmill.operators.profiling import argmax_row, crosstab, group_profile, group_sizes, rank_groups
 from chartmill.operators.sampling import sample_rows
+from chartmill.operators.stages import written
 
 #: Most centroids that are broadcast: each is a vector.
 FEW_VECTORS = 1_000
@@ -42,13 +45,37 @@ def cluster_features(
     vector: str | None = "features",
     suffix: str = "_z",
 ) -> DataFrame:
-    """Add filled, log-scaled and standardised copies ``<col>_z`` and, in ``vector``, their vector."""
+    """Add filled, log-scaled and standardised copies ``<col>_z`` and, in ``vector``, their vector.
+
+    With medians the source is read twice: once for a table of value counts (written at once) that medians, means and
+    deviations follow from, and once for the result.
+    """
     scaled = [f"{c}{suffix}" for c in cols]
-    out = df.select("*", *[col_of(c).cast("double").alias(z) for c, z in zip(cols, scaled)])
-    out = fill_median(out, scaled) if fill == "median" else fill_zero(out, scaled)
-    out = log1p(out, [f"{c}{suffix}" for c in log_cols])
-    out = standardise(out, scaled, ddof=0)
-    return VectorAssembler(inputCols=scaled, outputCol=vector).transform(out) if vector else out
+    if fill != "median":
+        out = df.select("*", *[col_of(c).cast("double").alias(z) for c, z in zip(cols, scaled)])
+        out = standardise(log1p(fill_zero(out, scaled), [f"{c}{suffix}" for c in log_cols]), scaled, ddof=0)
+        return VectorAssembler(inputCols=scaled, outputCol=vector).transform(out) if vector else out
+    counts = written(value_counts_by_column(df, cols).select("column", "value", "n"))
+    half = percentiles_of_counts(counts.where("value IS NOT NULL"), [0.5]).select("column", F.col("p50").alias("median"))
+    logged = F.col("column").isin(list(log_cols))
+    # The filled and logged numbers, of all rows with one value at once; one row per column is broadcast.
+    placed = counts.join(F.broadcast(half), "column", "left").withColumn("x", F.coalesce("value", "median"))
+    placed = placed.withColumn("x", F.when(logged, X.log1p("x")).otherwise(F.col("x")))
+    means = placed.groupBy("column").agg((F.sum(F.col("x") * F.col("n")) / F.sum(F.when(F.col("x").isNotNull(), F.col("n")))).alias("mean"))
+    gap = F.col("x") - F.col("mean")
+    spread = F.sqrt(F.sum(gap * gap * F.col("n")) / F.sum(F.when(F.col("x").isNotNull(), F.col("n"))))
+    found = placed.join(F.broadcast(means), "column").groupBy("column").agg(
+        F.first("median").alias("median"), F.first("mean").alias("mean"), spread.alias("spread")
+    )
+    table = found.agg(F.map_from_entries(F.collect_list(F.struct("column", F.struct("median", "mean", "spread")))).alias("m")).scalar()
+    out = []
+    for c, z in zip(cols, scaled):
+        s = F.col("_stats")[c]
+        x = F.coalesce(F.nanvl(col_of(c).cast("double"), F.lit(None)), s["median"])
+        x = X.log1p(x) if c in log_cols else x
+        out.append(((x - s["mean"]) / F.when(s["spread"] == 0, 1.0).otherwise(s["spread"])).alias(z))
+    rows = df.withColumn("_stats", table).select(*[col_of(c) for c in df.columns], *out)
+    return VectorAssembler(inputCols=scaled, outputCol=vector).transform(rows) if vector else rows
 
 
 def fit_kmeans(

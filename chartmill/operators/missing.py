@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from chartmill.functions import band, col_of, flag, nullify, to_number
-from chartmill.operators.ordered import percentile_row
+from chartmill.operators.ordered import percentile_row, percentiles_of_counts, percentiles_row
+from chartmill.operators.stages import written
 
 # Severity bands of a missing percentage, from the highest.
 SEVERITY_CUTS = [30.0, 5.0]
@@ -107,34 +108,58 @@ def number_of(df: DataFrame, name: str, kind: str = "double", default: float | N
     return value if default is None else F.coalesce(value, F.lit(default).cast(kind))
 
 
+def value_counts_by_column(df: DataFrame, values: Sequence[str] = (), sums: Sequence[str] = (), levels: Sequence[str] = ()) -> DataFrame:
+    """One table, from one scan, that means, order statistics and most frequent values all follow from.
+
+    (column, value, v0, v1, ..., n, total): for each column of ``values`` its different numbers (null: missing) and their
+    row counts; for each of ``sums`` one row with the count and the sum; for each of ``levels`` its different values, in
+    the field of their type (see :func:`level_fields`). Equal values are merged before they are shuffled.
+    """
+    fields = level_fields(df, levels)
+
+    def number(c: str) -> Column:
+        return F.nanvl(col_of(c).cast("double"), F.lit(None))
+
+    def entry(c: str, **given: Column) -> Column:
+        kinds = {"value": "double", "x": "double", **{f: kind for kind, f in fields.items()}}
+        return F.struct(F.lit(c).alias("column"), *[given.get(f, F.lit(None)).cast(kind).alias(f) for f, kind in kinds.items()])
+
+    entries = [entry(c, value=number(c)) for c in values] + [entry(c, x=number(c)) for c in sums]
+    entries += [entry(c, **{fields[df.schema[c].dataType.simpleString()]: col_of(c)}) for c in levels]
+    long = df.select(F.explode(F.array(*entries)).alias("e")).select("e.*")
+    known = F.lit(False)
+    for f in ("x", *fields.values()):
+        known = known | F.col(f).isNotNull()
+    long = long.where(known | F.col("column").isin(list(values)))
+    return long.groupBy("column", "value", *fields.values()).agg(F.count("*").alias("n"), F.sum("x").alias("total"))
+
+
+def level_fields(df: DataFrame, levels: Sequence[str]) -> dict[str, str]:
+    """The field that holds values of each type."""
+    kinds = dict.fromkeys(df.schema[c].dataType.simpleString() for c in levels)
+    return {kind: f"v{i}" for i, kind in enumerate(kinds)}
+
+
+def _per_column(counts: DataFrame, df: DataFrame, sums: Sequence[str], levels: Sequence[str]) -> DataFrame:
+    """One row with the mean of each column of ``sums`` and the most frequent value of each of ``levels``."""
+    fields = level_fields(df, levels)
+    often = [F.min_by(f, F.struct(-F.col("n"), F.col(f))).alias(f) for f in fields.values()]
+    found = counts.groupBy("column").agg(F.try_divide(F.sum("total"), F.sum("n")).alias("mean"), *often)
+    home = {c: "mean" for c in sums} | {c: fields[df.schema[c].dataType.simpleString()] for c in levels}
+    return found.agg(*[F.max(F.when(F.col("column") == c, F.col(f))).alias(c) for c, f in home.items()])
+
+
 def modes(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """One row with the most frequent value of each column; the smallest of those tied."""
-    by_type: dict[str, list[str]] = {}
-    for c in cols:
-        by_type.setdefault(df.schema[c].dataType.simpleString(), []).append(c)
-    rows = []
-    for same in by_type.values():
-        best = (
-            df.select(*[col_of(c) for c in same])
-            .unpivot([], same, "column", "value")
-            .where(F.col("value").isNotNull())
-            .groupBy("column", "value")
-            .agg(F.count("*").alias("n"))
-            .groupBy("column")
-            .agg(F.min_by("value", F.struct(-F.col("n"), F.col("value"))).alias("value"))
-        )
-        rows.append(best.agg(*[F.max(F.when(F.col("column") == c, F.col("value"))).alias(c) for c in same]))
-    if len(rows) == 1:
-        return rows[0]
-    found = {f"_m{i}": r.select(F.struct("*").alias("v")).scalar() for i, r in enumerate(rows)}
-    home = {c: f"_m{i}" for i, same in enumerate(by_type.values()) for c in same}
-    return df.sparkSession.range(1).withColumns(found).select(*[F.col(home[c])[c].alias(c) for c in cols])
+    """One row with the most frequent value of each column, from one scan; the smallest of those tied."""
+    return _per_column(value_counts_by_column(df, levels=cols), df, [], cols)
 
 
 def impute(df: DataFrame, plan: Mapping[str, object], accuracy: int | None = None) -> DataFrame:
     """Fill columns by strategy: ``'mean'``, ``'median'``, ``'mode'`` or ``('constant', value)``.
 
-    Each statistic is a one-row subquery, so the table itself is only projected, never joined.
+    Each statistic is a one-row subquery, so the table itself is only projected, never joined. Where there are exact
+    medians, all statistics come from one table of value counts, which is written (at once): the source is read for it
+    and for the result, no further time. ``accuracy`` takes approximate medians instead.
     """
     chosen: dict[str, list[str]] = {}
     for c, how in plan.items():
@@ -143,20 +168,23 @@ def impute(df: DataFrame, plan: Mapping[str, object], accuracy: int | None = Non
             raise ValueError(f"unknown strategy {how!r} for {c}")
         chosen.setdefault(kind, []).append(c)
 
-    def numbers(cols):
-        return df.select(*[F.nanvl(col_of(c).cast("double"), F.lit(None)).alias(c) for c in cols])
-
+    means, medians, often = (chosen.get(k, []) for k in ("mean", "median", "mode"))
+    exact = [] if accuracy is not None else medians
     sources = {}
-    if "mean" in chosen:
-        cols = chosen["mean"]
-        sources["mean"] = numbers(cols).agg(*[F.avg(col_of(c)).alias(c) for c in cols])
-    if "median" in chosen:
-        sources["median"] = percentile_row(df, chosen["median"], 0.5, accuracy)
-    if "mode" in chosen:
-        sources["mode"] = modes(df, chosen["mode"])
+    if means or often or exact:
+        counts = value_counts_by_column(df, exact, means, often)
+        if exact:
+            counts = written(counts)
+            values = counts.where(F.col("column").isin(exact) & F.col("value").isNotNull()).select("column", "value", "n")
+            sources["median"] = percentiles_row(percentiles_of_counts(values, [0.5]), exact, 0.5)
+        if means or often:
+            sources["mean"] = sources["mode"] = _per_column(counts, df, means, often)
+    if medians and not exact:
+        sources["median"] = percentile_row(df, medians, 0.5, accuracy)
     # Each subquery stands once in the plan; the projection above it reads its fields.
-    rows = df.withColumns({f"_{kind}": s.select(F.struct("*").alias("v")).scalar() for kind, s in sources.items()})
-    found = {kind: F.col(f"_{kind}") for kind in sources}
+    home = {kind: "_median" if kind == "median" else "_column" for kind in sources}
+    rows = df.withColumns({home[kind]: s.select(F.struct("*").alias("v")).scalar() for kind, s in sources.items()})
+    found = {kind: F.col(name) for kind, name in home.items()}
 
     out = []
     for c in df.columns:

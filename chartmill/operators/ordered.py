@@ -151,7 +151,14 @@ def percentiles(
             .agg(F.count("*").alias("n"), rough.alias("found"))
             .select(*keys, "n", *[F.col("found")[i].alias(name) for i, name in enumerate(names)])
         )
-    counts = long.groupBy(*keys, "value").agg(F.count("*").alias("n"))
+    return percentiles_of_counts(long.groupBy(*keys, "value").agg(F.count("*").alias("n")), probs, by)
+
+
+def percentiles_of_counts(counts: DataFrame, probs: Sequence[float], by: Sequence[str] = ()) -> DataFrame:
+    """Exact percentiles from a table (by..., column, value, n) with one row per value: (by..., column, n, p<percent>...)."""
+    names = [percent_name(p) for p in probs]
+    groups = [*by, "column"]
+    keys = [col_of(c) for c in groups]
     places = [F.lit(float(p)) * (F.col("all_n") - 1) for p in probs]
     ends = [(F.floor(place), F.ceil(place)) for place in places]
     start, stop = F.col("before_n"), F.col("before_n") + F.col("slice_n")
@@ -181,8 +188,12 @@ def percent_name(p: float) -> str:
 
 def percentile_row(df: DataFrame, cols: Sequence[str], p: float, accuracy: int | None = None) -> DataFrame:
     """One row with the percentile of each column under the column's own name."""
+    return percentiles_row(percentiles(df, cols, [p], accuracy=accuracy), cols, p)
+
+
+def percentiles_row(long: DataFrame, cols: Sequence[str], p: float) -> DataFrame:
+    """The same from one row per column."""
     name = percent_name(p)
-    long = percentiles(df, cols, [p], accuracy=accuracy)
     return long.agg(*[F.max(F.when(F.col("column") == c, F.col(name))).alias(c) for c in cols])
 
 
