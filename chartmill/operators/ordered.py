@@ -48,6 +48,11 @@ def _add_slice(rows: DataFrame, order: Sequence[str], slices: int) -> DataFrame:
     return rows.select("*", *steps).select(*[col_of(c) for c in kept], at.alias("_slice"))
 
 
+def in_slices(rows: DataFrame, order: Sequence[str], slices: int | None = None) -> DataFrame:
+    """Add ``_slice``: rows in the order of ``order``, cut into ranges with about as many rows each."""
+    return _add_slice(rows, order, slices or slice_count(rows.sparkSession))
+
+
 def _shared(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows under a condition that always holds and reads every other column.
 

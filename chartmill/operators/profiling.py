@@ -13,8 +13,9 @@ from pyspark.sql import functions as F
 
 from chartmill.functions import col_of, flag
 from chartmill.operators.missing import _melt, is_missing
-from chartmill.operators.ordered import percentiles
+from chartmill.operators.ordered import in_slices, percentiles, percentiles_of_counts
 from chartmill.operators.rows import numeric_columns
+from chartmill.operators.stages import written
 
 
 def _as(c: str | Sequence[str]) -> list[str]:
@@ -270,38 +271,70 @@ def box_stats(
 ) -> DataFrame:
     """Quartiles, whiskers at the most extreme values within 1.5 IQR, and the number of outliers.
 
-    The table is first reduced to its distinct values with counts.
+    The table is first reduced to its distinct values with counts, which are written (at once). Values lie in range
+    slices of each group; whiskers and outliers are taken per slice, and only then meet per group. Most slices lie
+    inside the limits or beyond them, which their ends tell; only values of the slices that hold a limit (two
+    per group and column) are looked at, joined by slice, so a group with much of the table is spread over many tasks.
     """
     keys = [by] if by else []
-    quarters = percentiles(df, cols, by=keys, accuracy=accuracy)
-    values = (
+    at = [*keys, "column"]
+    counts = written(
         df.select(*[col_of(k) for k in keys], *[col_of(c).cast("double").alias(c) for c in cols])
         .unpivot(keys, list(cols), "column", "value")
         .where(F.col("value").isNotNull() & ~F.isnan("value"))
-        .groupBy(*[col_of(k) for k in [*keys, "column"]], "value")
-        .agg(F.count("*").alias("copies"))
+        .groupBy(*[col_of(k) for k in at], "value")
+        .agg(F.count("*").alias("n"))
     )
-    at = [*keys, "column"]
+    probs = (0.25, 0.5, 0.75)
+    quarters = percentiles_of_counts(counts, probs, keys) if accuracy is None else percentiles(df, cols, probs, keys, accuracy)
+    reach = (F.col("p75") - F.col("p25")) * 1.5
     limits = quarters.select(
-        *[col_of(c).alias(f"_r_{c}") for c in at], "n", "p25", "p50", "p75"
-    )
-    on = [values[f"`{c}`"].eqNullSafe(limits[f"`_r_{c}`"]) for c in at]
+        *[col_of(c).alias(f"_r_{c}") for c in at], "p25", "p50", "p75", F.col("n").alias("all_n"),
+        (F.col("p25") - reach).alias("low"), (F.col("p75") + reach).alias("high"),
+    )
     if not by:
         limits = F.broadcast(limits)  # one row per column
-    reach = (F.col("p75") - F.col("p25")) * 1.5
-    inside = (F.col("value") >= F.col("p25") - reach) & (F.col("value") <= F.col("p75") + reach)
+
+    def same(left: DataFrame, right: DataFrame, names: Sequence[str]) -> list[Column]:
+        return [left[f"`{c}`"].eqNullSafe(right[f"`_r_{c}`"]) for c in names]
+
+    rows = in_slices(counts, [*at, "value"])
+    totals = rows.groupBy(*[col_of(c) for c in at], "_slice").agg(F.min("value").alias("first"), F.max("value").alias("last"), F.sum("n").alias("n"))
+    placed = totals.join(limits, same(totals, limits, at))
+    inside = (F.col("first") >= F.col("low")) & (F.col("last") <= F.col("high"))
+    beyond = (F.col("last") < F.col("low")) | (F.col("first") > F.col("high"))
+    fixed = ["p25", "p50", "p75", "all_n"]
+    whole = placed.where(inside | beyond).select(
+        *[col_of(c) for c in at], *fixed, F.when(inside, F.col("first")).alias("least"), F.when(inside, F.col("last")).alias("most"), F.when(beyond, F.col("n")).alias("out")
+    )
+    mixed = placed.where(~(inside | beyond)).select(
+        *[col_of(c).alias(f"_r_{c}") for c in at], F.col("_slice").alias("_r__slice"), *fixed, "low", "high"
+    )
+    if not by:
+        mixed = F.broadcast(mixed)  # two rows per column at most
+    kept = F.col("value").between(F.col("low"), F.col("high"))
+    parts = (
+        rows.join(mixed, same(rows, mixed, [*at, "_slice"]))
+        .groupBy(*[col_of(c) for c in [*at, "_slice"]], *fixed)
+        .agg(
+            F.min(F.when(kept, F.col("value"))).alias("least"),
+            F.max(F.when(kept, F.col("value"))).alias("most"),
+            F.sum(F.when(~kept, F.col("n"))).alias("out"),
+        )
+        .drop("_slice")
+    )
     return (
-        values.join(limits, on)
-        .groupBy(*[col_of(c) for c in at], "n", "p25", "p50", "p75")
+        whole.unionByName(parts)
+        .groupBy(*[col_of(c) for c in at], *fixed)
         .agg(
             # A whisker never ends inside the box.
-            F.least(F.min(F.when(inside, F.col("value"))), F.col("p25")).alias("whisker_low"),
-            F.greatest(F.max(F.when(inside, F.col("value"))), F.col("p75")).alias("whisker_high"),
-            F.coalesce(F.sum(F.when(~inside, F.col("copies"))), F.lit(0)).alias("outliers"),
+            F.least(F.min("least"), F.col("p25")).alias("whisker_low"),
+            F.greatest(F.max("most"), F.col("p75")).alias("whisker_high"),
+            F.coalesce(F.sum("out"), F.lit(0)).alias("outliers"),
         )
         .select(
             *[col_of(c) for c in at],
-            "n",
+            F.col("all_n").alias("n"),
             F.col("p25").alias("q1"),
             F.col("p50").alias("median"),
             F.col("p75").alias("q3"),
