@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.ml.classification import DecisionTreeClassifier, LogisticRegression
-from pyspark.ml.tuning import ParamGridBuilder
 from pyspark.sql import functions as F
 
 from chartmill.catalog.base import Query, Tables, register
@@ -523,14 +522,38 @@ def model_comparison(t):
     return Z.compare_models(planted(t), FEATURES, "y", "key", zoo, k=2)
 
 
-@register(CATALOG)
+FOLD = "(key // 8 + 3 * (key % 8)) % 5"
+#: Area under the curve of scores m against y, from ranks (a tie counts half), in rows that are grouped.
+PLACED = "rank() OVER (PARTITION BY {by} ORDER BY m) + (count(*) OVER (PARTITION BY {by}, m) - 1) / 2.0::DOUBLE AS place"
+AREA = "(sum(place) FILTER (y = 1) - sum(y) * (sum(y) + 1) / 2) / (sum(y) * sum(1 - y))::DOUBLE"
+
+
+def fold_of_key():
+    return F.pmod(F.floor(F.col("key") / 8) + 3 * F.pmod("key", F.lit(8)), F.lit(5)).cast("int")
+
+
+@register(
+    CATALOG,
+    f"""
+    WITH {PLANTED}, p AS (SELECT floor(l_quantity / 5) AS band, y, {FOLD} AS f FROM planted),
+    r AS (SELECT g.f, band, avg(y) AS m FROM p JOIN (SELECT unnest(range(5)) AS f) AS g ON p.f <> g.f GROUP BY 1, 2),
+    s AS (SELECT p.f, y, m, {PLACED.format(by="p.f")} FROM p JOIN r ON p.f = r.f AND p.band = r.band),
+    k AS (SELECT f, avg(CAST((m > 0.5) = (y = 1) AS INTEGER)) AS accuracy, {AREA} AS roc_auc FROM s GROUP BY 1)
+    SELECT count(*) AS folds, round(avg(accuracy), 6) AS cv_accuracy_mean, round(stddev_pop(accuracy), 6) AS cv_accuracy_std,
+           round(avg(roc_auc), 6) AS cv_roc_auc_mean, round(stddev_pop(roc_auc), 6) AS cv_roc_auc_std FROM k
+    """,
+)
 def folds_of_logistic(t):
-    rows = planted(t)
+    """Indicators of all levels but one, without a penalty: the fitted chances are the levels' own rates."""
+    band = F.floor(F.col("l_quantity") / 5)
+    levels = [f"band_{i}" for i in range(1, 11)]
+    rows = planted(t).select("key", "y", fold_of_key().alias("fold"), *[flag(band == i).cast("double").alias(n) for i, n in enumerate(levels, 1)])
 
     def fit(part):
-        return Z.fit_pipeline(part, FEATURES, LogisticRegression(labelCol="y", maxIter=20), "y", scale=True)
+        return Z.fit_pipeline(part, levels, LogisticRegression(labelCol="y", maxIter=200, tol=1e-6), "y")
 
-    return Z.cv_summary(Z.cross_validate(rows, fit, "y", "key", k=5))
+    got = Z.cv_summary(Z.cross_validate(rows, fit, "y", "key", fold="fold"))
+    return got.select("folds", *[F.round(c, 6).alias(c) for c in got.columns if c != "folds"])
 
 
 # Ridge weights by Cramer's rule: the matrix of standardised columns is (n - 1) times their correlations, plus the penalty.
@@ -567,7 +590,7 @@ def _closed_form_sql(penalty: float = 1.0) -> str:
         + [f"0.5 * (ln((v1{i} + e) / (v0{i} + e)) + (x{i} - m1{i}) ** 2 / (v1{i} + e) - (x{i} - m0{i}) ** 2 / (v0{i} + e))" for i in x]
     )
     return f"""
-    WITH {PLANTED}, p AS (SELECT key, y, {columns}, (key // 8 + 3 * (key % 8)) % 5 AS f FROM planted),
+    WITH {PLANTED}, p AS (SELECT key, y, {columns}, {FOLD} AS f FROM planted),
     s AS (SELECT g.f, {", ".join(stats)} FROM p JOIN (SELECT unnest(range(5)) AS f) AS g ON p.f <> g.f GROUP BY g.f),
     w AS (SELECT *, {weights}, {extra} AS e FROM s),
     q AS (SELECT 'Ridge (penalty=1)' AS model, f, y, {ridge} AS m FROM p JOIN w USING (f)
@@ -581,32 +604,81 @@ def _closed_form_sql(penalty: float = 1.0) -> str:
 
 @register(CATALOG, _closed_form_sql())
 def folds_in_closed_form(t):
-    fold = F.pmod(F.floor(F.col("key") / 8) + 3 * F.pmod("key", F.lit(8)), F.lit(5)).cast("int")
-    got = D.cross_validate_closed(planted(t).withColumn("fold", fold), _CLOSED, "y", "fold")
+    got = D.cross_validate_closed(planted(t).withColumn("fold", fold_of_key()), _CLOSED, "y", "fold")
     return got.withColumns({"accuracy": F.round("accuracy", 8), "roc_auc": F.round("roc_auc", 6)})
 
 
-@register(CATALOG)
-def tree_settings(t):
-    tree = DecisionTreeClassifier(seed=42)
-    grid = ParamGridBuilder().addGrid(tree.maxDepth, [2, 4]).addGrid(tree.minInstancesPerNode, [1, 30]).build()
-    return Z.grid_search(planted(t), FEATURES, "y", "key", tree, grid, k=2)
+_MANHATTAN = "list_sum(list_transform(list_zip(a.v, b.v), lambda x: abs(x[1] - x[2])))"
+_SETTINGS_SQL = " UNION ALL ".join(
+    f"SELECT '{metric}' AS metric, {k} AS n_neighbors, '{w}' AS weights, id, truth, f, label, sum({vote}) AS w FROM {metric} WHERE rank <= {k} GROUP BY ALL"
+    for metric in ("euclidean", "manhattan")
+    for k in (3, 5, 7)
+    for w, vote in (("uniform", "1.0::DOUBLE"), ("distance", "1 / distance"))
+)
 
 
-@register(CATALOG)
+@register(
+    CATALOG,
+    f"""
+    WITH e AS (SELECT vec_id, label, vec_id % 5 AS f, embedding::DOUBLE[] AS v FROM embeddings),
+    euclidean AS (SELECT a.vec_id AS id, a.label AS truth, a.f, b.label, list_distance(a.v, b.v) AS distance,
+      row_number() OVER (PARTITION BY a.vec_id ORDER BY list_distance(a.v, b.v), b.vec_id) AS rank FROM e a JOIN e b ON a.f <> b.f),
+    manhattan AS (SELECT a.vec_id AS id, a.label AS truth, a.f, b.label, {_MANHATTAN} AS distance,
+      row_number() OVER (PARTITION BY a.vec_id ORDER BY {_MANHATTAN}, b.vec_id) AS rank FROM e a JOIN e b ON a.f <> b.f),
+    v AS ({_SETTINGS_SQL}),
+    s AS (SELECT *, w / sum(w) OVER (PARTITION BY metric, n_neighbors, weights, id) AS share FROM v),
+    p AS (SELECT *, row_number() OVER (PARTITION BY metric, n_neighbors, weights, id ORDER BY round(share, 12) DESC, label) AS place FROM s),
+    a AS (SELECT metric, n_neighbors, weights, f, avg(CAST(label = truth AS INTEGER)) AS a FROM p WHERE place = 1 GROUP BY 1, 2, 3, 4)
+    SELECT metric, CAST(n_neighbors AS INTEGER) AS n_neighbors, weights, round(avg(a), 8) AS cv_accuracy_mean, round(stddev_pop(a), 8) AS cv_accuracy_std
+    FROM a GROUP BY 1, 2, 3
+    """,
+)
 def neighbour_settings(t):
-    return Z.knn_grid(t.embeddings, "vec_id", "embedding", "label", ks=(3, 5), folds=3)
+    rows = t.embeddings.withColumn("fold", F.pmod("vec_id", F.lit(5)))
+    got = Z.knn_grid(rows, "vec_id", "embedding", "label", fold="fold")
+    return got.withColumns({c: F.round(c, 8) for c in ("cv_accuracy_mean", "cv_accuracy_std")})
 
 
-@register(CATALOG, "SELECT count(*) AS n, CAST(0 AS BIGINT) AS outside FROM lineitem")
+_PART_Y = "CAST(p_size * 20 + p_partkey * 7 % 400 > 700 AS INTEGER)"
+
+
+@register(
+    CATALOG,
+    f"""
+    WITH e AS (SELECT p_partkey AS id, p_type, p_size, {_PART_Y} AS y, [p_size, floor(p_retailprice / 8), p_partkey % 50]::DOUBLE[] AS v FROM part),
+    a AS (SELECT p_type, avg(y) AS p FROM e GROUP BY 1),
+    c AS (SELECT p_size, count(*) AS n, sum(y) AS s FROM e GROUP BY 1),
+    g AS (SELECT p_size, lead(p_size) OVER o AS next, sum(n) OVER o AS nl, sum(s) OVER o AS sl, sum(n) OVER () AS n, sum(s) OVER () AS s
+          FROM c WINDOW o AS (ORDER BY p_size)),
+    b AS (SELECT * FROM g WHERE next IS NOT NULL ORDER BY sl * sl / nl::DOUBLE + (s - sl) * (s - sl) / (n - nl)::DOUBLE DESC LIMIT 1),
+    d AS (SELECT a.id, b.y, list_distance(a.v, b.v) AS distance, row_number() OVER (PARTITION BY a.id ORDER BY list_distance(a.v, b.v), b.id) AS rank
+          FROM e a JOIN e b ON a.id <> b.id),
+    w AS (SELECT id, min(distance) = 0 AS exact, sum(y * CASE WHEN distance = 0 THEN 1 ELSE 0 END) / nullif(sum(CASE WHEN distance = 0 THEN 1 ELSE 0 END), 0) AS at0,
+                 sum(y / nullif(distance, 0)) / sum(1 / nullif(distance, 0)) AS far FROM d WHERE rank <= 5 GROUP BY 1),
+    z AS (SELECT e.id, (a.p + CASE WHEN e.p_size <= b.p_size THEN sl / nl ELSE (s - sl) / (n - nl) END + CASE WHEN exact THEN at0 ELSE far END) / 3 AS p1
+          FROM e JOIN a USING (p_type) JOIN w USING (id), b)
+    SELECT id, round(p1, 4) AS p1, CAST(p1 > 0.5 AS INTEGER) AS prediction FROM z
+    """,
+)
 def vote_of_models(t):
-    rows = planted(t)
-    models = [Z.fit_candidate(rows, FEATURES, "y", c) for c in Z.model_zoo() if c.name in ("Linear SVM (C=0.1)", "Decision Tree (depth=3)")]
-    for i, model in enumerate(models):
-        rows = Z.score(model, rows, f"s{i}", f"c{i}")
-    both = Z.soft_vote(rows, models)
-    near = F.abs(F.col("p1") - (F.col("s0") + F.col("s1")) / 2) < 1e-12
-    return both.agg(F.count("*").alias("n"), F.count(F.when(~near, 1)).alias("outside"))
+    """Three kinds of model: logistic regression on levels, a tree of one cut, and a vote of near rows."""
+    place = F.array("p_size", F.floor(F.col("p_retailprice") / 8), F.pmod("p_partkey", F.lit(50))).cast("array<double>")
+    types = sorted(r[0] for r in t.part.select("p_type").distinct().collect())
+    rows = t.part.select(
+        F.col("p_partkey").alias("id"),
+        F.expr(_PART_Y.replace("INTEGER", "INT")).alias("y"),
+        F.col("p_size").cast("double").alias("size"),
+        place.alias("v"),
+        *[flag(F.col("p_type") == level).cast("double").alias(f"type_{i}") for i, level in enumerate(types[1:])],
+    )
+    levels = [c for c in rows.columns if c.startswith("type_")]
+    near = N.label_shares(N.nearest(rows, rows, 5, "id", "v", "y", skip_self=True, cell_rows=64)).where("label = 1")
+    rows = rows.join(near.select(F.col("id").alias("_id"), "share"), F.col("id") == F.col("_id"), "left").fillna(0.0, ["share"])
+    models = [
+        Z.fit_pipeline(rows, levels, LogisticRegression(labelCol="y", maxIter=200, tol=1e-9), "y"),
+        Z.fit_pipeline(rows.withColumn("y", F.col("y").cast("double")), ["size"], DecisionTreeClassifier(labelCol="y", maxDepth=1, maxBins=64), "y"),
+    ]
+    return Z.soft_vote(rows, models, extra=["share"]).select("id", F.round("p1", 4).alias("p1"), "prediction")
 
 
 @register(CATALOG)

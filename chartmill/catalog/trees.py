@@ -7,10 +7,12 @@ either side of it, and adds the sides' means.
 
 from __future__ import annotations
 
+from pyspark.ml.classification import DecisionTreeClassifier
+from pyspark.ml.tuning import ParamGridBuilder
 from pyspark.sql import functions as F
 
 from chartmill.catalog.base import Query, Tables, register
-from chartmill.catalog.learning import PLANTED, planted
+from chartmill.catalog.learning import FOLD, PLANTED, fold_of_key, planted
 from chartmill.operators import fit_checks as C
 from chartmill.operators import metrics as L
 from chartmill.operators import models as Z
@@ -31,7 +33,7 @@ def _train(t: Tables):
     return _rows(t).where("key % 5 <> 0")
 
 
-def _best_cut(source: str, node: str) -> str:
+def _best_cut(source: str, node: str, least: int = LEAST) -> str:
     """Per node of ``source`` (cells with n, w, r): the cut that takes most of the residuals' variance."""
     names = ", ".join(f"'{n}'" for n in COLUMNS)
     return f"""SELECT node, arg_max((feature, (value + next) / 2), gain) AS cut, max(gain) AS gain FROM (
@@ -42,7 +44,7 @@ def _best_cut(source: str, node: str) -> str:
                 FROM (SELECT {node} AS node, n, w, r, unnest([{names}]) AS feature, unnest([{", ".join(COLUMNS)}]) AS value FROM {source} WHERE n > 0)
                 GROUP BY 1, 2, 3)
           WINDOW o AS (PARTITION BY node, feature ORDER BY value), a AS (PARTITION BY node, feature))
-        WHERE next IS NOT NULL AND nl >= {LEAST} AND na - nl >= {LEAST})
+        WHERE next IS NOT NULL AND nl >= {least} AND na - nl >= {least})
       WHERE gain > 0 GROUP BY node"""
 
 
@@ -134,3 +136,61 @@ def root_of_boosted_trees(t):
     model = Z.train_gbt(_train(t), list(COLUMNS), "y", CONFIG)
     got = C.root_check(model, rows, list(COLUMNS), "r", "w")
     return got.select("feature", *[F.round(c, d).alias(c) for c, d in (("threshold", 6), ("gain", 8), ("best_gain", 8))])
+
+
+DEPTHS, LEAVES = (1, 2), (1, 4000)
+
+
+def _tree_settings_sql() -> str:
+    """Trees of one and two levels per fold; the variance of a class is half its Gini impurity, so cuts are the same."""
+    columns = ", ".join(f"({e})::DOUBLE AS {n}" for n, e in COLUMNS.items())
+    keys = ", ".join(COLUMNS)
+    with_ = [
+        PLANTED,
+        f"rows_ AS (SELECT y, {FOLD} AS f, {columns} FROM planted)",
+        f"""cells AS MATERIALIZED (SELECT g.f, {keys}, y, y::DOUBLE AS r, sum(CAST(rows_.f <> g.f AS INTEGER)) AS n,
+              sum(CAST(rows_.f <> g.f AS INTEGER))::DOUBLE AS w, sum(CAST(rows_.f = g.f AS INTEGER)) AS held
+            FROM rows_, (SELECT unnest(range(5)) AS f) AS g GROUP BY g.f, {keys}, y)""",
+    ]
+    scored = []
+    for least in LEAVES:
+        with_ += [
+            f"a{least} AS MATERIALIZED ({_best_cut('cells', 'f', least)})",
+            f"""t{least} AS MATERIALIZED (SELECT c.*, CASE WHEN cut IS NULL THEN 10 * f + 1 WHEN {_beyond('cut')} THEN 10 * f + 3 ELSE 10 * f + 2 END AS side
+                FROM cells AS c LEFT JOIN a{least} AS a ON f = a.node)""",
+            f"b{least} AS MATERIALIZED ({_best_cut(f't{least}', 'side', least)})",
+            f"""e{least} AS MATERIALIZED (SELECT t.*, CASE WHEN b.cut IS NULL OR side % 10 = 1 THEN 100 * side ELSE 100 * side + 1 + CAST({_beyond('b.cut')} AS INTEGER) END AS leaf
+                FROM t{least} AS t LEFT JOIN b{least} AS b ON side = b.node)""",
+        ]
+        rate = "(sum(n) FILTER (y = 1) OVER (PARTITION BY {0}) / sum(n) OVER (PARTITION BY {0})::DOUBLE)"
+        # Siblings that tell the same class become one leaf.
+        with_ += [
+            f"""r{least} AS MATERIALIZED (SELECT *, coalesce({rate.format("f")}, 0) AS m0, coalesce({rate.format("side")}, 0) AS m1,
+                coalesce({rate.format("leaf")}, 0) AS m2 FROM e{least})""",
+            f"""p{least} AS MATERIALIZED (SELECT *, min(m1 > 0.5) OVER s = max(m1 > 0.5) OVER s AS one, min(m2 > 0.5) OVER t = max(m2 > 0.5) OVER t AS same
+                FROM r{least} WINDOW s AS (PARTITION BY f), t AS (PARTITION BY side))""",
+        ]
+        deep = "CASE WHEN NOT same THEN m2 WHEN one AND min(same) OVER (PARTITION BY f) THEN m0 ELSE m1 END"
+        for depth, m in zip(DEPTHS, ("CASE WHEN one THEN m0 ELSE m1 END", deep)):
+            scored.append(f"SELECT {depth} AS depth, {least} AS least, f, y, held, {m} AS m FROM p{least}")
+    return "WITH " + ",\n".join(with_) + f""",
+    q AS ({" UNION ALL ".join(scored)}),
+    z AS (SELECT depth, least, f, coalesce(m, 0) AS m, sum(held) FILTER (y = 1) AS pos, sum(held) FILTER (y = 0) AS neg FROM q GROUP BY 1, 2, 3, 4),
+    k AS (SELECT depth, least, f, m, coalesce(pos, 0) AS pos, coalesce(neg, 0) AS neg, sum(coalesce(pos, 0)) OVER (PARTITION BY depth, least, f ORDER BY m DESC) AS above FROM z),
+    o AS (SELECT depth, least, f, (coalesce(sum(pos) FILTER (m > 0.5), 0) + coalesce(sum(neg) FILTER (m <= 0.5), 0)) / sum(pos + neg)::DOUBLE AS accuracy,
+            sum(neg * (above - pos / 2.0::DOUBLE)) / (sum(pos) * sum(neg))::DOUBLE AS roc_auc FROM k GROUP BY 1, 2, 3)
+    SELECT CAST(depth AS INTEGER) AS depth, CAST(least AS INTEGER) AS least, round(avg(accuracy), 7) AS cv_accuracy_mean, round(avg(roc_auc), 7) AS cv_roc_auc_mean
+    FROM o GROUP BY 1, 2"""
+
+
+@register(CATALOG, _tree_settings_sql())
+def tree_settings(t):
+    tree = DecisionTreeClassifier(seed=42)
+    grid = ParamGridBuilder().addGrid(tree.maxDepth, list(DEPTHS)).addGrid(tree.minInstancesPerNode, list(LEAVES)).build()
+    rows = _rows(t).withColumn("fold", fold_of_key())
+    got = Z.grid_search(rows, list(COLUMNS), "y", "key", tree, grid, fold="fold")
+    params = {"depth": "maxDepth", "least": "minInstancesPerNode"}
+    return got.select(
+        *[F.col("params")[p].cast("int").alias(n) for n, p in params.items()],
+        *[F.round(c, 7).alias(c) for c in ("cv_accuracy_mean", "cv_roc_auc_mean")],
+    )

@@ -37,6 +37,7 @@ from chartmill.operators.lookup import literal_table
 from chartmill.operators.metrics import baseline_metrics, binary_metrics
 from chartmill.operators.neighbours import label_shares, nearest, vote
 from chartmill.operators.sampling import balanced_weights, bootstrap, kfold_assign, stratified_split
+from chartmill.operators.stages import written
 
 
 @dataclass(frozen=True)
@@ -274,8 +275,13 @@ def soft_vote(df: DataFrame, models: Sequence[PipelineModel], extra: Sequence[st
 # ---------------------------------------------------------------- evaluation
 
 
-def _fold_rows(df: DataFrame, label: str, k: int, key: str, seed: int) -> DataFrame:
-    return kfold_assign(df, label, k, key, seed, name="_fold").persist(StorageLevel.MEMORY_AND_DISK)
+def _fold_rows(df: DataFrame, label: str, k: int, key: str, seed: int, fold: str | None = None) -> DataFrame:
+    """The rows with ``_fold``: dealt by the key's hash, or taken from a column of whole numbers from 0."""
+    if fold is not None:
+        rows = df.withColumn("_fold", col_of(fold).cast("int"))
+    else:
+        rows = kfold_assign(df, label, k, key, seed, name="_fold")
+    return rows.persist(StorageLevel.MEMORY_AND_DISK)
 
 
 def _held_out(rows: DataFrame, fit: Callable[[DataFrame], PipelineModel], label: str, k: int) -> DataFrame:
@@ -321,9 +327,10 @@ def cross_validate(
     key: str,
     k: int = 5,
     seed: int = 42,
+    fold: str | None = None,
 ) -> DataFrame:
     """(fold, accuracy, roc_auc) of ``fit`` trained on the other folds, one row per fold."""
-    rows = _fold_rows(df, label, k, key, seed)
+    rows = _fold_rows(df, label, k, key, seed, fold)
     try:
         got = binary_metrics(_held_out(rows, fit, label, k), label, "p1", "_pred", by=["_fold"])
         found = [tuple(r) for r in got.select("_fold", "accuracy", "roc_auc").collect()]
@@ -366,6 +373,7 @@ def compare_models(
     seed: int = 42,
     baseline_family: str = "original",
     neighbours: Sequence[int] = (),
+    fold: str | None = None,
 ) -> DataFrame:
     """Cross-validated metrics of all candidates, the best one flagged.
 
@@ -376,7 +384,7 @@ def compare_models(
     zoo = model_zoo() if zoo is None else zoo
     fits = {c.name: lambda part, c=c: fit_candidate(part, features, label, c) for c in zoo}
     family = {c.name: c.family for c in zoo}
-    measured = _cv_of(df, features, fits, label, key, k, seed, neighbours)
+    measured = _cv_of(df, features, fits, label, key, k, seed, neighbours, fold)
     found = [(name, family.get(name, "small_data"), *values) for name, *values in measured]
     table = literal_table(
         df.sparkSession, found, "model string, family string, " + ", ".join(f"{m} double" for m in _CV)
@@ -397,15 +405,16 @@ def _cv_of(
     k: int,
     seed: int,
     neighbours: Sequence[int] = (),
+    fold: str | None = None,
 ) -> list[tuple]:
-    """(name, metrics...) of several ways to fit, on the same folds and from one metrics job."""
-    rows = df.select(*[col_of(c) for c in dict.fromkeys([*features, label, key])])
-    rows = _fold_rows(rows, label, k, key, seed)
+    """(name, metrics...) of several ways to fit, on the same folds and from one metrics job over the scored rows, written once."""
+    wanted = dict.fromkeys([*features, label, key, *([fold] if fold else [])])
+    rows = _fold_rows(df.select(*[col_of(c) for c in wanted]), label, k, key, seed, fold)
     try:
         parts = [_held_out(rows, fit, label, k).withColumn("_name", F.lit(name)) for name, fit in fits.items()]
         if neighbours:
             parts.append(_held_out_votes(rows, features, label, key, k, neighbours))
-        scored = reduce(DataFrame.unionByName, parts)
+        scored = written(reduce(DataFrame.unionByName, parts))
         per_fold = binary_metrics(scored, label, "p1", "_pred", by=["_name", "_fold"])
         return [tuple(r) for r in cv_summary(per_fold, ["_name"]).select("_name", *_CV).collect()]
     finally:
@@ -438,6 +447,7 @@ def grid_search(
     k: int = 5,
     seed: int = 42,
     scale: bool = False,
+    fold: str | None = None,
 ) -> DataFrame:
     """Cross-validated metrics for each setting of a grid, the best one flagged."""
     rows = df.withColumn(label, col_of(label).cast("double"))
@@ -449,7 +459,7 @@ def grid_search(
 
     fits = {str(i): fit_with(setting) for i, setting in enumerate(grid)}
     texts = [{p.name: str(v) for p, v in setting.items()} for setting in grid]
-    found = [(texts[int(i)], *values) for i, *values in _cv_of(rows, features, fits, label, key, k, seed)]
+    found = [(texts[int(i)], *values) for i, *values in _cv_of(rows, features, fits, label, key, k, seed, fold=fold)]
     table = literal_table(
         df.sparkSession, found, "params map<string,string>, " + ", ".join(f"{m} double" for m in _CV)
     )
@@ -467,38 +477,37 @@ def knn_grid(
     metrics: Sequence[str] = ("euclidean", "manhattan"),
     folds: int = 5,
     seed: int = 42,
+    fold: str | None = None,
 ) -> DataFrame:
-    """Cross-validated accuracy of neighbour votes for each k, weighting and metric, best first."""
-    rows = kfold_assign(df, label, folds, id_col, seed, name="_fold")
-    results = []
-    for metric in metrics:
+    """Cross-validated accuracy of neighbour votes for each k, weighting and metric, best first.
+
+    The nearest rows of each fold are found once per metric and written; all settings are measured from them.
+    """
+    rows = _fold_rows(df.select(*[col_of(c) for c in dict.fromkeys([id_col, vec_col, label, *([fold] if fold else [])])]), label, folds, id_col, seed, fold)
+    try:
         near = []
-        for fold in range(folds):
-            inside, outside = rows.where(F.col("_fold") == fold), rows.where(F.col("_fold") != fold)
-            near.append(nearest(inside, outside, max(ks), id_col, vec_col, label, metric))
-        ranked = near[0]
-        for part in near[1:]:
-            ranked = ranked.unionByName(part)
+        for metric in metrics:
+            for f in range(folds):
+                inside, outside = rows.where(F.col("_fold") == f), rows.where(F.col("_fold") != f)
+                found = nearest(inside, outside, max(ks), id_col, vec_col, label, metric)
+                near.append(found.withColumn("metric", F.lit(metric)))
+        ranked = written(reduce(DataFrame.unionByName, near))
         truth = rows.select(col_of(id_col).alias("id"), col_of(label).alias("_truth"), "_fold")
-        for k in ks:
-            for w in weights:
-                voted = vote(ranked.where(F.col("rank") <= k), w).join(truth, "id")
-                per_fold = voted.groupBy("_fold").agg(
-                    F.avg((F.col("prediction") == F.col("_truth")).cast("double")).alias("a")
-                )
-                results.append(
-                    per_fold.agg(
-                        F.lit(metric).alias("metric"),
-                        F.lit(k).alias("n_neighbors"),
-                        F.lit(w).alias("weights"),
-                        F.avg("a").alias("cv_accuracy_mean"),
-                        F.stddev_pop("a").alias("cv_accuracy_std"),
-                    )
-                )
-    table = results[0]
-    for part in results[1:]:
-        table = table.unionByName(part)
-    return table.orderBy(F.desc("cv_accuracy_mean"), "metric", "n_neighbors", "weights")
+        hits = []
+        for metric in metrics:
+            for k in ks:
+                for w in weights:
+                    voted = vote(ranked.where((F.col("metric") == metric) & (F.col("rank") <= k)).drop("metric"), w)
+                    hit = (F.col("prediction") == F.col("_truth")).cast("double")
+                    setting = [F.lit(metric).alias("metric"), F.lit(k).alias("n_neighbors"), F.lit(w).alias("weights")]
+                    hits.append(voted.join(truth, "id").select(*setting, "_fold", hit.alias("hit")))
+        setting = ["metric", "n_neighbors", "weights"]
+        per_fold = reduce(DataFrame.unionByName, hits).groupBy(*setting, "_fold").agg(F.avg("hit").alias("a"))
+        found = [tuple(r) for r in per_fold.groupBy(*setting).agg(F.avg("a"), F.stddev_pop("a")).collect()]
+    finally:
+        rows.unpersist()
+    names = "metric string, n_neighbors int, weights string, cv_accuracy_mean double, cv_accuracy_std double"
+    return literal_table(df.sparkSession, found, names).orderBy(F.desc("cv_accuracy_mean"), *setting)
 
 
 def approach_comparison(
