@@ -9,8 +9,10 @@ part. Ranks rise along a chain. The longest chain in bytes (:attr:`Bpe.lookahead
 that ends that far before the end of what has been read stays, whatever comes. Merging restarts after it.
 
 **Streaming.** :class:`StreamEncoder` reads text in windows. It cuts where no token can cross (before a space after
-a non-space), emits pieces once they are complete, and inside a piece longer than a window emits tokens once they
-are stable by the lookahead. Memory is bounded by the window, not by the text.
+a non-space; at any white space where the tokenizer drops it), emits pieces once they are complete, and inside a piece
+longer than a window emits tokens once they are stable by the lookahead. Where the tokenizer normalises and lower-cases,
+such a piece is folded first, up to a character that does not combine with what stands before it, and split
+after that. Memory is bounded by the window, not by the text (a run of nothing but combining marks is held whole).
 
 Texts must be valid Unicode. Pieces of characters for which libraries may differ by their Unicode version are
 encoded by the tokenizers library itself; so is whatever may hold a special token.
@@ -21,6 +23,7 @@ from __future__ import annotations
 import codecs
 import json
 import re
+import unicodedata
 from collections.abc import Iterable, Iterator
 from functools import cached_property
 
@@ -37,7 +40,7 @@ PLAIN = re.compile("[\n -~¡-ɏ]*")
 NEVER = np.int32(2**31 - 1)
 #: Longest piece to be remembered, in characters.
 SHORT = 40
-#: Most pieces remembered; the memo then starts anew.
+#: Most pieces, and most words, remembered; a memo then starts anew.
 MEMO = 200_000
 
 
@@ -116,6 +119,7 @@ class Bpe:
             self.last_unit[b] = self.vocab[c + self.suffix]
         self.dtype = np.dtype("<u2" if max([*self.vocab.values(), *self.special.values()]) < 1 << 16 else "<u4")
         self.memo: dict[str, bytes] = {}
+        self.word_ids: dict[bytes, bytes] = {}
         self.decimals: dict[str, bytes] = {}
 
     @cached_property
@@ -196,6 +200,8 @@ class Bpe:
         if len(self.memo) > MEMO:
             self.memo.clear()
             self.decimals.clear()
+        if len(self.word_ids) > MEMO:
+            self.word_ids.clear()
         missing = list(set(pieces) - self.memo.keys())
         plain, words, counts = [], [], []
         for p in missing:
@@ -206,15 +212,15 @@ class Bpe:
                 counts.append(len(found))
             else:
                 self._remember(p, np.array(self.library.encode(p, add_special_tokens=False).ids, self.dtype))
-        distinct = list(dict.fromkeys(words))
-        ids, sizes = self.merge(distinct)
-        ends = np.cumsum(sizes)
+        of = self.word_ids
+        new = [w for w in dict.fromkeys(words) if w not in of]
+        ids, sizes = self.merge(new)
+        ends = (np.cumsum(sizes) * self.dtype.itemsize).tolist()
         packed = ids.tobytes()
-        width = self.dtype.itemsize
-        of = {w: packed[(e - n) * width : e * width] for w, e, n in zip(distinct, ends.tolist(), sizes.tolist())}
+        of.update(zip(new, map(packed.__getitem__, map(slice, [0, *ends], ends))))
         at = 0
         for p, n in zip(plain, counts):
-            self.memo[p] = b"".join([of[w] for w in words[at : at + n]])
+            self.memo[p] = of[words[at]] if n == 1 else b"".join([of[w] for w in words[at : at + n]])
             at += n
 
     def _remember(self, piece: str, ids: np.ndarray) -> None:
@@ -245,6 +251,7 @@ class StreamEncoder:
         self.held = ""  # characters not yet emitted
         self.word = b""  # bytes of an unfinished overlong word, from a stable token boundary on
         self.inside: regex.Pattern | None = None  # what continues that word
+        self.folded = ""  # of an overlong piece, normalised and not yet emitted
         self.longest = max(map(len, bpe.special), default=0)
 
     def feed(self, text: str) -> Iterator[str | np.ndarray]:
@@ -253,23 +260,28 @@ class StreamEncoder:
             yield from self._drain()
 
     def finish(self) -> Iterator[str | np.ndarray]:
-        yield from self._overlong(True) if self.inside else ()
+        if self.folded or self.bpe.lower and self.inside:
+            yield from self._fold(True)
+        elif self.inside:
+            yield from self._overlong(True)
         yield from self.bpe.pieces(self.held)
         self.held = ""
 
     def _drain(self) -> Iterator[str | np.ndarray]:
-        if self.inside:
-            yield from self._overlong(False)
-            if self.inside:
+        if self.folded or self.inside:
+            yield from self._fold(False) if self.bpe.lower else self._overlong(False)
+            if self.folded or self.inside:
                 return
         cut = self._last_cut(self.held)
         if cut:
             yield from self.bpe.pieces(self.held[:cut])
             self.held = self.held[cut:]
         if len(self.held) > self.window:
-            yield from self._overlong(False)
+            yield from self._fold(False) if self.bpe.lower else self._overlong(False)
 
     def _last_cut(self, text: str) -> int:
+        if self.bpe.drops_space:
+            return max(0, *(text.rfind(c) for c in " \n\t\r"))
         at = text.rfind(" ")
         while at > 0 and text[at - 1].isspace():
             at = text.rfind(" ", 0, at)
@@ -294,7 +306,7 @@ class StreamEncoder:
                     at = max(safe, 0)
                 elif spaces and at and at < len(text):
                     at -= 1  # the last white space before a word is the word's
-                self.word += _normal(bpe, text[:at]).encode()
+                self.word += text[:at].encode()
                 yield from self._tokens(over)
                 self.held = self.held[at:]
                 if not over:
@@ -302,7 +314,7 @@ class StreamEncoder:
                 self.inside = None
                 continue
             while at < safe:
-                m = bpe.pattern.match(text, at) if not bpe.lower else bpe.pattern.search(text, at)
+                m = bpe.pattern.match(text, at)
                 if m is None or m.end() >= safe and not closed:
                     break
                 yield text[m.start() : m.end()]
@@ -315,18 +327,61 @@ class StreamEncoder:
                 continue
             if closed or len(self.held) <= self.window:
                 return
-            first = self.held.lstrip() if bpe.lower else self.held
-            self.held = first
-            if not first:
-                return
+            first = self.held
             lead = 1 if first[0] == " " and len(first) > 1 and not first[1].isspace() else 0
             self.inside = next(c for c in _CLASSES if c.match(first, lead))
-            if bpe.lower and self.inside is _CLASSES[1]:
-                self.inside = None  # digits are single words there
-                return
             self.word = b" " if lead else b""
             self.held = first[lead:]
 
+    def _fold(self, end: bool) -> Iterator[np.ndarray]:
+        """Emit from an overlong piece of a tokenizer that folds text: fold what cannot change any more, then split."""
+        bpe = self.bpe
+        while True:
+            stops = [i for i in (self.held.find(s) for s in bpe.special) if i >= 0]
+            gap = _GAP.search(self.held)
+            stops += [gap.start()] if gap else []
+            closed = end or bool(stops)
+            upto = min(stops, default=len(self.held)) if closed else _boundary(self.held, len(self.held) - max(self.longest, 4))
+            self.folded += bpe.library.normalizer.normalize_str(self.held[:upto]) if upto else ""
+            self.held = self.held[upto:]
+            yield from self._split(closed)
+            special = next((s for s in bpe.special if self.held.startswith(s)), None) if closed else None
+            if special is None:
+                return
+            yield np.array([bpe.special[special]], bpe.dtype)
+            self.held = self.held[len(special) :]
+            if not end and len(self.held) <= self.window:
+                return
+
+    def _split(self, closed: bool) -> Iterator[np.ndarray]:
+        """Tokens of folded text: of words that are complete, and stable ones of a word that outgrows the window."""
+        bpe, text, words, at = self.bpe, self.folded, [], 0
+        if self.inside:
+            run = self.inside.match(text)
+            at = run.end() if run else 0
+            over = closed or at < len(text)
+            self.word += text[:at].encode()
+            yield from self._tokens(over)
+            if not over:
+                self.folded = ""
+                return
+            self.inside = None
+        while at < len(text):
+            m = bpe.pattern.search(text, at)
+            # What follows could lengthen the last word, also to a contraction.
+            if m is None or not closed and m.end() > len(text) - 4:
+                at = m.start() if m else len(text)
+                break
+            words.append(m.group().encode())
+            at = m.end()
+        if words:
+            yield bpe.merge(words)[0]
+        self.folded = text[at:]
+        if len(self.folded) > self.window and not closed:
+            self.inside = next(c for c in _CLASSES if c.match(self.folded))
+            self.word = b""
+            yield from self._split(closed)
+
     def _tokens(self, over: bool) -> Iterator[np.ndarray]:
         """Tokens of the unfinished word that nothing to come can change; all of them if it is over."""
         bpe = self.bpe
@@ -344,10 +399,17 @@ class StreamEncoder:
 
 
 _CLASSES = [regex.compile(p) for p in (r"\p{L}+", r"\p{N}+", r"[^\s\p{L}\p{N}]+", r"\s+")]
+_GAP = regex.compile(r"\s")
 
 
-def _normal(bpe: Bpe, text: str) -> str:
-    return bpe.library.normalizer.normalize_str(text) if bpe.lower else text
+def _boundary(text: str, at: int) -> int:
+    """The last place up to ``at`` whose character never combines with the one before it: no mark, no part of a syllable."""
+    while at > 0:
+        c = text[at]
+        if c < "\u0300" or unicodedata.category(c)[0] != "M" and not ("\u1100" <= c <= "\u11ff" or "\ud7b0" <= c <= "\ud7ff"):
+            return at
+        at -= 1
+    return 0
 
 
 class StreamDecoder:
