@@ -185,7 +185,13 @@ class Bpe:
 
     def words(self, piece: str) -> list[bytes]:
         """The parts of a plain piece that merges never cross."""
-        return [w.encode() for w in self.pattern.findall(piece.lower() if self.lower else piece)]
+        text = piece.lower() if self.lower else piece
+        letters = text[1:] if text[:1] == " " else text
+        if letters.isalpha():
+            return [text.encode()]
+        if letters[:-1].isalpha() and letters[-1] in ".,;:!?":
+            return [text[:-1].encode(), text[-1:].encode()]
+        return [w.encode() for w in self.pattern.findall(text)]
 
     def pieces(self, text: str) -> list[str]:
         """Cut a whole text where no token crosses: before each space after a non-space, or at white space that is dropped."""
