@@ -208,10 +208,14 @@ class Bpe:
             self.decimals.clear()
         if len(self.word_ids) > MEMO:
             self.word_ids.clear()
-        missing = list(set(pieces) - self.memo.keys())
+        missing = set(pieces).difference(self.memo)
         plain, words, counts = [], [], []
         for p in missing:
-            if PLAIN.fullmatch(p) and "<|" not in p:
+            if p.isalpha() and p.isascii():
+                plain.append(p)
+                words.append((p.lower() if self.lower else p).encode())
+                counts.append(1)
+            elif PLAIN.fullmatch(p) and "<|" not in p:
                 found = self.words(p)
                 plain.append(p)
                 words += found
@@ -244,6 +248,10 @@ _SPACES = re.compile(r"\s ")
 _CUT = re.compile(r"(?<=\S)(?= )")
 
 
+#: Characters of a text that are read at once.
+WINDOW = 1 << 16
+
+
 def decimals(ids: np.ndarray) -> bytes:
     return ",".join(map(str, ids.tolist())).encode()
 
@@ -251,7 +259,7 @@ def decimals(ids: np.ndarray) -> bytes:
 class StreamEncoder:
     """Text in, in windows; out come pieces (to be learnt and looked up) and, from overlong pieces, arrays of ids."""
 
-    def __init__(self, bpe: Bpe, window: int = 1 << 16):
+    def __init__(self, bpe: Bpe, window: int = WINDOW):
         self.bpe = bpe
         self.window = max(window, 8)
         self.held = ""  # characters not yet emitted

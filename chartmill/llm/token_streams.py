@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from chartmill.llm.bpe import Bpe, StreamDecoder, StreamEncoder, decimals
+from chartmill.llm.bpe import WINDOW, Bpe, StreamDecoder, StreamEncoder, decimals
 from chartmill.llm.common import map_arrow, slices
 
 
@@ -24,18 +24,27 @@ def tokenizer(path: str) -> Bpe:
 
 def encoded(bpe: Bpe, texts: list[str]) -> Iterator[list[str | np.ndarray]]:
     """For each text its stable pieces (learnt by then) and, from overlong ones, id arrays."""
-    items = []
+    items: list[list[str | np.ndarray]] = []
+    known: set[str] = set()
     for text in texts:
-        stream = StreamEncoder(bpe)
-        items.append([*stream.feed(text), *stream.finish()])
-    bpe.learn(x for one in items for x in one if isinstance(x, str))
+        if len(text) <= WINDOW:
+            items.append(bpe.pieces(text))
+            known.update(items[-1])
+        else:
+            stream = StreamEncoder(bpe)
+            items.append([*stream.feed(text), *stream.finish()])
+            known.update(x for x in items[-1] if isinstance(x, str))
+    bpe.learn(known)
     yield from items
 
 
 def packed(bpe: Bpe, items: list[str | np.ndarray]) -> bytes:
     """Ids as little-endian unsigned integers of the tokenizer's width."""
     memo = bpe.memo
-    return b"".join([memo[x] if isinstance(x, str) else x.astype(bpe.dtype).tobytes() for x in items])
+    try:
+        return b"".join(map(memo.__getitem__, items))
+    except TypeError:  # an array among them
+        return b"".join([memo[x] if isinstance(x, str) else x.astype(bpe.dtype).tobytes() for x in items])
 
 
 def batches_of_texts(batch: pa.RecordBatch, at: int) -> Iterator[tuple[int, list[str]]]:
