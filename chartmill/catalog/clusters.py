@@ -238,10 +238,11 @@ def projected_centroids(t):
     centres = t.spark.createDataFrame([(Vectors.dense(c),) for c in model.clusterCenters()], ["features"])
     placed = K.project_centroids(model, K.fit_pca(centres), rows)
     owner = model.setPredictionCol("cluster").transform(rows).groupBy("cluster").agg(F.min("group").alias("g"))
-    x = placed.join(owner, "cluster").select("g", "pc1", "pc2")
-    y = x.toDF("h", "q1", "q2")
-    apart = F.sqrt((F.col("pc1") - F.col("q1")) ** 2 + (F.col("pc2") - F.col("q2")) ** 2)
-    return x.join(F.broadcast(y), F.col("g") < F.col("h")).select(F.col("g").alias("a"), F.col("h").alias("b"), F.round(apart, 6).alias("apart"))
+    found = placed.join(owner, "cluster").agg(F.collect_list(F.struct("g", "pc1", "pc2")).alias("all"))  # three
+    pairs = found.select("all", F.explode("all").alias("x"))
+    pairs = pairs.select("x", F.explode(F.filter("all", lambda y: y["g"] > F.col("x.g"))).alias("y"))
+    apart = F.sqrt((F.col("x.pc1") - F.col("y.pc1")) ** 2 + (F.col("x.pc2") - F.col("y.pc2")) ** 2)
+    return pairs.select(F.col("x.g").alias("a"), F.col("y.g").alias("b"), F.round(apart, 6).alias("apart"))
 
 
 _REPORT = """

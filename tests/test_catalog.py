@@ -16,6 +16,7 @@ BLOCKS = {
     "neighbour_vote_by_distance",
     "neighbour_vote_uniform_manhattan",
     "neighbour_settings",
+    "vote_of_models",
     "silhouette_of_labels",
     "davies_bouldin_of_labels",
 }
