@@ -17,162 +17,264 @@ less than a piece of those words more can stay there.
 
 from __future__ import annotations
 
-import re
-from bisect import bisect_left
 from collections.abc import Iterable, Iterator
-from zlib import crc32
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-import xxhash
-from pyspark.sql import DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from chartmill.llm.common import named, numbered, row_key, ship
-from chartmill.llm.occurrences import later_occurrences
+from chartmill.llm.common import named, numbered, row_key, ship, slices
 
 MOST_WORDS = 16
 #: Of so many words in a row one is cut after, unless it and the next stand again within the next or last few words.
 WINDOW = 8
 RECUR = 10
-NEVER = 1 << 32
+NEVER = np.uint64((1 << 64) - 1)
 SPAN_WORDS = 24
 SPAN_SENTENCES = 2
-#: Parts that the hashes are counted in, and hashes that a task holds before it deals them to the parts.
-PARTS = 4096
+#: Bytes of text that are cut at once (a longer text alone), and bytes of them whose words are hashed at once.
+TEXT_BYTES = 1 << 19
+WORD_BYTES = 1 << 18
+#: Spans that a task holds before it compares them.
 HELD = 1 << 20
 
-_END = re.compile(r"(?<=[.!?])(?=\s)|(?<=\n)")
-_WORD = re.compile(r"[^\x20\x09-\x0D]+")
-
-
-def _cuts(words: list[bytes]) -> list[int]:
-    """The words of a long sentence that a piece starts with, but for the first."""
-    hashes = [crc32(b, crc32(a)) for a, b in zip(words, words[1:])]
-    last: dict[int, int] = {}
-    for i, h in enumerate([*hashes]):
-        k = last.get(h, -RECUR)
-        if i - k <= RECUR and k >= 0:
-            hashes[i] = hashes[k] = NEVER
-        last[h] = i
-    chosen, best = [], -1
-    for i in range(WINDOW - 1, len(words) - 1):
-        if best <= i - WINDOW:
-            best = i
-            for k in range(i - 1, i - WINDOW, -1):
-                if hashes[k] < hashes[best]:
-                    best = k
-        elif hashes[i] < hashes[best]:
-            best = i
-        else:
-            continue
-        if hashes[best] != NEVER:
-            chosen.append(best + 1)
-    found, at = [], 0
-    for c in [*chosen, len(words)]:
-        found += range(at + MOST_WORDS, c, MOST_WORDS)
-        found.append(c)
-        at = c
-    return found[:-1]
-
-
-def _pieces(text: str) -> tuple[list[str], list[list[bytes]]]:
-    """The pieces of the text in order, and the words of each."""
-    parts, words = [], []
-    for part in _END.split(text):
-        own = part.encode().split()
-        if len(own) > WINDOW:
-            cuts = _cuts(own)
-            at = [m.start() for m in _WORD.finditer(part)]
-            starts = [at[c] for c in cuts]
-            parts += [part[a:b] for a, b in zip([0, *starts], [*starts, len(part)])]
-            words += [own[a:b] for a, b in zip([0, *cuts], [*cuts, len(own)])]
-        elif part:
-            parts.append(part)
-            words.append(own)
-    return parts, words
+_SPACE = np.zeros(256, bool)
+_SPACE[[0x20, *range(0x09, 0x0E)]] = True
+_STOP = np.zeros(256, bool)
+_STOP[[ord(c) for c in ".!?"]] = True
+#: Odd factors of the sums that words and runs of words are hashed by.
+_BYTE_FACTOR = 0x9E3779B97F4A7C15
+_RUN_FACTORS = (0xD6E8FEB86659FD93, 0xA0761D6478BD642F)
+
+
+def _mixed(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(32))) * np.uint64(_RUN_FACTORS[0])
+    x = (x ^ (x >> np.uint64(29))) * np.uint64(_BYTE_FACTOR)
+    return x ^ (x >> np.uint64(32))
+
+
+def _powers(factor: int, n: int) -> np.ndarray:
+    out = np.full(n, factor, np.uint64)
+    out[:1] = 1
+    return np.multiply.accumulate(out)
+
+
+def _word_hashes(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64 bits of each word: its bytes by powers of a factor, summed."""
+    if not len(starts):
+        return np.zeros(0, np.uint64)
+    lengths = ends - starts
+    powers = _powers(_BYTE_FACTOR, int(lengths.max()))
+    out = np.empty(len(starts), np.uint64)
+    upto = np.cumsum(lengths)
+    a = 0
+    while a < len(starts):
+        b = max(a + 1, int(np.searchsorted(upto, (upto[a - 1] if a else 0) + WORD_BYTES, "right")))
+        n = lengths[a:b]
+        first = np.cumsum(n) - n
+        within = np.arange(int(n.sum())) - np.repeat(first, n)
+        terms = (buf[within + np.repeat(starts[a:b], n)].astype(np.uint64) + np.uint64(1)) * powers[within]
+        out[a:b] = np.add.reduceat(terms, first)
+        a = b
+    return _mixed(out)
+
+
+def _chosen(words: np.ndarray, sentence: np.ndarray) -> np.ndarray:
+    """Whether a long sentence is cut before each word."""
+    n = len(words)
+    pair = np.zeros(n, bool)
+    pair[:-1] = sentence[1:] == sentence[:-1]
+    hashes = words.copy()
+    hashes[:-1] = _mixed(words[:-1] * np.uint64(_RUN_FACTORS[1]) + words[1:])
+    recurs = np.zeros(n, bool)
+    for k in range(1, min(RECUR, n - 1) + 1):
+        same = (hashes[k:] == hashes[:-k]) & (sentence[k:] == sentence[:-k]) & pair[k:]
+        recurs[k:] |= same
+        recurs[:-k] |= same
+    hashes[recurs] = NEVER
+    # How many pairs in a row before and after this one, of its sentence, have greater hashes.
+    room = np.ones(n, np.int8)
+    before, after = pair & ~recurs, pair & ~recurs
+    least = before.copy()
+    for k in range(1, min(WINDOW - 1, n - 1) + 1):
+        alike = (sentence[k:] == sentence[:-k]) & pair[k:]
+        before[k:] &= alike & (hashes[:-k] > hashes[k:])
+        before[:k] = False
+        after[:-k] &= alike & (hashes[k:] > hashes[:-k])
+        after[-k:] = False
+        room += before
+        room += after
+    cut = np.zeros(n, bool)
+    cut[1:] = (least & (room >= WINDOW))[:-1]
+    return cut
+
+
+class _Cut(NamedTuple):
+    """Pieces and spans of several texts."""
+
+    #: First byte of each piece and the end of the last, and the first piece of each text, in the joined texts.
+    pieces: list[np.ndarray]
+    #: Text, piece it starts with, number of pieces and the two hashes of each span.
+    row: np.ndarray
+    pos: np.ndarray
+    covers: np.ndarray
+    h1: np.ndarray
+    h2: np.ndarray
+
+
+def _cut(texts: list[bytes]) -> _Cut:
+    sizes = np.array([len(t) for t in texts], np.int64)
+    begins = np.cumsum(sizes + 1) - sizes - 1
+    buf = np.frombuffer(b"\n".join([*texts, b""]), np.uint8)
+    space = _SPACE[buf]
+    mark = np.zeros(len(buf) + 1, bool)
+    mark[1:] = buf == ord("\n")
+    mark[1:-1] |= _STOP[buf[:-1]] & space[1:]
+    mark[begins] = True
+    mark[begins + sizes] = False
+    mark = mark[:-1]
+
+    edge = np.diff(np.concatenate([[True], space]).astype(np.int8))
+    starts, ends = np.flatnonzero(edge == -1), np.flatnonzero(edge == 1)
+    words = _word_hashes(buf, starts, ends)
+    sentence = np.searchsorted(np.flatnonzero(mark), starts, "right")
+    opens = np.ones(len(words), bool)
+    opens[1:] = sentence[1:] != sentence[:-1]
+    if len(words) > WINDOW:
+        opens |= _chosen(words, sentence)
+    index = np.arange(len(words))
+    since = index - np.maximum.accumulate(np.where(opens, index, 0))
+    opens |= since % MOST_WORDS == 0
+    mark[starts[opens & (np.diff(sentence, prepend=0) == 0)]] = True
+
+    bounds = np.flatnonzero(mark)
+    own = np.searchsorted(bounds, np.append(begins, len(buf)))
+    pieces = [np.append(bounds[a:b] - s, n) for a, b, s, n in zip(own, own[1:], begins, sizes)]
+
+    first = np.flatnonzero(opens)
+    piece = np.searchsorted(bounds, starts[first], "right") - 1
+    row = np.searchsorted(begins, starts[first], "right") - 1
+    upto = np.append(first, len(words))
+    end = np.maximum(np.searchsorted(upto, first + SPAN_WORDS), np.arange(len(first)) + SPAN_SENTENCES)
+    some = np.flatnonzero(end <= np.searchsorted(row, row, "right"))
+    end = end[some]
+    runs = []
+    for k, factor in enumerate(_RUN_FACTORS):
+        sums = np.zeros(len(words) + 1, np.uint64)
+        np.cumsum(_mixed(words + np.uint64(k)) * _powers(factor, len(words)), out=sums[1:])
+        back = _powers(pow(factor, -1, 1 << 64), len(words))
+        runs.append(_mixed((sums[upto[end]] - sums[first[some]]) * back[first[some]]))
+    return _Cut(
+        pieces,
+        row[some],
+        (piece[some] - own[row[some]]).astype(np.int32),
+        (piece[end - 1] - piece[some] + 1).astype(np.int32),
+        runs[0].view(np.int64),
+        (runs[1] >> np.uint64(32)).astype(np.uint32).view(np.int32),
+    )
+
+
+def _cuts(column: pa.Array) -> Iterator[tuple[int, list[bytes], _Cut]]:
+    """A column of texts in runs of bounded size: the first row, the texts (null: empty), and how they are cut."""
+    raw = column.cast(pa.binary())
+    for a, b in slices(pc.fill_null(pc.binary_length(raw), 0).to_pylist(), TEXT_BYTES):
+        texts = [t or b"" for t in raw.slice(a, b - a).to_pylist()]
+        yield a, texts, _cut(texts)
 
 
 def sentences(text: str) -> list[str]:
     """The text in order, cut into sentences and pieces of long ones; joined they are the text again."""
-    return _pieces(text)[0]
-
-
-def spans(text: str) -> list[tuple[int, int, int, int]]:
-    """(piece it starts with, two hashes of 64 and 32 bits, number of pieces it covers) of each span."""
-    return _spans(_pieces(text)[1])
-
-
-def _spans(pieces: list[list[bytes]]) -> list[tuple[int, int, int, int]]:
-    at = [i for i, w in enumerate(pieces) if w]
-    joined = [b" ".join(pieces[i]) for i in at]
-    upto = [0]
-    for i in at:
-        upto.append(upto[-1] + len(pieces[i]))
-    out, end = [], 0
-    for i in range(len(at)):
-        end = max(bisect_left(upto, upto[i] + SPAN_WORDS, end), i + SPAN_SENTENCES)
-        if end > len(at):
-            break
-        h = xxhash.xxh3_128_intdigest(b" ".join(joined[i:end]))
-        out.append((at[i], _signed(h >> 64), (h & (1 << 32) - 1) - (1 << 31), at[end - 1] - at[i] + 1))
-    return out
-
-
-def _signed(h: int) -> int:
-    return h - (1 << 64) if h >> 63 else h
-
-
-def without(text: str, starts: list[int]) -> tuple[str, int, int]:
-    """The text without the sentences of the spans that begin at ``starts``, the number of sentences before, and of
-    those removed."""
-    parts, words = _pieces(text)
-    lengths = {s: n for s, _, _, n in _spans(words)}
-    change = [0] * (len(parts) + 1)
-    for s in starts:
-        change[s] += 1
-        change[s + lengths[s]] -= 1
-    kept, open_spans = [], 0
-    for part, step in zip(parts, change):
-        open_spans += step
-        if not open_spans:
-            kept.append(part)
-    return "".join(kept), len(parts), len(parts) - len(kept)
-
-
-def _repeated(texts: DataFrame) -> DataFrame:
-    """The first hashes ``h1`` of spans that more than one span has.
-
-    Of a million hashes a task sends each twice at most, packed with others of its part: a hash moves as eight bytes,
-    and a hot one weighs no more than others.
-    """
+    raw = text.encode()
+    at = _cut([raw]).pieces[0].tolist()
+    return [raw[a:b].decode() for a, b in zip(at, at[1:])]
 
-    def deal(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[int] = []
-        for batch in batches:
-            for t in batch.column(0):
-                held += [x[1] for x in spans(t.as_py() or "")]
-                if len(held) >= HELD:
-                    yield dealt(held)
-                    held = []
-        if held:
-            yield dealt(held)
 
-    def dealt(held: list[int]) -> pa.RecordBatch:
-        values, counts = np.unique(np.array(held, np.int64), return_counts=True)
-        values = np.repeat(values, np.minimum(counts, 2))
-        part = values & PARTS - 1
-        order = np.argsort(part, kind="stable")
-        found, starts = np.unique(part[order], return_index=True)
-        packed = [x.astype("<i8").tobytes() for x in np.split(values[order], starts[1:])]
-        return pa.RecordBatch.from_arrays([pa.array(found, pa.int32()), pa.array(packed, pa.binary())], names=["part", "packed"])
+def _without(text: bytes, pieces: np.ndarray, pos: np.ndarray, covers: np.ndarray, starts: list[int]) -> tuple[bytes, int]:
+    """The text without the pieces of the spans that begin at ``starts``, and the number of those removed."""
+    at = np.array(starts)
+    change = np.zeros(len(pieces), np.int64)
+    np.add.at(change, at, 1)
+    np.add.at(change, at + covers[np.searchsorted(pos, at)], -1)
+    kept = np.cumsum(change[:-1]) == 0
+    turns = np.flatnonzero(np.diff(np.concatenate([[False], kept, [False]]).astype(np.int8)))
+    ends = pieces[turns].tolist()
+    return b"".join(text[a:b] for a, b in zip(ends[::2], ends[1::2])), int((~kept).sum())
 
-    def count(table: pa.Table) -> pa.Table:
-        values, counts = np.unique(np.frombuffer(b"".join(table.column("packed").to_pylist()), "<i8"), return_counts=True)
-        return pa.table({"h1": pa.array(values[counts > 1], pa.int64())})
 
-    return texts.mapInArrow(deal, "part int, packed binary").groupBy("part").applyInArrow(count, "h1 long")
+def _later(texts: DataFrame) -> DataFrame:
+    """``id``, ``k1`` and ``pos`` of each span that occurs earlier too, by document (``id``, nulls last; then ``k1``) and ``pos``.
+
+    A task compares its own spans first, a million at a time: of those alike all but the first are later ones whatever
+    the others hold, and only the first goes where its hash tells. So a hot hash has one row per million spans where
+    it is compared, however often it occurs; the rows that are told already are dealt anywhere.
+    """
+    schema = T.StructType(
+        [
+            T.StructField("id", texts.schema["id"].dataType),
+            T.StructField("k1", T.LongType()),
+            T.StructField("mark", T.LongType()),
+            T.StructField("at", T.LongType()),
+        ]
+    )
+
+    def find(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys: list[pa.RecordBatch] = []
+        held: list[tuple[np.ndarray, ...]] = []
+        rows = spans = 0
+        for batch in batches:
+            for a, own, cut in _cuts(batch.column(2)):
+                keys.append(batch.select([0, 1]).slice(a, len(own)))
+                held.append((cut.row + rows, cut.pos, cut.h1, cut.h2))
+                rows += len(own)
+                spans += len(cut.pos)
+                if spans >= HELD:
+                    yield from told(keys, held)
+                    keys, held, rows, spans = [], [], 0, 0
+        if held:
+            yield from told(keys, held)
+
+    def told(keys: list[pa.RecordBatch], held: list[tuple[np.ndarray, ...]]) -> Iterator[pa.RecordBatch]:
+        documents = pa.Table.from_batches(keys).combine_chunks()
+        row, pos, h1, h2 = (np.concatenate(x) for x in zip(*held))
+        if not len(row):
+            return
+        order = pc.sort_indices(documents, sort_keys=[("id", "ascending"), ("k1", "ascending")]).to_numpy()
+        k1 = documents.column("k1").to_numpy()
+        rank = np.empty(len(order), np.int64)
+        rank[order] = np.cumsum(np.diff(k1[order], prepend=k1[order[:1]]) != 0)
+        place = (rank[row] << 32) + pos
+        order = np.lexsort((place, h2, h1))
+        h1, h2, place = h1[order], h2[order], place[order]
+        opens = np.ones(len(order), bool)
+        opens[1:] = (h1[1:] != h1[:-1]) | (h2[1:] != h2[:-1])
+        first = place[np.maximum.accumulate(np.where(opens, np.arange(len(order)), 0))]
+        later = place > first
+        # In the order of the texts again, where neighbours share their keys.
+        stay = np.flatnonzero(opens | later)
+        stay = stay[np.argsort(order[stay])]
+        row, pos, h1, h2, later = row[order[stay]], pos[order[stay]].astype(np.int64), h1[stay], h2[stay].astype(np.int64), later[stay]
+        mark = (h2 << 32) | (later.astype(np.int64) << 31) | pos
+        spread = _mixed(k1[row].view(np.uint64) + pos.view(np.uint64)).view(np.int64)
+        found = documents.take(pa.array(row)).append_column("mark", pa.array(mark)).append_column("at", pa.array(np.where(later, spread, h1)))
+        yield from found.to_batches(max_chunksize=1 << 16)
+
+    # Dealt by one column, so that nothing computed from the others travels along.
+    dealt = texts.mapInArrow(find, schema).repartition("at")
+    mark = F.col("mark")
+    read = dealt.select(
+        "id",
+        "k1",
+        "at",
+        F.shiftright(mark, 32).alias("h2"),
+        (F.shiftright(mark, 31).bitwiseAND(1) == 1).alias("later"),
+        mark.bitwiseAND((1 << 31) - 1).cast("int").alias("pos"),
+    )
+    alike = Window.partitionBy("at", "h2").orderBy(F.asc_nulls_last("id"), "k1", "pos")
+    return read.withColumn("rank", F.rank().over(alike)).where("later OR rank > 1").select("id", "k1", "pos")
 
 
 def remove_repeated_spans(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -187,34 +289,9 @@ def remove_repeated_spans(df: DataFrame, doc_id: str = "doc_id", text: str = "te
     names = [c for c in df.columns if c not in ("n_sentences", "n_removed")]
     at_id, at_text = f"c{names.index(doc_id)}", f"c{names.index(text)}"
     keyed = numbered(df.select(*[F.col(f"`{c}`") for c in names])).select("*", row_key(at_id, at_text)[0])
-
-    def find(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows: list[int] = []
-            found: list[tuple[int, int, int]] = []
-            for row, t in enumerate(batch.column(2)):
-                own = spans(t.as_py() or "")
-                found += [x[:3] for x in own]
-                rows += [row] * len(own)
-            columns = zip(*found) if found else ([], [], [])
-            kinds = (pa.int32(), pa.int64(), pa.int32())
-            yield pa.RecordBatch.from_arrays(
-                [*batch.select(["id", "k1"]).take(pa.array(rows, pa.int32())).columns, *[pa.array(c, k) for c, k in zip(columns, kinds)]],
-                names=schema.names,
-            )
-
-    schema = T.StructType(
-        [
-            T.StructField("id", df.schema[doc_id].dataType),
-            T.StructField("k1", T.LongType()),
-            T.StructField("pos", T.IntegerType()),
-            T.StructField("h1", T.LongType()),
-            T.StructField("h2", T.IntegerType()),
-        ]
-    )
-    passages = keyed.select(F.col(at_id).alias("id"), "k1", F.col(at_text).alias("text")).mapInArrow(find, schema)
+    texts = keyed.select(F.col(at_id).alias("id"), "k1", F.col(at_text).alias("text"))
     # One row per document with repeats, and at most one span per sentence of it.
-    starts = later_occurrences(passages, _repeated(keyed.select(F.col(at_text).alias("text")))).groupBy("id", "k1").agg(F.collect_set("pos").alias("starts"))
+    starts = _later(texts).groupBy("id", "k1").agg(F.collect_set("pos").alias("starts"))
     starts = starts.withColumnRenamed("k1", "at")
     met = keyed.join(starts, F.col(at_id).eqNullSafe(F.col("id")) & (F.col("k1") == F.col("at")), "left")
     met = met.select(*[f"c{i}" for i in range(len(names))], "starts")
@@ -222,15 +299,22 @@ def remove_repeated_spans(df: DataFrame, doc_id: str = "doc_id", text: str = "te
 
     def remove(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts, before, gone = [], [], []
-            for t, s in zip(batch.column(place), batch.column(len(names))):
-                t, s = t.as_py(), s.as_py()
-                body, total, removed = without(t, s) if s else (t, len(sentences(t or "")), 0)
-                texts.append(body)
-                before.append(total)
-                gone.append(removed)
+            there = batch.column(place).is_valid().to_pylist()
+            starts = batch.column(len(names)).to_pylist()
+            texts: list[bytes | None] = []
+            before, gone = [], []
+            for a, own, cut in _cuts(batch.column(place)):
+                upto = np.searchsorted(cut.row, np.arange(len(own) + 1))
+                for i, t in enumerate(own):
+                    body, removed = t, 0
+                    if starts[a + i]:
+                        of = slice(upto[i], upto[i + 1])
+                        body, removed = _without(t, cut.pieces[i], cut.pos[of], cut.covers[of], starts[a + i])
+                    texts.append(body if there[a + i] else None)
+                    before.append(len(cut.pieces[i]) - 1)
+                    gone.append(removed)
             columns = [*batch.columns[: len(names)]]
-            columns[place] = pa.array(texts, pa.string())
+            columns[place] = pa.array(texts, pa.binary()).cast(pa.string())
             yield pa.RecordBatch.from_arrays([*columns, pa.array(before, pa.int64()), pa.array(gone, pa.int64())], names=out.names)
 
     counts = [T.StructField(c, T.LongType()) for c in ("n_sentences", "n_removed")]

@@ -1,6 +1,10 @@
 """Quality rules, line and span deduplication, mixing."""
 
+import random
+import re
+
 import cases
+import numpy as np
 import pytest
 from conftest import TINY
 from oracle import compare, connect
@@ -79,6 +83,53 @@ def test_sentences_join_to_the_text():
     assert max(len(s.split()) for s in span_dedup.sentences(cases.GOOD * 3)) <= 16
 
 
+def plain_cuts(words):
+    """The words that a piece of a long sentence starts with, by looking at each window on its own."""
+    ends = np.cumsum([len(w) + 1 for w in words])
+    buf = np.frombuffer(b" ".join([*words, b""]), np.uint8)
+    own = span_dedup._word_hashes(buf, ends - [len(w) + 1 for w in words], ends - 1)
+    pairs = [int(x) for x in span_dedup._mixed(own[:-1] * np.uint64(span_dedup._RUN_FACTORS[1]) + own[1:])]
+    recurs = {i for i, h in enumerate(pairs) if h in pairs[max(0, i - 10) : i] or h in pairs[i + 1 : i + 11]}
+    chosen = set()
+    for i in range(len(pairs) - 7):
+        window = [k for k in range(i, i + 8) if k not in recurs]
+        if window:
+            chosen.add(min(window, key=lambda k: pairs[k]) + 1)
+    out, at = [], 0
+    for c in [*sorted(chosen), len(words)]:
+        out += [*range(at + 16, c, 16), c]
+        at = c
+    return out[:-1]
+
+
+def test_sentences_are_cut_where_each_window_says():
+    rng = random.Random(3)
+    texts = [" ".join(rng.choice(("a", "b,", "of.", "the\n", "longer", "é")) for _ in range(rng.randrange(80))) for _ in range(60)]
+    texts += ["aa " * 100, " x", ". . .\n\n", cases.GOOD * 2, " ".join(f"w{i * i % 97}" for i in range(200))]
+    for text in texts:
+        want = []
+        for part in re.split(r"(?<=[.!?])(?=[\x20\x09-\x0D])|(?<=\n)", text):
+            words = part.encode().split()
+            at = [m.start() for m in re.finditer(r"[^\x20\x09-\x0D]+", part)]
+            cuts = [at[c] for c in plain_cuts(words)] if len(words) > 8 else []
+            want += [part[a:b] for a, b in zip([0, *cuts], [*cuts, len(part)]) if part]
+        assert span_dedup.sentences(text) == want
+
+
+def test_span_dedup_when_a_third_of_the_rows_is_one_document(spark):
+    hot = " ".join(f"Sentence {i} of the hot document says {i * 31 % 101}." for i in range(40))
+    rows = [(i, hot if i % 3 == 0 else " ".join(f"w{i}x{k}" for k in range(40))) for i in range(3, 300)]
+    rows += [(None, hot), (None, hot), (3, hot)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(7)
+    for r in span_dedup.remove_repeated_spans(docs).collect():
+        if r["doc_id"] == 3:
+            assert r["text"] == hot and r["n_removed"] == 0
+        elif r["doc_id"] is None or r["doc_id"] % 3 == 0:
+            assert len(r["text"].split()) < 24, r
+        else:
+            assert r["n_removed"] == 0
+
+
 def plain_span_dedup(rows):
     seen, out = set(), {}
     for doc_id, text in sorted(set(rows), key=lambda r: (r[0] is None, r[0])):
