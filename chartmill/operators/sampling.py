@@ -113,51 +113,43 @@ def sample_rows(df: DataFrame, n: int, key: str | Sequence[str], seed: int = 42)
     return under.unionAll(df.where(own == stop["_hash"]).orderBy(*[col_of(k) for k in keys]).limit(missing))
 
 
-#: Copies are drawn in parts of at most this rate, so that no Poisson weight underflows.
-_RATE_STEP = 50.0
+#: Places or copies that one array holds at most before they become rows.
+_STRETCH = 1 << 16
 
 
-def bootstrap(df: DataFrame, n: int, key: str, seed: int = 42, cap: float | None = None) -> DataFrame:
-    """About n rows with replacement; with ``cap``, at most about ``cap`` times the table.
+def _digits(*parts: Column) -> Column:
+    """60 bits of a hash that other engines have too, as a number."""
+    return F.conv(F.substring(F.md5(F.concat_ws(":", *parts)), 1, 15), 16, 10).cast("long")
 
-    Each row draws a Poisson number of copies, the many-row limit of drawing with replacement. A rate above 50 copies a
-    row is drawn as the sum of parts.
+
+def _numbers(rows: DataFrame, start: Column, end: Column, name: str) -> DataFrame:
+    """Each row once for each number from ``start`` to before ``end`` (at least one), in arrays of bounded length."""
+    steps = rows.withColumns({"_end": end, "_from": F.explode(F.sequence(start, end - 1, F.lit(_STRETCH).cast("long")))})
+    upto = F.least(F.col("_from") + _STRETCH, F.col("_end")) - 1
+    return steps.withColumn(name, F.explode(F.sequence("_from", upto))).drop("_end", "_from")
+
+
+def bootstrap(df: DataFrame, n: int, key: str | Sequence[str], seed: int = 42, cap: float | None = None) -> DataFrame:
+    """Exactly ``n`` rows with replacement, every row as likely each time (none of an empty table); with ``cap``, at most
+    ``cap`` times the table, which is counted for it.
+
+    The rows have places in the order of a hash of key and seed, each draw takes the place that a hash of its number
+    tells, and draws of one place are counted before they meet the rows. Places are told from running totals, so no task
+    sorts the table. Rows alike in all columns are one row with several places.
     """
-    rows = df.agg(F.count("*").cast("double").alias("n")).scalar()
-    rate = F.try_divide(F.lit(float(n)), rows)
-    rate = rate if cap is None else F.least(rate, F.lit(float(cap)))
-    part_rate = F.col("_rate") / F.col("_parts")
-    # Nothing that 30 bits of hash can ask for lies beyond this many copies.
-    most = F.ceil(part_rate + 9 * F.sqrt(part_rate) + 20).cast("int")
-
-    def copies(part: Column) -> Column:
-        """How many steps of the Poisson distribution function lie below the number of the row and part."""
-        hashed = F.xxhash64(col_of(key), F.lit(seed), F.lit("bootstrap"), part)
-        unit = (F.pmod(hashed, F.lit(_GRAIN)) + 0.5) / F.lit(float(_GRAIN))
-        first = F.exp(-part_rate)
-        return F.aggregate(
-            F.sequence(F.lit(0), most),
-            F.struct(first.alias("p"), first.alias("cum"), F.lit(0).alias("copies")),
-            lambda s, i: F.when(
-                unit > s["cum"],
-                F.struct(
-                    (s["p"] * part_rate / (i + 1)).alias("p"),
-                    (s["cum"] + s["p"] * part_rate / (i + 1)).alias("cum"),
-                    (i + 1).alias("copies"),
-                ),
-            ).otherwise(s),
-            lambda s: s["copies"],
-        )
-
-    total = F.aggregate(F.sequence(F.lit(1), F.col("_parts")), F.lit(0), lambda s, i: s + copies(i))
-    return (
-        df.withColumn("_rate", rate)
-        .withColumn("_parts", F.greatest(F.ceil(F.col("_rate") / _RATE_STEP), F.lit(1)).cast("int"))
-        .withColumn("_copies", total)
-        .where("_copies > 0")
-        .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
-        .drop("_rate", "_parts", "_copies", "_copy")
-    )
+    n = n if cap is None else min(n, int(cap * df.count()))
+    keys = [F.coalesce(col_of(k).cast("string"), F.lit("")) for k in ([key] if isinstance(key, str) else key)]
+    row = F.struct(_digits(F.lit(str(seed)), *keys).alias("at"), F.xxhash64(*[col_of(c) for c in df.columns]).alias("of"))
+    rows = df.withColumn("_row", row)
+    ranked = running_totals(rows.groupBy("_row").agg(F.count("*").alias("n")), "_row", ["n"])
+    places = _numbers(ranked.select("_row", "n", "cum_n"), F.col("cum_n") - F.col("n"), F.col("cum_n"), "_place").select("_row", "_place")
+
+    total = F.nullif(df.agg(F.count("*").alias("n")).scalar(), F.lit(0))
+    drawn = df.sparkSession.range(n).select(F.pmod(_digits(F.lit(str(seed)), F.lit("draw"), F.col("id").cast("string")), total).alias("_place"))
+    drawn = drawn.groupBy("_place").agg(F.count("*").alias("_drawn"))
+    copies = places.join(drawn, "_place").groupBy("_row").agg(F.sum("_drawn").alias("_copies"))
+    met = rows.dropDuplicates(["_row"]).join(copies, "_row")
+    return _numbers(met, F.lit(0).cast("long"), F.col("_copies"), "_copy").select(*[col_of(c) for c in df.columns])
 
 
 def balanced_weights(df: DataFrame, label: str, name: str = "weight", few: int = FEW) -> DataFrame:

@@ -69,16 +69,30 @@ def test_folds_inside_a_split_are_even(spark):
     train = S.stratified_split(df, "y", [0.6, 0.4], "id").where("split = 0").drop("split")
     folds = {r["fold"]: r["count"] for r in S.kfold_assign(train, "y", 5, "id").groupBy("fold").count().collect()}
     assert set(folds) == set(range(5)) and max(folds.values()) - min(folds.values()) < 300
-    drawn = S.bootstrap(train, 4000, "id").count()
-    assert 3600 < drawn < 4400
+    assert S.bootstrap(train, 4000, "id").count() == 4000
 
 
-def test_bootstrap_draws_any_multiple(spark):
+def test_bootstrap_draws_exactly(spark):
     df = spark.range(500)
-    for times in (10, 130):
-        drawn = S.bootstrap(df, 500 * times, "id").count()
-        assert abs(drawn - 500 * times) < 6 * (500 * times) ** 0.5
-    assert S.bootstrap(df, 50_000, "id", cap=2).count() < 1300
+    for n in (0, 5, 1000, 100_000):
+        drawn = S.bootstrap(df, n, "id")
+        counts = {r["id"]: r["count"] for r in drawn.groupBy("id").count().collect()}
+        assert sum(counts.values()) == n and set(counts) <= set(range(500))
+        if n == 100_000:
+            off = sum((counts[i] - 200) ** 2 / 200 for i in range(500))
+            assert 350 < off < 650  # 499 degrees of freedom
+    assert S.bootstrap(df, 50_000, "id", cap=2).count() == 1000
+    assert S.bootstrap(df.where("id < 0"), 10, "id").count() == 0
+    assert sorted(S.bootstrap(df, 700, "id").collect()) == sorted(S.bootstrap(df.repartition(3), 700, "id").collect())
+    assert sorted(S.bootstrap(df, 700, "id").collect()) != sorted(S.bootstrap(df, 700, "id", seed=1).collect())
+
+
+def test_bootstrap_of_repeated_rows_and_null_keys(table):
+    df = table([(7, "x")] * 300 + [(7, "y")] * 100 + [(None, "z")] * 200, "k long, v string")
+    for keys in ("k", ["k", "v"]):
+        drawn = {r["v"]: r["count"] for r in S.bootstrap(df, 6000, keys).groupBy("v").count().collect()}
+        assert sum(drawn.values()) == 6000
+        assert abs(drawn["x"] - 3000) < 250 and abs(drawn["y"] - 1000) < 180 and abs(drawn["z"] - 2000) < 220
 
 
 def test_sample_of_repeated_keys(spark):
