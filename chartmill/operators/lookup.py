@@ -30,9 +30,22 @@ def _literal(v) -> Column:
     return F.lit(list(v)) if isinstance(v, (list, tuple)) else F.lit(v)
 
 
-#: Most rows of a small side that are broadcast, and how many tasks at least share the rows of a key beyond that.
+#: Most rows of a small side that are broadcast, and most keys that are looked at for a large share of the rows.
 FEW = 10_000
-SALTS = 8
+HEAVY = 1_000
+
+
+def shares(df: DataFrame, key: Column, heavy: int = HEAVY) -> DataFrame:
+    """Hash and number of salts (``_heavy``, ``_salts``) of the keys with more rows than a shuffle task has on average.
+
+    Found in one pass by a sketch that merges; a key's salts are as many as the tasks that its share of the rows would fill.
+    At most ``heavy`` rows, which the driver holds.
+    """
+    spark = df.sparkSession
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    sketch = df.select(F.xxhash64(key).alias("h")).agg(F.expr(f"approx_top_k(h, {heavy}, {10 * heavy})").alias("top"), F.count("*").alias("n")).first()
+    salts = [(top["item"], -(-top["count"] * tasks // sketch["n"])) for top in sketch["top"] or []]
+    return spark.createDataFrame([x for x in salts if x[1] > 1], "_heavy long, _salts long")
 
 
 def attach(
@@ -41,15 +54,19 @@ def attach(
     """Add to each row the ``value`` its key has in ``table`` (null without one). Null keys match null keys.
 
     A table of at most ``few`` rows is read to the driver, at once, and broadcast, so no row of ``df`` moves; lower
-    the number where values are large. A larger table joins by shuffle on the key and one of eight salts, so a
-    key that holds much of ``df`` is spread even before the adaptive engine splits it.
+    the number where values are large. A larger table joins by shuffle on the key and a salt: keys that hold
+    much of ``df`` are counted first and spread over as many tasks as their rows would fill; others have one salt.
     """
     side = table.select(col_of(table_key).alias("_key"), col_of(value).alias(name))
     held = side.limit(few + 1).collect()
     if len(held) <= few:
         side = F.broadcast(df.sparkSession.createDataFrame(held, side.schema))
         return df.join(side, df[f"`{key}`"].eqNullSafe(side["_key"]), "left").drop("_key")
-    rows = df.withColumn("_salt", F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)))
-    side = side.withColumn("_of", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(SALTS - 1).cast("bigint"))))
+    heavy = F.broadcast(shares(df, col_of(key)))
+    salts = F.coalesce("_salts", F.lit(1).cast("long"))
+    rows = df.withColumn("_at", F.xxhash64(col_of(key))).join(heavy, F.col("_at") == F.col("_heavy"), "left")
+    rows = rows.withColumn("_salt", F.pmod(F.monotonically_increasing_id(), salts)).drop("_at", "_heavy", "_salts")
+    side = side.join(heavy, F.xxhash64("_key") == F.col("_heavy"), "left")
+    side = side.withColumn("_of", F.explode(F.sequence(F.lit(0).cast("long"), salts - 1))).drop("_heavy", "_salts")
     on = rows[f"`{key}`"].eqNullSafe(side["_key"]) & (rows["_salt"] == side["_of"])
     return rows.join(side, on, "left").drop("_key", "_salt", "_of")
