@@ -15,6 +15,10 @@ from chartmill.llm.common import WORD, named, numbered, saved
 
 #: Parts that the hash order of a source is cut into before one part is looked at closely.
 PARTS = 4096
+#: What a source's stop is told by, in turn: part of the order of ids, id, part of the rows of that id, row.
+LEVELS = ("part", "h", "crowd", "th")
+#: Equal rows that one array holds at most before they are rows again.
+STRETCH = 1 << 16
 #: Most sources whose limits are broadcast (some hundred bytes each).
 FEW = 20_000
 
@@ -48,10 +52,28 @@ def water_fill(sources: DataFrame, total: tuple[int, int], epochs: int) -> DataF
     return table.withColumn("target", F.when(F.col("full"), F.col("size") * F.lit(float(epochs))).otherwise(share)).drop("cap", "full")
 
 
-def _order(doc_id: str, text: str, seed: str) -> list[Column]:
-    """Seeded order of documents: a hash of the id; rows without another difference by hash of the text."""
+def _order(df: DataFrame, doc_id: str, seed: str) -> list[Column]:
+    """Seeded order of documents: a hash of the id, then one of the whole row (maps and variants aside)."""
     i = F.coalesce(F.col(f"`{doc_id}`").cast("string"), F.lit("null"))
-    return [F.md5(F.concat(F.lit(seed), i)).alias("h"), F.xxhash64(f"`{text}`").alias("th")]
+    hashed = [F.col(f"`{f.name}`") for f in df.schema if not any(k in f.dataType.simpleString() for k in ("map<", "variant"))]
+    return [F.md5(F.concat(F.lit(seed), i)).alias("h"), F.xxhash64(*hashed).alias("th")]
+
+
+def _narrowed(rows: DataFrame, picks: DataFrame, level: str) -> DataFrame:
+    """Of each source's documents that agree with its pick on the levels so far, those of the ``level`` at which the words reach the rest."""
+    picked = [c for c in picks.columns if c in LEVELS]
+    met = rows.join(_small(picks.select(*[F.col(c).alias(f"p_{c}") for c in picks.columns])), F.col("src").eqNullSafe(F.col("p_src")))
+    for c in picked:
+        met = met.where(F.col(c) == F.col(f"p_{c}"))
+    carried = [F.col(f"p_{c}").alias(c) for c in picks.columns if c not in ("words", "n")]
+    return _reached(met.groupBy(*carried, level).agg(F.sum("size").alias("words"), F.count("*").alias("n")), level)
+
+
+def _reached(sums: DataFrame, level: str) -> DataFrame:
+    """The row of each source at which the words upto it, from ``before`` on, reach its ``rest``; ``before`` moves on to it."""
+    running = Window.partitionBy("src").orderBy(level).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    upto = sums.withColumn("upto", F.col("before") + F.sum("words").over(running))
+    return saved(upto.where("upto >= rest AND upto - words < rest").withColumn("before", F.col("upto") - F.col("words")).drop("upto"))
 
 
 def mix(
@@ -70,17 +92,19 @@ def mix(
 
     Sources weigh ``weights`` in turn, by code point, null last. Drawing goes through a source's documents in seeded
     order and stops where the words come nearest to the target, so the error of a source is half a document at most.
-    Which 1/4096 of the order holds the stop is found from sums per part; only the documents of that part are put in
-    order, part by part, so no task holds a source. Reruns agree. A null text has no words; sources without words take
-    none. Repeated rows are drawn one by one. An empty table stays empty.
+    The stop is found from sums: which 1/4096 of the order of ids holds it, which id there, which 1/4096 of that id's (or
+    of all null ids') rows, and which row. So no task holds a source, nor an id that many rows share. Rows equal in all columns
+    are drawn one by one too. Reruns agree. A null text has no words; sources without words take none. An empty table stays empty.
     """
     names = [c for c in df.columns if c not in ("size", "source_size", "target", "copies", "taken")]
     at = {c: f"c{names.index(c)}" for c in (doc_id, text, source)}
-    rows = numbered(df.select(*[F.col(f"`{c}`") for c in names])).select(
-        "*", words_in(at[text]).alias("size"), *_order(at[doc_id], at[text], seed)
+    plain = numbered(df.select(*[F.col(f"`{c}`") for c in names]))
+    rows = plain.select(
+        "*", words_in(at[text]).alias("size"), *_order(plain, at[doc_id], seed)
     )
     part = F.conv(F.substring("h", 1, 3), 16, 10).cast("int")  # three hex digits: PARTS parts
-    rows = rows.withColumn("part", part).withColumn("src", F.col(at[source]))
+    crowd = F.shiftright("th", 64 - (PARTS - 1).bit_length())  # as many parts of the rows of one id
+    rows = rows.withColumns({"part": part, "crowd": crowd, "src": F.col(at[source])})
     by_part = saved(rows.groupBy("src", "part").agg(F.sum("size").alias("words")))
 
     # One row per source, in one window: its place decides its weight.
@@ -94,37 +118,45 @@ def mix(
         "rest", F.col("target") - F.col("whole") * F.col("source_size")
     )
 
-    # The part of each source's order in which the words reach the rest, and the words before it.
-    running = Window.partitionBy("src").orderBy("part").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    upto = by_part.withColumn("upto", F.sum("words").over(running))
-    stops = upto.join(targets, upto["src"].eqNullSafe(targets["src"])).where("upto >= rest AND upto - words < rest").select(
-        upto["src"].alias("s_src"), F.col("part").alias("stop"), (F.col("upto") - F.col("words")).alias("before"), "rest"
-    )
-    # Inside that part: the place at which the words are nearest to the rest. Equal rows stand or fall together.
-    asked = saved(stops)
-    inside = rows.select("src", "part", "h", "th", "size").join(
-        _small(asked), F.col("src").eqNullSafe(F.col("s_src")) & (F.col("part") == F.col("stop"))
-    )
-    steps = inside.groupBy("s_src", "h", "th", "before", "rest").agg(F.sum("size").alias("words"))
-    line = Window.partitionBy("s_src").orderBy("h", "th").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    steps = steps.withColumn("after", F.col("before") + F.sum("words").over(line))
-    # Without any document of the part, the order ends at the part's three digits, before longer hashes.
-    none = asked.select(
-        "s_src",
-        F.abs(F.col("before") - F.col("rest")).alias("off"),
-        F.lower(F.lpad(F.hex("stop"), 3, "0")).alias("h"),
-        F.lit(0).cast("long").alias("th"),
-    )
-    ends = none.unionByName(steps.select("s_src", F.abs(F.col("after") - F.col("rest")).alias("off"), "h", "th"))
-    cuts = ends.groupBy("s_src").agg(F.min(F.struct("off", "h", "th")).alias("cut"))
-    limits = targets.join(cuts, targets["src"].eqNullSafe(cuts["s_src"]), "left").select(
-        F.col("src").alias("l_src"), "source_size", "target", "whole", F.col("cut.h").alias("cut_h"), F.col("cut.th").alias("cut_th")
+    # Level by level, the place in each source's order at which the words reach the rest.
+    wanted = targets.select(F.col("src").alias("t_src"), "rest")
+    sums = by_part.join(wanted, F.col("src").eqNullSafe(F.col("t_src"))).drop("t_src").withColumn("before", F.lit(0).cast("long"))
+    picks = _reached(sums, "part")
+    for level in LEVELS[1:]:
+        picks = _narrowed(rows, picks, level)
+    # There: how many of the equal rows bring the words nearest to the rest.
+    each = F.col("words") / F.col("n")
+    fewer = F.floor((F.col("rest") - F.col("before")) / each).cast("long")
+    off = [F.abs(F.col("before") + k * each - F.col("rest")) for k in (fewer, fewer + 1)]
+    cuts = picks.select(F.col("src").alias("s_src"), F.col("h").alias("cut_h"), F.col("th").alias("cut_th"), "n", F.when(off[1] < off[0], fewer + 1).otherwise(fewer).alias("k"))
+    limits = targets.join(cuts, F.col("src").eqNullSafe(F.col("s_src")), "left").select(
+        F.col("src").alias("l_src"), "source_size", "target", "whole", "cut_h", "cut_th", "n", "k"
     )
-    drawn = (F.col("h") < F.col("cut_h")) | ((F.col("h") == F.col("cut_h")) & (F.col("th") <= F.col("cut_th")))
-    placed = rows.join(_small(saved(limits)), F.col("src").eqNullSafe(F.col("l_src")))
-    copies = F.col("whole") + F.when(F.col("size") > 0, F.coalesce(drawn, F.lit(False)).cast("long")).otherwise(0)
-    out = placed.withColumn("copies", copies).withColumn("taken", F.col("copies") * F.col("size"))
-    return named(out.select(*[f"c{i}" for i in range(len(names))], "size", "source_size", "target", "copies", "taken"), names)
+    limits = saved(limits)
+    here = (F.col("h") == F.col("cut_h")) & (F.col("th") == F.col("cut_th"))
+    earlier = (F.col("h") < F.col("cut_h")) | ((F.col("h") == F.col("cut_h")) & (F.col("th") < F.col("cut_th")))
+    parted = here & F.col("k").between(1, F.col("n") - 1)
+    placed = rows.join(_small(limits), F.col("src").eqNullSafe(F.col("l_src")))
+    kept = [*[f"c{i}" for i in range(len(names))], "size", "source_size", "target", "whole"]
+    drawn = (earlier | (here & (F.col("k") == F.col("n")))).alias("drawn")
+    mixed = placed.select(*kept, drawn)
+    if limits.where("k > 0 AND k < n").limit(1).count():
+        mixed = placed.where(~F.coalesce(parted, F.lit(False))).select(*kept, drawn)
+        mixed = mixed.unionByName(_some_of(placed.where(parted), kept))
+    copies = F.col("whole") + F.when(F.col("size") > 0, F.coalesce("drawn", F.lit(False)).cast("long")).otherwise(0)
+    out = mixed.withColumn("copies", copies).withColumn("taken", F.col("copies") * F.col("size"))
+    return named(out.select(*kept[:-1], "copies", "taken"), names)
+
+
+def _some_of(rows: DataFrame, kept: list[str]) -> DataFrame:
+    """All the rows, ``k`` of each source ``drawn``: equal ones are counted, so they meet as one row, and dealt out again."""
+    counted = rows.groupBy(*kept, "l_src", "k").agg(F.count("*").alias("m"))
+    # One row per source, but where rows differ in columns that have no hash.
+    upto = F.sum("m").over(Window.partitionBy("l_src").orderBy("m").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    told = counted.withColumn("of", F.col("k") - (upto - F.col("m")))
+    stretches = told.withColumn("a", F.explode(F.sequence(F.lit(0).cast("long"), F.col("m") - 1, F.lit(STRETCH).cast("long"))))
+    dealt = stretches.withColumn("i", F.explode(F.sequence("a", F.least(F.col("a") + STRETCH, F.col("m")) - 1)))
+    return dealt.select(*kept, (F.col("i") < F.col("of")).alias("drawn"))
 
 
 def _small(table: DataFrame) -> DataFrame:

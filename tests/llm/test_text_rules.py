@@ -204,6 +204,22 @@ def test_mix_against_plain_version(spark):
     assert all(abs(taken - target) <= biggest / 2 + 1 for target, taken, biggest in by.values())
 
 
+def test_mix_of_repeated_rows_and_null_ids(spark):
+    rows = [(1, "w " * 50, "a", "u")] * 200 + [(i, "x " * (i % 13 + 1), "a", "u") for i in range(2, 200)]
+    rows += [(None, "z " * (i % 17 + 1) + str(i % 40), "b", "u" if i % 2 else None) for i in range(300)]
+    rows += [(i, "y " * 20, "c", None) for i in range(1000, 1100)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, url string").repartition(5)
+    got = source_mix.mix(df).collect()
+    assert sorted(map(str, ((r["doc_id"], r["text"], r["source"], r["url"]) for r in got))) == sorted(map(str, rows))
+    for source in "abc":
+        own = [r for r in got if r["source"] == source]
+        assert abs(sum(r["taken"] for r in own) - own[0]["target"]) <= max(r["size"] for r in own) / 2
+        assert max(r["copies"] for r in own) - min(r["copies"] for r in own) <= 1
+    assert len({r["copies"] for r in got if r["doc_id"] == 1}) == 2
+    again = source_mix.mix(df.repartition(3)).collect()
+    assert sorted(map(str, got)) == sorted(map(str, again))
+
+
 def test_mix_of_odd_rows(spark):
     df = source_mix.mix(cases.odd(spark))
     assert df.columns == [*cases.odd(spark).columns, "size", "source_size", "target", "copies", "taken"]
