@@ -124,6 +124,10 @@ def mix(
     picks = _reached(sums, "part")
     for level in LEVELS[1:]:
         picks = _narrowed(rows, picks, level)
+        if level == "h" and not picks.where("n > 1").limit(1).count():
+            break  # an id of one row needs no further look
+    if "th" not in picks.columns:
+        picks = picks.withColumn("th", F.lit(None).cast("long"))
     # There: how many of the equal rows bring the words nearest to the rest.
     each = F.col("words") / F.col("n")
     fewer = F.floor((F.col("rest") - F.col("before")) / each).cast("long")
@@ -133,7 +137,7 @@ def mix(
         F.col("src").alias("l_src"), "source_size", "target", "whole", "cut_h", "cut_th", "n", "k"
     )
     limits = saved(limits)
-    here = (F.col("h") == F.col("cut_h")) & (F.col("th") == F.col("cut_th"))
+    here = (F.col("h") == F.col("cut_h")) & (F.col("cut_th").isNull() | (F.col("th") == F.col("cut_th")))
     earlier = (F.col("h") < F.col("cut_h")) | ((F.col("h") == F.col("cut_h")) & (F.col("th") < F.col("cut_th")))
     parted = here & F.col("k").between(1, F.col("n") - 1)
     placed = rows.join(_small(limits), F.col("src").eqNullSafe(F.col("l_src")))

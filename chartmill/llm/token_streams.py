@@ -47,11 +47,11 @@ def packed(bpe: Bpe, items: list[str | np.ndarray]) -> bytes:
         return b"".join([memo[x] if isinstance(x, str) else x.astype(bpe.dtype).tobytes() for x in items])
 
 
-def batches_of_texts(batch: pa.RecordBatch, at: int) -> Iterator[tuple[int, list[str]]]:
+def batches_of_texts(batch: pa.RecordBatch, at: int, most: int = 1 << 22) -> Iterator[tuple[int, list[str]]]:
     """Row numbers and texts, in slices of bounded size."""
     column = batch.column(at)
     sizes = [len(x.as_buffer()) if x.is_valid else 0 for x in column]
-    for start, end in slices(sizes):
+    for start, end in slices(sizes, most):
         yield start, [t or "" for t in column.slice(start, end - start).to_pylist()]
 
 
@@ -67,7 +67,7 @@ def encode_documents(df: DataFrame, path: str, text: str = "text", tokens: str =
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[list[pa.Array]]:
         bpe = tokenizer(path)
         for batch in batches:
-            for start, texts in batches_of_texts(batch, len(rest)):
+            for start, texts in batches_of_texts(batch, len(rest), 1 << 20):
                 ids = [np.frombuffer(packed(bpe, x), bpe.dtype) for x in encoded(bpe, texts)]
                 ends = np.cumsum([0, *map(len, ids)])
                 flat = pa.array(np.concatenate([np.zeros(0, bpe.dtype), *ids]).astype(np.int32))
@@ -112,7 +112,7 @@ def tokenised(df: DataFrame, path: str, text: str = "text", tokens: str = "token
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[list[pa.Array]]:
         bpe = tokenizer(path)
         for batch in batches:
-            for start, texts in batches_of_texts(batch, len(rest)):
+            for start, texts in batches_of_texts(batch, len(rest), 1 << 20):
                 ids = [np.frombuffer(packed(bpe, x), bpe.dtype) for x in encoded(bpe, texts)]
                 back = []
                 for x in ids:
