@@ -86,6 +86,31 @@ def test_decoder_holds_back_parts_of_characters():
         assert text == library.decode(list(map(int, ids)), skip_special_tokens=False)
 
 
+def test_a_long_text_leaves_window_by_window(spark, both):
+    """Two megabytes in one text, with long stretches without a space: no step hands out more than a few windows' worth."""
+    own, library = both
+    text = ("the cat sat on " * 3000 + "ab1!" * 40_000 + "IT'S\n" * 30_000 + " <|endoftext|> 漢字 " * 4000) * 4
+    ids, most = [], 0
+    for items in token_streams.windows(own, text):
+        found = [own.memo[x] if isinstance(x, str) else x.astype(own.dtype).tobytes() for x in items]
+        most = max(most, sum(map(len, found)) // own.dtype.itemsize)
+        ids += np.frombuffer(b"".join(found), own.dtype).tolist()
+    assert ids == library(text)
+    assert most <= 4 * bpe.WINDOW < len(ids)
+
+
+def test_digests_of_long_and_short_texts_side_by_side(spark):
+    path = public_tokenizers.path(FILES[0])
+    library = Tokenizer.from_file(path)
+    texts = ["a b", "x" * 200_000 + " end", "", "a b", "word " * 30_000, "漢" * 70_000]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    got = {r["doc_id"]: tuple(r)[1:] for r in token_streams.round_trip_digests(rows, path).collect()}
+    for i, text in enumerate(texts):
+        ids = library.encode(text, add_special_tokens=False).ids
+        decoded = library.decode(ids, skip_special_tokens=False)
+        assert got[i] == (len(ids), hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest(), hashlib.sha256(decoded.encode()).hexdigest())
+
+
 def test_round_trip_query(spark):
     library = Tokenizer.from_file(public_tokenizers.path(FILES[0]))
     got = {r["doc_id"]: r for r in catalog.QUERIES["op7_bpe_round_trip"](spark, TINY).collect()}
