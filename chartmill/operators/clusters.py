@@ -56,7 +56,7 @@ def cluster_features(
         out = standardise(log1p(fill_zero(out, scaled), [f"{c}{suffix}" for c in log_cols]), scaled, ddof=0)
         return VectorAssembler(inputCols=scaled, outputCol=vector).transform(out) if vector else out
     counts = written(value_counts_by_column(df, cols).select("column", "value", "n"))
-    half = percentiles_of_counts(counts.where("value IS NOT NULL"), [0.5]).select("column", F.col("p50").alias("median"))
+    half = percentiles_of_counts(counts.where("value IS NOT NULL"), [0.5], held=True).select("column", F.col("p50").alias("median"))
     logged = F.col("column").isin(list(log_cols))
     # The filled and logged numbers, of all rows with one value at once; one row per column is broadcast.
     placed = counts.join(F.broadcast(half), "column", "left").withColumn("x", F.coalesce("value", "median"))

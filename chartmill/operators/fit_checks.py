@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from chartmill.functions import col_of
 from chartmill.operators.lookup import literal_table
 from chartmill.operators.ordered import running_totals
+from chartmill.operators.stages import written
 
 
 def logistic_optimality(model: PipelineModel, df: DataFrame, label: str, weight: str | None = None, names: Sequence[str] = ()) -> DataFrame:
@@ -70,7 +71,7 @@ def split_gains(df: DataFrame, features: Sequence[str], target: str, weight: str
         .where(F.col("value").isNotNull() & ~F.isnan("value") & F.col("r").isNotNull())
     )
     counts = long.groupBy("feature", "value").agg(F.count("*").alias("n"), F.sum("w").alias("w"), F.sum(F.col("w") * F.col("r")).alias("s"))
-    ranked = running_totals(counts, "value", ["n", "w", "s"], ["feature"], few_groups=True, beside=["value"])
+    ranked = running_totals(written(counts), "value", ["n", "w", "s"], ["feature"], few_groups=True, beside=["value"], held=True)
     left, both = F.col("cum_w"), F.col("all_w")
     right = both - left
     rest = F.col("all_s") - F.col("cum_s")

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from chartmill.functions import band, col_of, flag
 from chartmill.operators.ordered import running_totals
+from chartmill.operators.stages import written
 
 # Bands of the train/test gap in percentage points.
 GAP_CUTS = [15.0, 5.0]
@@ -51,7 +52,7 @@ def roc_curve(df: DataFrame, label: str, score: str, drop_intermediate: bool = F
     """
     counts = score_counts(df, label, score)
     beside = ["pos", "neg"] if drop_intermediate else []
-    points = running_totals(counts, "score", ["pos", "neg"], descending=True, beside=beside)
+    points = running_totals(written(counts), "score", ["pos", "neg"], descending=True, beside=beside, held=True)
     if drop_intermediate:
         points = points.where(_turns())
     points = points.select(
@@ -88,7 +89,7 @@ def _area_terms() -> tuple[Column, Column]:
 def _areas(counts: DataFrame) -> DataFrame:
     auc, ap = _area_terms()
     return (
-        running_totals(counts, "score", ["pos", "neg"], descending=True)
+        running_totals(written(counts), "score", ["pos", "neg"], descending=True, held=True)
         .agg(
             F.sum(auc).alias("_auc"),
             F.sum(ap).alias("_ap"),
@@ -136,7 +137,7 @@ def binary_metrics(
     )
     auc, ap = _area_terms()
     n = F.col("pos") + F.col("neg")
-    ranked = running_totals(counts, "score", ["pos", "neg"], by, descending=True)
+    ranked = running_totals(written(counts), "score", ["pos", "neg"], by, descending=True, held=True)
     sums = ranked.groupBy(*keys).agg(
         *[F.coalesce(F.sum(c), zero).alias(c) for c in ("pos", "neg", "tp", "fp")],
         F.sum(auc).alias("_auc"),
@@ -295,7 +296,7 @@ def best_threshold(
 
 def best_observed_threshold(df: DataFrame, label: str, score: str) -> DataFrame:
     """The same over all observed scores instead of a grid."""
-    ranked = running_totals(score_counts(df, label, score), "score", ["pos", "neg"], descending=True)
+    ranked = running_totals(written(score_counts(df, label, score)), "score", ["pos", "neg"], descending=True, held=True)
     f1 = _safe(F.col("cum_pos") * 2, F.col("cum_pos") + F.col("cum_neg") + F.col("all_pos"))
     scored = ranked.select(F.col("score").alias("threshold"), f1.alias("f1"))
     best = F.min_by(F.struct("threshold", "f1"), F.struct(-F.col("f1"), F.col("threshold")))
@@ -323,7 +324,7 @@ def capture_at(df: DataFrame, label: str, score: str, fraction: float = 0.2) ->
     n = F.col("pos") + F.col("neg")
     total = F.col("all_pos") + F.col("all_neg")
     k = F.floor(total * F.lit(fraction))
-    ranked = running_totals(counts, "score", ["pos", "neg"], descending=True)
+    ranked = running_totals(written(counts), "score", ["pos", "neg"], descending=True, held=True)
     seen = F.col("cum_pos") + F.col("cum_neg")
     inside = seen - n < k
     return (

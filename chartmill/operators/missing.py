@@ -176,7 +176,7 @@ def impute(df: DataFrame, plan: Mapping[str, object], accuracy: int | None = Non
         if exact:
             counts = written(counts)
             values = counts.where(F.col("column").isin(exact) & F.col("value").isNotNull()).select("column", "value", "n")
-            sources["median"] = percentiles_row(percentiles_of_counts(values, [0.5]), exact, 0.5)
+            sources["median"] = percentiles_row(percentiles_of_counts(values, [0.5], held=True), exact, 0.5)
         if means or often:
             sources["mean"] = sources["mode"] = _per_column(counts, df, means, often)
     if medians and not exact:

@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from chartmill.functions import col_of
+from chartmill.operators.stages import written
 
 
 def slice_count(spark: SparkSession, least: int = 1024) -> int:
@@ -78,20 +79,23 @@ def running_totals(
     only: Column | None = None,
     few_groups: bool | None = None,
     beside: Sequence[str] = (),
+    held: bool = False,
 ) -> DataFrame:
     """Add ``cum_<m>`` (running sum in value order, inclusive) and ``all_<m>`` (group total).
 
     For columns ``beside`` it also adds ``prev_<c>`` and ``next_<c>``, theirs in the row before and after (null at an end).
     Each slice carries its first and last row to its neighbours, past slices without rows of the group.
 
-    ``rows`` holds one row per (groups, value), and numbers beside these. ``only`` limits the output to the slices that meet a
+    ``rows`` holds one row per (groups, value), and numbers beside these. They are read three times (edges, slice totals, sums):
+    callers whose rows come from a whole table write them first (``stages.written``) and say so by ``held``; other rows stay part
+    of one plan, whose uses share an exchange. ``only`` limits the output to the slices that meet a
     condition on ``before_<m>``, ``slice_<m>`` and ``all_<m>``, which are known before any sort.
     The number of slices follows the number of shuffle partitions. Without groups, or with ``few_groups``, the slice totals are few rows and travel to the values.
     """
     slices = slices or slice_count(rows.sparkSession)
     if slices & (slices - 1):
         raise ValueError("slices must be a power of two")
-    rows = _add_slice(_shared(rows, [*groups, value]), [*groups, value], slices)
+    rows = _add_slice(rows if held else _shared(rows, [*groups, value]), [*groups, value], slices)
     at = [*groups, "_slice"]
 
     by_slice = F.desc("_slice") if descending else F.asc("_slice")
@@ -138,8 +142,8 @@ def percentiles(
 ) -> DataFrame:
     """Interpolated percentiles of numeric columns: (by..., column, n, p<percent>...).
 
-    Exact unless ``accuracy`` is given, which switches to the bounded-memory approximation.
-    Nulls and NaN are skipped.
+    Exact unless ``accuracy`` is given, which switches to the bounded-memory approximation. The exact form reads the source
+    once, when it is called, into a table of value counts. Nulls and NaN are skipped.
     """
     names = [percent_name(p) for p in probs]
     long = (
@@ -156,11 +160,15 @@ def percentiles(
             .agg(F.count("*").alias("n"), rough.alias("found"))
             .select(*keys, "n", *[F.col("found")[i].alias(name) for i, name in enumerate(names)])
         )
-    return percentiles_of_counts(long.groupBy(*keys, "value").agg(F.count("*").alias("n")), probs, by)
+    counts = written(long.groupBy(*keys, "value").agg(F.count("*").alias("n")))
+    return percentiles_of_counts(counts, probs, by, held=True)
 
 
-def percentiles_of_counts(counts: DataFrame, probs: Sequence[float], by: Sequence[str] = ()) -> DataFrame:
-    """Exact percentiles from a table (by..., column, value, n) with one row per value: (by..., column, n, p<percent>...)."""
+def percentiles_of_counts(counts: DataFrame, probs: Sequence[float], by: Sequence[str] = (), held: bool = False) -> DataFrame:
+    """Exact percentiles from a table (by..., column, value, n) with one row per value: (by..., column, n, p<percent>...).
+
+    ``held`` as in :func:`running_totals`.
+    """
     names = [percent_name(p) for p in probs]
     groups = [*by, "column"]
     keys = [col_of(c) for c in groups]
@@ -168,7 +176,7 @@ def percentiles_of_counts(counts: DataFrame, probs: Sequence[float], by: Sequenc
     ends = [(F.floor(place), F.ceil(place)) for place in places]
     start, stop = F.col("before_n"), F.col("before_n") + F.col("slice_n")
     wanted = reduce(lambda a, b: a | b, [(start <= r) & (r < stop) for lo_hi in ends for r in lo_hi])
-    ranked = running_totals(counts, "value", ["n"], groups, only=wanted, few_groups=not by)
+    ranked = running_totals(counts, "value", ["n"], groups, only=wanted, few_groups=not by, held=held)
     picks = []
     for place, lo_hi, name in zip(places, ends, names):
         for end, rank in zip(("lo", "hi"), lo_hi):

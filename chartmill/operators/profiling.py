@@ -286,7 +286,7 @@ def box_stats(
         .agg(F.count("*").alias("n"))
     )
     probs = (0.25, 0.5, 0.75)
-    quarters = percentiles_of_counts(counts, probs, keys) if accuracy is None else percentiles(df, cols, probs, keys, accuracy)
+    quarters = percentiles_of_counts(counts, probs, keys, held=True) if accuracy is None else percentiles(df, cols, probs, keys, accuracy)
     reach = (F.col("p75") - F.col("p25")) * 1.5
     limits = quarters.select(
         *[col_of(c).alias(f"_r_{c}") for c in at], "p25", "p50", "p75", F.col("n").alias("all_n"),

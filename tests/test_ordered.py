@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from chartmill.operators import ordered as O
+from chartmill.operators.metrics import curve_areas, roc_curve
 
 
 @pytest.fixture(scope="module")
@@ -82,3 +83,24 @@ def test_totals_read_one_exchange(spark, table):
     out.collect()
     plan = out._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
     assert "ReusedExchange" in plan
+
+
+def test_the_source_of_a_curve_is_read_once(spark, tmp_path):
+    """Edges, slice totals and sums come from one written table of counts; nothing after that looks at the source."""
+    path = str(tmp_path / "scored")
+    scored = spark.range(2_000).select((F.col("id") % 2).cast("int").alias("y"), (F.col("id") % 300 / 300).alias("p"))
+    scored.repartition(3).write.parquet(path)
+    seen = spark.sparkContext.accumulator(0)
+
+    def tell(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    rows = spark.read.parquet(path).mapInArrow(tell, "y int, p double")
+    for run in (lambda: roc_curve(rows, "y", "p"), lambda: O.percentiles(rows, ["p"]), lambda: curve_areas(rows, "y", "p")):
+        seen.value = 0
+        out = run()
+        assert out.count() > 0 and len(out.collect()) > 0
+        assert seen.value == 2_000
+        assert not any(f.startswith(f"file:{path}") for f in out.inputFiles())
