@@ -1,6 +1,7 @@
 """Nearest neighbours through the metric index, against all pairs."""
 
 import numpy as np
+import pandas as pd
 import pytest
 
 from chartmill.operators import metric_index as M
@@ -94,3 +95,53 @@ def test_bounds_hold(spark):
     for r in held:
         d = np.sqrt(((q - np.array(r["vec"])) ** 2).sum(axis=1))
         assert (bounds[:, at[r["block"]]] <= d).all()
+
+
+def test_rows_of_few_columns_meet_few_cells(spark):
+    """Points without groups in three columns, and a lattice of many equal rows: a query meets some 2 % of the rows."""
+    rng = np.random.default_rng(9)
+    for x, share in ((rng.random((3_000, 3)), 0.1), (rng.integers(0, 6, size=(3_000, 3)).astype(float), 0.03)):
+        _, df = frame(spark, x)
+        refs = df.select("id", df["v"].alias("vec"), df["c"].alias("label"))
+        index = M.MetricIndex(refs, len(x), "euclidean", 20)
+        assert index.nearest(refs.select("id", "vec"), 3, skip_self=True).count() == 3 * len(x)
+        assert not index.gridded and index.compared < share * len(x) ** 2
+
+
+@pytest.mark.parametrize("metric", ["euclidean", "manhattan"])
+@pytest.mark.parametrize("skip_self", [True, False])
+def test_rows_of_equal_vectors_and_ids(metric, skip_self):
+    """Ids that repeat, null ids, equal vectors and offsets that single precision cannot hold."""
+    rng = np.random.default_rng(10)
+    for offset in (0.0, 3e9, 1e20):
+        b = rng.integers(0, 3, size=(300, 2)) * 1.5 + offset
+        ids = pd.Series(rng.integers(0, 60, size=300).astype(float)).where(rng.random(300) > 0.05)
+        a, own = b[:80], ids[:80]
+        a_ids, b_ids = M.id_codes(own, ids)
+        i, j, d = M.nearest_rows(a, a_ids, b, b_ids, 4, metric, skip_self)
+        for q in range(80):
+            gaps = M.exact_distance(a[[q]], b, metric)
+            far = [(gaps[r], ids[r] if ids[r] == ids[r] else np.inf) for r in range(300) if not (skip_self and own[q] == ids[r])]
+            got = [(x, ids[r] if ids[r] == ids[r] else np.inf) for x, r in zip(d[i == q], j[i == q])]
+            assert got == sorted(far)[:4]
+
+
+@pytest.mark.parametrize("metric", ["euclidean", "manhattan"])
+def test_grid_where_nothing_can_be_left_out(spark, monkeypatch, metric):
+    monkeypatch.setattr(M, "CELL_ROWS", 40)
+    monkeypatch.setattr(M, "PART_ROWS", 40)
+    monkeypatch.setattr(M, "TILE", (16, 32))
+    rng = np.random.default_rng(11)
+    rows, df = frame(spark, rng.normal(size=(700, 30)))
+    refs = df.select("id", df["v"].alias("vec"), df["c"].alias("label"))
+    index = M.MetricIndex(refs, 700, metric, 20)
+    got = index.nearest(refs.select("id", "vec"), 5, skip_self=True).collect()
+    assert index.gridded
+    want = brute(rows, [r[:2] for r in rows], 5, metric, True)
+    assert {(r["id"], r["rank"]): (r["ref_id"], r["label"], pytest.approx(r["distance"])) for r in got} == want
+
+
+def test_rows_moved_by_a_grid_follow_the_table():
+    assert [M.grid_parts(n, 64) for n in (1_000, 100_000, 600_000, 1_000_000)] == [1, 8, 8, 8]
+    # Beyond the memory of a part there are more of them.
+    assert M.grid_parts(4_000_000, 64) == 31
