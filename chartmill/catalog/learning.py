@@ -13,6 +13,7 @@ from chartmill.operators import metrics as L
 from chartmill.operators import models as Z
 from chartmill.operators import neighbours as N
 from chartmill.operators import sampling as T
+from chartmill.operators.stages import written
 
 CATALOG: dict[str, Query] = {}
 
@@ -674,7 +675,8 @@ def vote_of_models(t):
     )
     levels = [c for c in rows.columns if c.startswith("type_")]
     near = N.label_shares(N.nearest(rows, rows, 5, "id", "v", "y", skip_self=True, cell_rows=64)).where("label = 1")
-    rows = rows.join(near.select(F.col("id").alias("_id"), "share"), F.col("id") == F.col("_id"), "left").fillna(0.0, ["share"])
+    # Written, so that no pass of a fit joins the votes again.
+    rows = written(rows.join(near.select(F.col("id").alias("_id"), "share"), F.col("id") == F.col("_id"), "left").fillna(0.0, ["share"]))
     models = [
         Z.fit_pipeline(rows, levels, LogisticRegression(labelCol="y", maxIter=200, tol=1e-9), "y"),
         Z.fit_pipeline(rows.withColumn("y", F.col("y").cast("double")), ["size"], DecisionTreeClassifier(labelCol="y", maxDepth=1, maxBins=64), "y"),
