@@ -197,12 +197,13 @@ def silhouette(
     cluster_col: str,
     sample: int | None = None,
     seed: int = 42,
-    block_rows: int = BLOCK_ROWS,
+    block_rows: int | None = None,
 ) -> DataFrame:
     """Mean Euclidean silhouette of all rows, or of a repeatable sample of ``sample`` rows.
 
     Computed at once, on rows that are held meanwhile. The work grows with the square of the rows
-    used; :func:`silhouette_squared` grows with the rows. ``key`` must be unique.
+    used, the rows moved with the rows (or the square over ``block_rows``); all of
+    :func:`silhouette_squared` grows with the rows. ``key`` must be unique.
     """
     rows = df.where(col_of(cluster_col).isNotNull())
     if sample is not None:

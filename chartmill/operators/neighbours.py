@@ -3,8 +3,8 @@
 References of more rows than one block are searched through :mod:`chartmill.operators.metric_index`. Otherwise, and
 where all pairs count, both sides are cut by key hash into blocks of bounded size. Every query block meets every reference
 block in a task of its own, which multiplies two matrices and hands on only a reduced result (the k
-nearest, or sums per cluster), never the pairs. The number of blocks follows the row counts, so tasks
-stay the same size as the tables grow.
+nearest, or sums per cluster), never the pairs. Blocks have a given number of rows, so that tasks stay the same size as the
+tables grow, or are a fixed number until memory asks for more, so that the rows moved follow the table.
 """
 
 from __future__ import annotations
@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from chartmill.functions import col_of
-from chartmill.operators.metric_index import CELL_ROWS, MetricIndex, best_in_block, matrix, rough_distances
+from chartmill.operators.metric_index import CELL_ROWS, TILE, MetricIndex, best_in_block, grid_parts, id_codes, matrix, rough_distances
 from chartmill.workers import ship
 
 BLOCK_ROWS = 4096
@@ -47,14 +47,19 @@ def block_pairs(
     refs: DataFrame,
     reduce_block: Callable[[pd.DataFrame, pd.DataFrame], pd.DataFrame],
     schema: str,
-    block_rows: int = BLOCK_ROWS,
+    block_rows: int | None = BLOCK_ROWS,
 ) -> DataFrame:
     """Apply ``reduce_block(query rows, reference rows)`` to each pair of blocks.
 
-    Both tables have the columns ``id`` and ``vec``; ``refs`` may have more.
+    Both tables have the columns ``id`` and ``vec``; ``refs`` may have more. Without ``block_rows`` there are
+    :data:`metric_index.GRID` blocks of each, more only where a block's vectors would not fit in memory.
     """
     ship(queries.sparkSession)
-    n_q, n_r = _blocks(queries.count(), block_rows), _blocks(refs.count(), block_rows)
+    if block_rows is None:
+        dims = refs.agg(F.max(F.size("vec"))).first()[0] or 1
+        n_q, n_r = (grid_parts(df.count(), dims) for df in (queries, refs))
+    else:
+        n_q, n_r = _blocks(queries.count(), block_rows), _blocks(refs.count(), block_rows)
     names = [part.split()[0] for part in schema.split(", ")]
 
     def place(df: DataFrame, own: str, n_own: int, other: str, n_other: int) -> DataFrame:
@@ -65,9 +70,11 @@ def block_pairs(
     def meet(q: pd.DataFrame, r: pd.DataFrame) -> pd.DataFrame:
         return pd.DataFrame(columns=names) if q.empty or r.empty else reduce_block(q, r)
 
-    left = place(queries, "_qb", n_q, "_rb", n_r).groupBy("_qb", "_rb")
-    right = place(refs, "_rb", n_r, "_qb", n_q).groupBy("_qb", "_rb")
-    return left.cogroup(right).applyInPandas(meet, schema)
+    left, right = place(queries, "_qb", n_q, "_rb", n_r), place(refs, "_rb", n_r, "_qb", n_q)
+    if block_rows is None:
+        # Few rows with much work: a number of partitions that is given is not merged by size.
+        left, right = (df.repartition(3 * n_q * n_r, "_qb", "_rb") for df in (left, right))
+    return left.groupBy("_qb", "_rb").cogroup(right.groupBy("_qb", "_rb")).applyInPandas(meet, schema)
 
 
 def nearest(
@@ -156,7 +163,7 @@ def vote(near: DataFrame, weights: str = "distance") -> DataFrame:
 
 
 def cluster_distances(
-    rows: DataFrame, id_col: str, vec_col: str, cluster_col: str, block_rows: int = BLOCK_ROWS
+    rows: DataFrame, id_col: str, vec_col: str, cluster_col: str, block_rows: int | None = None
 ) -> DataFrame:
     """(id, cluster, total): sum of Euclidean distances from each row to the rows of each cluster."""
     id_kind, kind = (rows.schema[c].dataType.simpleString() for c in (id_col, cluster_col))
@@ -167,9 +174,17 @@ def cluster_distances(
 
     def sums(qs: pd.DataFrame, rs: pd.DataFrame) -> pd.DataFrame:
         names, inverse = np.unique(rs["cluster"].to_numpy(), return_inverse=True)
-        d, _ = rough_distances(matrix(qs["vec"]), matrix(rs["vec"]), "euclidean")
-        d[qs["id"].to_numpy()[:, None] == rs["id"].to_numpy()[None, :]] = 0.0
-        totals = d @ np.eye(len(names))[inverse]
+        order = np.argsort(inverse, kind="stable")
+        q_ids, r_ids = id_codes(qs["id"], rs["id"])
+        a, b, inverse, r_ids = matrix(qs["vec"]), matrix(rs["vec"])[order], inverse[order], r_ids[order]
+        totals = np.zeros((len(a), len(names)))
+        # Tile by tile, so that the distances held are few; a tile's rows stand by cluster.
+        for s in range(0, len(a), TILE[0]):
+            for t in range(0, len(b), TILE[1]):
+                d, _ = rough_distances(a[s : s + TILE[0]], b[t : t + TILE[1]], "euclidean")
+                d[q_ids[s : s + TILE[0], None] == r_ids[None, t : t + TILE[1]]] = 0.0
+                found, at = np.unique(inverse[t : t + TILE[1]], return_index=True)
+                totals[s : s + TILE[0], found] += np.add.reduceat(d, at, axis=1)
         return pd.DataFrame(
             {
                 "id": np.repeat(qs["id"].to_numpy(), len(names)),

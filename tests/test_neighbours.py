@@ -145,3 +145,19 @@ def test_rows_moved_by_a_grid_follow_the_table():
     assert [M.grid_parts(n, 64) for n in (1_000, 100_000, 600_000, 1_000_000)] == [1, 8, 8, 8]
     # Beyond the memory of a part there are more of them.
     assert M.grid_parts(4_000_000, 64) == 31
+
+
+def test_blocks_of_all_pairs_stay_few(spark, monkeypatch):
+    """The number of blocks, and with it the copies of a row, is fixed until memory asks for more; sums are those of all pairs."""
+    monkeypatch.setattr(M, "CELL_ROWS", 10)
+    monkeypatch.setattr(N, "TILE", (7, 11))
+    rng = np.random.default_rng(12)
+    x = rng.normal(size=(400, 3))
+    for n in (200, 400):
+        _, df = frame(spark, x[:n])
+        ids = df.select("id", df["v"].alias("vec"))
+        met = N.block_pairs(ids, ids, lambda q, r: pd.DataFrame({"q": [len(q)], "r": [len(r)]}), "q long, r long", None)
+        assert met.count() == M.GRID**2 and met.selectExpr("sum(q * r)").first()[0] == n * n
+        got = {(r["id"], r["cluster"]): r["total"] for r in N.cluster_distances(df, "id", "v", "c").collect()}
+        d = np.sqrt(((x[:n, None] - x[None, :n]) ** 2).sum(axis=2))
+        assert got == {(i, c): pytest.approx(d[i, np.arange(n) % 3 == c].sum()) for i in range(n) for c in range(3)}
