@@ -47,19 +47,22 @@ TOGETHER = 256
 #: Parts of either side of a grid of all pairs at least, and numbers that a part's vectors hold at most.
 GRID, PART_NUMBERS = 8, 8_388_608
 #: Queries and references whose distances are held together.
-TILE = (512, 2_048)
+TILE = (256, 4_096)
 #: Pairs whose exact distances are taken together.
 PAIRS = 65_536
 #: Rows of a task that places rows or lists visits, aimed for.
 WALKED = 32_768
-#: Numbers up to this size are compared in single precision first.
-SINGLE = 1e15
+#: Largest total of a rough Manhattan distance in short whole numbers; the next one marks pairs that are left out.
+SHORT = 32_766
 
 
 def rough_distances(a: np.ndarray, b: np.ndarray, metric: str) -> tuple[np.ndarray, np.ndarray]:
     """Distances of all pairs, and a bound per row on how far off they may be."""
     if metric == "manhattan":
-        return _rough_sums(a, b)
+        total = np.zeros((len(a), len(b)))
+        for d in range(a.shape[1]):
+            total += np.abs(a[:, d, None] - b[None, :, d])
+        return total, 1e-12 * (1.0 + total.max(axis=1, initial=0.0))
     if metric != "euclidean":
         raise ValueError(f"unknown metric {metric!r}")
     square = (a * a).sum(axis=1)[:, None] + (b * b).sum(axis=1)[None, :]
@@ -67,32 +70,6 @@ def rough_distances(a: np.ndarray, b: np.ndarray, metric: str) -> tuple[np.ndarr
     return np.sqrt(np.maximum(square - 2.0 * (a @ b.T), 0.0)), slack
 
 
-def _rough_sums(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Manhattan distances, in pieces that stay in the processor's cache and, where the numbers allow, in single precision."""
-    centre = b.mean(axis=0) if len(b) else 0.0
-    # Taken from the middle of b, so that a common offset costs no digits.
-    near_a, near_b = a - centre, b - centre
-    most = max(np.abs(x).max(initial=0.0) for x in (a, b))
-    kind = np.float32 if most < SINGLE else np.float64
-    size = np.abs(near_a).sum(axis=1) + np.abs(near_b).sum(axis=1).max(initial=0.0)
-    steps = a.shape[1] + 4
-    slack = steps * (float(np.finfo(kind).eps) * size + 1e-15 * most + float(np.finfo(kind).tiny)) + 1e-12
-    left, right = np.ascontiguousarray(near_a.T.astype(kind)), np.ascontiguousarray(near_b.T.astype(kind))
-    total = np.zeros((len(a), len(b)), kind)
-    gap = np.empty((64, 1_024), kind)
-    for i in range(0, len(a), 64):
-        for j in range(0, len(b), 1_024):
-            part = total[i : i + 64, j : j + 1_024]
-            held = np.zeros(part.shape, kind)
-            some = gap[: part.shape[0], : part.shape[1]]
-            for d in range(a.shape[1]):
-                np.subtract(left[d, i : i + 64, None], right[d, None, j : j + 1_024], out=some)
-                np.abs(some, out=some)
-                held += some
-            part[:] = held
-    return total, slack
-
-
 def exact_distance(a: np.ndarray, b: np.ndarray, metric: str) -> np.ndarray:
     gap = a - b
     return np.abs(gap).sum(axis=1) if metric == "manhattan" else np.sqrt((gap * gap).sum(axis=1))
@@ -141,14 +118,36 @@ class _Rough:
     def __init__(self, b: np.ndarray, metric: str):
         if metric not in ("euclidean", "manhattan"):
             raise ValueError(f"unknown metric {metric!r}")
-        self.b, self.metric = b, metric
+        self.b, self.metric, self.short = b, metric, False
         if metric == "euclidean":
             self.square = (b * b).sum(axis=1)
             self.lifted = np.column_stack([b, -0.5 * self.square])
+        elif b.size:
+            self.least = b.min(axis=0)
+            with np.errstate(over="ignore"):
+                self.span = float((b.max(axis=0) - self.least).max())
+            self.steps = SHORT // b.shape[1]
+            # Of too many columns or too wide numbers, whole numbers would tell little.
+            self.short = self.steps >= 16 and 1e-290 < self.span < 1e290
+            if self.short:
+                self.step = self.span / self.steps
+                self.whole, off = self._shortened(b)
+                self.off = off.max()
+
+    def _shortened(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Columns as whole numbers of steps, and per row how far the steps are off in total.
+
+        Numbers beyond those of b are taken at the border, which is nearer to each of b.
+        """
+        place = np.clip(x - self.least, 0.0, self.span)
+        whole = np.rint(place / self.step)
+        return np.ascontiguousarray(whole.T.astype(np.int16)), np.abs(place - whole * self.step).sum(axis=1)
 
     def within(self, a: np.ndarray, s: slice, limit: np.ndarray, apart: np.ndarray | None, at: int) -> tuple[np.ndarray, np.ndarray]:
-        """Pairs (row of a, row of the slice of b); where no limit is known, those as near as the tile's ``at``-th."""
+        """Pairs (row of a, row of the slice of b); where no limit is known, those as near as ``at`` of the tile."""
         unknown = np.isinf(limit)
+        if self.short:
+            return self._within_steps(a, s, limit, unknown, apart, at)
         if self.metric == "euclidean" and not unknown.any():
             # |a - b|^2 <= limit^2, with all that depends on one row alone on one side: a product and a comparison.
             own = (a * a).sum(axis=1)
@@ -165,11 +164,37 @@ class _Rough:
         if unknown.any():
             place = min(at, rough.shape[1]) - 1
             limit[unknown] = np.partition(rough[unknown], place, axis=1)[:, place] + 2 * slack[unknown]
-        near = rough <= np.nextafter(limit.astype(rough.dtype), rough.dtype.type(np.inf))[:, None]
+        near = rough <= limit[:, None]
         if unknown.any() or apart is not None:
             near &= np.isfinite(rough)
         return np.nonzero(near)
 
+    def _within_steps(self, a: np.ndarray, s: slice, limit: np.ndarray, unknown: np.ndarray, apart: np.ndarray | None, at: int) -> tuple[np.ndarray, np.ndarray]:
+        """The same by Manhattan distances in whole numbers of steps."""
+        left, off = self._shortened(a)
+        right, rows = self.whole[:, s], self.b[s]
+        total = np.zeros((len(a), len(rows)), np.int16)
+        gap = np.empty((64, len(rows)), np.int16)
+        for i in range(0, len(a), 64):
+            part = total[i : i + 64]
+            some = gap[: len(part)]
+            for d in range(a.shape[1]):
+                np.subtract(left[d, i : i + 64, None], right[d, None], out=some)
+                np.abs(some, out=some)
+                part += some
+        if apart is not None:
+            total[apart] = SHORT + 1
+        if unknown.any():
+            limit = limit.copy()
+            at = min(at, len(rows))
+            for i in np.flatnonzero(unknown):
+                some = np.argpartition(total[i], at - 1)[:at]
+                if total[i, some].max() <= SHORT:
+                    limit[i] = exact_distance(a[[i]], rows[some], self.metric).max()
+        slack = off + self.off + 1e-12 * (a.shape[1] * self.span + np.where(np.isinf(limit), 0.0, limit))
+        most = np.minimum(np.floor((limit + slack) / self.step), SHORT).astype(np.int16)
+        return np.nonzero(total <= most[:, None])
+
 
 def nearest_rows(
     a: np.ndarray, a_ids: np.ndarray, b: np.ndarray, b_ids: np.ndarray, k: int, metric: str, skip_self: bool, limit: np.ndarray | None = None
