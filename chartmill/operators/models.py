@@ -638,7 +638,8 @@ def approach_comparison(
         train, val, test = (rows.where(F.col("split") == i).drop("split") for i in range(3))
         parts = {
             "traditional_small": train,
-            "resample_augmented": train.unionByName(bootstrap(train, extra_rows, key, seed)),
+            # Written, so that no pass of a fit draws again: that groups and numbers the whole training part.
+            "resample_augmented": train.unionByName(written(bootstrap(train, extra_rows, key, seed))),
         }
         forest = Candidate("forest", lambda n: RandomForestClassifier(numTrees=trees, maxDepth=depth, seed=seed))
         scored = []

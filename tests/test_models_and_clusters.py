@@ -199,3 +199,14 @@ def test_trees_on_merged_rows_are_those_on_rows(spark):
         assert [got[c] for c in Z._CV] == pytest.approx([want[c] for c in Z._CV], abs=1e-12)
     # At most 32 * 4 cells of two labels, where there are 2,000 rows.
     assert len(seen) == 6 and max(seen) <= 256
+
+
+def test_draws_are_made_once(spark, monkeypatch):
+    rng = np.random.default_rng(22)
+    rows = [(i, float(a), int(a + b > 0)) for i, (a, b) in enumerate(rng.normal(size=(300, 2)))]
+    df = spark.createDataFrame(rows, "id bigint, a double, y int")
+    kept = []
+    monkeypatch.setattr(Z, "written", lambda d, real=Z.written: kept.append(real(d)) or kept[-1])
+    got = {r["approach"]: r for r in Z.approach_comparison(df, ["a"], "y", "id", extra_rows=40, trees=3).collect()}
+    assert len(got) == 4 and 0.5 < got["resample_augmented"]["test_accuracy"] <= 1
+    assert [d.count() for d in kept] == [40]
