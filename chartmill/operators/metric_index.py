@@ -23,7 +23,7 @@ from __future__ import annotations
 
 import heapq
 import math
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -112,6 +112,11 @@ def _few_of_equal(b: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
     return order[(nth <= k + 1) & (copy < k)]
 
 
+def _places(near: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Rows and columns of what holds, of which there is little: looked for in one line, which is several times faster."""
+    return np.divmod(np.flatnonzero(near), near.shape[1])
+
+
 class _Rough:
     """Tells the pairs of a tile that may be within a limit."""
 
@@ -156,7 +161,7 @@ class _Rough:
             near = np.column_stack([a, np.ones(len(a))]) @ self.lifted[s].T >= far[:, None]
             if apart is not None:
                 near &= ~apart
-            return np.nonzero(near)
+            return _places(near)
         rough, slack = rough_distances(a, self.b[s], self.metric)
         if apart is not None:
             rough[apart] = np.inf
@@ -167,7 +172,7 @@ class _Rough:
         near = rough <= limit[:, None]
         if unknown.any() or apart is not None:
             near &= np.isfinite(rough)
-        return np.nonzero(near)
+        return _places(near)
 
     def _within_steps(self, a: np.ndarray, s: slice, limit: np.ndarray, unknown: np.ndarray, apart: np.ndarray | None, at: int) -> tuple[np.ndarray, np.ndarray]:
         """The same by Manhattan distances in whole numbers of steps."""
@@ -193,7 +198,7 @@ class _Rough:
                     limit[i] = exact_distance(a[[i]], rows[some], self.metric).max()
         slack = off + self.off + 1e-12 * (a.shape[1] * self.span + np.where(np.isinf(limit), 0.0, limit))
         most = np.minimum(np.floor((limit + slack) / self.step), SHORT).astype(np.int16)
-        return np.nonzero(total <= most[:, None])
+        return _places(total <= most[:, None])
 
 
 def nearest_rows(
@@ -231,11 +236,30 @@ def nearest_rows(
     return tuple(np.concatenate(x) for x in zip(*out))
 
 
+def nearest_apart(
+    a: np.ndarray, a_ids: np.ndarray, b: np.ndarray, b_ids: np.ndarray, k: int, metric: str, skip_self: bool, limit: np.ndarray | None,
+    groups: Sequence[np.ndarray] | None,
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The same among the rows of b that are of another of the ``groups`` (few, of a and of b) than the row of a."""
+    if groups is None:
+        return nearest_rows(a, a_ids, b, b_ids, k, metric, skip_self, limit)
+    out = []
+    for group in np.unique(groups[0]):
+        here, there = np.flatnonzero(groups[0] == group), np.flatnonzero(groups[1] != group)
+        i, j, d = nearest_rows(a[here], a_ids[here], b[there], b_ids[there], k, metric, skip_self, None if limit is None else limit[here])
+        out.append((here[i], there[j], d))
+    return tuple(np.concatenate(x) for x in zip(*out))
+
+
 def best_in_block(qs: pd.DataFrame, rs: pd.DataFrame, k: int, metric: str, skip_self: bool) -> pd.DataFrame:
-    """The k nearest rows of ``rs`` (id, vec, label) to each row of ``qs`` (id, vec, and ``limit`` where one is known)."""
+    """The k nearest rows of ``rs`` (id, vec, label) to each row of ``qs`` (id, vec, and ``limit`` where one is known).
+
+    With a column ``apart`` rows of the same value in it do not meet.
+    """
     a_ids, b_ids = id_codes(qs["id"], rs["id"])
     limit = qs["limit"].to_numpy() if "limit" in qs else None
-    i, j, d = nearest_rows(matrix(qs["vec"]), a_ids, matrix(rs["vec"]), b_ids, k, metric, skip_self, limit)
+    groups = id_codes(qs["apart"], rs["apart"]) if "apart" in qs else None
+    i, j, d = nearest_apart(matrix(qs["vec"]), a_ids, matrix(rs["vec"]), b_ids, k, metric, skip_self, limit, groups)
     return pd.DataFrame(
         {"at": i, "id": qs["id"].to_numpy()[i], "ref_id": rs["id"].to_numpy()[j], "label": rs["label"].to_numpy()[j], "distance": d}
     )
@@ -330,11 +354,15 @@ class Blocks:
 
 
 class MetricIndex:
-    """Rows (``id``, ``vec``, ``label``) in blocks; see the module's text."""
+    """Rows (``id``, ``vec``, ``label``) in blocks; see the module's text.
+
+    With a column ``apart`` of few values, which the queries have too, a query meets the rows of other values alone.
+    """
 
     def __init__(self, refs: DataFrame, n: int, metric: str, cell_rows: int = CELL_ROWS):
         ship(refs.sparkSession)
         self.metric, self.n = metric, n
+        self.apart = ["apart"] if "apart" in refs.columns else []
         many = max(1, min(CELLS, math.ceil(n / cell_rows)))
         drawn = refs.select("vec").orderBy(F.xxhash64("id"), "vec").limit(many * DRAWN).toArrow()
         cuts = cuts_of(matrix(drawn.column(0)), many)
@@ -389,7 +417,7 @@ class MetricIndex:
         best = f"array<struct<distance:double,ref_id:{kinds['id']},label:{kinds['label']}>>"
         asking = queries.count()
         state = _dealt(queries, asking).select(
-            F.monotonically_increasing_id().alias("q"), "id", "vec", F.expr(f"CAST(array() AS {best})").alias("best"), F.expr("CAST(array() AS array<int>)").alias("seen")
+            F.monotonically_increasing_id().alias("q"), "id", "vec", *self.apart, F.expr(f"CAST(array() AS {best})").alias("best"), F.expr("CAST(array() AS array<int>)").alias("seen")
         )
         self.compared, self.gridded = 0, False
         blocks = self.blocks
@@ -433,7 +461,7 @@ class MetricIndex:
             found = self._meet(walked, coming, k, skip_self, kinds)
             merged = F.slice(F.array_sort(F.concat("best", F.coalesce("new", F.expr(f"CAST(array() AS {best})")))), 1, k)
             state = walked.join(found, "q", "left").select(
-                "q", "id", "vec", merged.alias("best"), F.concat("seen", "visits").alias("seen")
+                "q", "id", "vec", *self.apart, merged.alias("best"), F.concat("seen", "visits").alias("seen")
             )
         ranked = state.select("id", F.posexplode("best").alias("rank", "b"))
         return ranked.select("id", "b.ref_id", "b.label", "b.distance", (F.col("rank") + 1).alias("rank"))
@@ -453,10 +481,10 @@ class MetricIndex:
         table = F.broadcast(walked.sparkSession.createDataFrame(parts, "block int, r_parts int, q_parts int"))
         r_parts, q_parts = F.col("r_parts"), F.col("q_parts")
         left = walked.withColumn("block", F.explode("visits")).join(table, "block").select(
-            "block", hashed_part(q_parts, "q").alias("qp"), spread(r_parts).alias("rp"), "q", "id", "vec", "limit"
+            "block", hashed_part(q_parts, "q").alias("qp"), spread(r_parts).alias("rp"), "q", "id", "vec", "limit", *self.apart
         )
         right = self.rows.join(table, "block").select(
-            "block", spread(q_parts).alias("qp"), hashed_part(r_parts, "id", "vec").alias("rp"), "id", "vec", "label"
+            "block", spread(q_parts).alias("qp"), hashed_part(r_parts, "id", "vec").alias("rp"), "id", "vec", "label", *self.apart
         )
         keys = ["block", "qp", "rp"]
         return self._best(left.groupBy(*keys), right.groupBy(*keys), k, skip_self, kinds)
@@ -465,15 +493,15 @@ class MetricIndex:
         """(q, new): each query's best rows of all, within its limit; every part of the queries meets every part of the rows."""
         tasks = 3 * grid[0] * grid[1]
         q_parts, r_parts = F.lit(grid[0]), F.lit(grid[1])
-        left = walked.select(hashed_part(q_parts, "q").alias("qp"), spread(r_parts).alias("rp"), "q", "id", "vec", "limit")
-        right = self.rows.select(spread(q_parts).alias("qp"), hashed_part(r_parts, "id", "vec").alias("rp"), "id", "vec", "label")
+        left = walked.select(hashed_part(q_parts, "q").alias("qp"), spread(r_parts).alias("rp"), "q", "id", "vec", "limit", *self.apart)
+        right = self.rows.select(spread(q_parts).alias("qp"), hashed_part(r_parts, "id", "vec").alias("rp"), "id", "vec", "label", *self.apart)
         keys = ["qp", "rp"]
         # Few rows with much work: a number of partitions that is given is not merged by size.
         return self._best(left.repartition(tasks, *keys).groupBy(*keys), right.repartition(tasks, *keys).groupBy(*keys), k, skip_self, kinds)
 
     def _best(self, left, right, k: int, skip_self: bool, kinds: dict[str, str]) -> DataFrame:
         """(q, new): the k best rows per query over all groups of queries and rows that meet."""
-        metric = self.metric
+        metric, apart = self.metric, bool(self.apart)
 
         def meet(qs: pa.Table, rs: pa.Table) -> pa.Table:
             i = j = np.empty(0, np.int64)
@@ -481,7 +509,8 @@ class MetricIndex:
             if len(qs) and len(rs):
                 a_ids, b_ids = id_codes(qs.column("id").to_pandas(), rs.column("id").to_pandas())
                 limit = qs.column("limit").to_numpy()
-                i, j, d = nearest_rows(matrix(qs.column("vec")), a_ids, matrix(rs.column("vec")), b_ids, k, metric, skip_self, limit)
+                groups = id_codes(qs.column("apart").to_pandas(), rs.column("apart").to_pandas()) if apart else None
+                i, j, d = nearest_apart(matrix(qs.column("vec")), a_ids, matrix(rs.column("vec")), b_ids, k, metric, skip_self, limit, groups)
             columns = [qs.column("q").take(pa.array(i)), pa.chunked_array([pa.array(d)]), *(rs.column(c).take(pa.array(j)) for c in ("id", "label"))]
             return pa.Table.from_arrays(columns, names=["q", "distance", "ref_id", "label"])
 

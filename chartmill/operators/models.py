@@ -587,16 +587,14 @@ def knn_grid(
 ) -> DataFrame:
     """Cross-validated accuracy of neighbour votes for each k, weighting and metric, best first.
 
-    The nearest rows of each fold are found once per metric and written; all settings are measured from them.
+    The nearest rows of other folds are found once per metric, for all folds in one search, and written; all settings are
+    measured from them.
     """
     rows = _fold_rows(df.select(*[col_of(c) for c in dict.fromkeys([id_col, vec_col, label, *([fold] if fold else [])])]), label, folds, id_col, seed, fold)
     try:
-        near = []
-        for metric in metrics:
-            for f in range(folds):
-                inside, outside = rows.where(F.col("_fold") == f), rows.where(F.col("_fold") != f)
-                found = nearest(inside, outside, max(ks), id_col, vec_col, label, metric)
-                near.append(found.withColumn("metric", F.lit(metric)))
+        known = rows.where(F.col("_fold").isNotNull())
+        asked = known.where(F.col("_fold").between(0, folds - 1))
+        near = [nearest(asked, known, max(ks), id_col, vec_col, label, m, apart="_fold").withColumn("metric", F.lit(m)) for m in metrics]
         ranked = written(reduce(DataFrame.unionByName, near))
         truth = rows.select(col_of(id_col).alias("id"), col_of(label).alias("_truth"), "_fold")
         hits = []

@@ -5,6 +5,7 @@ import pandas as pd
 import pytest
 
 from chartmill.operators import metric_index as M
+from chartmill.operators import models as Z
 from chartmill.operators import neighbours as N
 
 
@@ -161,3 +162,36 @@ def test_blocks_of_all_pairs_stay_few(spark, monkeypatch):
         got = {(r["id"], r["cluster"]): r["total"] for r in N.cluster_distances(df, "id", "v", "c").collect()}
         d = np.sqrt(((x[:n, None] - x[None, :n]) ** 2).sum(axis=2))
         assert got == {(i, c): pytest.approx(d[i, np.arange(n) % 3 == c].sum()) for i in range(n) for c in range(3)}
+
+
+@pytest.mark.parametrize("kind, metric, cell_rows", [("groups", "euclidean", 40), ("noise", "manhattan", 40), ("lattice", "manhattan", 1_000)])
+def test_rows_of_one_fold_do_not_meet(spark, kind, metric, cell_rows):
+    rng = np.random.default_rng(9)
+    x = {"groups": lambda: groups(rng, 300, 9), "noise": lambda: rng.normal(size=(300, 8)), "lattice": lambda: rng.integers(0, 3, size=(300, 3))}[kind]()
+    rows, df = frame(spark, x)
+    folds = df.selectExpr("*", "nullif(id % 4, 3) AS fold")
+    got = N.nearest(folds, folds, 5, "id", "v", "c", metric, cell_rows=cell_rows, apart="fold").collect()
+    fold = {i: i % 4 if i % 4 < 3 else None for i, _, _ in rows}
+    want = {}
+    for i, v, _ in rows:
+        want |= brute([r for r in rows if fold[i] is None or fold[r[0]] != fold[i]], [(i, v)], 5, metric, False)
+    assert {(r["id"], r["rank"]): (r["ref_id"], r["label"], pytest.approx(r["distance"])) for r in got} == want
+
+
+def test_a_grid_of_settings_searches_once_per_metric(spark, monkeypatch):
+    """All folds meet in one search; one for each fold would index the others' rows as often as there are folds."""
+    built = []
+    start = M.MetricIndex.__init__
+    monkeypatch.setattr(M.MetricIndex, "__init__", lambda self, refs, n, metric, cell_rows: (built.append((n, metric)), start(self, refs, n, metric, 50))[1])
+    n = N.CELL_ROWS + 400
+    rows, df = frame(spark, groups(np.random.default_rng(10), n, 30))
+    got = Z.knn_grid(df.selectExpr("*", "id % 5 AS fold"), "id", "v", "c", ks=(3,), weights=("uniform",), fold="fold").collect()
+    assert sorted(built) == [(n, "euclidean"), (n, "manhattan")] and len(got) == 2
+    x, c = np.array([r[1] for r in rows]), np.array([r[2] for r in rows])
+    hits = []
+    for i in range(n):
+        d = np.sqrt(((x - x[i]) ** 2).sum(axis=1))
+        d[i % 5 :: 5] = np.inf
+        hits.append(np.bincount(c[np.argsort(d, kind="stable")[:3]]).argmax() == c[i])
+    mean = np.mean([np.mean(hits[f::5]) for f in range(5)])
+    assert {r["metric"]: r["cv_accuracy_mean"] for r in got}["euclidean"] == pytest.approx(mean)
