@@ -83,3 +83,25 @@ def test_threshold_grid_matches_plain_search(table):
     grid = [0.05 + i * ((0.95 - 0.05) / 299) for i in range(300)]
     f1 = [2 * ((s >= t) & (y == 1)).sum() / ((s >= t).sum() + y.sum()) for t in grid]
     assert got["f1"] == pytest.approx(max(f1)) and got["threshold"] == pytest.approx(grid[int(np.argmax(f1))])
+
+
+@pytest.mark.parametrize("slice_rows, sorted_rows", [(1 << 19, 1 << 18), (40, 64)])
+def test_scores_beside_each_other_have_the_metrics_of_each(spark, monkeypatch, slice_rows, sorted_rows):
+    """Ties, missing and odd numbers, in one slice and in several."""
+    monkeypatch.setattr(L, "SLICE_ROWS", slice_rows)
+    monkeypatch.setattr(L, "SORTED", sorted_rows)
+    rows = spark.range(3_000, numPartitions=5).selectExpr(
+        "CAST(id % 3 AS INT) AS fold", "IF(id % 41 = 0, NULL, CAST(id * 7919 % 1000 < 300 + id % 500 AS INT)) AS y",
+        "pmod(xxhash64(id), 100003) / 100003D AS fine", "IF(id % 50 = 1, NULL, id % 7 / 7D) AS tied", "CASE id % 90 WHEN 0 THEN CAST('NaN' AS DOUBLE) WHEN 1 THEN -0D WHEN 2 THEN 0D ELSE id % 500 / 500D END AS odd",
+    )
+    names = ["fine", "tied", "odd"]
+    rows = rows.selectExpr("*", *[f"CAST(IF({n} = 0.5, NULL, {n} > 0.4) AS INT) AS c_{n}" for n in names]).cache()
+    share = L.draw_share(3_000)
+    assert (share > 0) == (slice_rows == 40)
+    drawn = rows.sample(share, 1) if share else None
+    got = L.area_per_score(rows, "y", {n: (n, f"c_{n}") for n in names}, "fold", 3_000, drawn).collect()
+    want = {(n, r["fold"]): r for n in names for r in L.binary_metrics(rows, "y", n, f"c_{n}", by=["fold"]).collect()}
+    assert {(r["_name"], r["fold"]) for r in got} == set(want) and len(got) == 9
+    for r in got:
+        assert r["accuracy"] == pytest.approx(want[r["_name"], r["fold"]]["accuracy"], abs=1e-12)
+        assert r["roc_auc"] == pytest.approx(want[r["_name"], r["fold"]]["roc_auc"], abs=1e-12)

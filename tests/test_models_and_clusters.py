@@ -210,3 +210,18 @@ def test_draws_are_made_once(spark, monkeypatch):
     got = {r["approach"]: r for r in Z.approach_comparison(df, ["a"], "y", "id", extra_rows=40, trees=3).collect()}
     assert len(got) == 4 and 0.5 < got["resample_augmented"]["test_accuracy"] <= 1
     assert [d.count() for d in kept] == [40]
+
+
+def test_models_of_a_fold_share_its_scaler_and_score_its_rows_at_once(spark, monkeypatch):
+    """Scaled rows, scores and their metrics are made once per fold for all models, and no scored rows are written."""
+    rows = spark.range(600).selectExpr("id", "CAST(id % 17 AS DOUBLE) AS a", "CAST(id * 31 % 23 AS DOUBLE) AS b", "CAST(id % 17 + id * 7 % 11 > 13 AS INT) AS y")
+    kinds = ("Ridge Logistic (C=0.1)", "Ridge Classifier", "Decision Tree (depth=3)")
+    zoo = [c for c in Z.model_zoo() if c.name in kinds]
+    scalers, kept = [], []
+    monkeypatch.setattr(Z, "_scaler", lambda make=Z._scaler: (scalers.append(1), make())[1])
+    monkeypatch.setattr(Z, "written", lambda df, keep=Z.written: (kept.append(df.columns), keep(df))[1])
+    got = {r["model"]: r for r in Z.compare_models(rows, ["a", "b"], "y", "id", zoo, k=2).collect()}
+    assert len(scalers) == 2 and not kept
+    for c in zoo:
+        one = Z.cv_summary(Z.cross_validate(rows, lambda part, c=c: Z.fit_candidate(part, ["a", "b"], "y", c), "y", "id", k=2)).first()
+        assert all(got[c.name][m] == pytest.approx(one[m], abs=1e-12) for m in Z._CV)
