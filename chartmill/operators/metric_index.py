@@ -40,6 +40,8 @@ from chartmill.workers import ship
 CELLS, DRAWN = 4_096, 16
 #: Rows of a block aimed for, and most rows and queries that meet in a task at once.
 CELL_ROWS, PART_ROWS = 2_048, 4_096
+#: So many times the usual gap between neighbouring numbers is a gap to cut at.
+STANDS_OUT = 4
 #: Blocks that a query visits at most in the second round.
 SECOND = 8
 #: Queries whose bounds to all blocks are held together.
@@ -285,8 +287,22 @@ class Cuts:
             at = np.where(inner, np.where(left, self.left[at], self.right[at]), at)
 
 
+def _middle(x: np.ndarray) -> float:
+    """The median of sorted numbers that are not all equal; where a gap of the middle half stands out, the number after the one next to it.
+
+    A cut through a dense group sends its queries to both sides.
+    """
+    low, high = len(x) // 4, max(len(x) // 4 + 1, len(x) - len(x) // 4)
+    gaps = np.diff(x[low:high])
+    if len(gaps) and gaps.max() > STANDS_OUT * (x[high - 1] - x[low]) / len(gaps):
+        widest = np.flatnonzero(gaps == gaps.max())
+        return float(x[low + 1 + widest[np.argmin(np.abs(low + 1 + widest - len(x) // 2))]])
+    middle = float(x[len(x) // 2])
+    return middle if middle > x[0] else float(x[x > middle][0])
+
+
 def cuts_of(sample: np.ndarray, many: int) -> Cuts:
-    """A tree of at most ``many`` cells: the one with most rows of the sample is cut next, at the median of its widest column."""
+    """A tree of at most ``many`` cells: the one with most rows of the sample is cut next, in the middle of its widest column."""
     column, cut, left, right = [0], [0.0], [0], [0]
     heap = [(-len(sample), 0)]
     rows, leaves = {0: sample}, {0}
@@ -297,8 +313,7 @@ def cuts_of(sample: np.ndarray, many: int) -> Cuts:
         x = here[:, widest] if here.size else np.empty(0)
         if not len(x) or x.min() == x.max():
             continue
-        middle = float(np.partition(x, len(x) // 2)[len(x) // 2])
-        middle = middle if middle > x.min() else float(x[x > middle].min())
+        middle = _middle(np.sort(x))
         column[at], cut[at], left[at], right[at] = widest, middle, len(cut), len(cut) + 1
         leaves.discard(at)
         for part in (here[x < middle], here[x >= middle]):
